@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.plans import text_oracle, text_queries
+from tidewater.plans import cdc_oracle, cdc_queries, text_oracle, text_queries
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -14,10 +14,12 @@ Query = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(text_queries.QUERIES)
+    out.update(cdc_queries.QUERIES)
     return out
 
 
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(text_oracle.ORACLE)
+    out.update(cdc_oracle.ORACLE)
     return out
