@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.plans import cdc_oracle, cdc_queries, text_oracle, text_queries
+from tidewater.plans import (cdc_oracle, cdc_queries, kafka_oracle, kafka_queries,
+                             text_oracle, text_queries)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +16,7 @@ def queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(text_queries.QUERIES)
     out.update(cdc_queries.QUERIES)
+    out.update(kafka_queries.QUERIES)
     return out
 
 
@@ -22,4 +24,5 @@ def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(text_oracle.ORACLE)
     out.update(cdc_oracle.ORACLE)
+    out.update(kafka_oracle.ORACLE)
     return out

@@ -16,7 +16,7 @@ from tidewater.sources.tables import read_table
 CDC_TOPIC = "cdc"
 CDC_PARTITIONS = 4
 EVENTS_TOPIC = "events"
-EVENTS_PARTITIONS = 4
+EVENTS_PARTITIONS = 8
 
 # Sequence bases: inserts use the customer key, updates start at 1e9, late
 # inserts at 2e9, malformed events at 3e9. The Kafka offset of an event is
@@ -176,3 +176,31 @@ def kafka_records(events: DataFrame, value_format: str = "text") -> DataFrame:
 def read_kafka_records(spark: SparkSession, sf_dir: str, value_format: str = "text") -> DataFrame:
     ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "props"])
     return kafka_records(ev, value_format)
+
+
+# Consumer-group fixture over the ``events`` topic. Retention has removed the
+# first records of even partitions (earliest > 0 there); the committed offset
+# of partition p follows case p % 8 (fixed values):
+#   0, 6: no commit          1: (earliest + latest) / 2     2: earliest - 1
+#   3: latest + 5            4: earliest                    5: latest
+#   7: earliest + 1
+RETENTION_CUT = 10
+
+
+def log_bounds(records: DataFrame) -> DataFrame:
+    """(topic, partition, earliest, latest) with the retention rule above."""
+    from tidewater.operators.offsets import log_bounds as bounds
+
+    cut = F.when(F.col("partition") % 2 == 0, F.lit(RETENTION_CUT)).otherwise(F.lit(0))
+    return bounds(records, retained_from=cut)
+
+
+def committed_offsets(bounds: DataFrame) -> DataFrame:
+    """(topic, partition, committed) by the case rule above; partitions
+    without a commit have no row."""
+    e, l, case = F.col("earliest"), F.col("latest"), F.col("partition") % 8
+    c = (F.when(case == 1, F.floor((e + l) / 2)).when(case == 2, e - 1)
+          .when(case == 3, l + 5).when(case == 4, e).when(case == 5, l)
+          .when(case == 7, e + 1))
+    return bounds.select("topic", "partition", c.cast("long").alias("committed")) \
+                 .where(F.col("committed").isNotNull())
