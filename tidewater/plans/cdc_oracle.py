@@ -162,6 +162,33 @@ cdc_stmt AS (
   FROM cdc_prep
 )"""
 
+_BEFORE = """(i.batch_id < v.batch_id OR (i.batch_id = v.batch_id AND (i."partition" < v."partition"
+             OR (i."partition" = v."partition" AND i."offset" < v."offset"))))"""
+
+APPLY = f"""{CDC_EVENTS},
+valid AS (
+  SELECT topic, "partition", "offset", batch_id, table_name, row_key, route, statement
+  FROM cdc_stmt WHERE reason IS NULL AND route <> 'ignored'
+),
+valid_ins AS (SELECT * FROM valid WHERE route = 'insert'),
+st1 AS (
+  SELECT v.*,
+    CASE WHEN EXISTS (SELECT 1 FROM valid_ins i WHERE i.table_name = v.table_name
+                      AND i.row_key = v.row_key AND {_BEFORE})
+         THEN (CASE WHEN v.route = 'insert' THEN 'error' ELSE 'applied' END)
+         ELSE (CASE WHEN v.route = 'insert' THEN 'applied' ELSE 'zero_rows' END)
+    END AS first_status
+  FROM valid v
+),
+st AS (
+  SELECT v.*,
+    CASE WHEN first_status <> 'zero_rows' THEN NULL
+         WHEN EXISTS (SELECT 1 FROM valid_ins i WHERE i.table_name = v.table_name
+                      AND i.row_key = v.row_key AND i.batch_id <= v.batch_id + 1) THEN 'applied'
+         ELSE 'dead_letter' END AS retry_status
+  FROM st1 v
+)"""
+
 ORACLE = {
     "cdc_cells": f"""
 WITH {CDC_EVENTS}
@@ -185,4 +212,52 @@ FROM cdc_ev GROUP BY ALL""",
 WITH {CDC_EVENTS}
 SELECT topic, "partition", "offset", batch_id, route, reason
 FROM cdc_prep WHERE reason IS NOT NULL""",
+
+    "cdc_apply_status": f"""
+WITH {APPLY}
+SELECT batch_id, topic, "partition", "offset", 0 AS attempt, first_status AS status,
+       CASE first_status WHEN 'error' THEN 'duplicate_key' WHEN 'zero_rows' THEN 'no_matching_row' END AS reason
+FROM st
+UNION ALL
+SELECT batch_id, topic, "partition", "offset", 1, retry_status,
+       CASE WHEN retry_status = 'dead_letter' THEN 'zero_rows_after_retry' END
+FROM st WHERE retry_status IS NOT NULL
+UNION ALL
+SELECT batch_id, topic, "partition", "offset", 0,
+       CASE WHEN route = 'ignored' THEN 'ignored' ELSE 'rejected' END, reason
+FROM cdc_prep WHERE reason IS NOT NULL OR route = 'ignored'""",
+
+    "cdc_final_state": f"""
+WITH {APPLY},
+applied AS (
+  SELECT * FROM st WHERE first_status = 'applied' OR retry_status = 'applied'
+),
+cells AS (
+  SELECT a.table_name, a.row_key AS key, c.col AS "column", c.tag AS type, c.v_full AS value,
+         CASE WHEN a.route = 'update' THEN 1 ELSE 0 END AS is_upd, a.batch_id, a."partition", a."offset"
+  FROM applied a JOIN cdc_cells_lit c
+    ON c.topic = a.topic AND c."partition" = a."partition" AND c."offset" = a."offset"
+  WHERE c.name <> 'id' AND c.v_full IS NOT NULL
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY table_name, key, "column"
+                               ORDER BY is_upd DESC, batch_id DESC, "partition" DESC, "offset" DESC) AS rn
+  FROM cells
+)
+SELECT table_name, key, "column", type, value FROM ranked WHERE rn = 1""",
+
+    "cdc_retry_outcome": f"""
+WITH {APPLY}
+SELECT batch_id, topic, "partition", "offset", batch_id + 1 AS retry_after_batch,
+       CASE WHEN retry_status = 'applied' THEN 'applied_on_retry' ELSE 'dead_letter' END AS outcome,
+       statement
+FROM st WHERE first_status = 'zero_rows'""",
+
+    "cdc_dead_letter": f"""
+WITH {APPLY}
+SELECT batch_id, topic, "partition", "offset", 0 AS attempt, 'error' AS reason, statement
+FROM st WHERE first_status = 'error'
+UNION ALL
+SELECT batch_id, topic, "partition", "offset", 1, 'zero_rows_after_retry', statement
+FROM st WHERE retry_status = 'dead_letter'""",
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.operators import changelog
+from tidewater.operators import apply, changelog
 from tidewater.sources.fixtures import read_cdc_events
 
 EVENT_ID = ["topic", "partition", "offset", "batch_id"]
@@ -36,9 +36,38 @@ def cdc_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.where(F.col("reason").isNotNull()).select(*EVENT_ID, "route", "reason")
 
 
+def _prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return changelog.prepare(read_cdc_events(spark, sf_dir), compat=False)
+
+
+
+def cdc_apply_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Query 17: status of every event attempt against the native target."""
+    return apply.status_rows(_prepared(spark, sf_dir))
+
+
+def cdc_final_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Query 18: the target after all batches and retries, long form."""
+    return apply.final_state(_prepared(spark, sf_dir))
+
+
+def cdc_retry_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Query 19: each zero-row update and the outcome of its one retry."""
+    return apply.retry_outcome(_prepared(spark, sf_dir))
+
+
+def cdc_dead_letter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dead-letter table: failed statements and second zero-row misses."""
+    return apply.dead_letters(_prepared(spark, sf_dir))
+
+
 QUERIES = {
     "cdc_cells": cdc_cells,
     "cdc_statements": cdc_statements,
     "cdc_routes": cdc_routes,
     "cdc_rejects": cdc_rejects,
+    "cdc_apply_status": cdc_apply_status,
+    "cdc_final_state": cdc_final_state,
+    "cdc_retry_outcome": cdc_retry_outcome,
+    "cdc_dead_letter": cdc_dead_letter,
 }
