@@ -123,9 +123,9 @@ def retry_outcome(prepared: DataFrame, existing: DataFrame | None = None) -> Dat
          .otherwise(F.lit("dead_letter")).alias("outcome"), "statement")
 
 
-def applied_cells(out: DataFrame) -> DataFrame:
-    """Long cells of applied events with the fold order (is_update, event order)."""
-    applied = out.where((F.col("first_status") == "applied") | (F.col("retry_status") == "applied"))
+def event_cells(applied: DataFrame) -> DataFrame:
+    """Long cells of applied events (``table_name, key, route, ord, cells``)
+    with the fold order ``w = (is_update, event order)``."""
     cells = applied.select(*ROW, (F.col("route") == UPDATE).alias("is_update"), "ord",
                            F.explode("cells").alias("c"))
     return cells.select(*ROW, F.col("c.column").alias("column"),
@@ -133,6 +133,12 @@ def applied_cells(out: DataFrame) -> DataFrame:
                                  F.struct("is_update", "ord").alias("w")).alias("v"))
 
 
+def applied_cells(out: DataFrame) -> DataFrame:
+    """Cells of every event applied at once or by its retry."""
+    return event_cells(out.where((F.col("first_status") == "applied")
+                                 | (F.col("retry_status") == "applied")))
+
+
 def fold(cells: DataFrame, state: DataFrame | None = None) -> DataFrame:
     """Per ``(table_name, key, column)`` the value with the greatest order
     (``max_by``, a partial aggregate). ``state`` is an earlier result of this

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewater.plans import (cdc_oracle, cdc_queries, kafka_oracle, kafka_queries,
-                             text_oracle, text_queries)
+                             stream_queries, text_oracle, text_queries)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +17,7 @@ def queries() -> dict[str, Query]:
     out.update(text_queries.QUERIES)
     out.update(cdc_queries.QUERIES)
     out.update(kafka_queries.QUERIES)
+    out.update(stream_queries.QUERIES)
     return out
 
 
@@ -25,4 +26,6 @@ def oracle_sql() -> dict[str, str]:
     out.update(text_oracle.ORACLE)
     out.update(cdc_oracle.ORACLE)
     out.update(kafka_oracle.ORACLE)
+    for name, same_as in stream_queries.ORACLE_OF.items():
+        out[name] = out[same_as]
     return out
