@@ -82,13 +82,17 @@ def snake_column(name: Column | str) -> Column:
     ``user_id`` -> ``user__id``, ``ID`` -> ``_i_d``.
     """
     name = _col(name)
-    chars = F.split(name, "")
 
     def one(ch: Column) -> Column:
         marked = (F.upper(ch) == ch) & ~ch.rlike(r"^\p{Nd}$")
         return F.when(marked, F.concat(F.lit("_"), F.lower(ch))).otherwise(F.lower(ch))
 
-    return F.when(name == "", F.lit("")).otherwise(F.array_join(F.transform(chars, one), ""))
+    # ASCII names (the usual case): a character equals its upper case form and
+    # is no digit exactly when it is not in [a-z0-9]; one codegen'd regex.
+    ascii_fast = F.lower(F.regexp_replace(name, "([^a-z0-9])", "_$1"))
+    per_char = F.array_join(F.transform(F.split(name, ""), one), "")
+    return (F.when(name == "", F.lit("")).when(name.rlike(r"^[\x00-\x7F]*$"), ascii_fast)
+             .otherwise(per_char))
 
 
 def is_identifier(c: Column | str) -> Column:

@@ -37,7 +37,7 @@ def kept_cells(columns: Column | str = "columns", mode: str = "full") -> Column:
     written: sorted by name, ``id`` dropped (C2), no-value cells dropped (C3).
     """
     m = F.col(columns) if isinstance(columns, str) else columns
-    entries = F.array_sort(F.map_entries(m))
+    entries = F.sort_array(F.map_entries(m))   # by key; no comparator lambda
 
     def describe(e: Column) -> Column:
         tag, val = cell_type(e["value"]), cell_value(e["value"], mode)
@@ -77,33 +77,46 @@ def prepare(events: DataFrame, key_column: str = "cust_key", mode: str = "full",
     a predicate ``key_column = literal`` (L2, L6; never an update without
     one); insert and update need at least one written cell (L2); an insert
     must carry the key column.
+
+    The kept cells are computed once per event and every other column is
+    derived from them inside one lambda; the result leaves through
+    ``explode`` of that one-element array. The Generate is a barrier: a
+    filter on ``reason`` or ``statement`` downstream is not pushed below it,
+    so the map work is never evaluated twice (once in a pushed-down filter,
+    once in the projection).
     """
-    table, where = F.col("tableName"), F.col("where")
-    df = events.withColumn("route", route("actionType")) \
-               .withColumn("cells", kept_cells("columns", mode))
-    rt, cells = F.col("route"), F.col("cells")
-    cols_ok = F.forall(cells, lambda c: c["column"].rlike(IDENTIFIER))
+    table, where, rt = F.col("tableName"), F.col("where"), F.col("route")
+    base = events.withColumn("route", route("actionType"))
     pred_col = F.regexp_extract(F.coalesce(where, F.lit("")), PREDICATE, 1)
     pred_lit = F.regexp_extract(F.coalesce(where, F.lit("")), PREDICATE, 2)
     parsed = F.coalesce(where.rlike(PREDICATE), F.lit(False)) & (pred_col == key_column)
-    key_cell = F.filter(cells, lambda c: c["column"] == key_column)
-    ins_key = F.when(F.size(key_cell) > 0, key_cell[0]["value"])
-    key = F.when(rt == INSERT, ins_key).when((rt == UPDATE) & parsed, _unquote(pred_lit))
-    reason = (F.when(rt == IGNORED, F.lit(None))
-               .when(~is_identifier(table) | ~cols_ok, F.lit("bad_identifier"))
-               .when((rt == INSERT) & (F.size(cells) == 0), F.lit("no_columns"))
-               .when((rt == INSERT) & ins_key.isNull(), F.lit("missing_key"))
-               .when((rt == UPDATE) & is_blank(where), F.lit("missing_where"))
-               .when((rt == UPDATE) & ~parsed, F.lit("unsupported_predicate"))
-               .when((rt == UPDATE) & (F.size(cells) == 0), F.lit("no_columns"))
-               .cast("string"))
-    df = df.withColumn("key", key.cast("string")).withColumn("reason", reason)
-    ok = F.col("reason").isNull() & (rt != IGNORED)
-    df = df.withColumn("statement", F.when(ok, _render(table, rt, where, cells)))
+
+    def derive(b: Column) -> Column:
+        cells = b["cells"]
+        cols_ok = F.forall(cells, lambda c: c["column"].rlike(IDENTIFIER))
+        key_cell = F.filter(cells, lambda c: c["column"] == key_column)
+        ins_key = F.when(F.size(key_cell) > 0, key_cell[0]["value"])
+        key = F.when(rt == INSERT, ins_key).when((rt == UPDATE) & parsed, _unquote(pred_lit))
+        reason = (F.when(rt == IGNORED, F.lit(None))
+                   .when(~is_identifier(table) | ~cols_ok, F.lit("bad_identifier"))
+                   .when((rt == INSERT) & (F.size(cells) == 0), F.lit("no_columns"))
+                   .when((rt == INSERT) & ins_key.isNull(), F.lit("missing_key"))
+                   .when((rt == UPDATE) & is_blank(where), F.lit("missing_where"))
+                   .when((rt == UPDATE) & ~parsed, F.lit("unsupported_predicate"))
+                   .when((rt == UPDATE) & (F.size(cells) == 0), F.lit("no_columns"))
+                   .cast("string"))
+        ok = reason.isNull() & (rt != IGNORED)
+        fields = [cells.alias("cells"), key.cast("string").alias("key"), reason.alias("reason"),
+                  F.when(ok, _render(table, rt, where, cells)).alias("statement")]
+        if compat:
+            fields.append(F.when(ok, _render(table, rt, where, b["first"])).alias("statement_compat"))
+        return F.struct(*fields)
+
+    bundle = [kept_cells("columns", mode).alias("cells")]
     if compat:
-        first = kept_cells("columns", "first_segment")
-        df = df.withColumn("statement_compat", F.when(ok, _render(table, rt, where, first)))
-    return df
+        bundle.append(kept_cells("columns", "first_segment").alias("first"))
+    derived = F.transform(F.array(F.struct(*bundle)), derive)
+    return base.select("*", F.explode(derived).alias("_p")).select(*base.columns, "_p.*")
 
 
 def cells_long(events: DataFrame) -> DataFrame:

@@ -1,0 +1,34 @@
+"""Parallelism for CPU-heavy per-row work on inputs too small to split."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+from tidewater.operators.joins import estimated_bytes
+
+
+def _bytes(conf_value: str) -> int:
+    v = conf_value.strip().lower()
+    for unit, mult in (("kb", 1 << 10), ("mb", 1 << 20), ("gb", 1 << 30), ("k", 1 << 10),
+                       ("m", 1 << 20), ("g", 1 << 30), ("b", 1)):
+        if v.endswith(unit):
+            return int(float(v[: -len(unit)]) * mult)
+    return int(v)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin the rows over all cores when the input is so small that the
+    file layout, not the data, limits the scan's parallelism (e.g. one parquet
+    row group feeding a regex / higher-order-function projection).
+
+    Gate: Catalyst's size estimate below ``cores x maxPartitionBytes``. A
+    large input already arrives in at least one split per core, so the call is
+    a no-op there and adds no shuffle.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m") or "128m")
+    size = estimated_bytes(df)
+    if size is not None and size < cores * split:
+        return df.repartition(cores)
+    return df

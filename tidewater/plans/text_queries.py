@@ -7,18 +7,19 @@ from pyspark.sql import functions as F
 
 from tidewater.functions.cells import snake_column
 from tidewater.operators import wordcount as wc
+from tidewater.operators.partitioning import spread
 from tidewater.sources.tables import read_table
 
 
 def wordcount_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Query 1: ``(word, cnt)`` over every line of every document."""
-    docs = read_table(spark, sf_dir, "documents", ["text"])
+    docs = spread(read_table(spark, sf_dir, "documents", ["text"]))
     return wc.word_counts(docs, wc.deny_table(spark))
 
 
 def dropped_words_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Query 2: one row, the denied words' total count over all documents."""
-    docs = read_table(spark, sf_dir, "documents", ["text"])
+    docs = spread(read_table(spark, sf_dir, "documents", ["text"]))
     counts = wc.count_words(wc.text_words(docs))
     denied = wc.keep_denied(counts, wc.deny_table(spark))
     total = denied.agg(F.coalesce(F.sum("cnt"), F.lit(0)).cast("long").alias("dropped"))
@@ -26,7 +27,7 @@ def dropped_words_total(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _conversation_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    conv = read_table(spark, sf_dir, "conversations", ["turn", "text"])
+    conv = spread(read_table(spark, sf_dir, "conversations", ["turn", "text"]))
     conv = conv.withColumnRenamed("turn", "batch_id")
     return wc.count_words(wc.text_words(conv, keep=["batch_id"]), by=["batch_id"])
 

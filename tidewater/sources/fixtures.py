@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewater.operators.partitioning import spread
 from tidewater.sources.tables import read_table
 
 CDC_TOPIC = "cdc"
@@ -137,7 +138,7 @@ def read_cdc_events(spark: SparkSession, sf_dir: str, malformed: bool = True) ->
                           ["c_custkey", "c_name", "c_acctbal", "c_mktsegment"])
     orders = read_table(spark, sf_dir, "orders",
                         ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"])
-    return cdc_events(customer, orders, malformed)
+    return spread(cdc_events(customer, orders, malformed))
 
 
 # Registry framing: magic byte 0, then a 4-byte big-endian schema id.
