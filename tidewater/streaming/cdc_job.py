@@ -8,9 +8,10 @@ Per micro-batch (epoch ``e``), inside ``foreachBatch``:
 3. decide applied / zero_rows / error per event (``apply.outcomes``);
 4. give the zero-row updates of epoch ``e-1`` their one retry against the
    keys present after this batch; a miss goes to the dead letters;
-5. write status, dead letters, new pending retries, new keys and the folded
-   cell delta - each as partition ``epoch=e`` (replay-safe) - and the
-   per-partition progress **last**.
+5. write one ``events`` row per event attempt (status, reason, statement;
+   the cells of zero-row updates, which are the pending retries; inserted
+   keys form the key log) and the folded cell delta - each as the folder
+   ``epoch=e`` (replay-safe) - and the per-partition progress **last**.
 
 The target is the fold (``max_by`` on the write order) over all deltas.
 ``flush()`` gives the last epoch's pending retries their chance when no
@@ -33,21 +34,28 @@ _ORD = "struct<batch_id:bigint,partition:int,offset:bigint>"
 _CELLS = "array<struct<name:string,column:string,type:string,value:string,literal:string>>"
 
 SCHEMAS = {
-    "keys": "table_name string, key string, epoch long",
-    "retry": (f"batch_id long, topic string, partition int, offset long, table_name string, "
-              f"key string, route string, ord {_ORD}, cells {_CELLS}, statement string, epoch long"),
-    "status": ("batch_id long, topic string, partition int, offset long, attempt int, "
-               "status string, reason string, epoch long"),
-    "dead_letter": ("batch_id long, topic string, partition int, offset long, attempt int, "
-                    "reason string, statement string, epoch long"),
+    # one row per event attempt: status, dead letters, pending retries and the
+    # key log are all read from this table (column pruning keeps reads narrow)
+    "events": (f"batch_id long, topic string, partition int, offset long, attempt int, "
+               f"status string, reason string, statement string, table_name string, "
+               f"key string, route string, ord {_ORD}, cells {_CELLS}, epoch long"),
     "delta": (f"table_name string, key string, column string, type string, value string, "
               f"w struct<is_update:boolean,ord:{_ORD}>, epoch long"),
     "progress": ("topic string, partition int, from_offset long, until_offset long, "
                  "records long, epoch long"),
     "flushed": "done boolean, epoch long",
 }
-RETRY_COLUMNS = [f.split()[0] for f in SCHEMAS["retry"].split(", ")
-                 if not f.startswith(("ord", "cells", "epoch"))]
+EVENT_COLUMNS = [f.split()[0] for f in SCHEMAS["events"].split(", ") if f.split()[0] != "epoch"]
+
+
+def _typed(df: DataFrame, **values) -> DataFrame:
+    """Project ``df`` onto the event-table columns; missing ones are null."""
+    types = dict(f.split(" ", 1) for f in SCHEMAS["events"].split(", "))
+    cols = []
+    for c in EVENT_COLUMNS:
+        v = values.get(c, F.col(c) if c in df.columns else F.lit(None))
+        cols.append(v.cast(types[c]).alias(c))
+    return df.select(*cols)
 
 
 class CdcApplyJob:
@@ -61,25 +69,33 @@ class CdcApplyJob:
         return f"{self.out}/{name}"
 
     def table(self, name: str) -> DataFrame:
-        return read_table(self.spark, self._path(name), SCHEMAS[name])
+        schema = SCHEMAS[name.replace("_flush", "")]
+        return read_table(self.spark, self._path(name), schema)
+
+    def _keys_before(self, epoch: int) -> DataFrame:
+        """Key log: keys inserted by the epochs before ``epoch``."""
+        e = self.table("events")
+        return e.where((F.col("epoch") < epoch) & (F.col("attempt") == 0)
+                       & (F.col("route") == changelog.INSERT)
+                       & (F.col("status") == "applied")).select(*ROW)
 
     def _pending(self, epoch: int) -> DataFrame:
         """Zero-row updates of ``epoch`` still waiting (not flushed)."""
-        pending = self.table("retry").where(F.col("epoch") == epoch)
+        e = self.table("events")
+        pending = e.where((F.col("epoch") == epoch) & (F.col("attempt") == 0)
+                          & (F.col("status") == "zero_rows"))
         flushed = self.table("flushed").where(F.col("epoch") == epoch).select("epoch")
         return join_small(pending, flushed, "epoch", "left_anti").drop("epoch")
 
-    def _retry(self, pending: DataFrame, keys_after: DataFrame):
+    @staticmethod
+    def _retry(pending: DataFrame, keys_after: DataFrame):
         ok = join_small(pending, keys_after, ROW, "left_semi")
         miss = join_small(pending, keys_after, ROW, "left_anti")
-        status = (ok.select(*EVENT_ID, F.lit(1).alias("attempt"), F.lit("applied").alias("status"),
-                            F.lit(None).cast("string").alias("reason"))
-                  .unionByName(miss.select(*EVENT_ID, F.lit(1).alias("attempt"),
-                                           F.lit("dead_letter").alias("status"),
-                                           F.lit("zero_rows_after_retry").alias("reason"))))
-        dead = miss.select(*EVENT_ID, F.lit(1).alias("attempt"),
-                           F.lit("zero_rows_after_retry").alias("reason"), "statement")
-        return ok, status, dead
+        rows = _typed(ok, attempt=F.lit(1), status=F.lit("applied"), reason=F.lit(None),
+                      cells=F.lit(None)) \
+            .unionByName(_typed(miss, attempt=F.lit(1), status=F.lit("dead_letter"),
+                                reason=F.lit("zero_rows_after_retry"), cells=F.lit(None)))
+        return ok, rows
 
     # -- one micro-batch ----------------------------------------------------
     def process_batch(self, df: DataFrame, epoch: int) -> None:
@@ -94,32 +110,24 @@ class CdcApplyJob:
         pending = self._pending(epoch - 1)
         valid = apply.keyed(p)
         touched = valid.select(*ROW).unionByName(pending.select(*ROW)).distinct()
-        keys_log = self.table("keys").where(F.col("epoch") < epoch).select(*ROW)
-        existing = join_small(keys_log, touched, ROW, "left_semi")
+        existing = join_small(self._keys_before(epoch), touched, ROW, "left_semi")
         out = apply.outcomes(p, existing).persist()
         try:
             fs = F.col("first_status")
             inserted = out.where((F.col("route") == changelog.INSERT) & (fs == "applied")).select(*ROW)
-            keys_after = existing.unionByName(inserted)
-            retry_ok, retry_status, retry_dead = self._retry(pending, keys_after)
-
+            retry_ok, retry_rows = self._retry(pending, existing.unionByName(inserted))
             reason0 = (F.when(fs == "error", F.lit("duplicate_key"))
                         .when(fs == "zero_rows", F.lit("no_matching_row")))
-            status = (out.select(*EVENT_ID, F.lit(0).alias("attempt"), fs.alias("status"),
-                                 reason0.alias("reason"))
-                      .unionByName(p.where(F.col("reason").isNotNull()
-                                           | (F.col("route") == changelog.IGNORED)).select(
-                          *EVENT_ID, F.lit(0).alias("attempt"),
-                          F.when(F.col("route") == changelog.IGNORED, F.lit("ignored"))
-                           .otherwise(F.lit("rejected")).alias("status"), "reason"))
-                      .unionByName(retry_status))
-            write_epoch(status, self._path("status"), epoch)
-            dead = out.where(fs == "error").select(
-                *EVENT_ID, F.lit(0).alias("attempt"), F.lit("error").alias("reason"), "statement")
-            write_epoch(dead.unionByName(retry_dead), self._path("dead_letter"), epoch)
-            write_epoch(out.where(fs == "zero_rows").select(*RETRY_COLUMNS, "ord", "cells"),
-                        self._path("retry"), epoch)
-            write_epoch(inserted, self._path("keys"), epoch)
+            first = _typed(out, attempt=F.lit(0), status=fs, reason=reason0,
+                           cells=F.when(fs == "zero_rows", F.col("cells")))
+            other = _typed(p.where(F.col("reason").isNotNull()
+                                   | (F.col("route") == changelog.IGNORED)),
+                           attempt=F.lit(0), table_name=F.col("tableName"),
+                           status=F.when(F.col("route") == changelog.IGNORED, F.lit("ignored"))
+                                   .otherwise(F.lit("rejected")),
+                           statement=F.lit(None), ord=F.lit(None), cells=F.lit(None))
+            write_epoch(first.unionByName(other).unionByName(retry_rows),
+                        self._path("events"), epoch)
             applied = out.where(fs == "applied").select(*ROW, "route", "ord", "cells") \
                 .unionByName(retry_ok.select(*ROW, "route", "ord", "cells"))
             write_epoch(apply.fold(apply.event_cells(applied)), self._path("delta"), epoch)
@@ -141,10 +149,9 @@ class CdcApplyJob:
         if last is None:
             return
         pending = self._pending(last)
-        keys = self.table("keys").where(F.col("epoch") <= last).select(*ROW)
-        ok, status, dead = self._retry(pending, keys)
-        write_epoch(status, self._path("status_flush"), last)
-        write_epoch(dead, self._path("dead_letter_flush"), last)
+        keys = self._keys_before(last + 1)
+        ok, rows = self._retry(pending, keys)
+        write_epoch(rows, self._path("events_flush"), last)
         cells = apply.fold(apply.event_cells(ok.select(*ROW, "route", "ord", "cells")))
         write_epoch(cells, self._path("delta_flush"), last)
         write_epoch(self.spark.range(1).select(F.lit(True).alias("done")),
@@ -159,8 +166,7 @@ class CdcApplyJob:
 
     # -- results ------------------------------------------------------------
     def _with_flush(self, name: str) -> DataFrame:
-        s = SCHEMAS[name]
-        return self.table(name).unionByName(read_table(self.spark, self._path(f"{name}_flush"), s))
+        return self.table(name).unionByName(self.table(f"{name}_flush"))
 
     def final_state(self) -> DataFrame:
         """Target: ``table_name, key, column, type, value``."""
@@ -169,10 +175,15 @@ class CdcApplyJob:
         return g.select(*ROW, "column", "v.type", "v.value")
 
     def status(self) -> DataFrame:
-        return self._with_flush("status").drop("epoch")
+        e = self._with_flush("events")
+        return e.select(*EVENT_ID, "attempt", "status", "reason")
 
     def dead_letters(self) -> DataFrame:
-        return self._with_flush("dead_letter").drop("epoch")
+        e = self._with_flush("events")
+        dead = e.where(((F.col("attempt") == 0) & (F.col("status") == "error"))
+                       | (F.col("status") == "dead_letter"))
+        reason = F.when(F.col("attempt") == 0, F.lit("error")).otherwise(F.col("reason"))
+        return dead.select(*EVENT_ID, "attempt", reason.alias("reason"), "statement")
 
     def progress(self) -> DataFrame:
         return self.table("progress")
