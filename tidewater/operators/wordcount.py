@@ -19,8 +19,14 @@ DEFAULT_DENY = ("a", "b", "c")
 
 
 def deny_table(spark: SparkSession, words: Sequence[str] = DEFAULT_DENY) -> DataFrame:
-    """Deny list as a one-column DataFrame (``word``); its size is ``len(words)``."""
-    return spark.createDataFrame([(w,) for w in dict.fromkeys(words)], "word string")
+    """Deny list as a one-column DataFrame (``word``) of ``len(words)`` rows.
+
+    Built from a literal array (not from a Python list through an RDD) so
+    Catalyst knows its size and the size check can broadcast it.
+    """
+    lits = [F.lit(w) for w in dict.fromkeys(words)]
+    arr = F.array(*lits) if lits else F.array().cast("array<string>")
+    return spark.range(1).select(F.explode(arr).alias("word"))
 
 
 def lines(df: DataFrame, text: str = "text", keep: Sequence[str] = ()) -> DataFrame:
@@ -86,3 +92,21 @@ def dropped_report(total: Column | str) -> Column:
     """The counter's console line: ``Dropped <n> word(s) totally``."""
     t = F.col(total) if isinstance(total, str) else total
     return F.concat(F.lit("Dropped "), t.cast("string"), F.lit(" word(s) totally"))
+
+
+def top_words(counts: DataFrame, k: int, batch: str = "batch_id") -> DataFrame:
+    """The ``k`` most frequent words per batch (``cnt`` desc, then ``word``),
+    with ``rank``. ``row_number() <= k`` is planned with a partial
+    WindowGroupLimit before the shuffle, so each map task sends at most ``k``
+    rows per batch however large a batch is."""
+    w = Window.partitionBy(batch).orderBy(F.desc("cnt"), F.asc("word"))
+    return counts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+
+def batch_report(top: DataFrame, batch: str = "batch_id") -> DataFrame:
+    """``Counts at time <batch> [(word,cnt), ...]`` per batch from a
+    bounded ``top_words`` table (at most k entries per line)."""
+    item = F.concat(F.lit("("), F.col("word"), F.lit(","), F.col("cnt").cast("string"), F.lit(")"))
+    g = top.groupBy(batch).agg(F.array_sort(F.collect_list(F.struct("rank", item.alias("s")))).alias("l"))
+    return g.select(batch, F.concat(F.lit("Counts at time "), F.col(batch).cast("string"), F.lit(" ["),
+                                    F.array_join(F.col("l.s"), ", "), F.lit("]")).alias("report"))

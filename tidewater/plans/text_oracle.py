@@ -58,4 +58,16 @@ SELECT c_custkey, c_name,
                                    THEN '_' || lower(ch) ELSE lower(ch) END), '')
        END AS column_name
 FROM customer""",
+
+    "batch_report": f"""
+WITH {CONV_WORDS},
+ranked AS (
+  SELECT batch_id, word, cnt,
+         row_number() OVER (PARTITION BY batch_id ORDER BY cnt DESC, word) AS rn
+  FROM conv_counts WHERE word NOT IN {DENY}
+)
+SELECT batch_id,
+       'Counts at time ' || CAST(batch_id AS VARCHAR) || ' ['
+         || string_agg('(' || word || ',' || CAST(cnt AS VARCHAR) || ')', ', ' ORDER BY rn) || ']' AS report
+FROM ranked WHERE rn <= 10 GROUP BY batch_id""",
 }

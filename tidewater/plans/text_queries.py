@@ -44,6 +44,15 @@ def dropped_running_total(spark: SparkSession, sf_dir: str) -> DataFrame:
               .withColumn("report", wc.dropped_report("dropped_total")))
 
 
+REPORT_TOP_K = 10
+
+
+def batch_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per batch the report line of its top words (F6, bounded)."""
+    kept = wc.drop_denied(_conversation_counts(spark, sf_dir), wc.deny_table(spark))
+    return wc.batch_report(wc.top_words(kept, REPORT_TOP_K))
+
+
 def camel_to_snake(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Query 5: database column name of every customer name (F2)."""
     cust = read_table(spark, sf_dir, "customer", ["c_custkey", "c_name"])
@@ -55,5 +64,6 @@ QUERIES = {
     "dropped_words_total": dropped_words_total,
     "wordcount_per_batch": wordcount_per_batch,
     "dropped_running_total": dropped_running_total,
+    "batch_report": batch_report,
     "camel_to_snake": camel_to_snake,
 }
