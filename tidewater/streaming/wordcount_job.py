@@ -104,7 +104,7 @@ def text_stream(spark: SparkSession, path: str, schema: str = "value string",
 
 
 def socket_stream(spark: SparkSession, host: str, port: int) -> DataFrame:
-    """S6 as in the reference: lines from a TCP socket (for users; not used in
+    """Lines from a TCP socket (for users; not used in
     tests, which open no ports)."""
     return (spark.readStream.format("socket").option("host", host)
             .option("port", str(port)).load().withColumnRenamed("value", "text"))
