@@ -8,6 +8,9 @@ partitioned by epoch and idempotent on replay:
 * ``word_counts``: epoch, batch, word, cnt
 * ``dropped``: epoch, batch, dropped
 * ``report``: epoch, line (``Dropped <total> word(s) totally``)
+* ``counts_report``: epoch, batch, report (``Counts at time <batch> [(w,n), ...]``
+  of the batch's top ``report_top_k`` words - bounded, unlike a line with
+  every word of the batch)
 
 ``batch`` is the epoch itself unless ``batch_column`` names a column carried
 by the data (then an epoch may hold several data batches and a data batch may
@@ -33,8 +36,9 @@ COUNTS_SCHEMA = "batch long, word string, cnt long, epoch long"
 class WordCountJob:
     def __init__(self, spark: SparkSession, job_dir: str,
                  deny_words: Sequence[str] = wc.DEFAULT_DENY,
-                 batch_column: str | None = None):
+                 batch_column: str | None = None, report_top_k: int = 10):
         self.spark = spark
+        self.report_top_k = report_top_k
         self.checkpoint = f"{job_dir}/checkpoint"
         self.out = output_generation(spark, self.checkpoint, f"{job_dir}/out")
         self.deny_words = tuple(deny_words)
@@ -55,6 +59,9 @@ class WordCountJob:
                 F.sum(F.when(F.col("denied"), F.col("cnt")).otherwise(F.lit(0)))
                  .cast("long").alias("dropped")))
             write_epoch(dropped, f"{self.out}/dropped", epoch)
+            kept = flagged.where(F.col("denied").isNull()).select("batch", "word", "cnt")
+            write_epoch(wc.batch_report(wc.top_words(kept, self.report_top_k, "batch"), "batch"),
+                        f"{self.out}/counts_report", epoch)
             # Running total: earlier epochs' rows (one per epoch and batch) plus this one.
             total = (read_table(spark, f"{self.out}/dropped", DROPPED_SCHEMA)
                      .where(F.col("epoch") <= epoch)
@@ -89,6 +96,10 @@ class WordCountJob:
     def report(self) -> DataFrame:
         return read_table(self.spark, f"{self.out}/report", "line string, epoch long")
 
+    def counts_report(self) -> DataFrame:
+        return read_table(self.spark, f"{self.out}/counts_report",
+                          "batch long, report string, epoch long")
+
 
 def text_stream(spark: SparkSession, path: str, schema: str = "value string",
                 fmt: str = "text", max_files_per_trigger: int | None = None) -> DataFrame:
