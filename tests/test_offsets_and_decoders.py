@@ -46,3 +46,28 @@ def test_registry_header(spark):
     assert got == [(None, None, "short", None), (None, None, "short", None),
                    (1, 7, "bad_magic", None), (0, 256, "ok", b"{}"),
                    (0, 4294967295, "ok", b""), (None, None, "short", None)]
+
+
+def test_kafka_options_and_rate():
+    from tidewater.sources.kafka import kafka_options, max_offsets_per_trigger
+
+    opts = kafka_options("b1:9092", "cdc", "g1", "earliest", max_offsets_per_trigger(2000, 4, 10))
+    assert opts["kafka.bootstrap.servers"] == "b1:9092" and opts["subscribe"] == "cdc"
+    assert opts["kafka.group.id"] == "g1" and opts["startingOffsets"] == "earliest"
+    assert opts["maxOffsetsPerTrigger"] == "80000"
+
+
+def test_decode_with_column_and_pandas(spark):
+    from tidewater.sources.kafka import decode_in_pandas, decode_with, value_json
+
+    df = spark.createDataFrame([("t", 0, 1, b'{"k": 5}'), ("t", 0, 2, b"k=7;v=x"), ("t", 1, 3, None)],
+                               "topic string, partition int, offset long, value binary")
+    got = [r.decoded for r in decode_with(df, lambda v: value_json("k INT", "value")).orderBy("offset").collect()]
+    assert got[0].k == 5 and got[1] is None or got[1].k is None
+
+    def kv(b):   # a format no Column expression parses directly
+        d = dict(p.split("=", 1) for p in b.decode().split(";") if "=" in p)
+        return {"k": int(d["k"]), "v": d.get("v")} if "k" in d else None
+
+    rows = decode_in_pandas(df, kv, "k int, v string").orderBy("offset").collect()
+    assert [(r.offset, r.k, r.v) for r in rows] == [(1, None, None), (2, 7, "x"), (3, None, None)]

@@ -75,6 +75,7 @@ def build_parser() -> argparse.ArgumentParser:
     w.add_argument("--socket", metavar="HOST:PORT")
     w.add_argument("--files", metavar="DIR", help="text files, one line per row")
     w.add_argument("--deny", default="a,b,c", help="comma-separated deny list")
+    w.add_argument("--echo", action="store_true", help="print each batch's report lines")
 
     c = sub.add_parser("cdc-apply", help="apply change events to the native target")
     common(c, 10.0)
@@ -104,7 +105,7 @@ def main(argv: list[str] | None = None) -> None:
             stream = _kafka_stream(spark, a).select(kafka.value_string().alias("text"))
         else:
             raise SystemExit("one of --socket, --files, --kafka is required")
-        job = WordCountJob(spark, a.job_dir, [w for w in a.deny.split(",") if w])
+        job = WordCountJob(spark, a.job_dir, [w for w in a.deny.split(",") if w], echo=a.echo)
     else:
         if a.files:
             r = spark.readStream.schema(CDC_FILE_SCHEMA)

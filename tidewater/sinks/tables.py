@@ -30,14 +30,15 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
 
 
-def write_epoch(df: DataFrame, path: str, epoch: int, column: str = "epoch") -> None:
+def write_epoch(df: DataFrame, path: str, epoch: int, column: str = "epoch",
+                fmt: str = "parquet") -> None:
     """Write ``df`` as the folder ``path/column=epoch``, replacing only it.
 
     The folder is written directly (not by dynamic partition overwrite of
     ``path``), so a plan of the same micro-batch that reads earlier epochs of
     ``path`` is never refreshed or invalidated by this write.
     """
-    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{column}={int(epoch)}")
+    df.write.mode("overwrite").format(fmt).save(f"{path.rstrip('/')}/{column}={int(epoch)}")
 
 
 def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -45,3 +46,16 @@ def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
     if not exists(spark, path):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(path)
+
+
+def read_text_table(spark: SparkSession, path: str) -> DataFrame:
+    """Text lines of all epochs: ``value, epoch``; empty if absent."""
+    if not exists(spark, path):
+        return spark.createDataFrame([], "value string, epoch long")
+    return spark.read.format("text").load(path).withColumn("epoch", col_long("epoch"))
+
+
+def col_long(name: str):
+    from pyspark.sql import functions as F
+
+    return F.col(name).cast("long")

@@ -130,6 +130,30 @@ def decode_with(df: DataFrame, decoder: Callable[[Column], Column],
     return df.withColumn(name, decoder(F.col(value)))
 
 
+def decode_in_pandas(df: DataFrame, decode: Callable[[bytes], dict | None], schema: str,
+                     keep: tuple[str, ...] = ("topic", "partition", "offset")) -> DataFrame:
+    """S3 / S4 for formats no Column expression can parse: ``decode`` turns
+    one value's bytes into a dict of ``schema`` fields (None -> all null).
+
+    Runs per Arrow batch in ``mapInPandas`` (no row-at-a-time UDF); the
+    decoder is a small per-value helper, the batching and parallelism are
+    Spark's.
+    """
+    import pandas as pd
+
+    out_schema = ", ".join([f"{c} {t}" for c, t in df.select(*keep).dtypes] + [schema])
+    fields = [f.strip().split(" ", 1)[0].strip("`") for f in schema.split(",")]
+
+    def run(batches):
+        for b in batches:
+            rows = [decode(bytes(v)) if v is not None else None for v in b["value"]]
+            dec = pd.DataFrame({f: pd.Series([(r or {}).get(f) for r in rows], dtype=object)
+                                for f in fields})
+            yield pd.concat([b[list(keep)].reset_index(drop=True), dec], axis=1)
+
+    return df.select(*keep, "value").mapInPandas(run, out_schema)
+
+
 def starting_offsets_json(start: DataFrame, offset_col: str = "start_offset") -> str:
     """``startingOffsets`` JSON from a ``(topic, partition, start_offset)`` table.
 

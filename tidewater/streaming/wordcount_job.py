@@ -7,7 +7,8 @@ partitioned by epoch and idempotent on replay:
 
 * ``word_counts``: epoch, batch, word, cnt
 * ``dropped``: epoch, batch, dropped
-* ``report``: epoch, line (``Dropped <total> word(s) totally``)
+* ``report``: text files, one line per epoch (``Dropped <total> word(s)
+  totally``), the appended report file of K3
 * ``counts_report``: epoch, batch, report (``Counts at time <batch> [(w,n), ...]``
   of the batch's top ``report_top_k`` words - bounded, unlike a line with
   every word of the batch)
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 
 from tidewater.operators import wordcount as wc
 from tidewater.operators.joins import join_small
-from tidewater.sinks.tables import read_table, write_epoch
+from tidewater.sinks.tables import read_table, read_text_table, write_epoch
 from tidewater.streaming.runner import output_generation, run_available, start
 
 DROPPED_SCHEMA = "batch long, dropped long, epoch long"
@@ -36,8 +37,10 @@ COUNTS_SCHEMA = "batch long, word string, cnt long, epoch long"
 class WordCountJob:
     def __init__(self, spark: SparkSession, job_dir: str,
                  deny_words: Sequence[str] = wc.DEFAULT_DENY,
-                 batch_column: str | None = None, report_top_k: int = 10):
+                 batch_column: str | None = None, report_top_k: int = 10,
+                 echo: bool = False):
         self.spark = spark
+        self.echo = echo
         self.report_top_k = report_top_k
         self.checkpoint = f"{job_dir}/checkpoint"
         self.out = output_generation(spark, self.checkpoint, f"{job_dir}/out")
@@ -66,8 +69,16 @@ class WordCountJob:
             total = (read_table(spark, f"{self.out}/dropped", DROPPED_SCHEMA)
                      .where(F.col("epoch") <= epoch)
                      .agg(F.coalesce(F.sum("dropped"), F.lit(0)).cast("long").alias("total")))
-            write_epoch(total.select(wc.dropped_report("total").alias("line")),
-                        f"{self.out}/report", epoch)
+            write_epoch(total.select(wc.dropped_report("total").alias("value")),
+                        f"{self.out}/report", epoch, fmt="text")
+            if self.echo:   # K4: console lines; both tables are bounded (k words, 1 line)
+                for r in (read_table(spark, f"{self.out}/counts_report",
+                                     "batch long, report string, epoch long")
+                          .where(F.col("epoch") == epoch).orderBy("batch").collect()):
+                    print(r.report, flush=True)
+                for r in read_text_table(spark, f"{self.out}/report").where(
+                        F.col("epoch") == epoch).collect():
+                    print(r.value, flush=True)
         finally:
             flagged.unpersist()
 
@@ -94,7 +105,8 @@ class WordCountJob:
         return per.withColumn("dropped_total", F.sum("dropped").over(w).cast("long"))
 
     def report(self) -> DataFrame:
-        return read_table(self.spark, f"{self.out}/report", "line string, epoch long")
+        """``line, epoch``: the report file's lines."""
+        return read_text_table(self.spark, f"{self.out}/report").withColumnRenamed("value", "line")
 
     def counts_report(self) -> DataFrame:
         return read_table(self.spark, f"{self.out}/counts_report",
