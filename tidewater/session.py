@@ -41,6 +41,31 @@ def get_session(master: str | None = None, app: str = "tidewater",
     return spark
 
 
+def scale_conf(input_bytes: int, total_cores: int,
+               bytes_per_shuffle_partition: int = 1 << 30) -> dict[str, str]:
+    """Settings sized to the input so that partitions fit in executor memory.
+
+    * shuffle partitions: about one per GiB of input (the shuffled volume is at
+      most the input for these operators, usually far less after partial
+      aggregation), at least two per core so every core has work; AQE then
+      coalesces small ones and splits skewed ones;
+    * split size 256 MiB for large inputs (fewer, fuller scan tasks), the
+      default 128 MiB otherwise;
+    * broadcast only sides under 64 MiB (our joins also check the estimate).
+    """
+    parts = max(2 * total_cores, -(-input_bytes // bytes_per_shuffle_partition))
+    large = input_bytes > 64 * total_cores * (128 << 20)
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str((256 if large else 128) << 20),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20 if large else 64 << 20),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    }
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
