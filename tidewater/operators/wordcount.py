@@ -52,12 +52,13 @@ def count_words(w: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def drop_denied(counts: DataFrame, deny: DataFrame) -> DataFrame:
-    """Counts of words not on the deny list (J1 / T4: exact, case-sensitive)."""
+    """Rows (words or counts) whose word is not on the deny list (J1 / T4: exact,
+    case-sensitive)."""
     return join_small(counts, deny, on="word", how="left_anti")
 
 
 def keep_denied(counts: DataFrame, deny: DataFrame) -> DataFrame:
-    """Counts of words on the deny list (the dropped ones)."""
+    """Rows (words or counts) whose word is on the deny list (the dropped ones)."""
     return join_small(counts, deny, on="word", how="left_semi")
 
 
@@ -67,15 +68,18 @@ def word_counts(text_df: DataFrame, deny: DataFrame, text: str = "text",
     return drop_denied(count_words(text_words(text_df, text, keep=by), by), deny)
 
 
-def dropped_per_batch(counts: DataFrame, deny: DataFrame, batch: str = "batch_id") -> DataFrame:
-    """``(batch, dropped)``: sum of the counts of denied words per batch (A2).
+def dropped_per_batch(words_df: DataFrame, deny: DataFrame, batch: str = "batch_id") -> DataFrame:
+    """``(batch, dropped)``: how many words of each batch are on the deny list
+    (A2: the sum of the denied words' counts). Batches without a denied word
+    get 0, as the counter stays unchanged.
 
-    Batches without any denied word get 0, as the counter stays unchanged.
+    One pass over the words: a broadcast flag join, then one partial + final
+    aggregate by batch (the shuffle carries one row per batch and map task).
     """
-    denied = keep_denied(counts, deny).groupBy(batch).agg(F.sum("cnt").alias("dropped"))
-    batches = counts.select(batch).distinct()
-    return (batches.join(denied, batch, "left")
-                   .select(batch, F.coalesce("dropped", F.lit(0)).cast("long").alias("dropped")))
+    flag = deny.select("word", F.lit(1).alias("_denied"))
+    flagged = join_small(words_df.select(batch, "word"), flag, on="word", how="left")
+    return flagged.groupBy(batch).agg(
+        F.coalesce(F.sum("_denied"), F.lit(0)).cast("long").alias("dropped"))
 
 
 def running_dropped(per_batch: DataFrame, batch: str = "batch_id") -> DataFrame:

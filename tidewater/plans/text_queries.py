@@ -20,16 +20,18 @@ def wordcount_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dropped_words_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Query 2: one row, the denied words' total count over all documents."""
     docs = spread(read_table(spark, sf_dir, "documents", ["text"]))
-    counts = wc.count_words(wc.text_words(docs))
-    denied = wc.keep_denied(counts, wc.deny_table(spark))
-    total = denied.agg(F.coalesce(F.sum("cnt"), F.lit(0)).cast("long").alias("dropped"))
+    denied = wc.keep_denied(wc.text_words(docs), wc.deny_table(spark))
+    total = denied.agg(F.count(F.lit(1)).cast("long").alias("dropped"))
     return total.select("dropped", wc.dropped_report("dropped").alias("report"))
 
 
-def _conversation_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _conversation_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     conv = spread(read_table(spark, sf_dir, "conversations", ["turn", "text"]))
-    conv = conv.withColumnRenamed("turn", "batch_id")
-    return wc.count_words(wc.text_words(conv, keep=["batch_id"]), by=["batch_id"])
+    return wc.text_words(conv.withColumnRenamed("turn", "batch_id"), keep=["batch_id"])
+
+
+def _conversation_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wc.count_words(_conversation_words(spark, sf_dir), by=["batch_id"])
 
 
 def wordcount_per_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,7 +41,7 @@ def wordcount_per_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dropped_running_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Query 4: per batch the dropped count, the running total and its line."""
-    per_batch = wc.dropped_per_batch(_conversation_counts(spark, sf_dir), wc.deny_table(spark))
+    per_batch = wc.dropped_per_batch(_conversation_words(spark, sf_dir), wc.deny_table(spark))
     return (wc.running_dropped(per_batch)
               .withColumn("report", wc.dropped_report("dropped_total")))
 

@@ -59,3 +59,15 @@ def col_long(name: str):
     from pyspark.sql import functions as F
 
     return F.col(name).cast("long")
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as parquet under the shared scratch root and read it
+    back: several consumers then scan this (column-pruned) table instead of
+    recomputing the lineage, and the lineage is cut (a lost executor reruns
+    from the table, not from the sources)."""
+    from tidewater.session import fresh_dir
+
+    path = fresh_dir(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
