@@ -81,3 +81,28 @@ def test_stream_equals_batch_with_data_batches_split_over_epochs(spark, workdir)
             want[(b, w)] = want.get((b, w), 0) + 1
     assert got == want
     assert job.counts().agg(F.sum("cnt")).first()[0] == 24
+
+
+def test_cdc_stream_key_log_compaction_and_replay(spark, workdir):
+    from tidewater.streaming.cdc_job import CdcApplyJob
+
+    schema = ("topic string, partition int, offset long, tableName string, actionType string, "
+              "columns map<string,string>, where string")
+    ins = lambda k, o: ("t", 0, o, "customer", "insert", {"custKey": f"Long:{k}", "v": f"Integer:{k}"}, "")
+    upd = lambda k, o, v: ("t", 0, o, "customer", "update", {"v": f"Integer:{v}"}, f"cust_key={k}")
+    batches = [[ins(1, 0)], [ins(2, 1), upd(3, 2, 30)], [upd(1, 3, 10), ins(3, 4)], [upd(2, 5, 20)]]
+    job = CdcApplyJob(spark, f"{workdir}/job", compact_every=2)
+    for e, rows in enumerate(batches):
+        df = spark.createDataFrame(rows, schema)
+        job.process_batch(df, e)
+        if e == 2:
+            job.process_batch(df, e)         # replayed epoch: same outputs
+    job.flush()
+    assert os.path.isdir(f"{job.out}/keys_compact/upto=1")
+    assert os.path.isdir(f"{job.out}/keys_compact/upto=3")
+    final = {(r.key, r.column): r.value for r in job.final_state().collect()}
+    assert final == {("1", "cust_key"): "1", ("1", "v"): "10", ("2", "cust_key"): "2",
+                     ("2", "v"): "20", ("3", "cust_key"): "3", ("3", "v"): "30"}
+    status = sorted((r.offset, r.attempt, r.status) for r in job.status().collect())
+    assert status == [(0, 0, "applied"), (1, 0, "applied"), (2, 0, "zero_rows"), (2, 1, "applied"),
+                      (3, 0, "applied"), (4, 0, "applied"), (5, 0, "applied")]

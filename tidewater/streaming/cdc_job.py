@@ -9,9 +9,10 @@ Per micro-batch (epoch ``e``), inside ``foreachBatch``:
 4. give the zero-row updates of epoch ``e-1`` their one retry against the
    keys present after this batch; a miss goes to the dead letters;
 5. write one ``events`` row per event attempt (status, reason, statement;
-   the cells of zero-row updates, which are the pending retries; inserted
-   keys form the key log) and the folded cell delta - each as the folder
-   ``epoch=e`` (replay-safe) - and the per-partition progress **last**.
+   the cells of zero-row updates, which are the pending retries), the keys
+   inserted (the key log, compacted every ``COMPACT_EVERY`` epochs) and the
+   folded cell delta - each as the folder ``epoch=e`` (replay-safe) - and the
+   per-partition progress **last**.
 
 The target is the fold (``max_by`` on the write order) over all deltas.
 ``flush()`` gives the last epoch's pending retries their chance when no
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 
 from tidewater.operators import apply, changelog
 from tidewater.operators.joins import join_small
-from tidewater.sinks.tables import read_table, write_epoch
+from tidewater.sinks.tables import list_dirs, read_table, write_epoch
 from tidewater.streaming.runner import output_generation, run_available, start
 
 ROW = apply.ROW
@@ -41,6 +42,7 @@ SCHEMAS = {
                f"key string, route string, ord {_ORD}, cells {_CELLS}, epoch long"),
     "delta": (f"table_name string, key string, column string, type string, value string, "
               f"w struct<is_update:boolean,ord:{_ORD}>, epoch long"),
+    "keys": "table_name string, key string, epoch long",
     "progress": ("topic string, partition int, from_offset long, until_offset long, "
                  "records long, epoch long"),
     "flushed": "done boolean, epoch long",
@@ -58,9 +60,16 @@ def _typed(df: DataFrame, **values) -> DataFrame:
     return df.select(*cols)
 
 
+# The key log is compacted into one snapshot every this many epochs, so a
+# batch reads one snapshot plus fewer than this many small epoch folders.
+COMPACT_EVERY = 64
+
+
 class CdcApplyJob:
-    def __init__(self, spark: SparkSession, job_dir: str, key_column: str = "cust_key"):
+    def __init__(self, spark: SparkSession, job_dir: str, key_column: str = "cust_key",
+                 compact_every: int = COMPACT_EVERY):
         self.spark = spark
+        self.compact_every = compact_every
         self.checkpoint = f"{job_dir}/checkpoint"
         self.out = output_generation(spark, self.checkpoint, f"{job_dir}/out")
         self.key_column = key_column
@@ -73,11 +82,32 @@ class CdcApplyJob:
         return read_table(self.spark, self._path(name), schema)
 
     def _keys_before(self, epoch: int) -> DataFrame:
-        """Key log: keys inserted by the epochs before ``epoch``."""
-        e = self.table("events")
-        return e.where((F.col("epoch") < epoch) & (F.col("attempt") == 0)
-                       & (F.col("route") == changelog.INSERT)
-                       & (F.col("status") == "applied")).select(*ROW)
+        """Key log: keys inserted by the epochs before ``epoch``.
+
+        Narrow (table_name, key) rows, O(number of keys) - never the event
+        history: the newest compacted snapshot below ``epoch`` plus the
+        per-epoch folders written after it.
+        """
+        snaps = [int(d.split("=", 1)[1]) for d in list_dirs(self.spark, self._path("keys_compact"))
+                 if d.startswith("upto=")]
+        upto = max((x for x in snaps if x < epoch), default=-1)
+        recent = self.table("keys").where((F.col("epoch") > upto) & (F.col("epoch") < epoch))
+        keys = recent.select(*ROW)
+        if upto >= 0:
+            snap = self.spark.read.schema("table_name string, key string") \
+                .parquet(self._path(f"keys_compact/upto={upto}"))
+            keys = snap.unionByName(keys)
+        return keys
+
+    def _maybe_compact(self, epoch: int) -> None:
+        """Every ``compact_every`` epochs: one snapshot of all keys so far,
+        hash-partitioned by key (idempotent: rewritten identically on replay)."""
+        if (epoch + 1) % self.compact_every:
+            return
+        keys = self._keys_before(epoch + 1)
+        n = max(1, self.spark.sparkContext.defaultParallelism)
+        keys.repartition(n, *ROW).write.mode("overwrite").parquet(
+            self._path(f"keys_compact/upto={epoch}"))
 
     def _pending(self, epoch: int) -> DataFrame:
         """Zero-row updates of ``epoch`` still waiting (not flushed)."""
@@ -128,12 +158,14 @@ class CdcApplyJob:
                            statement=F.lit(None), ord=F.lit(None), cells=F.lit(None))
             write_epoch(first.unionByName(other).unionByName(retry_rows),
                         self._path("events"), epoch)
+            write_epoch(inserted, self._path("keys"), epoch)
             applied = out.where(fs == "applied").select(*ROW, "route", "ord", "cells") \
                 .unionByName(retry_ok.select(*ROW, "route", "ord", "cells"))
             write_epoch(apply.fold(apply.event_cells(applied)), self._path("delta"), epoch)
             progress = p.groupBy("topic", "partition").agg(
                 F.min("offset").alias("from_offset"), (F.max("offset") + 1).alias("until_offset"),
                 F.count(F.lit(1)).alias("records"))
+            self._maybe_compact(epoch)
             write_epoch(progress, self._path("progress"), epoch)   # last: marks the epoch done
         finally:
             out.unpersist()
