@@ -29,3 +29,23 @@ def test_cli_cdc_apply_once_with_flush(spark, workdir):
     keys = job.final_state().select("key").distinct().count()
     assert keys == ev.where(F.col("actionType") == "insert").count()
     assert job.progress().count() == 4          # one row per cdc partition
+
+
+def test_cli_cdc_apply_to_database(spark, workdir):
+    import json
+    import sqlite3
+
+    db = f"{workdir}/t.db"
+    con = sqlite3.connect(db)
+    con.execute("CREATE TABLE customer (cust_key TEXT PRIMARY KEY, cust_name TEXT, acct_bal TEXT, "
+                "mkt_segment TEXT, remark TEXT)")
+    con.commit()
+    con.close()
+    ev = read_cdc_events(spark, SF_SMALL).where(F.col("batch_id") == 0).drop("batch_id")
+    ev.write.parquet(f"{workdir}/in")
+    cli.main(["cdc-apply", "--files", f"{workdir}/in", "--job-dir", f"{workdir}/job", "--once",
+              "--db-module", "sqlite3", "--db-args", json.dumps({"database": db, "timeout": 60})])
+    con = sqlite3.connect(db)
+    n = con.execute("SELECT count(*) FROM customer").fetchone()[0]
+    con.close()
+    assert n == ev.where(F.col("actionType") == "insert").count()

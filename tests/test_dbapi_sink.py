@@ -73,3 +73,33 @@ def test_sqlite_apply_statuses_and_ledger(spark, workdir):
     assert con.execute("SELECT cust_name FROM customer WHERE cust_key='3'").fetchone()[0] == \
         "o'brien'); drop table customer; --"
     con.close()
+
+
+def test_streaming_db_apply_with_retry_and_flush(spark, workdir):
+    from tidewater.streaming.db_job import DbApplyJob
+
+    path = f"{workdir}/stream.db"
+    _db(path)
+    connect = functools.partial(sqlite3.connect, path, timeout=60)
+    job = DbApplyJob(spark, f"{workdir}/job", connect, tasks=2)
+    batches = [
+        [("cdc", 0, 0, 0, "customer", "insert", {"custKey": "Long:1", "custName": "String:a"}, ""),
+         ("cdc", 1, 1, 0, "customer", "update", {"acctBal": "BigDecimal:2.00"}, "cust_key=2"),
+         ("cdc", 0, 2, 0, "customer", "update", {"acctBal": "BigDecimal:1.00"}, "cust_key=1")],
+        [("cdc", 1, 3, 1, "customer", "insert", {"custKey": "Long:2", "custName": "String:b"}, ""),
+         ("cdc", 1, 4, 1, "customer", "update", {"acctBal": "BigDecimal:3.00"}, "cust_key=3")],
+    ]
+    for e, rows in enumerate(batches):
+        job.process_batch(spark.createDataFrame(rows, SCHEMA).drop("batch_id"), e)
+    job.process_batch(spark.createDataFrame(batches[1], SCHEMA).drop("batch_id"), 1)  # replay
+    job.flush()
+    status = sorted((r.offset, r.attempt, r.status) for r in job.status().collect())
+    assert status == [(0, 0, "applied"), (1, 0, "zero_rows"), (1, 1, "applied"),
+                      (2, 0, "applied"), (3, 0, "applied"), (4, 0, "zero_rows"),
+                      (4, 1, "dead_letter")]
+    dead = [(r.offset, r.reason, r.statement) for r in job.dead_letters().collect()]
+    assert dead == [(4, "zero_rows_after_retry", "update customer set acct_bal=3.00 where cust_key=3")]
+    con = sqlite3.connect(path)
+    got = sorted(con.execute("SELECT cust_key, cust_name, acct_bal FROM customer"))
+    con.close()
+    assert got == [("1", "a", "1.00"), ("2", "b", "2.00")]

@@ -4,6 +4,7 @@
                                       --job-dir DIR [--deny a,b,c] [--interval 1] [--once]
     python -m tidewater.cli cdc-apply (--files DIR | --kafka BROKERS --topic T --value-format json|avro)
                                       --job-dir DIR [--key-column cust_key] [--interval 10] [--once --flush]
+                                      [--db-module MODULE --db-args JSON]   (else: native target)
 
 A job folder holds the checkpoint and every output; starting again with the
 same folder recovers, a new folder starts fresh. ``--once`` processes what is
@@ -14,6 +15,9 @@ processing-time trigger until stopped.
 from __future__ import annotations
 
 import argparse
+import functools
+import importlib
+import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +25,7 @@ from pyspark.sql import functions as F
 from tidewater.session import get_session
 from tidewater.sources import kafka
 from tidewater.streaming.cdc_job import CdcApplyJob
+from tidewater.streaming.db_job import DbApplyJob
 from tidewater.streaming.wordcount_job import WordCountJob, socket_stream, text_stream
 
 # Payload of one change event (the value of a Kafka record).
@@ -83,6 +88,8 @@ def build_parser() -> argparse.ArgumentParser:
     c.add_argument("--value-format", choices=["json", "avro"], default="json")
     c.add_argument("--avro-schema", help="reader schema (JSON text) for registry-framed Avro")
     c.add_argument("--key-column", default="cust_key")
+    c.add_argument("--db-module", help="apply to a database: DB-API module name (e.g. sqlite3)")
+    c.add_argument("--db-args", default="{}", help="JSON keyword arguments of its connect()")
     c.add_argument("--flush", action="store_true",
                    help="with --once: retry the last batch's zero-row updates at the end")
     return p
@@ -116,7 +123,13 @@ def main(argv: list[str] | None = None) -> None:
             stream = cdc_from_kafka(_kafka_stream(spark, a), a.value_format, a.avro_schema)
         else:
             raise SystemExit("one of --files, --kafka is required")
-        job = CdcApplyJob(spark, a.job_dir, a.key_column)
+        if a.db_module:
+            mod = importlib.import_module(a.db_module)
+            connect = functools.partial(mod.connect, **json.loads(a.db_args))
+            job = DbApplyJob(spark, a.job_dir, connect, a.key_column,
+                             paramstyle=getattr(mod, "paramstyle", "qmark"))
+        else:
+            job = CdcApplyJob(spark, a.job_dir, a.key_column)
     q = job.start(stream, _trigger(a))
     q.awaitTermination()
     if q.exception() is not None:

@@ -67,7 +67,7 @@ def plan(prepared: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _placeholder(paramstyle: str, i: int) -> str:
-    return {"qmark": "?", "format": "%s", "numeric": f":{i + 1}"}[paramstyle]
+    return {"qmark": "?", "format": "%s", "pyformat": "%s", "numeric": f":{i + 1}"}[paramstyle]
 
 
 def _statement(table: str, key_column: str, segment: str, cells, paramstyle: str):
@@ -150,8 +150,9 @@ def execute(work: DataFrame, connect: Callable[[], object], key_column: str = "c
     return by_key.mapInPandas(_executor(connect, key_column, paramstyle, batch_id), OUTCOME_SCHEMA)
 
 
-def event_status(events: DataFrame, outcomes: DataFrame) -> DataFrame:
-    """Per event: ``applied``, ``zero_rows`` or ``error`` from its segment's outcome."""
+def event_status(events: DataFrame, outcomes: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Per event: ``applied``, ``zero_rows`` or ``error`` from its segment's
+    outcome (``keep``: event columns carried along)."""
     j = join_small(events, outcomes, on=[*ROW, "segment"], how="left")
     status = (F.when(F.col("segment") == "duplicate", F.lit("error"))
                .otherwise(F.col("outcome")))
@@ -159,4 +160,4 @@ def event_status(events: DataFrame, outcomes: DataFrame) -> DataFrame:
                .when(F.col("outcome") == "error", F.col("error"))
                .when(F.col("outcome") == "zero_rows", F.lit("no_matching_row")))
     return j.select(*apply.EVENT_ID, F.lit(0).alias("attempt"), status.alias("status"),
-                    reason.alias("reason"))
+                    reason.alias("reason"), *keep)
