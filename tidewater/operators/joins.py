@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # A side is broadcast only when the optimizer's size estimate is below this.
+# Estimates are upper bounds for what our small sides are built from (local
+# relations: exact; filters, aggregates, distinct, semi joins: at most their
+# input; file scans: file size x spark.sql.sources.fileCompressionFactor).
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 
 

@@ -15,6 +15,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Size estimates of file scans are the compressed file size; columnar
+    # parquet commonly inflates 3-5x in memory. Estimating conservatively keeps
+    # every broadcast decision (ours and Spark's threshold) on the safe side.
+    "spark.sql.sources.fileCompressionFactor": "4",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -63,6 +67,7 @@ def scale_conf(input_bytes: int, total_cores: int,
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20 if large else 64 << 20),
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.sources.fileCompressionFactor": "4",
     }
 
 
