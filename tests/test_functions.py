@@ -73,3 +73,10 @@ def test_blank_is_java_trim(spark):
 def test_cell_value_rejects_unknown_mode():
     with pytest.raises(ValueError):
         cell_value(F.col("x"), "bogus")
+
+
+def test_identifier_rejects_trailing_newline(spark):
+    from tidewater.functions.cells import is_identifier
+
+    rows = [("customer",), ("customer\n",), ("t; drop",), ("_a1",), ("1a",), (None,)]
+    assert _one(spark, rows, "s string", is_identifier("s")) == [True, False, False, True, False, False]

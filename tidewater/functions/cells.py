@@ -22,7 +22,8 @@ QUOTED_TAGS = ("String", "Date", "Character")
 EXCLUDED_COLUMN = "id"
 
 _BLANK = r"^[\x00-\x20]*$"
-IDENTIFIER = r"^[A-Za-z_][A-Za-z0-9_]*$"
+# \z, not $: a Java "$" also matches before a final line terminator.
+IDENTIFIER = r"^[A-Za-z_][A-Za-z0-9_]*\z"
 
 MODES = ("full", "first_segment")
 

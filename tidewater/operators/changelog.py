@@ -19,7 +19,7 @@ INSERT, UPDATE, IGNORED = "insert", "update", "ignored"
 
 # Accepted update predicate: <column> = <number or quoted string>.
 PREDICATE = (r"^\s*([A-Za-z_][A-Za-z0-9_]*)\s*=\s*"
-             r"(-?[0-9]+(?:\.[0-9]+)?|'(?:[^']|'')*')\s*$")
+             r"(-?[0-9]+(?:\.[0-9]+)?|'(?:[^']|'')*')\s*\z")
 
 REJECT_REASONS = ("bad_identifier", "no_columns", "missing_key", "missing_where",
                   "unsupported_predicate")
