@@ -46,28 +46,36 @@ def keyed(prepared: DataFrame) -> DataFrame:
                     .withColumn("ord", _order()))
 
 
-def first_inserts(valid: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+def first_inserts(valid: DataFrame) -> DataFrame:
     """``(table_name, key, first_ins)``: the order of each key's first valid
-    insert. Keys of ``existing`` (already in the target) get the order
-    (-1, -1, -1): every insert of them is a duplicate, every update applies."""
+    insert (a partial ``min`` aggregate)."""
     ins = valid.where(F.col("route") == INSERT)
-    first = ins.groupBy(*ROW).agg(F.min("ord").alias("first_ins"))
-    if existing is not None:
-        pre = existing.select(*ROW).distinct().withColumn(
-            "first_ins", F.struct(F.lit(-1).cast("long").alias("batch_id"),
-                                  F.lit(-1).cast("int").alias("partition"),
-                                  F.lit(-1).cast("long").alias("offset")))
-        first = pre.unionByName(first).groupBy(*ROW).agg(F.min("first_ins").alias("first_ins"))
-    return first
+    return ins.groupBy(*ROW).agg(F.min("ord").alias("first_ins"))
+
+
+def _existing_order() -> Column:
+    """Order given to keys already in the target: before every event."""
+    return F.struct(F.lit(-1).cast("long").alias("batch_id"),
+                    F.lit(-1).cast("int").alias("partition"),
+                    F.lit(-1).cast("long").alias("offset"))
 
 
 def outcomes(prepared: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """Every valid insert / update with ``first_status`` (applied, zero_rows,
     error) and, for zero-row updates, ``retry_status`` (applied, dead_letter).
+
+    ``existing``: keys already in the target (``table_name, key``). Their
+    events are split off with a semi / anti join pair on one broadcast of the
+    keys (no shuffle, no duplication even if the key set has duplicates) and
+    get the order "before everything": inserts of them are duplicates,
+    updates apply.
     """
     valid = keyed(prepared)
-    first = first_inserts(valid, existing)
-    j = join_small(valid, first, on=ROW, how="left")
+    j = join_small(valid, first_inserts(valid), on=ROW, how="left")
+    if existing is not None:
+        ex = existing.select(*ROW)
+        old = join_small(j, ex, on=ROW, how="left_semi").withColumn("first_ins", _existing_order())
+        j = old.unionByName(join_small(j, ex, on=ROW, how="left_anti"))
     fi, o = F.col("first_ins"), F.col("ord")
     is_ins, is_upd = F.col("route") == INSERT, F.col("route") == UPDATE
     first_status = (F.when(is_ins & (fi == o), F.lit("applied"))
