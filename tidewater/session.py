@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -90,12 +89,17 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def fresh_dir(spark: SparkSession, name: str) -> str:
-    """A new, unused sub-folder of the scratch root (never reused, never wiped)."""
-    root = scratch_root(spark)
-    if root.startswith("file:"):
-        root = root[len("file:"):]
-    if "://" in root:
-        import uuid
-        return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    os.makedirs(root, exist_ok=True)
-    return tempfile.mkdtemp(prefix=f"{name}-", dir=root)
+    """A new, unused sub-folder of the scratch root (never reused, never wiped).
+
+    Created through Hadoop's FileSystem API on the root's qualified path, so a
+    scheme-less ``spark.checkpoint.dir`` resolves against the cluster's default
+    file system (e.g. HDFS), not the driver's local disk.
+    """
+    import uuid
+
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    path = jvm.org.apache.hadoop.fs.Path(fs.makeQualified(root), f"{name}-{uuid.uuid4().hex}")
+    fs.mkdirs(path)
+    return path.toString()
