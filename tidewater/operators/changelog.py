@@ -61,6 +61,13 @@ def _render(table: Column, rt: Column, where: Column, kept: Column) -> Column:
              .when((rt == UPDATE) & has & ~is_blank(where), upd))
 
 
+def _first_segment(c: Column) -> Column:
+    v = F.substring_index(c["value"], ":", 1)
+    v = F.when(~is_blank(v), v)
+    return F.struct(c["name"].alias("name"), c["column"].alias("column"), c["type"].alias("type"),
+                    v.alias("value"), sql_literal(c["type"], v).alias("literal"))
+
+
 def _unquote(lit: Column) -> Column:
     inner = F.regexp_replace(F.regexp_replace(lit, r"^'|'$", ""), "''", "'")
     return F.when(lit.startswith("'"), inner).otherwise(lit)
@@ -86,22 +93,36 @@ def prepare(events: DataFrame, key_column: str = "cust_key", mode: str = "full",
     once in the projection).
     """
     table, where, rt = F.col("tableName"), F.col("where"), F.col("route")
-    base = events.withColumn("route", route("actionType"))
-    pred_col = F.regexp_extract(F.coalesce(where, F.lit("")), PREDICATE, 1)
-    pred_lit = F.regexp_extract(F.coalesce(where, F.lit("")), PREDICATE, 2)
-    parsed = F.coalesce(where.rlike(PREDICATE), F.lit(False)) & (pred_col == key_column)
+    # Row-level facts in one codegen'd projection, before the Generate; the
+    # lambda below only reads them.
+    w = F.coalesce(where, F.lit(""))
+    pred_col = F.regexp_extract(w, PREDICATE, 1)      # "" when no match (anchored)
+    base = (events.withColumn("route", route("actionType"))
+                  .withColumn("_table_ok", is_identifier(table))
+                  .withColumn("_where_blank", is_blank(where))
+                  .withColumn("_parsed", pred_col == key_column)
+                  .withColumn("_pred_key", F.when(pred_col == key_column,
+                                                  _unquote(F.regexp_extract(w, PREDICATE, 2)))))
+    parsed = F.col("_parsed")
+
+    def facts(b: Column) -> Column:
+        cells = b["cells"]
+        fields = [cells.alias("cells"),
+                  F.forall(cells, lambda c: c["column"].rlike(IDENTIFIER)).alias("cols_ok"),
+                  F.get(F.filter(cells, lambda c: c["column"] == key_column), 0)["value"]
+                  .alias("ins_key")]
+        if compat:
+            fields.append(b["first"].alias("first"))
+        return F.struct(*fields)
 
     def derive(b: Column) -> Column:
-        cells = b["cells"]
-        cols_ok = F.forall(cells, lambda c: c["column"].rlike(IDENTIFIER))
-        key_cell = F.filter(cells, lambda c: c["column"] == key_column)
-        ins_key = F.when(F.size(key_cell) > 0, key_cell[0]["value"])
-        key = F.when(rt == INSERT, ins_key).when((rt == UPDATE) & parsed, _unquote(pred_lit))
+        cells, ins_key = b["cells"], b["ins_key"]
+        key = F.when(rt == INSERT, ins_key).when((rt == UPDATE) & parsed, F.col("_pred_key"))
         reason = (F.when(rt == IGNORED, F.lit(None))
-                   .when(~is_identifier(table) | ~cols_ok, F.lit("bad_identifier"))
+                   .when(~F.col("_table_ok") | ~b["cols_ok"], F.lit("bad_identifier"))
                    .when((rt == INSERT) & (F.size(cells) == 0), F.lit("no_columns"))
                    .when((rt == INSERT) & ins_key.isNull(), F.lit("missing_key"))
-                   .when((rt == UPDATE) & is_blank(where), F.lit("missing_where"))
+                   .when((rt == UPDATE) & F.col("_where_blank"), F.lit("missing_where"))
                    .when((rt == UPDATE) & ~parsed, F.lit("unsupported_predicate"))
                    .when((rt == UPDATE) & (F.size(cells) == 0), F.lit("no_columns"))
                    .cast("string"))
@@ -112,11 +133,19 @@ def prepare(events: DataFrame, key_column: str = "cust_key", mode: str = "full",
             fields.append(F.when(ok, _render(table, rt, where, b["first"])).alias("statement_compat"))
         return F.struct(*fields)
 
-    bundle = [kept_cells("columns", mode).alias("cells")]
-    if compat:
-        bundle.append(kept_cells("columns", "first_segment").alias("first"))
-    derived = F.transform(F.array(F.struct(*bundle)), derive)
-    return base.select("*", F.explode(derived).alias("_p")).select(*base.columns, "_p.*")
+    cells = kept_cells("columns", mode)
+    if compat and mode == "full":
+        # The first-segment value is the full value up to its first ":" (a
+        # prefix: blank full means blank first), so derive it from the kept
+        # cells instead of sorting and parsing the map a second time.
+        first = F.filter(F.transform(cells, _first_segment), lambda c: c["value"].isNotNull())
+        bundle = [cells.alias("cells"), first.alias("first")]
+    elif compat:
+        bundle = [cells.alias("cells"), kept_cells("columns", "first_segment").alias("first")]
+    else:
+        bundle = [cells.alias("cells")]
+    derived = F.transform(F.transform(F.array(F.struct(*bundle)), facts), derive)
+    return base.select("*", F.explode(derived).alias("_p")).select(*events.columns, "route", "_p.*")
 
 
 def cells_long(events: DataFrame) -> DataFrame:
