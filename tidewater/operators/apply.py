@@ -155,3 +155,14 @@ def fold(cells: DataFrame, state: DataFrame | None = None) -> DataFrame:
 def final_state(prepared: DataFrame) -> DataFrame:
     """R2 + fold over all batches and their retries (empty target at start)."""
     return fold(applied_cells(outcomes(prepared))).drop("w")
+
+
+def to_wide(state: DataFrame, columns: list[str] | tuple[str, ...]) -> DataFrame:
+    """The long target as rows: one per ``(table_name, key)`` with one column
+    per name in ``columns`` (values as text; absent cells are null).
+
+    ``pivot`` with the values given up front: no extra pass to discover them,
+    and the aggregate has at most ``len(columns)`` inputs per key.
+    """
+    return (state.groupBy(*ROW).pivot("column", list(columns))
+                 .agg(F.first("value")))

@@ -260,4 +260,11 @@ FROM st WHERE first_status = 'error'
 UNION ALL
 SELECT batch_id, topic, "partition", "offset", 1, 'zero_rows_after_retry', statement
 FROM st WHERE retry_status = 'dead_letter'""",
+
 }
+
+_WIDE = ("acct_bal", "cust_key", "cust_name", "last_order_date", "mkt_segment", "note")
+ORACLE["cdc_target_rows"] = (
+    "WITH fs AS (" + ORACLE["cdc_final_state"] + ")\nSELECT table_name, key, "
+    + ", ".join(f"max(CASE WHEN \"column\" = '{c}' THEN value END) AS {c}" for c in _WIDE)
+    + "\nFROM fs GROUP BY table_name, key")

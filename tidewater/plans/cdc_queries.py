@@ -56,6 +56,15 @@ def cdc_final_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply.final_state(_prepared(spark, sf_dir))
 
 
+# Columns of the customer target written by the change events (fixed values).
+TARGET_COLUMNS = ("acct_bal", "cust_key", "cust_name", "last_order_date", "mkt_segment", "note")
+
+
+def cdc_target_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The target as rows: one per key, one column per written column."""
+    return apply.to_wide(apply.final_state(_prepared(spark, sf_dir)), TARGET_COLUMNS)
+
+
 def cdc_retry_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Query 19: each zero-row update and the outcome of its one retry."""
     return apply.retry_outcome(_prepared(spark, sf_dir))
@@ -73,6 +82,7 @@ QUERIES = {
     "cdc_rejects": cdc_rejects,
     "cdc_apply_status": cdc_apply_status,
     "cdc_final_state": cdc_final_state,
+    "cdc_target_rows": cdc_target_rows,
     "cdc_retry_outcome": cdc_retry_outcome,
     "cdc_dead_letter": cdc_dead_letter,
 }
