@@ -16,10 +16,11 @@ can compare per column. Semantics, per batch in event order:
   column, the newest ``(batch_id, partition, offset)`` wins - also when an
   older update is applied late by its retry.
 
-Everything below is one aggregate (first insert per key), one join of the
-events with it, and one ``max_by`` fold: all partial-aggregate friendly, no
-window and nothing that gathers a key's events in one place. A hot key is
-split by AQE's skew join on the event side.
+Everything below is one aggregate (first insert and event count per key),
+one join of the events with it, and one ``max_by`` fold: all partial-
+aggregate friendly, no window and nothing that gathers a key's events in one
+place. The join broadcasts the per-key table when it fits; otherwise hot keys
+are salted over several tasks.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.operators.changelog import IGNORED, INSERT, UPDATE
-from tidewater.operators.joins import join_small
+from tidewater.operators.joins import fits, hot_key_join
 
 ROW = ["table_name", "key"]
 EVENT_ID = ["batch_id", "topic", "partition", "offset"]
@@ -47,27 +48,53 @@ def keyed(prepared: DataFrame) -> DataFrame:
 
 
 def first_inserts(valid: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    """``(table_name, key, first_ins)``: the order of each key's first valid
-    insert. Keys of ``existing`` (already in the target) get the order
-    (-1, -1, -1): every insert of them is a duplicate, every update applies."""
-    ins = valid.where(F.col("route") == INSERT)
-    first = ins.groupBy(*ROW).agg(F.min("ord").alias("first_ins"))
+    """``(table_name, key, first_ins, _n)``: the order of each key's first valid
+    insert and the key's number of events (one partial aggregate). Keys of
+    ``existing`` (already in the target) get the order (-1, -1, -1): every
+    insert of them is a duplicate, every update applies."""
+    is_ins = F.col("route") == INSERT
+    first = valid.groupBy(*ROW).agg(F.min(F.when(is_ins, F.col("ord"))).alias("first_ins"),
+                                    F.count(F.lit(1)).alias("_n"))
     if existing is not None:
-        pre = existing.select(*ROW).distinct().withColumn(
-            "first_ins", F.struct(F.lit(-1).cast("long").alias("batch_id"),
-                                  F.lit(-1).cast("int").alias("partition"),
-                                  F.lit(-1).cast("long").alias("offset")))
-        first = pre.unionByName(first).groupBy(*ROW).agg(F.min("first_ins").alias("first_ins"))
+        pre = existing.select(*ROW).distinct().select(
+            *ROW, F.struct(F.lit(-1).cast("long").alias("batch_id"),
+                           F.lit(-1).cast("int").alias("partition"),
+                           F.lit(-1).cast("long").alias("offset")).alias("first_ins"),
+            F.lit(0).cast("long").alias("_n"))
+        first = pre.unionByName(first).groupBy(*ROW).agg(
+            F.min("first_ins").alias("first_ins"), F.sum("_n").cast("long").alias("_n"))
     return first
 
 
+# A key with more events than this is split over several tasks in the join
+# with its first insert (used only when that table is too big to broadcast).
+HOT_KEY_ROWS = 1_000_000
+
+
+def with_first_insert(valid: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+    """``valid`` events with their key's ``first_ins`` (null: no insert yet).
+
+    The per-key table is broadcast when it fits the limit; otherwise keys
+    with more than ``HOT_KEY_ROWS`` events are salted over several tasks
+    (``joins.hot_key_join``) so a key holding a third of all events does not
+    land in one task.
+    """
+    first = first_inserts(valid, existing)
+    if fits(first):
+        j = valid.join(F.broadcast(first), on=ROW, how="left")
+    else:
+        j = hot_key_join(valid, first, ROW, "_n", HOT_KEY_ROWS, ["partition", "offset"])
+    return j.drop("_n")
+
+
 def outcomes(prepared: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """Every valid insert / update with ``first_status`` (applied, zero_rows,
     error) and, for zero-row updates, ``retry_status`` (applied, dead_letter).
+
+    One aggregate per key gives its first insert and its event count; the
+    join back is skew-safe (``with_first_insert``).
     """
-    valid = keyed(prepared)
-    first = first_inserts(valid, existing)
-    j = join_small(valid, first, on=ROW, how="left")
+    j = with_first_insert(keyed(prepared), existing)
     fi, o = F.col("first_ins"), F.col("ord")
     is_ins, is_upd = F.col("route") == INSERT, F.col("route") == UPDATE
     first_status = (F.when(is_ins & (fi == o), F.lit("applied"))

@@ -20,13 +20,44 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
+def fits(small: DataFrame, limit_bytes: int | None = None) -> bool:
+    """True when ``small``'s size estimate is known and under the limit
+    (read at call time, so the limit can be changed)."""
+    limit = BROADCAST_LIMIT_BYTES if limit_bytes is None else limit_bytes
+    size = estimated_bytes(small)
+    return size is not None and size <= limit
+
+
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
-               limit_bytes: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
+               limit_bytes: int | None = None) -> DataFrame:
     """Join ``big`` with ``small``, broadcasting ``small`` only when its
     estimated size is known and under ``limit_bytes``. Otherwise the join is
-    left to the planner (sort-merge with AQE, skew split on the big side).
+    left to the planner (sort-merge join with AQE; where a hot key can occur
+    on the big side use ``hot_key_join``)."""
+    return big.join(F.broadcast(small) if fits(small, limit_bytes) else small, on=on, how=how)
+
+
+def hot_key_join(big: DataFrame, small: DataFrame, keys: list[str], count_col: str,
+                 hot_rows: int, salt_by: list[str], how: str = "left") -> DataFrame:
+    """Join ``big`` with ``small`` (one row per key, ``count_col`` = the key's
+    row count in ``big``) so that no key sends more than about ``hot_rows``
+    rows to one task.
+
+    Keys above ``hot_rows`` (at most ``rows(big) / hot_rows`` of them) are hot:
+    their ``big`` rows are spread over ``ceil(n / hot_rows)`` salts by a
+    deterministic hash of ``salt_by`` (a task retry computes the same salt),
+    and only their ``small`` rows are repeated once per salt. Cold keys keep
+    salt 0. The hot list joins without a hint: AQE broadcasts it at runtime,
+    from its measured (not estimated) size.
     """
-    size = estimated_bytes(small)
-    if size is not None and size <= limit_bytes:
-        small = F.broadcast(small)
-    return big.join(small, on=on, how=how)
+    hot = small.where(F.col(count_col) > hot_rows).select(
+        *keys, F.ceil(F.col(count_col) / F.lit(hot_rows)).cast("int").alias("_salts"))
+    b = (big.join(hot, keys, "left")
+            .withColumn("_salt", F.when(F.col("_salts").isNull(), F.lit(0))
+                        .otherwise(F.pmod(F.xxhash64(*salt_by), F.col("_salts")).cast("int")))
+            .drop("_salts"))
+    s = (small.join(hot, keys, "left")
+              .withColumn("_salt", F.explode(F.sequence(
+                  F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - F.lit(1))))
+              .drop("_salts"))
+    return b.join(s, [*keys, "_salt"], how).drop("_salt")

@@ -44,10 +44,7 @@ def plan(prepared: DataFrame) -> tuple[DataFrame, DataFrame]:
     after). ``work``: one row per ``(table_name, key, segment)`` with the
     folded ``cells`` (array of struct(column, type, value)).
     """
-    valid = apply.keyed(prepared)
-    first = valid.where(F.col("route") == changelog.INSERT).groupBy(*ROW).agg(
-        F.min("ord").alias("first_ins"))
-    v = join_small(valid, first, ROW, "left")
+    v = apply.with_first_insert(apply.keyed(prepared))
     fi, o, is_ins = F.col("first_ins"), F.col("ord"), F.col("route") == changelog.INSERT
     seg = (F.when(is_ins & (o == fi), F.lit("insert")).when(is_ins, F.lit("duplicate"))
             .when(fi.isNull() | (o < fi), F.lit("before")).otherwise(F.lit("after")))
