@@ -48,21 +48,18 @@ def keyed(prepared: DataFrame) -> DataFrame:
 
 
 def first_inserts(valid: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    """``(table_name, key, first_ins, _n)``: the order of each key's first valid
-    insert and the key's number of events (one partial aggregate). Keys of
-    ``existing`` (already in the target) get the order (-1, -1, -1): every
-    insert of them is a duplicate, every update applies."""
-    is_ins = F.col("route") == INSERT
-    first = valid.groupBy(*ROW).agg(F.min(F.when(is_ins, F.col("ord"))).alias("first_ins"),
-                                    F.count(F.lit(1)).alias("_n"))
+    """``(table_name, key, first_ins)``: the order of each key's first valid
+    insert (a partial aggregate over the inserts only). Keys of ``existing``
+    (already in the target) get the order (-1, -1, -1): every insert of them
+    is a duplicate, every update applies."""
+    ins = valid.where(F.col("route") == INSERT)
+    first = ins.groupBy(*ROW).agg(F.min("ord").alias("first_ins"))
     if existing is not None:
-        pre = existing.select(*ROW).distinct().select(
-            *ROW, F.struct(F.lit(-1).cast("long").alias("batch_id"),
-                           F.lit(-1).cast("int").alias("partition"),
-                           F.lit(-1).cast("long").alias("offset")).alias("first_ins"),
-            F.lit(0).cast("long").alias("_n"))
-        first = pre.unionByName(first).groupBy(*ROW).agg(
-            F.min("first_ins").alias("first_ins"), F.sum("_n").cast("long").alias("_n"))
+        pre = existing.select(*ROW).distinct().withColumn(
+            "first_ins", F.struct(F.lit(-1).cast("long").alias("batch_id"),
+                                  F.lit(-1).cast("int").alias("partition"),
+                                  F.lit(-1).cast("long").alias("offset")))
+        first = pre.unionByName(first).groupBy(*ROW).agg(F.min("first_ins").alias("first_ins"))
     return first
 
 
@@ -75,16 +72,15 @@ def with_first_insert(valid: DataFrame, existing: DataFrame | None = None) -> Da
     """``valid`` events with their key's ``first_ins`` (null: no insert yet).
 
     The per-key table is broadcast when it fits the limit; otherwise keys
-    with more than ``HOT_KEY_ROWS`` events are salted over several tasks
-    (``joins.hot_key_join``) so a key holding a third of all events does not
-    land in one task.
+    with more than ``HOT_KEY_ROWS`` events (counted by a hash aggregate) are
+    salted over several tasks (``joins.hot_key_join``), so a key holding a
+    third of all events does not land in one task.
     """
     first = first_inserts(valid, existing)
     if fits(first):
-        j = valid.join(F.broadcast(first), on=ROW, how="left")
-    else:
-        j = hot_key_join(valid, first, ROW, "_n", HOT_KEY_ROWS, ["partition", "offset"])
-    return j.drop("_n")
+        return valid.join(F.broadcast(first), on=ROW, how="left")
+    counts = valid.groupBy(*ROW).agg(F.count(F.lit(1)).alias("_n"))
+    return hot_key_join(valid, first, ROW, counts, "_n", HOT_KEY_ROWS, ["partition", "offset"])
 
 
 def outcomes(prepared: DataFrame, existing: DataFrame | None = None) -> DataFrame:

@@ -37,20 +37,21 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
     return big.join(F.broadcast(small) if fits(small, limit_bytes) else small, on=on, how=how)
 
 
-def hot_key_join(big: DataFrame, small: DataFrame, keys: list[str], count_col: str,
-                 hot_rows: int, salt_by: list[str], how: str = "left") -> DataFrame:
-    """Join ``big`` with ``small`` (one row per key, ``count_col`` = the key's
-    row count in ``big``) so that no key sends more than about ``hot_rows``
-    rows to one task.
+def hot_key_join(big: DataFrame, small: DataFrame, keys: list[str], counts: DataFrame,
+                 count_col: str, hot_rows: int, salt_by: list[str],
+                 how: str = "left") -> DataFrame:
+    """Join ``big`` with ``small`` (at most one row per key) so that no key
+    sends more than about ``hot_rows`` rows of ``big`` to one task.
 
-    Keys above ``hot_rows`` (at most ``rows(big) / hot_rows`` of them) are hot:
+    ``counts`` gives each key's row count in ``big`` (``count_col``). Keys
+    above ``hot_rows`` - at most ``rows(big) / hot_rows`` of them - are hot:
     their ``big`` rows are spread over ``ceil(n / hot_rows)`` salts by a
     deterministic hash of ``salt_by`` (a task retry computes the same salt),
     and only their ``small`` rows are repeated once per salt. Cold keys keep
     salt 0. The hot list joins without a hint: AQE broadcasts it at runtime,
     from its measured (not estimated) size.
     """
-    hot = small.where(F.col(count_col) > hot_rows).select(
+    hot = counts.where(F.col(count_col) > hot_rows).select(
         *keys, F.ceil(F.col(count_col) / F.lit(hot_rows)).cast("int").alias("_salts"))
     b = (big.join(hot, keys, "left")
             .withColumn("_salt", F.when(F.col("_salts").isNull(), F.lit(0))
