@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -35,3 +37,14 @@ def split_words(line: Column | str) -> Column:
     return (F.when(~s.contains(" "), F.array(s))
             .when(F.rtrim(s) == "", F.array().cast("array<string>"))
             .otherwise(F.split(F.rtrim(s), " ")))
+
+
+def fill(template: str, **parts: Column) -> Column:
+    """``template`` with ``{name}`` placeholders filled by Columns (concat)."""
+    pieces = []
+    for i, chunk in enumerate(re.split(r"\{(\w+)\}", template)):
+        if i % 2:
+            pieces.append(parts[chunk])
+        elif chunk:
+            pieces.append(F.lit(chunk))
+    return F.concat(*pieces)

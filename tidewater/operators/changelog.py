@@ -13,9 +13,15 @@ from pyspark.sql import functions as F
 from tidewater.functions.cells import (EXCLUDED_COLUMN, IDENTIFIER, cell_type,
                                        cell_value, is_blank, is_identifier,
                                        snake_column, sql_literal)
+from tidewater.functions.text import fill
 
-# The two actions that produce a statement.
+# The two actions that produce a statement, and the statement
+# formats (lists joined by ",", no spaces).
 INSERT, UPDATE, IGNORED = "insert", "update", "ignored"
+INSERT_FORMAT = "insert into {table}({columns}) values({values})"
+UPDATE_FORMAT = "update {table} set {assignments} where {where}"
+ASSIGNMENT_FORMAT = "{column}={value}"
+LIST_SEPARATOR = ","
 
 # Accepted update predicate: <column> = <number or quoted string>.
 PREDICATE = (r"^\s*([A-Za-z_][A-Za-z0-9_]*)\s*=\s*"
@@ -50,12 +56,13 @@ def kept_cells(columns: Column | str = "columns", mode: str = "full") -> Column:
 
 
 def _render(table: Column, rt: Column, where: Column, kept: Column) -> Column:
-    cols = F.array_join(F.transform(kept, lambda c: c["column"]), ",")
-    vals = F.array_join(F.transform(kept, lambda c: c["literal"]), ",")
+    cols = F.array_join(F.transform(kept, lambda c: c["column"]), LIST_SEPARATOR)
+    vals = F.array_join(F.transform(kept, lambda c: c["literal"]), LIST_SEPARATOR)
     sets = F.array_join(F.transform(
-        kept, lambda c: F.concat(c["column"], F.lit("="), c["literal"])), ",")
-    ins = F.concat(F.lit("insert into "), table, F.lit("("), cols, F.lit(") values("), vals, F.lit(")"))
-    upd = F.concat(F.lit("update "), table, F.lit(" set "), sets, F.lit(" where "), where)
+        kept, lambda c: fill(ASSIGNMENT_FORMAT, column=c["column"], value=c["literal"])),
+        LIST_SEPARATOR)
+    ins = fill(INSERT_FORMAT, table=table, columns=cols, values=vals)
+    upd = fill(UPDATE_FORMAT, table=table, assignments=sets, where=where)
     has = F.size(kept) > 0
     return (F.when((rt == INSERT) & has, ins)
              .when((rt == UPDATE) & has & ~is_blank(where), upd))

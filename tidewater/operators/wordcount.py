@@ -11,11 +11,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewater.functions.text import split_lines, split_words
+from tidewater.functions.text import fill, split_lines, split_words
 from tidewater.operators.joins import join_small
 
-# The default deny list.
+# The default deny list and the two report line formats.
 DEFAULT_DENY = ("a", "b", "c")
+DROPPED_LINE = "Dropped {total} word(s) totally"
+COUNTS_LINE = "Counts at time {batch} [{pairs}]"
+COUNTS_PAIR = "({word},{count})"
+COUNTS_SEPARATOR = ", "
 
 
 def deny_table(spark: SparkSession, words: Sequence[str] = DEFAULT_DENY) -> DataFrame:
@@ -99,7 +103,7 @@ def running_dropped(per_batch: DataFrame, batch: str = "batch_id") -> DataFrame:
 def dropped_report(total: Column | str) -> Column:
     """The counter's console line: ``Dropped <n> word(s) totally``."""
     t = F.col(total) if isinstance(total, str) else total
-    return F.concat(F.lit("Dropped "), t.cast("string"), F.lit(" word(s) totally"))
+    return fill(DROPPED_LINE, total=t.cast("string"))
 
 
 def top_words(counts: DataFrame, k: int, batch: str = "batch_id") -> DataFrame:
@@ -114,7 +118,7 @@ def top_words(counts: DataFrame, k: int, batch: str = "batch_id") -> DataFrame:
 def batch_report(top: DataFrame, batch: str = "batch_id") -> DataFrame:
     """``Counts at time <batch> [(word,cnt), ...]`` per batch from a
     bounded ``top_words`` table (at most k entries per line)."""
-    item = F.concat(F.lit("("), F.col("word"), F.lit(","), F.col("cnt").cast("string"), F.lit(")"))
+    item = fill(COUNTS_PAIR, word=F.col("word"), count=F.col("cnt").cast("string"))
     g = top.groupBy(batch).agg(F.array_sort(F.collect_list(F.struct("rank", item.alias("s")))).alias("l"))
-    return g.select(batch, F.concat(F.lit("Counts at time "), F.col(batch).cast("string"), F.lit(" ["),
-                                    F.array_join(F.col("l.s"), ", "), F.lit("]")).alias("report"))
+    return g.select(batch, fill(COUNTS_LINE, batch=F.col(batch).cast("string"),
+                                pairs=F.array_join(F.col("l.s"), COUNTS_SEPARATOR)).alias("report"))
