@@ -36,7 +36,8 @@ def test_wordcount_recovers_and_processes_only_new_files(spark, workdir):
     totals = {r.batch_id: (r.dropped, r.dropped_total) for r in job2.dropped_totals().collect()}
     assert totals == {0: (2, 2), 1: (2, 4)}      # counts of a, b, then c, c; running
     lines = sorted((r.epoch, r.line) for r in job2.report().collect())
-    assert lines == [(0, "Dropped 2 word(s) totally"), (1, "Dropped 4 word(s) totally")]
+    assert lines == [(0, "Counts at time 0 [(x,2), (y,1)]"), (0, "Dropped 2 word(s) totally"),
+                     (1, "Counts at time 1 [(x,1), (z,1)]"), (1, "Dropped 4 word(s) totally")]
     reports = sorted((r.epoch, r.report) for r in job2.counts_report().collect())
     assert reports == [(0, "Counts at time 0 [(x,2), (y,1)]"), (1, "Counts at time 1 [(x,1), (z,1)]")]
 

@@ -7,8 +7,8 @@ partitioned by epoch and idempotent on replay:
 
 * ``word_counts``: epoch, batch, word, cnt
 * ``dropped``: epoch, batch, dropped
-* ``report``: text files, one line per epoch (``Dropped <total> word(s)
-  totally``), the appended report file of K3
+* ``report``: text, per epoch the batch's ``Counts at time ...`` line(s)
+  and ``Dropped <total> word(s) totally`` (the appended report file of K3)
 * ``counts_report``: epoch, batch, report (``Counts at time <batch> [(w,n), ...]``
   of the batch's top ``report_top_k`` words - bounded, unlike a line with
   every word of the batch)
@@ -63,14 +63,16 @@ class WordCountJob:
                  .cast("long").alias("dropped")))
             write_epoch(dropped, f"{self.out}/dropped", epoch)
             kept = flagged.where(F.col("denied").isNull()).select("batch", "word", "cnt")
-            write_epoch(wc.batch_report(wc.top_words(kept, self.report_top_k, "batch"), "batch"),
-                        f"{self.out}/counts_report", epoch)
+            counts_lines = wc.batch_report(wc.top_words(kept, self.report_top_k, "batch"), "batch")
+            write_epoch(counts_lines, f"{self.out}/counts_report", epoch)
             # Running total: earlier epochs' rows (one per epoch and batch) plus this one.
             total = (read_table(spark, f"{self.out}/dropped", DROPPED_SCHEMA)
                      .where(F.col("epoch") <= epoch)
                      .agg(F.coalesce(F.sum("dropped"), F.lit(0)).cast("long").alias("total")))
-            write_epoch(total.select(wc.dropped_report("total").alias("value")),
-                        f"{self.out}/report", epoch, fmt="text")
+            # K3: the report file gets the batch's counts line(s) and the counter line
+            lines = (counts_lines.select(F.col("report").alias("value"))
+                     .unionByName(total.select(wc.dropped_report("total").alias("value"))))
+            write_epoch(lines.coalesce(1), f"{self.out}/report", epoch, fmt="text")
             if self.echo:   # K4: console lines; both tables are bounded (k words, 1 line)
                 for r in (read_table(spark, f"{self.out}/counts_report",
                                      "batch long, report string, epoch long")
