@@ -103,3 +103,19 @@ def test_streaming_db_apply_with_retry_and_flush(spark, workdir):
     got = sorted(con.execute("SELECT cust_key, cust_name, acct_bal FROM customer"))
     con.close()
     assert got == [("1", "a", "1.00"), ("2", "b", "2.00")]
+
+
+def test_streaming_db_apply_continues_after_flush(spark, workdir):
+    from tidewater.streaming.db_job import DbApplyJob
+
+    path = f"{workdir}/s2.db"
+    _db(path)
+    connect = functools.partial(sqlite3.connect, path, timeout=60)
+    job = DbApplyJob(spark, f"{workdir}/job", connect, tasks=2)
+    b0 = [("cdc", 0, 0, 0, "customer", "update", {"acctBal": "BigDecimal:1.00"}, "cust_key=9")]
+    b1 = [("cdc", 0, 1, 1, "customer", "insert", {"custKey": "Long:9"}, "")]
+    job.process_batch(spark.createDataFrame(b0, SCHEMA).drop("batch_id"), 0)
+    job.flush()                                    # key 9 absent: dead letter
+    job.process_batch(spark.createDataFrame(b1, SCHEMA).drop("batch_id"), 1)
+    status = sorted((r.offset, r.attempt, r.status) for r in job.status().collect())
+    assert status == [(0, 0, "zero_rows"), (0, 1, "dead_letter"), (1, 0, "applied")]

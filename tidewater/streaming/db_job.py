@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tidewater.operators import apply, changelog
 from tidewater.operators.joins import join_small
 from tidewater.sinks import dbapi
-from tidewater.sinks.tables import read_table, write_epoch
+from tidewater.sinks.tables import exists, read_table, write_epoch
 from tidewater.streaming.runner import output_generation, run_available, start
 
 ROW = apply.ROW
@@ -105,8 +105,8 @@ class DbApplyJob:
         """Re-run epoch ``prev``'s zero-row work; status (attempt 1) and dead letters."""
         empty_status = self.spark.createDataFrame([], SCHEMAS["status"]).drop("epoch")
         empty_dead = self.spark.createDataFrame([], SCHEMAS["dead_letter"]).drop("epoch")
-        if prev < 0:
-            return empty_status, empty_dead
+        if prev < 0 or exists(self.spark, self._path(f"flushed/epoch={prev}")):
+            return empty_status, empty_dead      # nothing before, or already flushed
         done = self.table("outcomes").where(F.col("epoch") == prev)
         zero = done.where(F.col("outcome") == "zero_rows").select(*ROW, "segment")
         work = self.table("work").where(F.col("epoch") == prev).drop("epoch")
@@ -133,6 +133,9 @@ class DbApplyJob:
         status, dead = self._second_chance(last, 2 * last + 1, last, "flush_outcomes")
         write_epoch(status, self._path("status_flush"), last)
         write_epoch(dead, self._path("dead_letter_flush"), last)
+        # a later batch must not retry this epoch's work again
+        write_epoch(self.spark.range(1).select(F.lit(True).alias("done")),
+                    self._path("flushed"), last)
 
     # -- driving ------------------------------------------------------------
     def start(self, stream: DataFrame, trigger: dict | None = None):
