@@ -107,3 +107,19 @@ def test_cdc_stream_key_log_compaction_and_replay(spark, workdir):
     status = sorted((r.offset, r.attempt, r.status) for r in job.status().collect())
     assert status == [(0, 0, "applied"), (1, 0, "applied"), (2, 0, "zero_rows"), (2, 1, "applied"),
                       (3, 0, "applied"), (4, 0, "applied"), (5, 0, "applied")]
+
+
+def test_cdc_stream_continues_after_flush(spark, workdir):
+    from tidewater.streaming.cdc_job import CdcApplyJob
+
+    schema = ("topic string, partition int, offset long, tableName string, actionType string, "
+              "columns map<string,string>, where string")
+    job = CdcApplyJob(spark, f"{workdir}/job")
+    job.process_batch(spark.createDataFrame(
+        [("t", 0, 0, "customer", "update", {"v": "Integer:1"}, "cust_key=9")], schema), 0)
+    job.flush()                                    # key 9 absent: dead letter
+    job.process_batch(spark.createDataFrame(
+        [("t", 0, 1, "customer", "insert", {"custKey": "Long:9"}, "")], schema), 1)
+    status = sorted((r.offset, r.attempt, r.status) for r in job.status().collect())
+    assert status == [(0, 0, "zero_rows"), (0, 1, "dead_letter"), (1, 0, "applied")]
+    assert {(r.key, r.column) for r in job.final_state().collect()} == {("9", "cust_key")}
