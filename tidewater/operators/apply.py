@@ -55,7 +55,8 @@ def first_inserts(valid: DataFrame, existing: DataFrame | None = None) -> DataFr
     ins = valid.where(F.col("route") == INSERT)
     first = ins.groupBy(*ROW).agg(F.min("ord").alias("first_ins"))
     if existing is not None:
-        pre = existing.select(*ROW).distinct().withColumn(
+        # no distinct(): the min() below absorbs duplicate keys
+        pre = existing.select(*ROW).withColumn(
             "first_ins", F.struct(F.lit(-1).cast("long").alias("batch_id"),
                                   F.lit(-1).cast("int").alias("partition"),
                                   F.lit(-1).cast("long").alias("offset")))
