@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from tidewater.operators import apply, changelog
 from tidewater.operators.joins import join_small
-from tidewater.sinks.tables import list_dirs, read_table, write_epoch
+from tidewater.sinks.tables import exists, list_dirs, read_table, write_epoch
 from tidewater.streaming.runner import output_generation, run_available, start
 
 ROW = apply.ROW
@@ -113,9 +113,10 @@ class CdcApplyJob:
         """Zero-row updates of ``epoch`` still waiting (not flushed)."""
         e = self.table("events")
         pending = e.where((F.col("epoch") == epoch) & (F.col("attempt") == 0)
-                          & (F.col("status") == "zero_rows"))
-        flushed = self.table("flushed").where(F.col("epoch") == epoch).select("epoch")
-        return join_small(pending, flushed, "epoch", "left_anti").drop("epoch")
+                          & (F.col("status") == "zero_rows")).drop("epoch")
+        if exists(self.spark, self._path(f"flushed/epoch={epoch}")):
+            return pending.limit(0)          # already retried by flush()
+        return pending
 
     @staticmethod
     def _retry(pending: DataFrame, keys_after: DataFrame):
