@@ -115,7 +115,7 @@ class CdcApplyJob:
         pending = e.where((F.col("epoch") == epoch) & (F.col("attempt") == 0)
                           & (F.col("status") == "zero_rows")).drop("epoch")
         if exists(self.spark, self._path(f"flushed/epoch={epoch}")):
-            return pending.limit(0)          # already retried by flush()
+            return pending.where(F.lit(False))   # already retried by flush()
         return pending
 
     @staticmethod
