@@ -12,6 +12,8 @@ from tidewater.sources.tables import TABLES
 from tools.check_oracle import digest
 
 NAMES = sorted(entry_mod.queries())
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
+         "boolean": "BOOLEAN"}
 
 
 @pytest.fixture(scope="module")
@@ -31,10 +33,13 @@ def test_every_query_has_an_oracle():
 def test_query_equals_oracle(spark, duck, name):
     df = entry_mod.queries()[name](spark, SF_SMALL)
     s_cols, s_n, s_h, _ = digest(df.columns, [tuple(r) for r in df.collect()])
-    res = duck.execute(entry_mod.oracle_sql()[name])
-    o_cols, o_n, o_h, _ = digest([d[0] for d in res.description], res.fetchall())
+    rel = duck.sql(entry_mod.oracle_sql()[name])
+    o_cols, o_n, o_h, _ = digest(rel.columns, rel.fetchall())
     assert (s_cols, s_n) == (o_cols, o_n)
     assert s_h == o_h
+    spark_types = {f.name: TYPES.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in df.schema.fields}
+    assert spark_types == dict(zip(rel.columns, map(str, rel.types)))
 
 
 def test_entry_smoke(spark):

@@ -44,7 +44,7 @@ def decode_bytes_header(spark: SparkSession, sf_dir: str) -> DataFrame:
     h = kafka.registry_header()
     return (r.select("topic", "partition", "offset", h.alias("h"))
              .select("topic", "partition", "offset", "h.magic", "h.schema_id", "h.status",
-                     F.length("h.body").alias("body_bytes"),
+                     F.length("h.body").cast("long").alias("body_bytes"),
                      F.col("h.body").cast("string").alias("body_text")))
 
 
