@@ -71,3 +71,26 @@ def test_decode_with_column_and_pandas(spark):
 
     rows = decode_in_pandas(df, kv, "k int, v string").orderBy("offset").collect()
     assert [(r.offset, r.k, r.v) for r in rows] == [(1, None, None), (2, 7, "x"), (3, None, None)]
+
+
+def test_starting_offsets_from_previous_progress(spark):
+    from tests.conftest import SF_SMALL
+    from tidewater.operators.offsets import starting_offsets
+    from tidewater.sources.fixtures import read_kafka_records
+
+    records = read_kafka_records(spark, SF_SMALL)      # 8 partitions, offsets 0..n-1
+    bounds = {r.partition: r.latest for r in records.groupBy("partition").agg(
+        (spark_max("offset") + 1).alias("latest")).collect()}
+    progress = spark.createDataFrame(
+        [("events", 0, 0, 10, 10, 0), ("events", 0, 10, 20, 10, 1), ("events", 1, 0, 10**9, 1, 0)],
+        "topic string, partition int, from_offset long, until_offset long, records long, epoch long")
+    got = json.loads(starting_offsets(records, progress, "resume_latest"))["events"]
+    assert got["0"] == 20                 # resume at the highest commit
+    assert got["1"] == bounds[1]          # commit past the log end -> latest
+    assert got["2"] == 0                  # no commit -> earliest
+
+
+def spark_max(c):
+    from pyspark.sql import functions as F
+
+    return F.max(c)

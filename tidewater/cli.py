@@ -39,7 +39,23 @@ def _kafka_stream(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
     rate = None
     if a.rate_per_partition and a.partitions:
         rate = kafka.max_offsets_per_trigger(a.rate_per_partition, a.partitions, a.interval)
-    opts = kafka.kafka_options(a.kafka, a.topic, a.group, a.starting_offsets, rate)
+    start = a.starting_offsets
+    if a.start_policy and a.resume_from:
+        # The previous job's commits, the topic's current bounds, a policy
+        from tidewater.operators.offsets import starting_offsets
+        from tidewater.sinks.tables import read_table
+
+        from tidewater.streaming.runner import output_generation
+
+        prev = a.resume_from.rstrip("/")
+        out = output_generation(spark, f"{prev}/checkpoint", f"{prev}/out")
+        progress = read_table(spark, f"{out}/progress",
+                              "topic string, partition int, from_offset long, "
+                              "until_offset long, records long, epoch long")
+        bounds = kafka.read_kafka_batch(spark, kafka.kafka_options(
+            a.kafka, a.topic, starting_offsets="earliest"))
+        start = starting_offsets(bounds, progress, a.start_policy)
+    opts = kafka.kafka_options(a.kafka, a.topic, a.group, start, rate)
     return kafka.read_kafka_stream(spark, opts)
 
 
@@ -71,6 +87,10 @@ def build_parser() -> argparse.ArgumentParser:
         sp.add_argument("--topic")
         sp.add_argument("--group")
         sp.add_argument("--starting-offsets", help="earliest, latest or startingOffsets JSON")
+        sp.add_argument("--start-policy", choices=["zero", "latest", "resume_latest",
+                                                   "resume_earliest"],
+                        help="with --resume-from: start offsets from a previous job's commits")
+        sp.add_argument("--resume-from", metavar="JOB_DIR", help="previous job folder")
         sp.add_argument("--rate-per-partition", type=int, help="records/s per partition")
         sp.add_argument("--partitions", type=int, help="topic partitions (for the rate cap)")
         sp.add_argument("--max-files-per-trigger", type=int)

@@ -81,3 +81,18 @@ def committed_from_progress(progress: DataFrame) -> DataFrame:
     """Consumer commit per partition from a progress table: the highest
     ``until_offset`` (what a restart resumes from)."""
     return progress.groupBy(*TP).agg(F.max("until_offset").cast("long").alias("committed"))
+
+
+def starting_offsets(records: DataFrame, progress: DataFrame, policy: str) -> str:
+    """``startingOffsets`` JSON for a new query on a topic (S10 + K2).
+
+    ``records``: the topic's records (a batch Kafka read from earliest to
+    latest, or Kafka-shaped files); ``progress``: a previous job's progress
+    table (its commits). Both reduce to one row per topic partition before
+    anything reaches the driver.
+    """
+    from tidewater.sources.kafka import starting_offsets_json
+
+    bounds = log_bounds(records.select(*TP, "offset"))
+    start = resolve_start_offsets(committed_from_progress(progress), bounds, policy)
+    return starting_offsets_json(start)
