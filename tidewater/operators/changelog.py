@@ -118,7 +118,7 @@ def prepare(events: DataFrame, key_column: str = "cust_key", mode: str = "full",
                   F.forall(cells, lambda c: c["column"].rlike(IDENTIFIER)).alias("cols_ok"),
                   F.get(F.filter(cells, lambda c: c["column"] == key_column), 0)["value"]
                   .alias("ins_key")]
-        if compat:
+        if compat and mode != "full":
             fields.append(b["first"].alias("first"))
         return F.struct(*fields)
 
@@ -134,19 +134,26 @@ def prepare(events: DataFrame, key_column: str = "cust_key", mode: str = "full",
                    .when((rt == UPDATE) & (F.size(cells) == 0), F.lit("no_columns"))
                    .cast("string"))
         ok = reason.isNull() & (rt != IGNORED)
+        statement = F.when(ok, _render(table, rt, where, cells))
         fields = [cells.alias("cells"), key.cast("string").alias("key"), reason.alias("reason"),
-                  F.when(ok, _render(table, rt, where, cells)).alias("statement")]
-        if compat:
+                  statement.alias("statement")]
+        if compat and mode == "full":
+            # Only values with a ":" read differently up to their first ":";
+            # otherwise the first-segment text is the statement itself.
+            colon = F.exists(cells, lambda c: c["value"].contains(":"))
+            first = F.filter(F.transform(cells, _first_segment), lambda c: c["value"].isNotNull())
+            fields.append(F.when(ok & colon, _render(table, rt, where, first))
+                           .when(ok, statement).alias("statement_compat"))
+        elif compat:
             fields.append(F.when(ok, _render(table, rt, where, b["first"])).alias("statement_compat"))
         return F.struct(*fields)
 
     cells = kept_cells("columns", mode)
     if compat and mode == "full":
         # The first-segment value is the full value up to its first ":" (a
-        # prefix: blank full means blank first), so derive it from the kept
-        # cells instead of sorting and parsing the map a second time.
-        first = F.filter(F.transform(cells, _first_segment), lambda c: c["value"].isNotNull())
-        bundle = [cells.alias("cells"), first.alias("first")]
+        # prefix: blank full means blank first); it is derived from the kept
+        # cells in ``derive``, only for events that have such a value.
+        bundle = [cells.alias("cells")]
     elif compat:
         bundle = [cells.alias("cells"), kept_cells("columns", "first_segment").alias("first")]
     else:
