@@ -9,8 +9,8 @@ can compare per column. Semantics, per batch in event order:
   would), never an upsert.
 * An update whose key exists at that moment is ``applied``. One whose key does
   not exist yet is ``zero_rows`` (it matched no row) and gets one second
-  chance: it is matched again after the *next* batch has been applied (or at
-  ``flush`` when no batch follows). Still no row -> dead letter with reason
+  chance: it is matched again after the *next* batch that runs has been
+  applied (the next batch id present; at ``flush`` when no batch follows). Still no row -> dead letter with reason
   ``zero_rows_after_retry``.
 * Final values: insert values are the base; among the updates applied to a
   column, the newest ``(batch_id, partition, offset)`` wins - also when an
@@ -25,7 +25,7 @@ are salted over several tasks.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.operators.changelog import IGNORED, INSERT, UPDATE
@@ -84,6 +84,14 @@ def with_first_insert(valid: DataFrame, existing: DataFrame | None = None) -> Da
     return hot_key_join(valid, first, ROW, counts, "_n", HOT_KEY_ROWS, ["partition", "offset"])
 
 
+def with_next_batch(events: DataFrame, prepared: DataFrame) -> DataFrame:
+    """Adds ``next_batch``: the smallest batch id above the event's batch
+    (null for the last batch). The window runs over one row per batch id."""
+    batches = prepared.select("batch_id").distinct()
+    nxt = batches.withColumn("next_batch", F.lead("batch_id").over(Window.orderBy("batch_id")))
+    return events.join(F.broadcast(nxt) if fits(nxt) else nxt, "batch_id", "left")
+
+
 def outcomes(prepared: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """Every valid insert / update with ``first_status`` (applied, zero_rows,
     error) and, for zero-row updates, ``retry_status`` (applied, dead_letter).
@@ -91,14 +99,16 @@ def outcomes(prepared: DataFrame, existing: DataFrame | None = None) -> DataFram
     One aggregate per key gives its first insert and its event count; the
     join back is skew-safe (``with_first_insert``).
     """
-    j = with_first_insert(keyed(prepared), existing)
+    j = with_next_batch(with_first_insert(keyed(prepared), existing), prepared)
     fi, o = F.col("first_ins"), F.col("ord")
     is_ins, is_upd = F.col("route") == INSERT, F.col("route") == UPDATE
     first_status = (F.when(is_ins & (fi == o), F.lit("applied"))
                      .when(is_ins, F.lit("error"))
                      .when(is_upd & fi.isNotNull() & (fi < o), F.lit("applied"))
                      .otherwise(F.lit("zero_rows")))
-    retry_ok = fi.isNotNull() & (fi["batch_id"] <= F.col("batch_id") + 1)
+    # the retry runs after the next batch that exists (or at flush after the last)
+    nb = F.col("next_batch")
+    retry_ok = fi.isNotNull() & (nb.isNull() | (fi["batch_id"] <= nb))
     retry_status = F.when(first_status == "zero_rows",
                           F.when(retry_ok, F.lit("applied")).otherwise(F.lit("dead_letter")))
     return (j.withColumn("first_status", first_status)
@@ -139,10 +149,11 @@ def dead_letters(prepared: DataFrame, existing: DataFrame | None = None) -> Data
 
 
 def retry_outcome(prepared: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    """Every zero-row update, when its retry ran and how it ended."""
+    """Every zero-row update, after which batch its retry ran (null:
+    at the flush after the last batch) and how it ended."""
     out = outcomes(prepared, existing)
     return out.where(F.col("first_status") == "zero_rows").select(
-        *EVENT_ID, (F.col("batch_id") + 1).alias("retry_after_batch"),
+        *EVENT_ID, F.col("next_batch").alias("retry_after_batch"),
         F.when(F.col("retry_status") == "applied", F.lit("applied_on_retry"))
          .otherwise(F.lit("dead_letter")).alias("outcome"), "statement")
 

@@ -180,13 +180,18 @@ st1 AS (
     END AS first_status
   FROM valid v
 ),
+nb AS (
+  SELECT b.batch_id, (SELECT min(e.batch_id) FROM cdc_ev e WHERE e.batch_id > b.batch_id) AS next_batch
+  FROM (SELECT DISTINCT batch_id FROM cdc_ev) b
+),
 st AS (
-  SELECT v.*,
+  SELECT v.*, nb.next_batch,
     CASE WHEN first_status <> 'zero_rows' THEN NULL
          WHEN EXISTS (SELECT 1 FROM valid_ins i WHERE i.table_name = v.table_name
-                      AND i.row_key = v.row_key AND i.batch_id <= v.batch_id + 1) THEN 'applied'
+                      AND i.row_key = v.row_key
+                      AND (nb.next_batch IS NULL OR i.batch_id <= nb.next_batch)) THEN 'applied'
          ELSE 'dead_letter' END AS retry_status
-  FROM st1 v
+  FROM st1 v JOIN nb ON nb.batch_id = v.batch_id
 )"""
 
 ORACLE = {
@@ -248,7 +253,7 @@ SELECT table_name, key, "column", type, value FROM ranked WHERE rn = 1""",
 
     "cdc_retry_outcome": f"""
 WITH {APPLY}
-SELECT batch_id, topic, "partition", "offset", batch_id + 1 AS retry_after_batch,
+SELECT batch_id, topic, "partition", "offset", next_batch AS retry_after_batch,
        CASE WHEN retry_status = 'applied' THEN 'applied_on_retry' ELSE 'dead_letter' END AS outcome,
        statement
 FROM st WHERE first_status = 'zero_rows'""",
