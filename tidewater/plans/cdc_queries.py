@@ -38,9 +38,10 @@ def cdc_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _prepared(spark: SparkSession, sf_dir: str, consumers: int = 2) -> DataFrame:
-    """Prepared events. With three or more consumers in the plan they are
-    written once to the shared scratch folder and read back (column-pruned),
-    instead of scanning the sources and redoing the map work per consumer."""
+    """Prepared events. With three or more consumers in the plan (the apply
+    queries: valid events, the per-key table, the batch ids) they are written
+    once to the shared scratch folder and read back (column-pruned), instead
+    of scanning the sources and redoing the map work per consumer."""
     p = changelog.prepare(read_cdc_events(spark, sf_dir), compat=False)
     return materialize(p, "prepared-events") if consumers >= 3 else p
 
@@ -53,7 +54,7 @@ def cdc_apply_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cdc_final_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Query 18: the target after all batches and retries, long form."""
-    return apply.final_state(_prepared(spark, sf_dir))
+    return apply.final_state(_prepared(spark, sf_dir, consumers=3))
 
 
 # Columns of the customer target written by the change events (fixed values).
@@ -62,12 +63,12 @@ TARGET_COLUMNS = ("acct_bal", "cust_key", "cust_name", "last_order_date", "mkt_s
 
 def cdc_target_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The target as rows: one per key, one column per written column."""
-    return apply.to_wide(apply.final_state(_prepared(spark, sf_dir)), TARGET_COLUMNS)
+    return apply.to_wide(apply.final_state(_prepared(spark, sf_dir, consumers=3)), TARGET_COLUMNS)
 
 
 def cdc_retry_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Query 19: each zero-row update and the outcome of its one retry."""
-    return apply.retry_outcome(_prepared(spark, sf_dir))
+    return apply.retry_outcome(_prepared(spark, sf_dir, consumers=3))
 
 
 def cdc_dead_letter(spark: SparkSession, sf_dir: str) -> DataFrame:
