@@ -93,3 +93,14 @@ def test_apply_equals_event_at_a_time_model(spark, evs):
     want_status, want_final = model(rows)
     assert status == want_status
     assert final == want_final
+
+
+def test_retry_runs_after_the_next_batch_present(spark):
+    rows = [("t", 0, 0, 0, "customer", "update", {"v": "Integer:1"}, "cust_key=1"),
+            ("t", 0, 1, 0, "customer", "update", {"v": "Integer:2"}, "cust_key=2"),
+            ("t", 0, 2, 2, "customer", "insert", {"custKey": "Long:1"}, ""),   # no batch 1
+            ("t", 0, 3, 5, "customer", "update", {"v": "Integer:3"}, "cust_key=3")]
+    prepared = changelog.prepare(spark.createDataFrame(rows, SCHEMA), compat=False)
+    got = sorted((r.offset, r.retry_after_batch, r.outcome)
+                 for r in apply.retry_outcome(prepared).collect())
+    assert got == [(0, 2, "applied_on_retry"), (1, 2, "dead_letter"), (3, None, "dead_letter")]
