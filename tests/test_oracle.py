@@ -8,10 +8,11 @@ import pytest
 
 import __spark_entry__ as entry_mod
 from tests.conftest import SF_SMALL
+from tidewater.plans import registry
 from tidewater.sources.tables import TABLES
 from tools.check_oracle import digest
 
-NAMES = sorted(entry_mod.queries())
+NAMES = sorted(registry.queries())
 TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
          "boolean": "BOOLEAN"}
 
@@ -26,7 +27,7 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry_mod.oracle_sql()) == set(entry_mod.queries())
+    assert set(registry.oracle_sql()) == set(registry.queries())
 
 
 @pytest.mark.parametrize("name", NAMES)
