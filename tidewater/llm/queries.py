@@ -4,10 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import mixing, quality
+from tidewater.llm import counts, mixing, pieces, quality
 from tidewater.sources.tables import read_table
 
 
+#: The public vocabulary that ops 3 and 10 use.
+PIECES = "piece_bpe_32k.model"
+
+
+def _vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    return pieces.code_digests(docs, _vocabulary(PIECES))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
     return quality.quality_rules(docs, read_table(spark, sf_dir, "labels"))
@@ -19,6 +34,12 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
                                            "source", "copies")
 
 
-QUERIES = {f.__name__: f for f in (op5_quality_rules, op8_mix_sources)}
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    return counts.count_tokens(docs, _vocabulary(PIECES))
+
+
+QUERIES = {f.__name__: f for f in (op3_sentencepiece, op5_quality_rules, op8_mix_sources,
+                                   op10_token_counts)}
 
 ORACLE: dict[str, str] = {}
