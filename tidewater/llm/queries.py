@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import counts, mixing, pieces, quality
+from tidewater.llm import counts, mixing, pieces, quality, secrets
 from tidewater.sources.tables import read_table
 
 
@@ -23,6 +23,11 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.code_digests(docs, _vocabulary(PIECES))
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    return secrets.span_digests(secrets.secret_spans(docs))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
     return quality.quality_rules(docs, read_table(spark, sf_dir, "labels"))
@@ -39,7 +44,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.count_tokens(docs, _vocabulary(PIECES))
 
 
-QUERIES = {f.__name__: f for f in (op3_sentencepiece, op5_quality_rules, op8_mix_sources,
+QUERIES = {f.__name__: f for f in (op3_sentencepiece, op4_secret_scan, op5_quality_rules, op8_mix_sources,
                                    op10_token_counts)}
 
 ORACLE: dict[str, str] = {}
