@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import counts, mixing, pieces, quality, secrets
+from tidewater.llm import counts, mixing, pieces, pii, quality, secrets
 from tidewater.sources.tables import read_table
 
 
@@ -33,6 +33,15 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(docs, read_table(spark, sf_dir, "labels"))
 
 
+#: The key of the registered query; a user passes a secret one.
+PII_KEY = b"surrogates of the registered query"
+
+
+def op7_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    return pii.pseudonymise(docs, PII_KEY)
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "text", "source"])
     return mixing.mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken",
@@ -44,7 +53,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.count_tokens(docs, _vocabulary(PIECES))
 
 
-QUERIES = {f.__name__: f for f in (op3_sentencepiece, op4_secret_scan, op5_quality_rules, op8_mix_sources,
-                                   op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op3_sentencepiece, op4_secret_scan, op5_quality_rules,
+                                   op7_pii_surrogates, op8_mix_sources, op10_token_counts)}
 
 ORACLE: dict[str, str] = {}
