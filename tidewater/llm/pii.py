@@ -74,7 +74,7 @@ LETTERS = {"latin": "abcdefghijklmnopqrstuvwxyz", "cyrillic": "абвгдежз
            "greek": "αβγδεζηθικλμνξοπρστυφχψω"}
 
 _TITLE = "|".join(f"(?P<{g}>{'|'.join(ts)})" for g, ts in TITLES.items())
-NAME = re.compile(rf"\b(?:{_TITLE})\.?(?P<words>(?: [^\W\d_a-zа-яα-ω][^\W\d_]+){{1,3}})")
+NAME = re.compile(rf"\b(?:{_TITLE})\.?(?P<words>(?: [^\W\d_a-zа-яα-ω][^\W\d_]+(?!\w)){{1,3}})")
 ENTITY = re.compile("|".join(f"(?P<{k}>{p})" for k, p in
                              ((k, p.replace(r"\1", r"(?P=gap)").replace("([ -]?)", "(?P<gap>[ -]?)"))
                               for k, p in PATTERNS.items())))

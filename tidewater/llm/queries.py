@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import counts, mixing, pieces, pii, quality, secrets
+from tidewater.llm import counts, mixing, pieces, pii, quality, secrets, simhash
 from tidewater.sources.tables import read_table
 
 
@@ -33,6 +33,11 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(docs, read_table(spark, sf_dir, "labels"))
 
 
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    return simhash.fingerprint_report(docs)
+
+
 #: The key of the registered query; a user passes a secret one.
 PII_KEY = b"surrogates of the registered query"
 
@@ -54,6 +59,6 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op3_sentencepiece, op4_secret_scan, op5_quality_rules,
-                                   op7_pii_surrogates, op8_mix_sources, op10_token_counts)}
+                                   op6_fingerprints, op7_pii_surrogates, op8_mix_sources, op10_token_counts)}
 
 ORACLE: dict[str, str] = {}
