@@ -22,12 +22,12 @@ from pyspark.sql import functions as F
 
 from tidewater.llm.common import narrow, words, written
 
-BUCKETS = 1 << 18
+BUCKETS = 1 << 17
 SMOOTHING = 1.0
 #: Weights are kept as integers of this fraction, so sums do not depend on the order.
 SCALE = 1_000_000
 #: Mean log ratio per n-gram from which on a document is kept.
-THRESHOLD = -0.6
+THRESHOLD = -0.55
 SYMBOLS = "[#*$%&|<>]"
 WINDOW = 8
 MIN_WORDS = 20
@@ -62,7 +62,8 @@ def ngram_weights(docs: DataFrame, trusted_ids: DataFrame, buckets: int = BUCKET
     """
     trusted = trusted_ids.where("doc_id is not null").select("doc_id").distinct() \
         .withColumn("trusted", F.lit(1))
-    marked = docs.join(trusted, "doc_id", "left")
+    # Labels grow with the documents: never broadcast.
+    marked = docs.join(trusted.hint("merge"), "doc_id", "left")
     grams = _hashed(marked).select(
         F.coalesce("trusted", F.lit(0)).alias("trusted"),
         F.explode(_features(F.col("h1"), F.col("h2"))).alias("h"))
