@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import counts, lines, mixing, pieces, pii, quality, secrets, simhash
+from tidewater.llm import counts, lines, mixing, pieces, pii, quality, secrets, simhash, suffixes
 from tidewater.sources.tables import read_table
 
 
@@ -58,12 +58,18 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
                                            "source", "copies")
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    return suffixes.remove_repeats(docs, keep_bytes=False).withColumnRenamed("kept", "kept_sha256")
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
     return counts.count_tokens(docs, _vocabulary(PIECES))
 
 
 QUERIES = {f.__name__: f for f in (op2_line_dedup, op3_sentencepiece, op4_secret_scan,
-                                   op5_quality_rules, op6_fingerprints, op7_pii_surrogates, op8_mix_sources, op10_token_counts)}
+                                   op5_quality_rules, op6_fingerprints, op7_pii_surrogates, op8_mix_sources, op9_suffix_dedup,
+                                   op10_token_counts)}
 
-ORACLE: dict[str, str] = {"op2_line_dedup": lines.oracle()}
+ORACLE: dict[str, str] = {"op2_line_dedup": lines.oracle(), "op9_suffix_dedup": suffixes.oracle()}
