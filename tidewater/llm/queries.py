@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import counts, lines, mixing, pieces, pii, quality, secrets, simhash, suffixes
+from tidewater.llm import counts, jaccard, lines, mixing, pieces, pii, quality, secrets, simhash, suffixes
 from tidewater.sources.tables import read_table
 
 
@@ -18,6 +18,11 @@ def _vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    return jaccard.jaccard_join(docs).select("doc_id", "n_shingles", "component_id")
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
     return lines.line_digests(lines.dedup_lines(docs))
@@ -68,8 +73,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.count_tokens(docs, _vocabulary(PIECES))
 
 
-QUERIES = {f.__name__: f for f in (op2_line_dedup, op3_sentencepiece, op4_secret_scan,
-                                   op5_quality_rules, op6_fingerprints, op7_pii_surrogates, op8_mix_sources, op9_suffix_dedup,
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_line_dedup, op3_sentencepiece,
+                                   op4_secret_scan, op5_quality_rules, op6_fingerprints, op7_pii_surrogates, op8_mix_sources, op9_suffix_dedup,
                                    op10_token_counts)}
 
-ORACLE: dict[str, str] = {"op2_line_dedup": lines.oracle(), "op9_suffix_dedup": suffixes.oracle()}
+ORACLE: dict[str, str] = {"op1_ngram_jaccard_join": jaccard.oracle(),
+                          "op2_line_dedup": lines.oracle(),
+                          "op9_suffix_dedup": suffixes.oracle()}
