@@ -30,14 +30,14 @@ BITS = 40
 
 
 def text_blocks(docs: DataFrame, rows: int = ROWS) -> DataFrame:
-    """(block, at, doc_id, text) of (doc_id, text), written bucketed by block.
+    """The rows of ``docs`` with ``block`` and ``at``, written bucketed by block.
 
     Rows of a block stand together in the input; ``at`` is unique.
     """
     spark = docs.sparkSession
     name = f"text_blocks_{uuid.uuid4().hex}"
     numbered = docs.withColumn("at", F.monotonically_increasing_id())
-    placed = numbered.select(F.floor(F.col("at") / rows).alias("block"), "at", "doc_id", "text")
+    placed = numbered.withColumn("block", F.floor(F.col("at") / rows))
     placed.write.bucketBy(shared_partitions(spark), "block").option("compression", "zstd") \
         .option("path", f"{fresh_dir(spark, 'blocks')}/rows").saveAsTable(name)
     table = spark.table(name)

@@ -29,6 +29,19 @@ def narrow(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("string").alias("text"))
 
 
+def packed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``doc_id``, ``text`` and ``rest``, a struct of all columns but the text."""
+    rest = [docs[c].alias(c) for c in docs.columns if c != text_col]
+    return docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("string").alias("text"),
+                       F.struct(*rest).alias("rest"))
+
+
+def unpacked(rows: DataFrame, columns: list[str], text_col: str) -> DataFrame:
+    """The columns again, from ``text`` and ``rest``."""
+    return rows.select(*[F.col("text").alias(c) if c == text_col else F.col(f"rest.{c}").alias(c)
+                         for c in columns])
+
+
 def words(text: Column) -> Column:
     """Array of the maximal runs of non-space characters; empty for null or blank text."""
     bare = F.btrim(F.coalesce(text, F.lit("")), F.lit(SPACES))

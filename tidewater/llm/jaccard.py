@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.llm.blocks import classes_of, corpus_classes, mixed, text_blocks
-from tidewater.llm.common import narrow, written
+from tidewater.llm.common import narrow, packed, unpacked, written
 from tidewater.llm.graph import components
 
 WORDS = 5
@@ -225,15 +225,8 @@ def similar_components(segments: DataFrame, num: int, den: int) -> DataFrame:
     return labels if last.isEmpty() else components(links.unionByName(last))
 
 
-def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 words: int = WORDS, num: int = NUM, den: int = DEN) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_shingles, component_id, and ``at``, the row's number.
-
-    ``component_id`` is the least id reachable by links; ``leads`` marks the one row
-    of each component that stands for it (least id, then text).
-    """
-    rows = narrow(docs, id_col, text_col)
-    blocks = text_blocks(rows)
+def _joined(blocks: DataFrame, words: int, num: int, den: int) -> DataFrame:
+    """(doc_id, n_shingles, component_id, block, at, leads) of the rows of ``blocks``."""
     texts = written(blocks.select("block", "at", "doc_id",
                                   F.md5(F.coalesce("text", F.lit(""))).alias("digest")),
                     "jaccard-texts")
@@ -262,14 +255,35 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     sizes = segments.groupBy(F.col("at").alias("rep")).agg(F.max("size").alias("n_shingles"))
     every = named.join(sizes, "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
     # An empty set links with nothing, not even with its copies.
-    every = written(every.select("at", "doc_id", "n_shingles", F.when(
+    every = written(every.select("block", "at", "doc_id", "n_shingles", F.when(
         F.col("n_shingles") == 0, F.col("at")).otherwise(F.coalesce("root", "rep")).alias("root")),
         "jaccard-roots")
     least = every.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     lead = every.join(least, "root").where(F.col("doc_id").eqNullSafe(F.col("component_id"))) \
         .groupBy("root").agg(F.min("at").alias("lead"))
     return every.join(least, "root").join(lead, "root").select(
-        "doc_id", "n_shingles", "component_id", "at", (F.col("at") == F.col("lead")).alias("leads"))
+        "doc_id", "n_shingles", "component_id", "block", "at",
+        (F.col("at") == F.col("lead")).alias("leads"))
+
+
+def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                 words: int = WORDS, num: int = NUM, den: int = DEN) -> DataFrame:
+    """Per row of ``docs``: doc_id, n_shingles, component_id (the least id reachable by links),
+    and leads, true for the one row of each component that stands for it."""
+    blocks = text_blocks(narrow(docs, id_col, text_col))
+    return _joined(blocks, words, num, den).select("doc_id", "n_shingles", "component_id", "leads")
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                words: int = WORDS, num: int = NUM, den: int = DEN) -> DataFrame:
+    """The rows of ``docs`` that stand for their components, with all their columns."""
+    blocks = text_blocks(packed(docs, id_col, text_col))
+    leads = _joined(blocks, words, num, den).where("leads").groupBy("block").agg(
+        F.collect_set("at").alias("leads"))
+    kept = blocks.join(leads, "block").where(F.array_contains("leads", F.col("at")))
+    return unpacked(kept, docs.columns, text_col)
+
+
 
 
 def oracle(words: int = WORDS, num: int = NUM, den: int = DEN) -> str:

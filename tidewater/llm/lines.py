@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import narrow, written
+from tidewater.llm.common import narrow, packed, unpacked, written
 
 GRAM, WINDOW = 2, 2
 HAS_WORD = r"[^\x20\x09-\x0D]"
@@ -38,9 +38,8 @@ def _ahead(a: Column, by: int) -> Column:
     return F.slice(a, F.lit(by + 1), F.greatest(F.size(a) - by, F.lit(0)))
 
 
-def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, text, and the place in order: last, id, th (together unique up to equal rows)."""
-    rows = narrow(docs, id_col, text_col)
+def _keyed(rows: DataFrame) -> DataFrame:
+    """With the place in order: last, id, th (together unique up to rows of equal text)."""
     none = F.lit("" if dict(rows.dtypes)["doc_id"] == "string" else 0)
     return rows.withColumn("last", F.col("doc_id").isNull().cast("int")) \
         .withColumn("id", F.coalesce("doc_id", none.cast(rows.schema["doc_id"].dataType))) \
@@ -89,11 +88,9 @@ def later_windows(prints: DataFrame, place: list[str]) -> DataFrame:
     return later.groupBy(*place).agg(F.sort_array(F.collect_set("s")).alias("starts"))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                gram: int = GRAM, window: int = WINDOW) -> DataFrame:
-    """Per row of ``docs``: doc_id, text without the deleted lines, n_lines (with a word),
-    n_removed (of those), n_spans (maximal runs of removed ones)."""
-    rows = _keyed(docs, id_col, text_col)
+def _cut(rows: DataFrame, carry: list[str], gram: int, window: int) -> DataFrame:
+    """(doc_id, *carry, text, n_lines, n_removed, n_spans) of (doc_id, text, *carry)."""
+    rows = _keyed(rows)
     place, t = ["last", "id", "th"], gram + window - 1
     lines = F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: x.rlike(HAS_WORD))
     hashed = rows.select(*place, lines.alias("l")).where(F.size("l") >= t).select(
@@ -103,7 +100,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      "line-prints")
     starts = later_windows(prints, place)
     cut = rows.join(starts, place, "left")
-    whole = cut.select("doc_id", "text", "starts",
+    whole = cut.select("doc_id", *carry, "text", "starts",
                        F.split(F.coalesce("text", F.lit("")), "\n").alias("lines"))
     # Places of the lines with a word, and behind them the end.
     whole = whole.withColumn("at", F.concat(F.array_compact(F.transform(
@@ -120,12 +117,27 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     runs = F.size("gone") - F.size(F.filter(
         F.zip_with("gone", F.slice("gone", F.lit(2), F.size("gone")), lambda a, b: b - a),
         lambda d: d == 1))
-    return whole.select("doc_id", text.alias("text"),
+    return whole.select("doc_id", *carry, text.alias("text"),
                         (F.size("at") - 1).cast("bigint").alias("n_lines"),
                         F.size("gone").cast("bigint").alias("n_removed"),
                         runs.cast("bigint").alias("n_spans"))
 
 
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                gram: int = GRAM, window: int = WINDOW) -> DataFrame:
+    """Per row of ``docs``: doc_id, text without the deleted lines, n_lines (with a word),
+    n_removed (of those), n_spans (maximal runs of removed ones)."""
+    return _cut(narrow(docs, id_col, text_col), [], gram, window)
+
+
+def cut_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                  gram: int = GRAM, window: int = WINDOW) -> DataFrame:
+    """The rows of ``docs`` with their texts cut; a text that loses all its lines goes."""
+    cut = _cut(packed(docs, id_col, text_col), ["rest"], gram, window)
+    left = cut.where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_lines")))
+    return unpacked(left, docs.columns, text_col)
+
+
 def line_digests(cut: DataFrame) -> DataFrame:
     """doc_id, n_lines, n_removed, n_spans, kept_sha256 of ``dedup_lines``."""
     return cut.select("doc_id", "n_lines", "n_removed", "n_spans",

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import WORD, written
+from tidewater.llm.common import WORD, packed, unpacked, written
 
 WEIGHTS = (1, 2, 3)
 MAX_COPIES = 3
@@ -172,3 +172,18 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
               .otherwise(F.least(F.lit(1), F.col("whole"))).cast("bigint")
     return joined.select("doc_id", "row", "source", "size", "source_size", "target",
                          copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+
+
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    source_col: str = "source", weights: tuple[int, ...] = WEIGHTS,
+                    max_copies: int = MAX_COPIES, fan_in: int = FAN_IN,
+                    seed: int = SEED) -> DataFrame:
+    """The mix itself: each row of ``docs`` as often as it is taken, with all its columns."""
+    taken = mix_sources(docs, id_col, text_col, source_col, weights, max_copies, fan_in, seed) \
+        .where("copies > 0").select("doc_id", "row", "copies").distinct()
+    rows = packed(docs, id_col, text_col).withColumn("row", F.xxhash64("text"))
+    both = rows.alias("d").join(taken.alias("t"),
+                                F.col("d.doc_id").eqNullSafe(F.col("t.doc_id"))
+                                & (F.col("d.row") == F.col("t.row")))
+    each = both.select("d.text", "d.rest", F.explode(F.sequence(F.lit(1), F.col("t.copies"))))
+    return unpacked(each, docs.columns, text_col)

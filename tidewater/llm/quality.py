@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import narrow, words, written
+from tidewater.llm.common import narrow, packed, unpacked, words, written
 
 BUCKETS = 1 << 17
 SMOOTHING = 1.0
@@ -101,16 +101,11 @@ def _repeat_words(win: Column) -> Column:
                        F.lit(0).cast("bigint"), lambda s, x: s + x)
 
 
-def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
-                  text_col: str = "text", buckets: int = BUCKETS, smoothing: float = SMOOTHING,
-                  threshold: float = THRESHOLD) -> DataFrame:
-    """Per row of ``docs``: the base counts, the mean log ratio ``score`` and ``kept``.
-
-    labels: (doc_id, quality, toxic); documents with quality 1 and toxic 0 are trusted.
-    """
-    rows = narrow(docs, id_col, text_col)
+def _judged(rows: DataFrame, labels: DataFrame, carry: list[str], buckets: int, smoothing: float,
+            threshold: float) -> DataFrame:
+    """The counts, the score and the verdict of (doc_id, text, *carry)."""
     trusted = labels.where("quality = 1 and coalesce(toxic, 0) = 0").select("doc_id")
-    weights = ngram_weights(rows, trusted, buckets, smoothing).first()["w"]
+    weights = ngram_weights(rows.select("doc_id", "text"), trusted, buckets, smoothing).first()["w"]
     # A constant array; Spark folds the cast once and ships the result with the plan.
     w = F.split(F.lit(",".join(map(str, weights))), ",").cast("array<int>")
 
@@ -118,7 +113,7 @@ def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     lines = F.filter(F.split(F.coalesce("text", F.lit("")), "\n"),
                      lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     base = hashed.select(
-        "doc_id", F.size("words").cast("bigint").alias("n_words"),
+        "doc_id", *carry, F.size("words").cast("bigint").alias("n_words"),
         F.char_length(F.array_join("words", "")).cast("bigint").alias("word_chars"),
         F.regexp_count(F.coalesce("text", F.lit("")), F.lit(SYMBOLS)).cast("bigint")
          .alias("n_symbols"),
@@ -129,7 +124,7 @@ def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     llr = F.aggregate(feats, F.lit(0).cast("bigint"),
                       lambda s, h: s + F.get(w, F.pmod(h, F.lit(buckets)).cast("int")))
     out = wins.select(
-        "doc_id", "n_words", "word_chars", "n_symbols",
+        "doc_id", *carry, "n_words", "word_chars", "n_symbols",
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint").alias("n_dup_lines"),
         F.when(F.size(F.array_distinct("h8")) < F.size("h8"), _repeat_words(F.col("h8")))
          .otherwise(F.lit(0)).cast("bigint").alias("n_repeat_words"),
@@ -139,3 +134,22 @@ def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
         (100 * F.col("n_repeat_words") > MAX_REPEAT_PCT * F.col("n_words"))
     return out.withColumn("base_failed", failed).withColumn(
         "kept", ~F.col("base_failed") & F.coalesce(F.col("score") >= threshold, F.lit(False)))
+
+
+def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
+                  text_col: str = "text", buckets: int = BUCKETS, smoothing: float = SMOOTHING,
+                  threshold: float = THRESHOLD) -> DataFrame:
+    """Per row of ``docs``: the base counts, the mean log ratio ``score`` and ``kept``.
+
+    labels: (doc_id, quality, toxic); documents with quality 1 and toxic 0 are trusted.
+    """
+    return _judged(narrow(docs, id_col, text_col), labels, [], buckets, smoothing, threshold)
+
+
+def kept_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
+                   text_col: str = "text", buckets: int = BUCKETS, smoothing: float = SMOOTHING,
+                   threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that the rules keep, with all their columns."""
+    rows = packed(docs, id_col, text_col).withColumn("body", F.col("text"))
+    good = _judged(rows, labels, ["body", "rest"], buckets, smoothing, threshold).where("kept")
+    return unpacked(good.withColumnRenamed("body", "text"), docs.columns, text_col)

@@ -12,7 +12,7 @@ from tidewater.sources.tables import read_table
 PIECES = "piece_bpe_32k.model"
 
 
-def _vocabulary(name: str) -> str:
+def vocabulary(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
@@ -30,7 +30,7 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
-    return pieces.code_digests(docs, _vocabulary(PIECES))
+    return pieces.code_digests(docs, vocabulary(PIECES))
 
 
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,7 +70,7 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
-    return counts.count_tokens(docs, _vocabulary(PIECES))
+    return counts.count_tokens(docs, vocabulary(PIECES))
 
 
 QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_line_dedup, op3_sentencepiece,
