@@ -57,7 +57,7 @@ def fingerprints(texts: DataFrame, keys: list[str], shingle: int = SHINGLE,
     terms = _terms(texts, keys, shingle)
     each = terms.select(*keys, "n", F.posexplode_outer("t").alias("i", "t")).select(
         *keys, F.col("t").alias("h0"),
-        F.coalesce(F.least(F.get("n", F.col("i")), F.lit(MAX_WEIGHT)), F.lit(0)).cast("bigint")
+        F.least(F.coalesce(F.get("n", F.col("i")), F.lit(0)), F.lit(MAX_WEIGHT)).cast("bigint")
          .alias("w"))
     each = each.select(*keys, "w", F.coalesce("h0", F.lit(0)).alias("h0"),
                        *[F.xxhash64("h0", F.lit(k)).alias(f"h{k}") for k in range(1, halves)])
