@@ -306,7 +306,15 @@ class Codec:
 
 
 def _utf8(run: bytearray) -> str:
-    return run.decode(errors="replace") if run else ""
+    """Decoded bytes; each byte that is not part of a character becomes U+FFFD."""
+    out = []
+    while run:
+        try:
+            return "".join(out) + run.decode()
+        except UnicodeDecodeError as e:
+            out.append(run[:e.start].decode() + "\ufffd")
+            del run[:e.start + 1]
+    return "".join(out)
 
 
 def spans(cuts: list[tuple[str, bytes, str]], align: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

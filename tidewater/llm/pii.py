@@ -73,13 +73,14 @@ SYLLABLES = {"latin": "ba be bi bo bu da de di do du fa fe fi fo ga ge gi go ka
 LETTERS = {"latin": "abcdefghijklmnopqrstuvwxyz", "cyrillic": "абвгдежзиклмнопрстуфхцчшщэюя",
            "greek": "αβγδεζηθικλμνξοπρστυφχψω"}
 
-_TITLE = "|".join(f"(?P<{g}>{'|'.join(ts)})" for g, ts in TITLES.items())
+_TITLES = {g: "|".join(x for t in ts for x in (t, t.upper())) for g, ts in TITLES.items()}
+_TITLE = "|".join(f"(?P<{g}>{ts})" for g, ts in _TITLES.items())
 NAME = re.compile(rf"\b(?:{_TITLE})\.?(?P<words>(?: [^\W\d_a-zа-яα-ω][^\W\d_]+(?!\w)){{1,3}})")
 ENTITY = re.compile("|".join(f"(?P<{k}>{p})" for k, p in
                              ((k, p.replace(r"\1", r"(?P=gap)").replace("([ -]?)", "(?P<gap>[ -]?)"))
                               for k, p in PATTERNS.items())))
 #: What every find contains; texts without it need no scan (checked by Spark itself).
-MAY_HOLD = r"\d{3}|\d\.\d|@|\b(" + "|".join(t for ts in TITLES.values() for t in ts) + r")\b"
+MAY_HOLD = r"\d{3}|\d\.\d|\+\d|@|" + "|".join(_TITLES.values())
 
 
 def script(s: str) -> str:
