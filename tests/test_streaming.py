@@ -21,6 +21,35 @@ def _counts(job):
     return {(r.batch_id, r.word): r.cnt for r in job.counts().collect()}
 
 
+def report_of(job, epoch):
+    """The report file's lines, part after part."""
+    folder = f"{job.out}/report/epoch={epoch}"
+    out = []
+    for name in sorted(f for f in os.listdir(folder) if f.startswith("part-")):
+        with open(os.path.join(folder, name)) as fh:
+            out += fh.read().splitlines()
+    return out
+
+
+def test_report_has_every_word(spark, workdir, capsys):
+    job = WordCountJob(spark, f"{workdir}/job", echo=True)
+    words = sorted(f"w{i}" for i in range(40))
+    job.process_batch(spark.createDataFrame([(" ".join(words + ["a"]),)], "text string"), 0)
+    want = ["Counts at time 0 [", *[f"({w},1)" for w in words], "]", "Dropped 1 word(s) totally"]
+    assert report_of(job, 0) == want
+    assert capsys.readouterr().out.splitlines() == want
+    job.process_batch(spark.createDataFrame([], "text string"), 1)      # no words: no report
+    assert report_of(job, 1) == ["Dropped 1 word(s) totally"]
+
+
+def test_wordcount_job_writes_progress(spark, workdir):
+    job = WordCountJob(spark, f"{workdir}/job")
+    rows = [("x", "t", 0, 5), ("y", "t", 0, 6), ("z", "t", 1, 2)]
+    job.process_batch(spark.createDataFrame(rows, "text string, topic string, partition int, offset long"), 0)
+    got = spark.read.parquet(f"{job.out}/progress/epoch=0").collect()
+    assert sorted(map(tuple, got)) == [("t", 0, 5, 7, 2), ("t", 1, 2, 3, 1)]
+
+
 def test_wordcount_recovers_and_processes_only_new_files(spark, workdir):
     landing, job_dir = f"{workdir}/in", f"{workdir}/job"
     _land(landing, "f1.txt", ["a b x", "x y"], 1_000_000)
@@ -35,11 +64,10 @@ def test_wordcount_recovers_and_processes_only_new_files(spark, workdir):
     assert _counts(job2) == {(0, "x"): 2, (0, "y"): 1, (1, "x"): 1, (1, "z"): 1}
     totals = {r.batch_id: (r.dropped, r.dropped_total) for r in job2.dropped_totals().collect()}
     assert totals == {0: (2, 2), 1: (2, 4)}      # counts of a, b, then c, c; running
-    lines = sorted((r.epoch, r.line) for r in job2.report().collect())
-    assert lines == [(0, "Counts at time 0 [(x,2), (y,1)]"), (0, "Dropped 2 word(s) totally"),
-                     (1, "Counts at time 1 [(x,1), (z,1)]"), (1, "Dropped 4 word(s) totally")]
-    reports = sorted((r.epoch, r.report) for r in job2.counts_report().collect())
-    assert reports == [(0, "Counts at time 0 [(x,2), (y,1)]"), (1, "Counts at time 1 [(x,1), (z,1)]")]
+    assert report_of(job2, 0) == ["Counts at time 0 [", "(x,2)", "(y,1)", "]",
+                                  "Dropped 2 word(s) totally"]
+    assert report_of(job2, 1) == ["Counts at time 1 [", "(x,1)", "(z,1)", "]",
+                                  "Dropped 4 word(s) totally"]
 
     # Nothing new: no batch runs, nothing changes.
     WordCountJob(spark, job_dir).run_available(text_stream(spark, landing))

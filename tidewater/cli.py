@@ -129,7 +129,8 @@ def main(argv: list[str] | None = None) -> None:
         elif a.files:
             stream = text_stream(spark, a.files, max_files_per_trigger=a.max_files_per_trigger)
         elif a.kafka:
-            stream = _kafka_stream(spark, a).select(kafka.value_string().alias("text"))
+            stream = _kafka_stream(spark, a).select(
+                "topic", "partition", "offset", kafka.value_string().alias("text"))
         else:
             raise SystemExit("one of --socket, --files, --kafka is required")
         job = WordCountJob(spark, a.job_dir, [w for w in a.deny.split(",") if w], echo=a.echo)

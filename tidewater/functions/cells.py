@@ -21,8 +21,8 @@ QUOTED_TAGS = ("String", "Date", "Character")
 # Fixed value: the cell name that is never written.
 EXCLUDED_COLUMN = "id"
 
-_BLANK = r"^[\x00-\x20]*$"
 # \z, not $: a Java "$" also matches before a final line terminator.
+_BLANK = r"^[\x00-\x20]*\z"
 IDENTIFIER = r"^[A-Za-z_][A-Za-z0-9_]*\z"
 
 MODES = ("full", "first_segment")
@@ -51,7 +51,7 @@ def cell_value(cell: Column | str, mode: str = "full") -> Column:
     cell = _col(cell)
     if mode == "full":
         pos = F.instr(cell, ":")
-        raw = F.when(pos > 0, cell.substr(pos + 1, F.lit(1 << 30)))
+        raw = F.when(pos > 0, F.substr(cell, pos + 1))
     else:
         raw = F.try_element_at(F.split(cell, ":"), F.lit(2))
     return F.when(~is_blank(raw), raw)

@@ -77,6 +77,14 @@ def batch_progress(records: DataFrame, batch: str = "batch_id") -> DataFrame:
         F.count(F.lit(1)).alias("records"))
 
 
+def batch_ranges(records: DataFrame) -> DataFrame:
+    """K2: the consumed range of each topic partition of one micro-batch."""
+    return records.groupBy(*TP).agg(
+        F.min("offset").cast("long").alias("from_offset"),
+        (F.max("offset") + 1).cast("long").alias("until_offset"),
+        F.count(F.lit(1)).alias("records"))
+
+
 def committed_from_progress(progress: DataFrame) -> DataFrame:
     """Consumer commit per partition from a progress table: the highest
     ``until_offset`` (what a restart resumes from)."""

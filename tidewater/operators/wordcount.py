@@ -17,9 +17,11 @@ from tidewater.operators.joins import join_small
 # The default deny list and the two report line formats.
 DEFAULT_DENY = ("a", "b", "c")
 DROPPED_LINE = "Dropped {total} word(s) totally"
-COUNTS_LINE = "Counts at time {batch} [{pairs}]"
+COUNTS_HEADER = "Counts at time {batch} ["
 COUNTS_PAIR = "({word},{count})"
-COUNTS_SEPARATOR = ", "
+COUNTS_END = "]"
+# Sections of a report, in order.
+HEADER, PAIR, END, COUNTER = range(4)
 
 
 def deny_table(spark: SparkSession, words: Sequence[str] = DEFAULT_DENY) -> DataFrame:
@@ -106,19 +108,18 @@ def dropped_report(total: Column | str) -> Column:
     return fill(DROPPED_LINE, total=t.cast("string"))
 
 
-def top_words(counts: DataFrame, k: int, batch: str = "batch_id") -> DataFrame:
-    """The ``k`` most frequent words per batch (``cnt`` desc, then ``word``),
-    with ``rank``. ``row_number() <= k`` is planned with a partial
-    WindowGroupLimit before the shuffle, so each map task sends at most ``k``
-    rows per batch however large a batch is."""
-    w = Window.partitionBy(batch).orderBy(F.desc("cnt"), F.asc("word"))
-    return counts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+def report_lines(counts: DataFrame, batches: DataFrame, batch: str = "batch_id") -> DataFrame:
+    """the complete report of each batch, a line per row: ``(batch, section, word, line)``.
 
-
-def batch_report(top: DataFrame, batch: str = "batch_id") -> DataFrame:
-    """``Counts at time <batch> [(word,cnt), ...]`` per batch from a
-    bounded ``top_words`` table (at most k entries per line)."""
-    item = fill(COUNTS_PAIR, word=F.col("word"), count=F.col("cnt").cast("string"))
-    g = top.groupBy(batch).agg(F.array_sort(F.collect_list(F.struct("rank", item.alias("s")))).alias("l"))
-    return g.select(batch, fill(COUNTS_LINE, batch=F.col(batch).cast("string"),
-                                pairs=F.array_join(F.col("l.s"), COUNTS_SEPARATOR)).alias("report"))
+    ``Counts at time <batch> [``, one line for each kept word and its count, ``]``. Every pair
+    of ``counts`` has a line, however many there are; in order of batch, section and word
+    the lines read as the report. No row grows with the batch.
+    """
+    pair = fill(COUNTS_PAIR, word=F.col("word"), count=F.col("cnt").cast("string"))
+    pairs = counts.select(batch, F.lit(PAIR).alias("section"), "word", pair.alias("line"))
+    frame = batches.select(batch, F.explode(F.array(
+        F.struct(F.lit(HEADER).alias("section"),
+                 fill(COUNTS_HEADER, batch=F.col(batch).cast("string")).alias("line")),
+        F.struct(F.lit(END).alias("section"), F.lit(COUNTS_END).alias("line")))).alias("f"))
+    frame = frame.select(batch, "f.section", F.lit(None).cast("string").alias("word"), "f.line")
+    return frame.unionByName(pairs)

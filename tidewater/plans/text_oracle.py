@@ -61,13 +61,18 @@ FROM customer""",
 
     "batch_report": f"""
 WITH {CONV_WORDS},
-ranked AS (
-  SELECT batch_id, word, cnt,
-         row_number() OVER (PARTITION BY batch_id ORDER BY cnt DESC, word) AS rn
-  FROM conv_counts WHERE word NOT IN {DENY}
-)
-SELECT batch_id,
-       'Counts at time ' || CAST(batch_id AS VARCHAR) || ' ['
-         || string_agg('(' || word || ',' || CAST(cnt AS VARCHAR) || ')', ', ' ORDER BY rn) || ']' AS report
-FROM ranked WHERE rn <= 10 GROUP BY batch_id""",
+per_batch AS (
+  SELECT batch_id, coalesce(sum(cnt) FILTER (WHERE word IN {DENY}), 0) AS dropped
+  FROM conv_counts GROUP BY batch_id)
+SELECT batch_id, 0 AS section, CAST(NULL AS VARCHAR) AS word,
+       'Counts at time ' || CAST(batch_id AS VARCHAR) || ' [' AS line FROM per_batch
+UNION ALL
+SELECT batch_id, 1, word, '(' || word || ',' || CAST(cnt AS VARCHAR) || ')'
+FROM conv_counts WHERE word NOT IN {DENY}
+UNION ALL
+SELECT batch_id, 2, NULL, ']' FROM per_batch
+UNION ALL
+SELECT batch_id, 3, NULL, 'Dropped '
+       || CAST(CAST(sum(dropped) OVER (ORDER BY batch_id) AS BIGINT) AS VARCHAR)
+       || ' word(s) totally' FROM per_batch""",
 }

@@ -7,26 +7,25 @@ from pyspark.sql import functions as F
 
 from tidewater.functions.cells import snake_column
 from tidewater.operators import wordcount as wc
-from tidewater.operators.partitioning import spread
 from tidewater.sources.tables import read_table
 
 
 def wordcount_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Query 1: ``(word, cnt)`` over every line of every document."""
-    docs = spread(read_table(spark, sf_dir, "documents", ["text"]))
+    docs = read_table(spark, sf_dir, "documents", ["text"])
     return wc.word_counts(docs, wc.deny_table(spark))
 
 
 def dropped_words_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Query 2: one row, the denied words' total count over all documents."""
-    docs = spread(read_table(spark, sf_dir, "documents", ["text"]))
+    docs = read_table(spark, sf_dir, "documents", ["text"])
     denied = wc.keep_denied(wc.text_words(docs), wc.deny_table(spark))
     total = denied.agg(F.count(F.lit(1)).cast("long").alias("dropped"))
     return total.select("dropped", wc.dropped_report("dropped").alias("report"))
 
 
 def _conversation_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    conv = spread(read_table(spark, sf_dir, "conversations", ["turn", "text"]))
+    conv = read_table(spark, sf_dir, "conversations", ["turn", "text"])
     return wc.text_words(conv.withColumnRenamed("turn", "batch_id"), keep=["batch_id"])
 
 
@@ -46,13 +45,14 @@ def dropped_running_total(spark: SparkSession, sf_dir: str) -> DataFrame:
               .withColumn("report", wc.dropped_report("dropped_total")))
 
 
-REPORT_TOP_K = 10
-
-
 def batch_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per batch the report line of its top words (F6, bounded)."""
+    """The complete report of every batch as lines (F6): all kept words with their counts, then
+    the counter."""
     kept = wc.drop_denied(_conversation_counts(spark, sf_dir), wc.deny_table(spark))
-    return wc.batch_report(wc.top_words(kept, REPORT_TOP_K))
+    totals = dropped_running_total(spark, sf_dir)
+    counter = totals.select("batch_id", F.lit(wc.COUNTER).alias("section"),
+                            F.lit(None).cast("string").alias("word"), F.col("report").alias("line"))
+    return wc.report_lines(kept, totals).unionByName(counter)
 
 
 def camel_to_snake(spark: SparkSession, sf_dir: str) -> DataFrame:

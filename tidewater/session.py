@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -74,14 +75,18 @@ def scratch_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
     On a cluster this is the folder named by ``spark.checkpoint.dir`` (it must
-    be on shared storage). Only when the session has none, as in tests and
-    local runs, a fresh local folder is created and registered.
+    be on shared storage). Only when the session has none and its master is
+    local, as in tests, a fresh local folder is created and registered; any
+    other master without the setting is refused, as its executors would write
+    to disks of their own.
     """
     sc = spark.sparkContext
     d = sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
         d = sc.getCheckpointDir()
     if not d:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError(f"set spark.checkpoint.dir to a shared folder (master {sc.master})")
         d = tempfile.mkdtemp(prefix="tidewater-ckpt-")
         sc.setCheckpointDir(d)
         d = sc.getCheckpointDir() or d

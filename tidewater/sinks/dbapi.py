@@ -118,7 +118,7 @@ def _executor(connect: Callable[[], object], key_column: str, paramstyle: str, b
                         out.append((r["table_name"], r["key"], r["segment"], outcome, None))
                     except Exception as e:  # this statement failed; the others go on
                         cur.execute("ROLLBACK TO SAVEPOINT s")
-                        out.append((r["table_name"], r["key"], r["segment"], "error", str(e)[:500]))
+                        out.append((r["table_name"], r["key"], r["segment"], "error", str(e)))
                 cur.executemany(f"INSERT INTO {LEDGER} VALUES ({', '.join(ph)})",
                                 [(batch_id, part) + o for o in out])
                 # Rows yielded before the commit belong to this task attempt only:

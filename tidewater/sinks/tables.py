@@ -48,6 +48,19 @@ def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def read_epoch(spark: SparkSession, path: str, epoch: int, schema: str) -> DataFrame:
+    """One epoch's rows, from its own folder: the cost does not grow with the number of
+    epochs. ``schema`` may include ``epoch``; empty if the folder is absent."""
+    from pyspark.sql import functions as F
+
+    fields = [f for f in spark.createDataFrame([], schema).schema.fields if f.name != "epoch"]
+    plain = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    folder = f"{path.rstrip('/')}/epoch={int(epoch)}"
+    df = (spark.read.schema(plain).parquet(folder) if epoch >= 0 and exists(spark, folder)
+          else spark.createDataFrame([], plain))
+    return df.withColumn("epoch", F.lit(int(epoch)).cast("long"))
+
+
 def read_text_table(spark: SparkSession, path: str) -> DataFrame:
     """Text lines of all epochs: ``value, epoch``; empty if absent."""
     if not exists(spark, path):

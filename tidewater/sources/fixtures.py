@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.operators.partitioning import spread
 from tidewater.sources.tables import read_table
 
 CDC_TOPIC = "cdc"
@@ -138,7 +137,7 @@ def read_cdc_events(spark: SparkSession, sf_dir: str, malformed: bool = True) ->
                           ["c_custkey", "c_name", "c_acctbal", "c_mktsegment"])
     orders = read_table(spark, sf_dir, "orders",
                         ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"])
-    return spread(cdc_events(customer, orders, malformed))
+    return cdc_events(customer, orders, malformed)
 
 
 # Registry framing: magic byte 0, then a 4-byte big-endian schema id.
@@ -160,7 +159,9 @@ def kafka_records(events: DataFrame, value_format: str = "text") -> DataFrame:
         value = body
     elif value_format == "registry":
         magic = F.when((eid % BAD_MAGIC_EVERY) == 0, F.lit("01")).otherwise(F.lit("00"))
-        schema_id = F.lpad(F.hex(F.lit(SCHEMA_ID_BASE) + F.col("user_id")), 8, "0")
+        number = F.lit(SCHEMA_ID_BASE) + F.col("user_id")
+        schema_id = F.when(number < (1 << 32), F.lpad(F.hex(number), 8, "0")).otherwise(
+            F.raise_error(F.lit("schema id above 32 bits")))
         value = F.concat(F.unhex(F.concat(magic, schema_id)), body)
     else:
         raise ValueError(f"unknown value_format {value_format!r}")

@@ -105,7 +105,7 @@ def registry_header(value: str = "value") -> Column:
     short = F.length(v) < REGISTRY_HEADER_BYTES
     status = (F.when(v.isNull() | short, F.lit("short"))
                .when(magic != REGISTRY_MAGIC, F.lit("bad_magic")).otherwise(F.lit("ok")))
-    body = F.when(status == "ok", F.substring(v, REGISTRY_HEADER_BYTES + 1, 1 << 30))
+    body = F.when(status == "ok", F.substr(v, F.lit(REGISTRY_HEADER_BYTES + 1)))
     return F.struct(F.when(~short, magic).alias("magic"),
                     F.when(~short, schema_id).alias("schema_id"),
                     body.alias("body"), status.alias("status"))

@@ -7,11 +7,12 @@ partitioned by epoch and idempotent on replay:
 
 * ``word_counts``: epoch, batch, word, cnt
 * ``dropped``: epoch, batch, dropped
-* ``report``: text, per epoch the batch's ``Counts at time ...`` line(s)
-  and ``Dropped <total> word(s) totally`` (the appended report file of K3)
-* ``counts_report``: epoch, batch, report (``Counts at time <batch> [(w,n), ...]``
-  of the batch's top ``report_top_k`` words - bounded, unlike a line with
-  every word of the batch)
+* ``totals``: epoch, total: the dropped-word counter after the epoch
+* ``progress``: topic, partition, from_offset, until_offset, records (for streams that carry
+  Kafka positions), so that a later job can resume from this one
+* ``report``: text, per epoch the complete report of each batch, one line for every kept word,
+  and ``Dropped <total> word(s) totally`` (the appended report file of K3). The lines are
+  written in order by as many tasks as they need.
 
 ``batch`` is the epoch itself unless ``batch_column`` names a column carried
 by the data (then an epoch may hold several data batches and a data batch may
@@ -27,21 +28,21 @@ from pyspark.sql import functions as F
 
 from tidewater.operators import wordcount as wc
 from tidewater.operators.joins import join_small
-from tidewater.sinks.tables import read_table, read_text_table, write_epoch
+from tidewater.operators.offsets import batch_ranges
+from tidewater.sinks.tables import read_epoch, read_table, read_text_table, write_epoch
 from tidewater.streaming.runner import output_generation, run_available, start
 
 DROPPED_SCHEMA = "batch long, dropped long, epoch long"
+TOTALS_SCHEMA = "total long"
 COUNTS_SCHEMA = "batch long, word string, cnt long, epoch long"
 
 
 class WordCountJob:
     def __init__(self, spark: SparkSession, job_dir: str,
                  deny_words: Sequence[str] = wc.DEFAULT_DENY,
-                 batch_column: str | None = None, report_top_k: int = 10,
-                 echo: bool = False):
+                 batch_column: str | None = None, echo: bool = False):
         self.spark = spark
         self.echo = echo
-        self.report_top_k = report_top_k
         self.checkpoint = f"{job_dir}/checkpoint"
         self.out = output_generation(spark, self.checkpoint, f"{job_dir}/out")
         self.deny_words = tuple(deny_words)
@@ -63,24 +64,28 @@ class WordCountJob:
                  .cast("long").alias("dropped")))
             write_epoch(dropped, f"{self.out}/dropped", epoch)
             kept = flagged.where(F.col("denied").isNull()).select("batch", "word", "cnt")
-            counts_lines = wc.batch_report(wc.top_words(kept, self.report_top_k, "batch"), "batch")
-            write_epoch(counts_lines, f"{self.out}/counts_report", epoch)
-            # Running total: earlier epochs' rows (one per epoch and batch) plus this one.
-            total = (read_table(spark, f"{self.out}/dropped", DROPPED_SCHEMA)
-                     .where(F.col("epoch") <= epoch)
+            # The counter: what stood after the epoch before, and this one's.
+            before = read_epoch(spark, f"{self.out}/totals", epoch - 1, TOTALS_SCHEMA)
+            total = (dropped.select("dropped").unionByName(
+                         before.select(F.col("total").alias("dropped")))
                      .agg(F.coalesce(F.sum("dropped"), F.lit(0)).cast("long").alias("total")))
-            # K3: the report file gets the batch's counts line(s) and the counter line
-            lines = (counts_lines.select(F.col("report").alias("value"))
-                     .unionByName(total.select(wc.dropped_report("total").alias("value"))))
-            write_epoch(lines.coalesce(1), f"{self.out}/report", epoch, fmt="text")
-            if self.echo:   # K4: console lines; both tables are bounded (k words, 1 line)
-                for r in (read_table(spark, f"{self.out}/counts_report",
-                                     "batch long, report string, epoch long")
-                          .where(F.col("epoch") == epoch).orderBy("batch").collect()):
-                    print(r.report, flush=True)
-                for r in read_text_table(spark, f"{self.out}/report").where(
-                        F.col("epoch") == epoch).collect():
-                    print(r.value, flush=True)
+            write_epoch(total, f"{self.out}/totals", epoch)
+            total = read_epoch(spark, f"{self.out}/totals", epoch, TOTALS_SCHEMA)
+            batches = read_epoch(spark, f"{self.out}/dropped", epoch, DROPPED_SCHEMA)
+            # K3: the batches' complete reports, then the counter line.
+            last = F.lit(None).cast("long").alias("batch")
+            counter = total.select(last, F.lit(wc.COUNTER).alias("section"),
+                                   F.lit(None).cast("string").alias("word"),
+                                   wc.dropped_report("total").alias("line"))
+            lines = (wc.report_lines(kept, batches, "batch").unionByName(counter)
+                     .orderBy(F.col("batch").asc_nulls_last(), "section", "word"))
+            write_epoch(lines.select(F.col("line").alias("value")), f"{self.out}/report", epoch,
+                        fmt="text")
+            if {"topic", "partition", "offset"} <= set(df.columns):
+                write_epoch(batch_ranges(df), f"{self.out}/progress", epoch)
+            if self.echo:   # K4: the same lines, one partition at a time
+                for r in lines.toLocalIterator():
+                    print(r.line, flush=True)
         finally:
             flagged.unpersist()
 
@@ -110,10 +115,6 @@ class WordCountJob:
         """``line, epoch``: the report file's lines."""
         return read_text_table(self.spark, f"{self.out}/report").withColumnRenamed("value", "line")
 
-    def counts_report(self) -> DataFrame:
-        return read_table(self.spark, f"{self.out}/counts_report",
-                          "batch long, report string, epoch long")
-
 
 def text_stream(spark: SparkSession, path: str, schema: str = "value string",
                 fmt: str = "text", max_files_per_trigger: int | None = None) -> DataFrame:
