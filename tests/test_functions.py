@@ -80,3 +80,12 @@ def test_identifier_rejects_trailing_newline(spark):
 
     rows = [("customer",), ("customer\n",), ("t; drop",), ("_a1",), ("1a",), (None,)]
     assert _one(spark, rows, "s string", is_identifier("s")) == [True, False, False, True, False, False]
+
+
+def test_only_java_blanks_are_blank(spark):
+    from tidewater.functions.cells import is_blank
+
+    rows = [("",), ("  \t\n\r\x00",), ("\u0085",), ("\u2028",), ("\u2029",), (" \u2028",), ("a\n",)]
+    df = spark.createDataFrame(rows, "v string")
+    got = [r[0] for r in df.select(is_blank("v")).collect()]
+    assert got == [True, True, False, False, False, False, False]

@@ -31,6 +31,17 @@ def test_policies(spark, policy):
         assert all(CASES[p][1] <= o <= CASES[p][2] for p, o in got.items())
 
 
+@pytest.mark.parametrize("policy", POLICIES)
+def test_partitions_without_bounds_are_kept(spark, policy):
+    bounds = spark.createDataFrame([("t", 0, 0, 9), ("t", 2, None, None)],
+                                   "topic string, partition int, earliest long, latest long")
+    committed = spark.createDataFrame([("t", 0, 4), ("t", 1, 6)],
+                                      "topic string, partition int, committed long")
+    got = {r.partition: r.start_offset
+           for r in resolve_start_offsets(committed, bounds, policy).collect()}
+    assert got.keys() == {0, 1, 2} and got[1] == 6 and got[2] == 0
+
+
 def test_starting_offsets_json(spark):
     df = spark.createDataFrame([("t", 0, 5), ("t", 1, -2), ("u", 0, 7)],
                                "topic string, partition int, start_offset long")

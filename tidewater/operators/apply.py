@@ -13,14 +13,13 @@ can compare per column. Semantics, per batch in event order:
   applied (the next batch id present; at ``flush`` when no batch follows). Still no row -> dead letter with reason
   ``zero_rows_after_retry``.
 * Final values: insert values are the base; among the updates applied to a
-  column, the newest ``(batch_id, partition, offset)`` wins - also when an
+  column, the newest ``(batch_id, topic, partition, offset)`` wins - also when an
   older update is applied late by its retry.
 
 Everything below is one aggregate (first insert and event count per key),
 one join of the events with it, and one ``max_by`` fold: all partial-
 aggregate friendly, no window and nothing that gathers a key's events in one
-place. The join broadcasts the per-key table when it fits; otherwise hot keys
-are salted over several tasks.
+place. Hot keys are salted before the join shuffles anything.
 """
 
 from __future__ import annotations
@@ -29,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.operators.changelog import IGNORED, INSERT, UPDATE
-from tidewater.operators.joins import fits, hot_key_join
+from tidewater.operators.joins import hot_key_join
 
 ROW = ["table_name", "key"]
 EVENT_ID = ["batch_id", "topic", "partition", "offset"]
@@ -37,7 +36,7 @@ STATUS_COLUMNS = EVENT_ID + ["attempt", "status", "reason"]
 
 
 def _order() -> Column:
-    return F.struct("batch_id", "partition", "offset")
+    return F.struct("batch_id", "topic", "partition", "offset")
 
 
 def keyed(prepared: DataFrame) -> DataFrame:
@@ -47,41 +46,38 @@ def keyed(prepared: DataFrame) -> DataFrame:
                     .withColumn("ord", _order()))
 
 
+#: Order of keys that are in the target already: before every event.
+BEFORE_ALL = (("batch_id", -1, "long"), ("topic", "", "string"), ("partition", -1, "int"),
+              ("offset", -1, "long"))
+
+
 def first_inserts(valid: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    """``(table_name, key, first_ins)``: the order of each key's first valid
-    insert (a partial aggregate over the inserts only). Keys of ``existing``
-    (already in the target) get the order (-1, -1, -1): every insert of them
-    is a duplicate, every update applies."""
-    ins = valid.where(F.col("route") == INSERT)
-    first = ins.groupBy(*ROW).agg(F.min("ord").alias("first_ins"))
+    """``(table_name, key, first_ins, events)``: the order of each key's first valid insert
+    (null: none) and the number of its events, in one aggregate. Keys of ``existing``
+    (already in the target) come before all events: every insert of them is a duplicate,
+    every update applies."""
+    ins = valid.select(*ROW, F.when(F.col("route") == INSERT, F.col("ord")).alias("first_ins"),
+                       F.lit(1).cast("long").alias("events"))
     if existing is not None:
         # no distinct(): the min() below absorbs duplicate keys
-        pre = existing.select(*ROW).withColumn(
-            "first_ins", F.struct(F.lit(-1).cast("long").alias("batch_id"),
-                                  F.lit(-1).cast("int").alias("partition"),
-                                  F.lit(-1).cast("long").alias("offset")))
-        first = pre.unionByName(first).groupBy(*ROW).agg(F.min("first_ins").alias("first_ins"))
-    return first
+        first = F.struct(*[F.lit(v).cast(t).alias(n) for n, v, t in BEFORE_ALL])
+        ins = ins.unionByName(existing.select(*ROW, first.alias("first_ins"),
+                                              F.lit(0).cast("long").alias("events")))
+    return ins.groupBy(*ROW).agg(F.min("first_ins").alias("first_ins"),
+                                 F.sum("events").alias("_events"))
 
 
-# A key with more events than this is split over several tasks in the join
-# with its first insert (used only when that table is too big to broadcast).
+# A key with more events than this is split over several tasks in the join.
 HOT_KEY_ROWS = 1_000_000
 
 
 def with_first_insert(valid: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    """``valid`` events with their key's ``first_ins`` (null: no insert yet).
-
-    The per-key table is broadcast when it fits the limit; otherwise keys
-    with more than ``HOT_KEY_ROWS`` events (counted by a hash aggregate) are
-    salted over several tasks (``joins.hot_key_join``), so a key holding a
-    third of all events does not land in one task.
-    """
+    """``valid`` events with their key's ``first_ins`` (null: no insert yet). Keys with more
+    than ``HOT_KEY_ROWS`` events are salted before the join (``joins.hot_key_join``), so a
+    key holding a third of all events does not land in one task."""
     first = first_inserts(valid, existing)
-    if fits(first):
-        return valid.join(F.broadcast(first), on=ROW, how="left")
-    counts = valid.groupBy(*ROW).agg(F.count(F.lit(1)).alias("_n"))
-    return hot_key_join(valid, first, ROW, counts, "_n", HOT_KEY_ROWS, ["partition", "offset"])
+    return hot_key_join(valid, first, ROW, "_events", HOT_KEY_ROWS,
+                        ["topic", "partition", "offset"]).drop("_events")
 
 
 def with_next_batch(events: DataFrame, prepared: DataFrame) -> DataFrame:
@@ -89,63 +85,63 @@ def with_next_batch(events: DataFrame, prepared: DataFrame) -> DataFrame:
     (null for the last batch). The window runs over one row per batch id."""
     batches = prepared.select("batch_id").distinct()
     nxt = batches.withColumn("next_batch", F.lead("batch_id").over(Window.orderBy("batch_id")))
-    return events.join(F.broadcast(nxt) if fits(nxt) else nxt, "batch_id", "left")
+    return events.join(nxt, "batch_id", "left")
 
 
-def outcomes(prepared: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    """Every valid insert / update with ``first_status`` (applied, zero_rows,
-    error) and, for zero-row updates, ``retry_status`` (applied, dead_letter).
-
-    One aggregate per key gives its first insert and its event count; the
-    join back is skew-safe (``with_first_insert``).
-    """
-    j = with_next_batch(with_first_insert(keyed(prepared), existing), prepared)
+def first_status(prepared: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+    """Every valid insert / update with ``first_ins`` and ``first_status`` (applied, zero_rows,
+    error)."""
+    j = with_first_insert(keyed(prepared), existing)
     fi, o = F.col("first_ins"), F.col("ord")
     is_ins, is_upd = F.col("route") == INSERT, F.col("route") == UPDATE
-    first_status = (F.when(is_ins & (fi == o), F.lit("applied"))
-                     .when(is_ins, F.lit("error"))
-                     .when(is_upd & fi.isNotNull() & (fi < o), F.lit("applied"))
-                     .otherwise(F.lit("zero_rows")))
+    return j.withColumn("first_status", F.when(is_ins & (fi == o), F.lit("applied"))
+                        .when(is_ins, F.lit("error"))
+                        .when(is_upd & fi.isNotNull() & (fi < o), F.lit("applied"))
+                        .otherwise(F.lit("zero_rows")))
+
+
+def outcomes(prepared: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+    """``first_status`` and, for zero-row updates, ``retry_status`` (applied, dead_letter)."""
+    j = with_next_batch(first_status(prepared, existing), prepared)
     # the retry runs after the next batch that exists (or at flush after the last)
-    nb = F.col("next_batch")
+    fi, nb = F.col("first_ins"), F.col("next_batch")
     retry_ok = fi.isNotNull() & (nb.isNull() | (fi["batch_id"] <= nb))
-    retry_status = F.when(first_status == "zero_rows",
-                          F.when(retry_ok, F.lit("applied")).otherwise(F.lit("dead_letter")))
-    return (j.withColumn("first_status", first_status)
-             .withColumn("retry_status", retry_status))
+    return j.withColumn("retry_status", F.when(
+        F.col("first_status") == "zero_rows",
+        F.when(retry_ok, F.lit("applied")).otherwise(F.lit("dead_letter"))))
+
+
+def _attempt(n: int, status: Column, reason: Column) -> Column:
+    return F.struct(F.lit(n).alias("attempt"), status.alias("status"),
+                    reason.cast("string").alias("reason"))
 
 
 def status_rows(prepared: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """Status table: one row per event attempt (``attempt`` 0 for every event,
-    1 for the retry of a zero-row update)."""
+    1 for the retry of a zero-row update). The outcomes are computed once; each event's
+    attempts leave as an array."""
     out = outcomes(prepared, existing)
-    reason0 = (F.when(F.col("first_status") == "error", F.lit("duplicate_key"))
-                .when(F.col("first_status") == "zero_rows", F.lit("no_matching_row")))
-    first = out.select(*EVENT_ID, F.lit(0).alias("attempt"),
-                       F.col("first_status").alias("status"), reason0.alias("reason"))
-    retry = out.where(F.col("retry_status").isNotNull()).select(
-        *EVENT_ID, F.lit(1).alias("attempt"),
-        F.when(F.col("retry_status") == "applied", F.lit("applied"))
-         .otherwise(F.lit("dead_letter")).alias("status"),
-        F.when(F.col("retry_status") == "dead_letter",
-               F.lit("zero_rows_after_retry")).alias("reason"))
+    fs, rs = F.col("first_status"), F.col("retry_status")
+    first = _attempt(0, fs, F.when(fs == "error", F.lit("duplicate_key"))
+                             .when(fs == "zero_rows", F.lit("no_matching_row")))
+    retry = _attempt(1, rs, F.when(rs == "dead_letter", F.lit("zero_rows_after_retry")))
+    tries = F.when(rs.isNull(), F.array(first)).otherwise(F.array(first, retry))
+    tried = out.select(*EVENT_ID, F.explode(tries).alias("a")).select(*EVENT_ID, "a.*")
     other = prepared.where(F.col("reason").isNotNull() | (F.col("route") == IGNORED)).select(
         *EVENT_ID, F.lit(0).alias("attempt"),
         F.when(F.col("route") == IGNORED, F.lit("ignored")).otherwise(F.lit("rejected")).alias("status"),
         F.col("reason"))
-    return first.unionByName(retry).unionByName(other)
+    return tried.unionByName(other)
 
 
 def dead_letters(prepared: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """K5 / K6: statements that failed (``error``, executor side) or matched
     no row twice (``zero_rows_after_retry``, driver side)."""
-    out = outcomes(prepared, existing)
-    err = out.where(F.col("first_status") == "error").select(
-        *EVENT_ID, F.lit(0).alias("attempt"), F.lit("error").alias("reason"), "statement")
-    zero = out.where(F.col("retry_status") == "dead_letter").select(
-        *EVENT_ID, F.lit(1).alias("attempt"), F.lit("zero_rows_after_retry").alias("reason"),
-        "statement")
-    return err.unionByName(zero)
+    failed = F.col("first_status") == "error"
+    dead = outcomes(prepared, existing).where(failed | (F.col("retry_status") == "dead_letter"))
+    return dead.select(*EVENT_ID, F.when(failed, F.lit(0)).otherwise(F.lit(1)).alias("attempt"),
+                       F.when(failed, F.lit("error")).otherwise(F.lit("zero_rows_after_retry"))
+                        .alias("reason"), "statement")
 
 
 def retry_outcome(prepared: DataFrame, existing: DataFrame | None = None) -> DataFrame:

@@ -1,64 +1,36 @@
-"""Joins against a side whose size is checked before it is broadcast."""
+"""Joins with small sides and with hot keys."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A side is broadcast only when the optimizer's size estimate is below this.
-# Estimates are upper bounds for what our small sides are built from (local
-# relations: exact; filters, aggregates, distinct, semi joins: at most their
-# input; file scans: file size x spark.sql.sources.fileCompressionFactor).
-BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of the optimized plan, None when unknown."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # Spark Connect or a plan without statistics
-        return None
+def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner") -> DataFrame:
+    """Join with a side that is usually small. No hint: the planner broadcasts a local
+    relation of known size, AQE any side whose measured size is under its threshold, and
+    what is larger is joined by sort and merge."""
+    return big.join(small, on=on, how=how)
 
 
-def fits(small: DataFrame, limit_bytes: int | None = None) -> bool:
-    """True when ``small``'s size estimate is known and under the limit
-    (read at call time, so the limit can be changed)."""
-    limit = BROADCAST_LIMIT_BYTES if limit_bytes is None else limit_bytes
-    size = estimated_bytes(small)
-    return size is not None and size <= limit
+def hot_key_join(big: DataFrame, small: DataFrame, keys: list[str], count_col: str, hot_rows: int,
+                 salt_by: list[str]) -> DataFrame:
+    """Left join of ``big`` with ``small`` (at most one row per key) in which no key sends more
+    than about ``hot_rows`` rows of ``big`` to one task.
 
-
-def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
-               limit_bytes: int | None = None) -> DataFrame:
-    """Join ``big`` with ``small``, broadcasting ``small`` only when its
-    estimated size is known and under ``limit_bytes``. Otherwise the join is
-    left to the planner (sort-merge join with AQE; where a hot key can occur
-    on the big side use ``hot_key_join``)."""
-    return big.join(F.broadcast(small) if fits(small, limit_bytes) else small, on=on, how=how)
-
-
-def hot_key_join(big: DataFrame, small: DataFrame, keys: list[str], counts: DataFrame,
-                 count_col: str, hot_rows: int, salt_by: list[str],
-                 how: str = "left") -> DataFrame:
-    """Join ``big`` with ``small`` (at most one row per key) so that no key
-    sends more than about ``hot_rows`` rows of ``big`` to one task.
-
-    ``counts`` gives each key's row count in ``big`` (``count_col``). Keys
-    above ``hot_rows`` - at most ``rows(big) / hot_rows`` of them - are hot:
-    their ``big`` rows are spread over ``ceil(n / hot_rows)`` salts by a
-    deterministic hash of ``salt_by`` (a task retry computes the same salt),
-    and only their ``small`` rows are repeated once per salt. Cold keys keep
-    salt 0. The hot list joins without a hint: AQE broadcasts it at runtime,
-    from its measured (not estimated) size.
+    ``small`` carries each key's number of rows in ``big`` (``count_col``). The keys above
+    ``hot_rows`` are at most rows(big) / hot_rows: this list is broadcast, so the rows of
+    ``big`` get their salts where they are, before anything is shuffled by the key. They
+    are dealt over ``ceil(n / hot_rows)`` salts by a hash of ``salt_by`` (a task retry
+    computes the same one), and only the hot keys' rows of ``small`` are repeated per salt.
     """
-    hot = counts.where(F.col(count_col) > hot_rows).select(
-        *keys, F.ceil(F.col(count_col) / F.lit(hot_rows)).cast("int").alias("_salts"))
-    b = (big.join(hot, keys, "left")
+    salts = F.ceil(F.col(count_col) / F.lit(hot_rows)).cast("int")
+    hot = small.where(F.col(count_col) > hot_rows).select(*keys, salts.alias("_salts"))
+    b = (big.join(F.broadcast(hot), keys, "left")
             .withColumn("_salt", F.when(F.col("_salts").isNull(), F.lit(0))
                         .otherwise(F.pmod(F.xxhash64(*salt_by), F.col("_salts")).cast("int")))
             .drop("_salts"))
-    s = (small.join(hot, keys, "left")
-              .withColumn("_salt", F.explode(F.sequence(
-                  F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - F.lit(1))))
-              .drop("_salts"))
-    return b.join(s, [*keys, "_salt"], how).drop("_salt")
+    s = small.withColumn("_salt", F.explode(F.when(
+        F.col(count_col) > hot_rows, F.sequence(F.lit(0), salts - 1)).otherwise(F.array(F.lit(0)))))
+    return b.join(s, [*keys, "_salt"], "left").drop("_salt")

@@ -49,13 +49,16 @@ def start_offset(policy: str, c: Column, e: Column, l: Column) -> Column:
 
 
 def resolve_start_offsets(committed: DataFrame, bounds: DataFrame, policy: str) -> DataFrame:
-    """S10e: per topic partition of ``bounds``, look up its commit (left join
-    on ``(topic, partition)``) and apply ``policy``.
+    """S10e: combine the commits, earliest and latest offsets of every topic partition that any
+    of the three knows (full join on ``(topic, partition)``) and apply ``policy``.
+    A partition without bounds (nothing written yet, or only its commit is known) has null
+    bounds and starts at its commit, else at 0.
     Output: ``topic, partition, committed, earliest, latest, start_offset``.
     """
-    j = bounds.join(committed.select(*TP, "committed"), TP, "left")
+    j = bounds.join(committed.select(*TP, "committed"), TP, "full")
     c, e, l = F.col("committed"), F.col("earliest"), F.col("latest")
-    return j.select(*TP, c, e, l, start_offset(policy, c, e, l).cast("long").alias("start_offset"))
+    start = F.coalesce(start_offset(policy, c, e, l), c, F.lit(0).cast("long"))
+    return j.select(*TP, c, e, l, start.cast("long").alias("start_offset"))
 
 
 def rate_batches(records: DataFrame, max_per_partition: int,

@@ -33,7 +33,7 @@ def _kind_case(field: int, null_ok: bool = False) -> str:
 
 _PRED = _q(PREDICATE)
 _IDENT = "'^[A-Za-z_][A-Za-z0-9_]*$'"
-_BLANK = r"'^[\x00-\x20]*$'"
+_BLANK = r"'^[\x00-\x20]*\z'"
 
 
 def _blank(x: str) -> str:
@@ -54,7 +54,7 @@ def _literal(tag: str, v: str) -> str:
 CDC_EVENTS = f"""
 cdc_ev AS (
   SELECT 'cdc' AS topic, CAST(c_custkey % 4 AS INTEGER) AS "partition",
-         CAST(CASE WHEN c_custkey % 20 = 0 THEN 2000000000 + c_custkey ELSE c_custkey END AS BIGINT) AS "offset",
+         CAST(c_custkey * 4 + CASE WHEN c_custkey % 20 = 0 THEN 2 ELSE 0 END AS BIGINT) AS "offset",
          CAST(CASE WHEN c_custkey % 20 = 0 THEN 2 ELSE 0 END AS BIGINT) AS batch_id,
          'customer' AS table_name, 'insert' AS action, '' AS where_text,
          ['id', 'custKey', 'custName', 'acctBal', 'mktSegment', 'remark'] AS names,
@@ -63,7 +63,7 @@ cdc_ev AS (
           'String:' || c_mktsegment, 'String: '] AS cell_texts
   FROM customer WHERE c_custkey % 20 <> 10
   UNION ALL
-  SELECT 'cdc', CAST(o_custkey % 4 AS INTEGER), CAST(1000000000 + o_orderkey AS BIGINT), CAST(1 AS BIGINT),
+  SELECT 'cdc', CAST(o_custkey % 4 AS INTEGER), CAST(o_orderkey * 4 + 1 AS BIGINT), CAST(1 AS BIGINT),
          'customer', CASE WHEN o_orderkey % 50 = 0 THEN 'delete' ELSE 'update' END,
          'cust_key=' || o_custkey,
          ['acctBal', 'lastOrderDate', 'remark'],
@@ -71,10 +71,14 @@ cdc_ev AS (
           'Date:' || strftime(o_orderdate, '%Y-%m-%d %H:%M:%S'), 'String:']
   FROM orders
   UNION ALL
-  SELECT 'cdc', CAST(c_custkey % 4 AS INTEGER), CAST(3000000000 + c_custkey * 16 + kind AS BIGINT), CAST(1 AS BIGINT),
+  SELECT 'cdc2', CAST(c_custkey % 4 AS INTEGER), CAST(c_custkey * 4 AS BIGINT), CAST(0 AS BIGINT),
+         'customer', 'insert', '', ['custKey', 'custName'], ['Long:' || c_custkey, 'String:second']
+  FROM customer WHERE c_custkey % 40 = 3
+  UNION ALL
+  SELECT 'cdc', CAST(c_custkey % 4 AS INTEGER), CAST((c_custkey * 32 + kind) * 4 + 3 AS BIGINT), CAST(1 AS BIGINT),
          {_kind_case(1)}, {_kind_case(2)}, {_kind_case(3)},
          [{_kind_case(4)}], [{_kind_case(5)}]
-  FROM (SELECT c_custkey, unnest(range(12)) AS kind FROM customer WHERE c_custkey % 50 = 7)
+  FROM (SELECT c_custkey, unnest(range({len(BAD_KINDS)})) AS kind FROM customer WHERE c_custkey % 50 = 7)
 ),
 cdc_cell AS (
   SELECT topic, "partition", "offset", unnest(names) AS name, unnest(cell_texts) AS cell FROM cdc_ev
@@ -162,8 +166,8 @@ cdc_stmt AS (
   FROM cdc_prep
 )"""
 
-_BEFORE = """(i.batch_id < v.batch_id OR (i.batch_id = v.batch_id AND (i."partition" < v."partition"
-             OR (i."partition" = v."partition" AND i."offset" < v."offset"))))"""
+_BEFORE = """((i.batch_id, i.topic, i."partition", i."offset")
+             < (v.batch_id, v.topic, v."partition", v."offset"))"""
 
 APPLY = f"""{CDC_EVENTS},
 valid AS (
@@ -239,14 +243,15 @@ applied AS (
 ),
 cells AS (
   SELECT a.table_name, a.row_key AS key, c.col AS "column", c.tag AS type, c.v_full AS value,
-         CASE WHEN a.route = 'update' THEN 1 ELSE 0 END AS is_upd, a.batch_id, a."partition", a."offset"
+         CASE WHEN a.route = 'update' THEN 1 ELSE 0 END AS is_upd, a.batch_id, a.topic, a."partition",
+         a."offset"
   FROM applied a JOIN cdc_cells_lit c
     ON c.topic = a.topic AND c."partition" = a."partition" AND c."offset" = a."offset"
   WHERE c.name <> 'id' AND c.v_full IS NOT NULL
 ),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY table_name, key, "column"
-                               ORDER BY is_upd DESC, batch_id DESC, "partition" DESC, "offset" DESC) AS rn
+                               ORDER BY is_upd DESC, batch_id DESC, topic DESC, "partition" DESC, "offset" DESC) AS rn
   FROM cells
 )
 SELECT table_name, key, "column", type, value FROM ranked WHERE rn = 1""",

@@ -18,13 +18,16 @@ CDC_PARTITIONS = 4
 EVENTS_TOPIC = "events"
 EVENTS_PARTITIONS = 8
 
-# Sequence bases: inserts use the customer key, updates start at 1e9, late
-# inserts at 2e9, malformed events at 3e9. The Kafka offset of an event is
-# its sequence number: unique and increasing within a partition. Offsets of a
-# real topic may have gaps as well (compaction, transaction markers).
-UPDATE_BASE = 1_000_000_000
-LATE_BASE = 2_000_000_000
-BAD_BASE = 3_000_000_000
+# The Kafka offset of an event is its sequence number: KINDS times a key, plus
+# the kind. The kinds interleave, so no two events of a topic and partition
+# meet however large the keys are. Offsets of a real topic may have gaps as
+# well (compaction, transaction markers).
+KINDS = 4
+INSERT_KIND, UPDATE_KIND, LATE_KIND, BAD_KIND = range(KINDS)
+# A second topic repeats the insert of some customers at the same partition
+# and offset: only the topic orders the two.
+SECOND_TOPIC = "cdc2"
+SECOND_EVERY = 40
 
 CDC_COLUMNS = ["topic", "partition", "offset", "batch_id", "seq", "tableName",
                "actionType", "columns", "where"]
@@ -58,7 +61,7 @@ def _inserts(customer: DataFrame) -> DataFrame:
         F.lit("remark"), F.lit("String: "))
     return customer.where((k % 20) != 10).select(*_event(
         CDC_TOPIC, k % CDC_PARTITIONS,
-        F.when(late, F.lit(LATE_BASE) + k).otherwise(k),
+        k * KINDS + F.when(late, F.lit(LATE_KIND)).otherwise(F.lit(INSERT_KIND)),
         F.when(late, F.lit(2)).otherwise(F.lit(0)),
         F.lit("customer"), F.lit("insert"), cols, F.lit("")))
 
@@ -72,7 +75,7 @@ def _updates(orders: DataFrame) -> DataFrame:
         F.lit("remark"), F.lit("String:"))
     action = F.when((ok % 50) == 0, F.lit("delete")).otherwise(F.lit("update"))
     return orders.select(*_event(
-        CDC_TOPIC, ck % CDC_PARTITIONS, F.lit(UPDATE_BASE) + ok, F.lit(1),
+        CDC_TOPIC, ck % CDC_PARTITIONS, ok * KINDS + UPDATE_KIND, F.lit(1),
         F.lit("customer"), action, cols, F.concat(F.lit("cust_key="), _s(ck))))
 
 
@@ -112,18 +115,28 @@ def _bad(customer: DataFrame) -> DataFrame:
         for kind, table, action, where, name, cell in BAD_KINDS])
     rows = customer.where((k % 50) == 7).select(k, F.explode(kinds).alias("b"))
     return rows.select(*_event(
-        CDC_TOPIC, k % CDC_PARTITIONS, F.lit(BAD_BASE) + k * 16 + F.col("b.kind"), F.lit(1),
+        CDC_TOPIC, k % CDC_PARTITIONS, (k * 32 + F.col("b.kind")) * KINDS + BAD_KIND, F.lit(1),
         F.col("b.table"), F.col("b.action"), F.col("b.columns"), F.col("b.where")))
 
 
+def _second(customer: DataFrame) -> DataFrame:
+    k = F.col("c_custkey")
+    cols = F.create_map(F.lit("custKey"), F.concat(F.lit("Long:"), _s(k)),
+                        F.lit("custName"), F.lit("String:second"))
+    return customer.where((k % SECOND_EVERY) == 3).select(*_event(
+        SECOND_TOPIC, k % CDC_PARTITIONS, k * KINDS + INSERT_KIND, F.lit(0),
+        F.lit("customer"), F.lit("insert"), cols, F.lit("")))
+
+
 def cdc_events(customer: DataFrame, orders: DataFrame, malformed: bool = True) -> DataFrame:
     """Change events (FIXTURES.md section 3).
 
     Inserts from customers (batch 0; key % 20 = 10 never inserted, key % 20 = 0
     inserted late in batch 2), updates from orders (batch 1, ``delete`` for
-    order key % 50 = 0), and malformed events in batch 1.
+    order key % 50 = 0), repeated inserts in a second topic (batch 0), and
+    malformed events in batch 1.
     """
-    parts = [_inserts(customer), _updates(orders)]
+    parts = [_inserts(customer), _updates(orders), _second(customer)]
     if malformed:
         parts.append(_bad(customer))
     out = parts[0]

@@ -31,7 +31,7 @@ from tidewater.streaming.runner import output_generation, run_available, start
 
 ROW = apply.ROW
 EVENT_ID = apply.EVENT_ID
-_ORD = "struct<batch_id:bigint,partition:int,offset:bigint>"
+_ORD = "struct<batch_id:bigint,topic:string,partition:int,offset:bigint>"
 _CELLS = "array<struct<name:string,column:string,type:string,value:string,literal:string>>"
 
 SCHEMAS = {
