@@ -13,7 +13,6 @@ A hash that a third of all texts hold is one entry for each block.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -21,8 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import shared_partitions
-from tidewater.session import fresh_dir
+from tidewater.llm.common import bucketed, shared_partitions
 
 #: Rows per block: the unit of work in a task's memory.
 ROWS = 512
@@ -34,16 +32,9 @@ def text_blocks(docs: DataFrame, rows: int = ROWS) -> DataFrame:
 
     Rows of a block stand together in the input; ``at`` is unique.
     """
-    spark = docs.sparkSession
-    name = f"text_blocks_{uuid.uuid4().hex}"
     numbered = docs.withColumn("at", F.monotonically_increasing_id())
-    placed = numbered.withColumn("block", F.floor(F.col("at") / rows))
-    placed.write.bucketBy(shared_partitions(spark), "block").option("compression", "zstd") \
-        .option("path", f"{fresh_dir(spark, 'blocks')}/rows").saveAsTable(name)
-    table = spark.table(name)
-    table.schema                    # resolved: the name is not needed any more
-    spark.sql(f"DROP TABLE {name}")
-    return table
+    return bucketed(numbered.withColumn("block", F.floor(F.col("at") / rows)), "text-blocks",
+                    "block")
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +26,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, name: str, *columns: str) -> DataFrame:
+    """As ``written``, dealt by these columns: joins on them do not move this table again."""
+    spark = df.sparkSession
+    table = f"{name}_{uuid.uuid4().hex}".replace("-", "_")
+    df.write.bucketBy(shared_partitions(spark), *columns).option("compression", "zstd") \
+        .option("path", f"{fresh_dir(spark, name)}/rows").saveAsTable(table)
+    out = spark.table(table)
+    out.schema                      # resolved: the name is not needed any more
+    spark.sql(f"DROP TABLE {table}")
+    return out
+
+
 def narrow(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Only the id and text columns, as ``doc_id`` and ``text``; other columns cannot clash."""
     return docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("string").alias("text"))

@@ -11,32 +11,27 @@ from tidewater.llm.common import written
 def components(links: DataFrame) -> DataFrame:
     """(node, root) of the links (a, b) of bigints: the least node of each component.
 
-    Each root hooks on to its least neighbour that is smaller, the chains of hooks
-    are followed by doubling, and the links are contracted to what is left; the
-    number of components falls by a constant factor at least each time. Nodes
-    with very many links cost one combined row each.
+    In each round a node takes the least of its own root, its neighbours' roots and
+    its root's root; the last doubles the way that roots travel, so that long chains
+    take a logarithmic number of rounds. A node with very many links costs one
+    combined row per task.
     """
-    nodes = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    labels = written(nodes.withColumn("root", F.col("node")), "labels")
-    left = written(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-                   .where("a < b").distinct(), "links")
-    while not left.isEmpty():
-        up = written(left.groupBy(F.col("b").alias("c")).agg(F.min("a").alias("p")), "hooks")
-        while True:
-            far = up.select(F.col("c").alias("p"), F.col("p").alias("q"))
-            up = written(up.join(far, "p", "left").select(
-                "c", F.coalesce("q", "p").alias("p"), F.col("q").isNotNull().alias("moved")),
-                "hooks")
-            if up.where("moved").isEmpty():
-                break
-            up = up.select("c", "p")
-        up = up.select("c", "p")
-        labels = written(labels.join(up, labels["root"] == up["c"], "left").select(
-            "node", F.coalesce("p", "root").alias("root")), "labels")
-        a, b = up.select(F.col("c").alias("a"), F.col("p").alias("pa")), \
-            up.select(F.col("c").alias("b"), F.col("p").alias("pb"))
-        met = left.join(a, "a", "left").join(b, "b", "left").select(
-            F.coalesce("pa", "a").alias("x"), F.coalesce("pb", "b").alias("y"))
-        left = written(met.where("x <> y").select(F.least("x", "y").alias("a"),
-                                                  F.greatest("x", "y").alias("b")).distinct(), "links")
-    return labels
+    ways = links.select(F.explode(F.array(F.struct(F.col("a"), F.col("b")),
+                                          F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))
+                        .alias("w")).select("w.a", "w.b")
+    ways = written(ways.distinct(), "ways")
+    labels = written(ways.groupBy(F.col("a").alias("node")).agg(
+        F.least(F.col("a"), F.min("b")).alias("root")), "labels")
+    while True:
+        near = ways.join(labels.select(F.col("node").alias("b"), "root"), "b") \
+            .groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near"))
+        here = labels.join(near, "node").select("node", "root",
+                                                F.least("root", "near").alias("next"))
+        far = labels.select(F.col("node").alias("next"), F.col("root").alias("far"))
+        labels = written(here.join(far, "next").select(
+            "node", F.least("next", "far").alias("root"),
+            (F.least("next", "far") < F.col("root")).alias("moved")), "labels")
+        done = labels.where("moved").isEmpty()
+        labels = labels.select("node", "root")
+        if done:
+            return labels

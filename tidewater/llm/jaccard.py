@@ -12,9 +12,9 @@ the partial counts are summed per pair.
 Documents with equal texts are one class from the start. Pairs are not formed
 within a group: in rounds, the holders of an n-gram are compared with one of
 them, its leader, and linked ones merge; holders in one component need no more
-comparison. When a round links nothing more, the holders outside an n-gram's
-largest component are compared with all holders of other components, so that no
-link between components is lost.
+comparison. Once few comparisons per holder are left, or a round links nothing
+more, the holders outside an n-gram's largest component are compared with all
+holders of other components, so that no link between components is lost.
 
 The number of documents of each n-gram is counted over the whole corpus in bulk
 (``blocks.corpus_classes``); texts are written once and do not move after that.
@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.llm.blocks import classes_of, corpus_classes, mixed, text_blocks
-from tidewater.llm.common import narrow, packed, unpacked, written
+from tidewater.llm.common import bucketed, narrow, packed, unpacked, written
 from tidewater.llm.graph import components
 
 WORDS = 5
@@ -46,6 +46,10 @@ _LOWER[65:91] += 32
 _SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 _BYTE = np.random.default_rng(1).integers(0, 1 << 63, 256, dtype=np.uint64) * 2 + 1
 _ODD = 0x9E3779B97F4A7C15
+#: The fragments of the global order: see ``Sets.segments``.
+FRAGMENTS = range(2, 10)
+#: Comparisons per holder of an n-gram that are made directly.
+FEW = 100
 #: Words are hashed in pieces of so many bytes.
 PIECE = 1 << 21
 
@@ -156,16 +160,17 @@ def _may_link(sa: Column, pa: Column, sb: Column, pb: Column, num: int, den: int
 
 def overlaps(pairs: DataFrame, segments: DataFrame) -> DataFrame:
     """(a, b, sa, sb, inter): partial overlaps per fragment, summed per pair."""
+    each = pairs.select("*", F.explode(F.array(*[F.lit(f) for f in FRAGMENTS])).alias("fragment"))
     a = segments.select(F.col("at").alias("a"), "fragment", F.col("grams").alias("ga"))
     b = segments.select(F.col("at").alias("b"), "fragment", F.col("grams").alias("gb"))
-    partial = pairs.join(a, "a").join(b, ["b", "fragment"]).select(
+    partial = each.join(a, ["a", "fragment"]).join(b, ["b", "fragment"]).select(
         "a", "b", "sa", "sb", F.size(F.array_intersect("ga", "gb")).alias("n"))
     return partial.groupBy("a", "b", "sa", "sb").agg(F.sum("n").alias("inter"))
 
 
 def _links(pairs: DataFrame, segments: DataFrame, num: int, den: int) -> DataFrame:
     """(a, b) of those pairs that are similar enough."""
-    found = overlaps(pairs, segments)
+    found = overlaps(written(pairs, "jaccard-pairs"), segments)
     similar = den * F.col("inter") >= num * (F.col("sa") + F.col("sb") - F.col("inter"))
     return written(found.where(similar).select("a", "b"), "jaccard-links")
 
@@ -193,20 +198,27 @@ def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
                    "jaccard-holders")
 
 
-def similar_components(segments: DataFrame, num: int, den: int) -> DataFrame:
-    """(node, root): components of the links among the texts of ``segments``."""
-    rows = segments.where("fragment is not null").select(
-        "at", "size", "prefix", F.explode(F.arrays_zip("grams", "places")).alias("g")) \
-        .where("g.places < prefix").select(F.col("g.grams").alias("gram"), "at", "size",
-                                           F.col("g.places").alias("place"))
-    many = rows.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
-    rows = written(rows.join(many, "gram"), "jaccard-prefixes")
+def similar_components(rows: DataFrame, segments: DataFrame, num: int, den: int) -> DataFrame:
+    """(node, root): components of the links among the texts of ``segments``.
+
+    rows: (gram, at, size, place) of the first n-grams that several texts hold.
+    """
     spark = rows.sparkSession
     links = spark.createDataFrame([], "a bigint, b bigint")
     labels = spark.createDataFrame([], "node bigint, root bigint")
     turn = 0
     while True:
         holders = _labelled(rows, labels)
+        per = holders.groupBy("gram", "root").agg(F.count("*").alias("n"))
+        main = written(per.groupBy("gram").agg(F.sum("n").alias("all"),
+                                               F.max(F.struct("n", "root")).alias("m")),
+                       "jaccard-main")
+        left = main.agg(F.sum(F.col("all") * (F.col("all") - F.col("m.n"))).alias("pairs"),
+                        F.sum("all").alias("holders")).first()
+        if not left["holders"]:
+            return labels
+        if left["pairs"] <= FEW * left["holders"]:
+            break
         draw = F.xxhash64(F.lit(turn), F.col("at"))
         least = holders.groupBy(F.col("gram").alias("g")).agg(F.min(draw).alias("m"))
         leaders = holders.join(least, (F.col("gram") == F.col("g")) & (draw == F.col("m"))) \
@@ -216,10 +228,8 @@ def similar_components(segments: DataFrame, num: int, den: int) -> DataFrame:
             break
         links, turn = links.unionByName(fresh), turn + 1
         labels = components(links)
-    per = holders.groupBy("gram", "root").agg(F.count("*").alias("n"))
-    main = per.groupBy(F.col("gram").alias("g")).agg(F.max(F.struct("n", "root")).alias("m"))
-    minor = holders.join(main, (F.col("gram") == F.col("g"))
-                         & (F.col("root") != F.col("m.root"))) \
+    minor = holders.join(main.select(F.col("gram").alias("g"), "m"),
+                         (F.col("gram") == F.col("g")) & (F.col("root") != F.col("m.root"))) \
         .select("gram", "at", "size", "place", "root")
     last = _links(_pairs(minor, holders, num, den), segments, num, den)
     return labels if last.isEmpty() else components(links.unionByName(last))
@@ -247,12 +257,17 @@ def _joined(blocks: DataFrame, words: int, num: int, den: int) -> DataFrame:
         out = Sets(rows, words).segments(classes_of(answers), num, den)
         return pd.DataFrame(out, columns=columns).astype({"fragment": "Int32"})
 
-    segments = written(once.groupBy("block").cogroup(counted.groupBy("block")).applyInPandas(
+    cut_up = written(once.groupBy("block").cogroup(counted.groupBy("block")).applyInPandas(
         cut, "at bigint, size bigint, fragment int, grams array<bigint>, places array<int>, "
-             "prefix bigint"), "jaccard-segments")
-    shared = segments.where("fragment is not null")
-    labels = similar_components(shared, num, den)
-    sizes = segments.groupBy(F.col("at").alias("rep")).agg(F.max("size").alias("n_shingles"))
+             "prefix bigint"), "jaccard-sets")
+    shared = cut_up.where("fragment is not null")
+    segments = bucketed(shared.select("at", "fragment", "grams"), "jaccard-segments",
+                        "at", "fragment")
+    first = shared.select("at", "size", "prefix", F.explode(F.arrays_zip("grams", "places"))
+                          .alias("g")).where("g.places < prefix").select(
+        F.col("g.grams").alias("gram"), "at", "size", F.col("g.places").alias("place"))
+    labels = similar_components(written(first, "jaccard-prefixes"), segments, num, den)
+    sizes = cut_up.groupBy(F.col("at").alias("rep")).agg(F.max("size").alias("n_shingles"))
     every = named.join(sizes, "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
     # An empty set links with nothing, not even with its copies.
     every = written(every.select("block", "at", "doc_id", "n_shingles", F.when(
