@@ -3,20 +3,22 @@
 Per micro-batch (epoch ``e``):
 
 1. route, validate, render (``changelog.prepare``) and plan the folded
-   per-key work (``dbapi.plan``: at most three statements per key);
+   per-key work (``dbapi.plan``); the zero-row updates of epoch ``e-1`` join it
+   as ``pending`` work, which runs after this batch's inserts and before its
+   newer updates (their second chance);
 2. execute it once - the outcome rows are written to ``outcomes/epoch=e``
    by that same action, so no statement runs twice (a retried task is
-   answered by the database's ledger);
-3. execute the zero-row work of epoch ``e-1`` once more (its second chance,
-   after this batch's inserts); still no row -> dead letter;
-4. write per-event status and dead letters, then the progress **last**.
+   answered by the database's ledger, which knows the job by an id kept in its
+   folder); folded updates that failed run again event by event;
+3. write per-event status and dead letters (pending work without a row), then
+   the progress **last**; ledger rows of older epochs are deleted.
 
-The ledger key of step 2 is ``2e``, of step 3 ``2e+1``, so they never mix.
 ``flush()`` gives the last epoch's zero-row work its chance at the end.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,16 +27,17 @@ from pyspark.sql import functions as F
 from tidewater.operators import apply, changelog
 from tidewater.operators.joins import join_small
 from tidewater.sinks import dbapi
-from tidewater.sinks.tables import exists, read_table, write_epoch
+from tidewater.sinks.tables import exists, read_epoch, read_table, write_epoch
 from tidewater.streaming.runner import output_generation, run_available, start
 
+FLUSH_BASE = 1 << 60
 ROW = apply.ROW
 EVENT_ID = apply.EVENT_ID
 _CELLS = "array<struct<column:string,type:string,value:string>>"
 SCHEMAS = {
     "work": f"table_name string, key string, segment string, cells {_CELLS}, epoch long",
     "outcomes": f"{dbapi.OUTCOME_SCHEMA}, epoch long",
-    "retry_outcomes": f"{dbapi.OUTCOME_SCHEMA}, epoch long",
+    "event_outcomes": f"{dbapi.OUTCOME_SCHEMA}, epoch long",
     "flush_outcomes": f"{dbapi.OUTCOME_SCHEMA}, epoch long",
     "pending": ("batch_id long, topic string, partition int, offset long, table_name string, "
                 "key string, segment string, statement string, epoch long"),
@@ -63,11 +66,23 @@ class DbApplyJob:
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self._path(name), SCHEMAS[name])
 
-    def _execute(self, work: DataFrame, ledger_id: int, name: str, epoch: int) -> DataFrame:
-        outcomes = dbapi.execute(work, self.connect, self.key_column, ledger_id,
-                                 self.paramstyle, self.tasks)
+    def epoch_of(self, name: str, epoch: int) -> DataFrame:
+        """One epoch's rows, read from its own folder."""
+        return read_epoch(self.spark, self._path(name), epoch, SCHEMAS[name]).drop("epoch")
+
+    @property
+    def job_id(self) -> str:
+        """Written once per output generation: what the ledger knows this job by."""
+        path = self._path("job_id")
+        if not exists(self.spark, path):
+            self.spark.createDataFrame([(uuid.uuid4().hex,)], "value string").write.text(path)
+        return self.spark.read.text(path).first()[0]
+
+    def _execute(self, work: DataFrame, name: str, epoch: int, order: tuple[str, ...] = ()) -> DataFrame:
+        outcomes = dbapi.execute(work, self.connect, self.key_column, epoch, self.paramstyle,
+                                 self.tasks, self.job_id, order)
         write_epoch(outcomes, self._path(name), epoch)     # the one action that runs them
-        return self.table(name).where(F.col("epoch") == epoch).drop("epoch")
+        return self.epoch_of(name, epoch)
 
     # -- one micro-batch ----------------------------------------------------
     def process_batch(self, df: DataFrame, epoch: int) -> None:
@@ -76,16 +91,20 @@ class DbApplyJob:
         try:
             planned, work = dbapi.plan(p)
             write_epoch(work, self._path("work"), epoch)
-            work = self.table("work").where(F.col("epoch") == epoch).drop("epoch")
-            outcomes = self._execute(work, 2 * epoch, "outcomes", epoch)
-            ev_status = dbapi.event_status(planned, outcomes,
+            work = self.epoch_of("work", epoch)
+            outcomes = self._execute(work.unionByName(self._pending_work(epoch - 1)),
+                                     "outcomes", epoch)
+            alone = self._execute(dbapi.single_events(planned, outcomes), "event_outcomes", epoch,
+                                  ("ord",))
+            ev_status = dbapi.event_status(planned, outcomes.unionByName(alone),
                                            keep=("statement", *ROW, "segment"))
             other = p.where(F.col("reason").isNotNull() | (F.col("route") == changelog.IGNORED)) \
                 .select(*EVENT_ID, F.lit(0).alias("attempt"),
                         F.when(F.col("route") == changelog.IGNORED, F.lit("ignored"))
                          .otherwise(F.lit("rejected")).alias("status"), "reason")
             status_rows = ev_status.select(*EVENT_ID, "attempt", "status", "reason").unionByName(other)
-            retry_status, retry_dead = self._second_chance(epoch - 1, 2 * epoch + 1, epoch)
+            retry_status, retry_dead = self._second_chance(
+                epoch - 1, outcomes.where(F.col("segment") == "pending"))
             write_epoch(status_rows.unionByName(retry_status), self._path("status"), epoch)
             dead = ev_status.where(F.col("status") == "error").select(
                 *EVENT_ID, "attempt", F.lit("error").alias("reason"), "statement")
@@ -98,28 +117,33 @@ class DbApplyJob:
                 F.min("offset").alias("from_offset"), (F.max("offset") + 1).alias("until_offset"),
                 F.count(F.lit(1)).alias("records"))
             write_epoch(progress, self._path("progress"), epoch)   # last
+            dbapi.prune(self.connect, self.job_id, epoch - 1, self.paramstyle)
         finally:
             p.unpersist()
 
-    def _second_chance(self, prev: int, ledger_id: int, epoch: int, name: str = "retry_outcomes"):
-        """Re-run epoch ``prev``'s zero-row work; status (attempt 1) and dead letters."""
-        empty_status = self.spark.createDataFrame([], SCHEMAS["status"]).drop("epoch")
-        empty_dead = self.spark.createDataFrame([], SCHEMAS["dead_letter"]).drop("epoch")
-        if prev < 0 or exists(self.spark, self._path(f"flushed/epoch={prev}")):
-            return empty_status, empty_dead      # nothing before, or already flushed
-        done = self.table("outcomes").where(F.col("epoch") == prev)
-        zero = done.where(F.col("outcome") == "zero_rows").select(*ROW, "segment")
-        work = self.table("work").where(F.col("epoch") == prev).drop("epoch")
-        res = self._execute(join_small(work, zero, [*ROW, "segment"], "left_semi"),
-                            ledger_id, name, epoch)
-        pend = self.table("pending").where(F.col("epoch") == prev).drop("epoch")
-        j = join_small(pend, res, [*ROW, "segment"], "left")
-        ok = F.col("outcome") == "applied"
+    def _pending_work(self, prev: int) -> DataFrame:
+        """Epoch ``prev``'s zero-row work, to run once more; none if it was flushed."""
+        work, done = self.epoch_of("work", prev), self.epoch_of("outcomes", prev)
+        if exists(self.spark, self._path(f"flushed/epoch={prev}")):
+            work = work.where(F.lit(False))
+        at = lambda o: join_small(work, done.where(F.col("outcome") == o)
+                                  .select(*ROW, "segment"), [*ROW, "segment"], "left_semi")
+        zero = at("zero_rows").where(F.col("segment") != "insert")
+        newer = at("applied").where(F.col("segment") == "after")
+        return dbapi.without_written(zero, newer)
+
+    def _second_chance(self, prev: int, res: DataFrame):
+        """Status (attempt 1) and dead letters of epoch ``prev``'s pending events."""
+        pend = self.epoch_of("pending", prev)
+        if exists(self.spark, self._path(f"flushed/epoch={prev}")):
+            pend = pend.where(F.lit(False))
+        j = join_small(pend.drop("segment"), res.drop("segment"), ROW, "left")
+        ok = F.coalesce(F.col("outcome") == "applied", F.lit(False))
         status = j.select(*EVENT_ID, F.lit(1).alias("attempt"),
                           F.when(ok, F.lit("applied")).otherwise(F.lit("dead_letter")).alias("status"),
                           F.when(ok, F.lit(None)).otherwise(F.lit("zero_rows_after_retry"))
                            .cast("string").alias("reason"))
-        dead = j.where(~ok | F.col("outcome").isNull()).select(
+        dead = j.where(~ok).select(
             *EVENT_ID, F.lit(1).alias("attempt"), F.lit("zero_rows_after_retry").alias("reason"),
             "statement")
         return status, dead
@@ -130,7 +154,13 @@ class DbApplyJob:
         if r is None or r[0] is None:
             return
         last = int(r[0])
-        status, dead = self._second_chance(last, 2 * last + 1, last, "flush_outcomes")
+        if exists(self.spark, self._path(f"flushed/epoch={last}")):
+            return
+        # Ledger rows of the flush are told apart from the batch's by their batch id.
+        outcomes = dbapi.execute(self._pending_work(last), self.connect, self.key_column,
+                                 FLUSH_BASE + last, self.paramstyle, self.tasks, self.job_id)
+        write_epoch(outcomes, self._path("flush_outcomes"), last)
+        status, dead = self._second_chance(last, self.epoch_of("flush_outcomes", last))
         write_epoch(status, self._path("status_flush"), last)
         write_epoch(dead, self._path("dead_letter_flush"), last)
         # a later batch must not retry this epoch's work again
