@@ -151,5 +151,9 @@ def kept_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
                    threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with all their columns."""
     rows = packed(docs, id_col, text_col).withColumn("body", F.col("text"))
-    good = _judged(rows, labels, ["body", "rest"], buckets, smoothing, threshold).where("kept")
-    return unpacked(good.withColumnRenamed("body", "text"), docs.columns, text_col)
+    judged = _judged(rows, labels, ["body", "rest"], buckets, smoothing, threshold)
+    # Rejected rows leave by an empty explode: a filter would be pushed below the projections
+    # and repeat their work many times over.
+    once = F.when(F.col("kept"), F.array(F.lit(True))).otherwise(F.array().cast("array<boolean>"))
+    good = judged.select(F.col("body").alias("text"), "rest", F.explode(once))
+    return unpacked(good, docs.columns, text_col)
