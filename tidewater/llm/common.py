@@ -56,6 +56,16 @@ def unpacked(rows: DataFrame, columns: list[str], text_col: str) -> DataFrame:
                          for c in columns])
 
 
+def only_where(df: DataFrame, cond: Column) -> DataFrame:
+    """The rows for which ``cond`` holds, left out by an empty explode.
+
+    A filter on computed columns is pushed below the projections that compute them and repeats
+    their work, many times over where they build on each other.
+    """
+    one = F.when(cond, F.array(F.lit(True))).otherwise(F.array().cast("array<boolean>"))
+    return df.select("*", F.explode(one).alias("_one")).drop("_one")
+
+
 def words(text: Column) -> Column:
     """Array of the maximal runs of non-space characters; empty for null or blank text."""
     bare = F.btrim(F.coalesce(text, F.lit("")), F.lit(SPACES))

@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import narrow, packed, unpacked, written
+from tidewater.llm.common import narrow, only_where, packed, unpacked, written
 
 GRAM, WINDOW = 2, 2
 HAS_WORD = r"[^\x20\x09-\x0D]"
@@ -134,7 +134,7 @@ def cut_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                   gram: int = GRAM, window: int = WINDOW) -> DataFrame:
     """The rows of ``docs`` with their texts cut; a text that loses all its lines goes."""
     cut = _cut(packed(docs, id_col, text_col), ["rest"], gram, window)
-    left = cut.where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_lines")))
+    left = only_where(cut, (F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_lines")))
     return unpacked(left, docs.columns, text_col)
 
 

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import narrow, packed, unpacked, words, written
+from tidewater.llm.common import narrow, only_where, packed, unpacked, words, written
 
 BUCKETS = 1 << 17
 SMOOTHING = 1.0
@@ -152,8 +152,5 @@ def kept_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     """The rows of ``docs`` that the rules keep, with all their columns."""
     rows = packed(docs, id_col, text_col).withColumn("body", F.col("text"))
     judged = _judged(rows, labels, ["body", "rest"], buckets, smoothing, threshold)
-    # Rejected rows leave by an empty explode: a filter would be pushed below the projections
-    # and repeat their work many times over.
-    once = F.when(F.col("kept"), F.array(F.lit(True))).otherwise(F.array().cast("array<boolean>"))
-    good = judged.select(F.col("body").alias("text"), "rest", F.explode(once))
+    good = only_where(judged, F.col("kept")).select(F.col("body").alias("text"), "rest")
     return unpacked(good, docs.columns, text_col)
