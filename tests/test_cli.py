@@ -21,7 +21,7 @@ def test_cli_wordcount_once(spark, workdir):
 
 
 def test_cli_cdc_apply_once_with_flush(spark, workdir):
-    ev = read_cdc_events(spark, SF_SMALL).where(F.col("batch_id") == 0).drop("batch_id")
+    ev = read_cdc_events(spark, SF_SMALL).where("batch_id = 0 and topic = 'cdc'").drop("batch_id")
     ev.write.parquet(f"{workdir}/in")
     cli.main(["cdc-apply", "--files", f"{workdir}/in", "--job-dir", f"{workdir}/job",
               "--once", "--flush"])
@@ -41,7 +41,7 @@ def test_cli_cdc_apply_to_database(spark, workdir):
                 "mkt_segment TEXT, remark TEXT)")
     con.commit()
     con.close()
-    ev = read_cdc_events(spark, SF_SMALL).where(F.col("batch_id") == 0).drop("batch_id")
+    ev = read_cdc_events(spark, SF_SMALL).where("batch_id = 0 and topic = 'cdc'").drop("batch_id")
     ev.write.parquet(f"{workdir}/in")
     cli.main(["cdc-apply", "--files", f"{workdir}/in", "--job-dir", f"{workdir}/job", "--once",
               "--db-module", "sqlite3", "--db-args", json.dumps({"database": db, "timeout": 60})])

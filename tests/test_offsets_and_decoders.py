@@ -15,6 +15,8 @@ EXPECTED = {
     "latest":          {0: 0, 1: 100, 2: 100, 3: 100, 4: 100, 5: 100, 6: 0},
     "resume_latest":   {0: 0, 1: 50, 2: 100, 3: 100, 4: 10, 5: 100, 6: 7},
     "resume_earliest": {0: 0, 1: 50, 2: 10, 3: 120, 4: 10, 5: 100, 6: 7},
+    "group":           {0: 0, 1: 50, 2: 100, 3: 100, 4: 10, 5: 100, 6: 7},
+    "group_latest":    {0: 0, 1: 100, 2: 100, 3: 100, 4: 100, 5: 100, 6: 7},
 }
 
 
@@ -105,3 +107,38 @@ def spark_max(c):
     from pyspark.sql import functions as F
 
     return F.max(c)
+
+
+@pytest.mark.parametrize("policy", ["group", "group_latest"])
+def test_first_use_of_a_group_starts_at_zero(spark, policy):
+    bounds = spark.createDataFrame([("t", 0, 5, 9), ("t", 1, 7, 8)],
+                                   "topic string, partition int, earliest long, latest long")
+    none = spark.createDataFrame([], "topic string, partition int, committed long")
+    got = [r.start_offset for r in resolve_start_offsets(none, bounds, policy).collect()]
+    assert got == [0, 0]
+
+
+def test_undecodable_json_is_kept(spark):
+    from tidewater.cli import cdc_from_kafka
+
+    rows = [(b'{"tableName": "c", "actionType": "insert", "columns": {"custKey": "Long:1"}, "where": ""}',),
+            (b"no json",), (None,)]
+    df = spark.createDataFrame([("t", 0, i, *r) for i, r in enumerate(rows)],
+                               "topic string, partition int, offset long, value binary")
+    got = {r.offset: (r.undecodable, r.tableName) for r in cdc_from_kafka(df, "json").collect()}
+    assert got == {0: (False, "c"), 1: (True, None), 2: (True, None)}
+
+
+def test_key_option():
+    from tidewater.cli import key_option
+
+    assert key_option("a") == ("a",) and key_option("a,b") == ("a", "b")
+    assert key_option('{"t": ["a", "b"], "": "k"}') == {"t": ("a", "b"), None: ("k",)}
+
+
+def test_key_values_of_a_key_text():
+    from tidewater.sinks.dbapi import key_values
+
+    assert key_values("a,b", 1) == ["a,b"]
+    assert key_values(r"a\\b and c=1,\,", 2) == [r"a\b and c=1", ","]
+    assert key_values(",x", 2) == ["", "x"]

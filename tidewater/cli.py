@@ -59,19 +59,25 @@ def _kafka_stream(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
     return kafka.read_kafka_stream(spark, opts)
 
 
-def cdc_from_kafka(records: DataFrame, value_format: str, avro_schema: str | None = None) -> DataFrame:
+def cdc_from_kafka(records: DataFrame, value_format: str, avro_schema: str | None = None,
+                   writer_schemas: dict[int, str] | None = None) -> DataFrame:
     """Kafka records -> change events with their topic / partition / offset."""
     if value_format == "json":
-        ev = kafka.value_json(CDC_EVENT_SCHEMA)
+        ev = kafka.value_json(CDC_EVENT_SCHEMA, corrupt="_bad")
     elif value_format == "avro":
         if not avro_schema:
             raise SystemExit("--avro-schema is required for --value-format avro")
-        ev = kafka.registry_avro(avro_schema)
+        ev = kafka.registry_avro(avro_schema, writer_schemas=writer_schemas)
     else:
         raise SystemExit(f"unknown value format {value_format!r}")
-    return (records.select("topic", "partition", "offset", ev.alias("e"))
-                   .where(F.col("e").isNotNull())
-                   .select("topic", "partition", "offset", F.col("offset").alias("seq"), "e.*"))
+    e = records.select("topic", "partition", "offset", ev.alias("e"))
+    bad = F.col("e").isNull()
+    if value_format == "json":
+        bad = bad | F.col("e._bad").isNotNull()
+    # A record that cannot be decoded stays: it is rejected with its reason and counted.
+    fields = [F.col(f"e.{c}") for c in ("tableName", "actionType", "columns", "`where`")]
+    return e.select("topic", "partition", "offset", F.col("offset").alias("seq"), *fields,
+                    bad.alias("undecodable"))
 
 
 def build_parser() -> argparse.ArgumentParser:
@@ -88,7 +94,7 @@ def build_parser() -> argparse.ArgumentParser:
         sp.add_argument("--group")
         sp.add_argument("--starting-offsets", help="earliest, latest or startingOffsets JSON")
         sp.add_argument("--start-policy", choices=["zero", "latest", "resume_latest",
-                                                   "resume_earliest"],
+                                                   "resume_earliest", "group", "group_latest"],
                         help="with --resume-from: start offsets from a previous job's commits")
         sp.add_argument("--resume-from", metavar="JOB_DIR", help="previous job folder")
         sp.add_argument("--rate-per-partition", type=int, help="records/s per partition")
@@ -107,7 +113,13 @@ def build_parser() -> argparse.ArgumentParser:
     c.add_argument("--files", metavar="DIR", help="Kafka-shaped parquet change events")
     c.add_argument("--value-format", choices=["json", "avro"], default="json")
     c.add_argument("--avro-schema", help="reader schema (JSON text) for registry-framed Avro")
-    c.add_argument("--key-column", default="cust_key")
+    c.add_argument("--writer-schemas", default="{}",
+                   help="JSON object: registry schema id -> writer schema (JSON text)")
+    c.add_argument("--key-column", default="cust_key",
+                   help="key column, several joined by commas, or a JSON object of them by table "
+                        "(the entry \"\" holds for all others)")
+    c.add_argument("--value-mode", choices=["full", "first_segment"], default="full",
+                   help="how a cell's value is read: all after the first colon, or up to the next")
     c.add_argument("--db-module", help="apply to a database: DB-API module name (e.g. sqlite3)")
     c.add_argument("--db-args", default="{}", help="JSON keyword arguments of its connect()")
     c.add_argument("--flush", action="store_true",
@@ -115,6 +127,14 @@ def build_parser() -> argparse.ArgumentParser:
     return p
 
 
+def key_option(text: str):
+    """``--key-column`` as the jobs take it."""
+    split = lambda v: tuple(v) if isinstance(v, list) else tuple(v.split(","))
+    if not text.lstrip().startswith("{"):
+        return split(text)
+    return {(t or None): split(v) for t, v in json.loads(text).items()}
+
+
 def _trigger(a: argparse.Namespace) -> dict:
     return {"availableNow": True} if a.once else {"processingTime": f"{a.interval} seconds"}
 
@@ -141,16 +161,17 @@ def main(argv: list[str] | None = None) -> None:
                 r = r.option("maxFilesPerTrigger", str(a.max_files_per_trigger))
             stream = r.parquet(a.files)
         elif a.kafka:
-            stream = cdc_from_kafka(_kafka_stream(spark, a), a.value_format, a.avro_schema)
+            stream = cdc_from_kafka(_kafka_stream(spark, a), a.value_format, a.avro_schema,
+                                    {int(k): v for k, v in json.loads(a.writer_schemas).items()})
         else:
             raise SystemExit("one of --files, --kafka is required")
         if a.db_module:
             mod = importlib.import_module(a.db_module)
             connect = functools.partial(mod.connect, **json.loads(a.db_args))
-            job = DbApplyJob(spark, a.job_dir, connect, a.key_column,
-                             paramstyle=getattr(mod, "paramstyle", "qmark"))
+            job = DbApplyJob(spark, a.job_dir, connect, key_option(a.key_column),
+                             paramstyle=getattr(mod, "paramstyle", "qmark"), mode=a.value_mode)
         else:
-            job = CdcApplyJob(spark, a.job_dir, a.key_column)
+            job = CdcApplyJob(spark, a.job_dir, key_option(a.key_column), mode=a.value_mode)
     q = job.start(stream, _trigger(a))
     q.awaitTermination()
     if q.exception() is not None:

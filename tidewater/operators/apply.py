@@ -189,11 +189,13 @@ def final_state(prepared: DataFrame) -> DataFrame:
 
 
 def to_wide(state: DataFrame, columns: list[str] | tuple[str, ...]) -> DataFrame:
-    """The long target as rows: one per ``(table_name, key)`` with one column
-    per name in ``columns`` (values as text; absent cells are null).
+    """The long target as rows: one per ``(table_name, key)`` with one column per name in
+    ``columns`` (values as text; absent cells are null) and ``unlisted``: the names of the
+    key's other columns, joined by commas (null: none), so that none is lost unseen.
 
-    ``pivot`` with the values given up front: no extra pass to discover them,
-    and the aggregate has at most ``len(columns)`` inputs per key.
+    Plain aggregates with the columns given up front: no extra pass to discover them.
     """
-    return (state.groupBy(*ROW).pivot("column", list(columns))
-                 .agg(F.first("value")))
+    values = [F.max(F.when(F.col("column") == c, F.col("value"))).alias(c) for c in columns]
+    others = F.collect_set(F.when(~F.col("column").isin(*columns), F.col("column")))
+    names = F.array_join(F.array_sort(others), ",")
+    return state.groupBy(*ROW).agg(*values, F.when(F.size(others) > 0, names).alias("unlisted"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.functions.cells import (EXCLUDED_COLUMN, IDENTIFIER, cell_type,
+from tidewater.functions.cells import (EXCLUDED_COLUMN, IDENTIFIER, QUOTED_TAGS, cell_type,
                                        cell_value, is_blank, is_identifier,
                                        snake_column, sql_literal)
 from tidewater.functions.text import fill
@@ -23,12 +23,23 @@ UPDATE_FORMAT = "update {table} set {assignments} where {where}"
 ASSIGNMENT_FORMAT = "{column}={value}"
 LIST_SEPARATOR = ","
 
-# Accepted update predicate: <column> = <number or quoted string>.
-PREDICATE = (r"^\s*([A-Za-z_][A-Za-z0-9_]*)\s*=\s*"
-             r"(-?[0-9]+(?:\.[0-9]+)?|'(?:[^']|'')*')\s*\z")
+# Accepted update predicate: <column> = <number or quoted string>, and more of
+# them joined by "and".
+_TERM = (r"([A-Za-z_][A-Za-z0-9_]*)\s*=\s*"
+         r"(-?[0-9]+(?:\.[0-9]+)?(?![A-Za-z0-9_.])|'(?:[^']|'')*')")
+_PLAIN = _TERM.replace("([A-Za-z_]", "(?:[A-Za-z_]").replace("(-?", "(?:-?")
+PREDICATE = rf"^\s*{_PLAIN}(?:\s+(?i:and)\s+{_PLAIN})*\s*\z"
+_NUMBER = r"^-?[0-9]+(\.[0-9]+)?\z"
 
-REJECT_REASONS = ("bad_identifier", "no_columns", "missing_key", "missing_where",
+#: Key columns of a table: one name, several, or a table of them by table name,
+#: where the entry None holds for all others.
+KeyColumns = str | tuple[str, ...] | dict[str | None, str | tuple[str, ...]]
+DEFAULT_KEY = "cust_key"
+
+REJECT_REASONS = ("undecodable", "bad_identifier", "no_columns", "missing_key", "missing_where",
                   "unsupported_predicate")
+# The route of a record that could not be decoded (``events.undecodable``).
+UNDECODABLE = "undecodable"
 
 
 def route(action: Column | str = "actionType") -> Column:
@@ -38,10 +49,43 @@ def route(action: Column | str = "actionType") -> Column:
              .otherwise(F.lit(IGNORED)))
 
 
-def kept_cells(columns: Column | str = "columns", mode: str = "full") -> Column:
-    """array<struct<name, column, type, value, literal>> of the cells that are
-    written: sorted by name, ``id`` dropped (C2), no-value cells dropped (C3).
-    """
+def key_columns(keys: KeyColumns, table: str | None) -> tuple[str, ...]:
+    """The key columns of one table."""
+    if isinstance(keys, dict):
+        keys = keys.get(table, keys.get(None, DEFAULT_KEY))
+    return (keys,) if isinstance(keys, str) else tuple(keys)
+
+
+def key_names(keys: KeyColumns, table: Column) -> Column:
+    """array<string> of the key columns of each row's table."""
+    def names(t: str | None) -> Column:
+        return F.array(*[F.lit(c) for c in key_columns(keys, t)])
+
+    out = names(None)
+    for t in (keys if isinstance(keys, dict) else ()):
+        if t is not None:
+            out = F.when(table == t, names(t)).otherwise(out)
+    return out
+
+
+def key_text(values: Column) -> Column:
+    """One text for the values of a key: the value itself, or for several all of them with
+    ``\\`` and ``,`` escaped, joined by ``,``. Null if one is null."""
+    escaped = F.transform(values, lambda v: F.regexp_replace(v, r"([\\,])", r"\\$1"))
+    return F.when(F.exists(values, lambda v: v.isNull()), F.lit(None).cast("string")) \
+        .when(F.size(values) == 1, F.get(values, F.lit(0))).otherwise(F.array_join(escaped, ","))
+
+
+def number_text(v: Column) -> Column:
+    """A number written one way: no leading zeros, no trailing zeros of a fraction (007 is 7)."""
+    v = F.regexp_replace(v, r"^(-?)0+(?=[0-9])", "$1")
+    v = F.when(v.contains("."), F.regexp_replace(v, r"\.?0+\z", "")).otherwise(v)
+    return F.when(v == "-0", F.lit("0")).otherwise(v)
+
+
+def all_cells(columns: Column | str = "columns", mode: str = "full") -> Column:
+    """array<struct<name, column, type, value, literal>> of the cells with a value, sorted by
+    name; no-value cells are dropped (C3)."""
     m = F.col(columns) if isinstance(columns, str) else columns
     entries = F.sort_array(F.map_entries(m))   # by key; no comparator lambda
 
@@ -51,8 +95,16 @@ def kept_cells(columns: Column | str = "columns", mode: str = "full") -> Column:
                         tag.alias("type"), val.alias("value"),
                         sql_literal(tag, val).alias("literal"))
 
-    described = F.transform(entries, describe)
-    return F.filter(described, lambda c: (c["name"] != EXCLUDED_COLUMN) & c["value"].isNotNull())
+    return F.filter(F.transform(entries, describe), lambda c: c["value"].isNotNull())
+
+
+def kept_cells(columns: Column | str = "columns", mode: str = "full") -> Column:
+    """The cells that are written: ``all_cells`` without ``id``."""
+    return _written(all_cells(columns, mode))
+
+
+def _written(cells: Column) -> Column:
+    return F.filter(cells, lambda c: c["name"] != EXCLUDED_COLUMN)
 
 
 def _render(table: Column, rt: Column, where: Column, kept: Column) -> Column:
@@ -75,22 +127,27 @@ def _first_segment(c: Column) -> Column:
                     v.alias("value"), sql_literal(c["type"], v).alias("literal"))
 
 
-def _unquote(lit: Column) -> Column:
+def _literal_value(lit: Column) -> Column:
+    """The value of a predicate's literal: quotes off, numbers written one way."""
     inner = F.regexp_replace(F.regexp_replace(lit, r"^'|'$", ""), "''", "'")
-    return F.when(lit.startswith("'"), inner).otherwise(lit)
+    return F.when(lit.startswith("'"), inner).otherwise(number_text(lit))
 
 
-def prepare(events: DataFrame, key_column: str = "cust_key", mode: str = "full",
+def prepare(events: DataFrame, key_column: KeyColumns = DEFAULT_KEY, mode: str = "full",
             compat: bool = True) -> DataFrame:
-    """Adds ``route``, ``cells`` (kept cells), ``key`` (row key as text),
+    """Adds ``route``, ``cells`` (kept cells), ``key`` (row key as text, ``key_text``),
     ``reason`` (null or a reject reason), ``statement`` (rendered SQL text,
     null when rejected or ignored) and, with ``compat``, ``statement_compat``:
     the text rendered with first-segment cell values.
 
     Rules: a table or column name must be an identifier (L5); an update needs
-    a predicate ``key_column = literal`` (L2, L6; never an update without
-    one); insert and update need at least one written cell (L2); an insert
-    must carry the key column.
+    a predicate that gives each key column of its table a literal, joined by
+    ``and``, and nothing else (L2, L6; never an update without one); insert
+    and update need at least one written cell (L2); an insert must carry the
+    key columns (``id`` may be one: it is not written, but it identifies the
+    row). Numbers in keys are compared by value. A record that could not be
+    decoded (``undecodable`` true, where the events have that column) is
+    rejected.
 
     The kept cells are computed once per event and every other column is
     derived from them inside one lambda; the result leaves through
@@ -103,21 +160,41 @@ def prepare(events: DataFrame, key_column: str = "cust_key", mode: str = "full",
     # Row-level facts in one codegen'd projection, before the Generate; the
     # lambda below only reads them.
     w = F.coalesce(where, F.lit(""))
-    pred_col = F.regexp_extract(w, PREDICATE, 1)      # "" when no match (anchored)
-    base = (events.withColumn("route", route("actionType"))
+    terms = w.rlike(PREDICATE)
+    names = F.when(terms, F.regexp_extract_all(w, F.lit(_TERM), F.lit(1)))
+    keys = F.col("_keys")
+    # Every key column once, nothing else.
+    parsed = F.coalesce((F.size("_names") == F.size(keys))
+                        & (F.size(F.array_except(keys, F.col("_names"))) == 0), F.lit(False))
+    literal = F.transform(keys, lambda k: F.get("_literals", F.array_position("_names", k)
+                                                .cast("int") - 1))
+    rts = route("actionType")
+    if "undecodable" in events.columns:
+        rts = F.when(F.col("undecodable"), F.lit(UNDECODABLE)).otherwise(rts)
+    base = (events.withColumn("route", rts)
                   .withColumn("_table_ok", is_identifier(table))
                   .withColumn("_where_blank", is_blank(where))
-                  .withColumn("_parsed", pred_col == key_column)
-                  .withColumn("_pred_key", F.when(pred_col == key_column,
-                                                  _unquote(F.regexp_extract(w, PREDICATE, 2)))))
+                  .withColumn("_keys", key_names(key_column, table))
+                  .withColumn("_names", names)
+                  .withColumn("_literals", F.when(terms, F.regexp_extract_all(
+                      w, F.lit(_TERM), F.lit(2))))
+                  .withColumn("_parsed", parsed)
+                  .withColumn("_pred_key", F.when(F.col("_parsed"), key_text(F.transform(
+                      literal, _literal_value)))))
     parsed = F.col("_parsed")
 
     def facts(b: Column) -> Column:
-        cells = b["cells"]
+        every, cells = b["all"], _written(b["all"])
+
+        def key_value(k: Column) -> Column:
+            c = F.get(F.filter(every, lambda c: c["column"] == k), 0)
+            number = ~c["type"].isin(*QUOTED_TAGS) & c["value"].rlike(_NUMBER)
+            return F.when(F.coalesce(number, F.lit(False)), number_text(c["value"])) \
+                .otherwise(c["value"])
+
         fields = [cells.alias("cells"),
                   F.forall(cells, lambda c: c["column"].rlike(IDENTIFIER)).alias("cols_ok"),
-                  F.get(F.filter(cells, lambda c: c["column"] == key_column), 0)["value"]
-                  .alias("ins_key")]
+                  key_text(F.transform(F.col("_keys"), key_value)).alias("ins_key")]
         if compat and mode != "full":
             fields.append(b["first"].alias("first"))
         return F.struct(*fields)
@@ -125,7 +202,8 @@ def prepare(events: DataFrame, key_column: str = "cust_key", mode: str = "full",
     def derive(b: Column) -> Column:
         cells, ins_key = b["cells"], b["ins_key"]
         key = F.when(rt == INSERT, ins_key).when((rt == UPDATE) & parsed, F.col("_pred_key"))
-        reason = (F.when(rt == IGNORED, F.lit(None))
+        reason = (F.when(rt == UNDECODABLE, F.lit("undecodable"))
+                   .when(rt == IGNORED, F.lit(None))
                    .when(~F.col("_table_ok") | ~b["cols_ok"], F.lit("bad_identifier"))
                    .when((rt == INSERT) & (F.size(cells) == 0), F.lit("no_columns"))
                    .when((rt == INSERT) & ins_key.isNull(), F.lit("missing_key"))
@@ -148,16 +226,16 @@ def prepare(events: DataFrame, key_column: str = "cust_key", mode: str = "full",
             fields.append(F.when(ok, _render(table, rt, where, b["first"])).alias("statement_compat"))
         return F.struct(*fields)
 
-    cells = kept_cells("columns", mode)
+    cells = all_cells("columns", mode)
     if compat and mode == "full":
         # The first-segment value is the full value up to its first ":" (a
         # prefix: blank full means blank first); it is derived from the kept
         # cells in ``derive``, only for events that have such a value.
-        bundle = [cells.alias("cells")]
+        bundle = [cells.alias("all")]
     elif compat:
-        bundle = [cells.alias("cells"), kept_cells("columns", "first_segment").alias("first")]
+        bundle = [cells.alias("all"), kept_cells("columns", "first_segment").alias("first")]
     else:
-        bundle = [cells.alias("cells")]
+        bundle = [cells.alias("all")]
     derived = F.transform(F.transform(F.array(F.struct(*bundle)), facts), derive)
     return base.select("*", F.explode(derived).alias("_p")).select(*events.columns, "route", "_p.*")
 

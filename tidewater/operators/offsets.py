@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 TP = ["topic", "partition"]
 
-POLICIES = ("zero", "latest", "resume_latest", "resume_earliest")
+POLICIES = ("zero", "latest", "resume_latest", "resume_earliest", "group", "group_latest")
 
 
 def log_bounds(records: DataFrame, retained_from: Column | None = None) -> DataFrame:
@@ -36,6 +36,10 @@ def start_offset(policy: str, c: Column, e: Column, l: Column) -> Column:
       ``[earliest, latest]``, else latest; earliest without a commit.
     * ``resume_earliest`` (S10d): the commit raised to earliest (no upper
       check); earliest without a commit.
+    * ``group`` (the whole rule in one): without a commit for any partition, 0
+      everywhere (first use); else the commit when it lies within the log, latest
+      when it does not, earliest for a partition without one.
+    * ``group_latest``: first use as before; else latest (earliest without a commit).
     """
     if policy == "zero":
         return F.coalesce(c, F.lit(0).cast("long"))
@@ -45,6 +49,11 @@ def start_offset(policy: str, c: Column, e: Column, l: Column) -> Column:
         return F.when(c.isNull(), e).when((c < e) | (c > l), l).otherwise(c)
     if policy == "resume_earliest":
         return F.when(c.isNull(), e).otherwise(F.greatest(c, e))
+    if policy in ("group", "group_latest"):
+        # ``any_commit``: whether the group has a commit for any partition (see below)
+        known = F.when((c < e) | (c > l), l).otherwise(c) if policy == "group" else l
+        return F.when(~F.col("any_commit"), F.lit(0).cast("long")) \
+            .otherwise(F.when(c.isNull(), e).otherwise(known))
     raise ValueError(f"policy must be one of {POLICIES}, got {policy!r}")
 
 
@@ -56,6 +65,8 @@ def resolve_start_offsets(committed: DataFrame, bounds: DataFrame, policy: str)
     Output: ``topic, partition, committed, earliest, latest, start_offset``.
     """
     j = bounds.join(committed.select(*TP, "committed"), TP, "full")
+    used = committed.agg((F.count("committed") > 0).alias("any_commit"))     # one row
+    j = j.join(F.broadcast(used), F.lit(True))
     c, e, l = F.col("committed"), F.col("earliest"), F.col("latest")
     start = F.coalesce(start_offset(policy, c, e, l), c, F.lit(0).cast("long"))
     return j.select(*TP, c, e, l, start.cast("long").alias("start_offset"))

@@ -8,7 +8,6 @@ except the table of malformed-event kinds, which is fixture data.
 
 from __future__ import annotations
 
-from tidewater.operators.changelog import PREDICATE
 from tidewater.sources.fixtures import BAD_KINDS
 
 
@@ -31,7 +30,32 @@ def _kind_case(field: int, null_ok: bool = False) -> str:
     return "CASE kind " + " ".join(parts) + " END"
 
 
-_PRED = _q(PREDICATE)
+# A predicate: column = number or quoted text, once or more, joined by "and". Written here
+# on its own, from SURVEY L2 / L6.
+_NAME, _LIT = r"[A-Za-z_]\w*", r"(?:-?\d+(?:\.\d+)?|'(?:[^']|'')*')"
+_TERM = rf"{_NAME}\s*=\s*{_LIT}"
+_PRED = _q(rf"^\s*{_TERM}(?:\s+(?i:and)\s+{_TERM})*\s*$")
+_NAMES = _q(rf"({_NAME})\s*=\s*{_LIT}")
+_VALUES = _q(rf"{_NAME}\s*=\s*({_LIT})")
+
+
+def _number(x: str) -> str:
+    """A number's text without leading zeros and trailing zeros of a fraction."""
+    lead = rf"regexp_replace({x}, '^(-?)0+([0-9])', '\1\2')"
+    return (rf"CASE WHEN position('.' IN {lead}) > 0 THEN regexp_replace({lead}, '\.?0+$', '') "
+            f"ELSE {lead} END")
+
+
+def _value(x: str) -> str:
+    return (f"CASE WHEN starts_with({x}, '''') THEN replace(substr({x}, 2, length({x}) - 2), "
+            f"'''''', '''') ELSE {_number(x)} END")
+
+
+def _keyed(x: str, tag: str) -> str:
+    return (f"CASE WHEN {tag} NOT IN ('String', 'Date', 'Character') "
+            rf"AND regexp_matches({x}, '^-?[0-9]+(\.[0-9]+)?$') THEN {_number(x)} ELSE {x} END")
+
+
 _IDENT = "'^[A-Za-z_][A-Za-z0-9_]*$'"
 _BLANK = r"'^[\x00-\x20]*\z'"
 
@@ -75,6 +99,16 @@ cdc_ev AS (
          'customer', 'insert', '', ['custKey', 'custName'], ['Long:' || c_custkey, 'String:second']
   FROM customer WHERE c_custkey % 40 = 3
   UNION ALL
+  SELECT 'accounts', CAST(c_custkey % 4 AS INTEGER), CAST(c_custkey * 2 AS BIGINT), CAST(0 AS BIGINT),
+         'account', 'insert', '', ['id', 'tenant', 'note'],
+         ['Long:' || c_custkey, 'Integer:0' || (c_custkey % 3), 'String:opened']
+  FROM customer WHERE c_custkey % 50 = 11
+  UNION ALL
+  SELECT 'accounts', CAST(c_custkey % 4 AS INTEGER), CAST(c_custkey * 2 + 1 AS BIGINT), CAST(1 AS BIGINT),
+         'account', 'update', 'tenant=' || (c_custkey % 3) || ' AND id=' || c_custkey,
+         ['note'], ['String:changed']
+  FROM customer WHERE c_custkey % 50 = 11
+  UNION ALL
   SELECT 'cdc', CAST(c_custkey % 4 AS INTEGER), CAST((c_custkey * 32 + kind) * 4 + 3 AS BIGINT), CAST(1 AS BIGINT),
          {_kind_case(1)}, {_kind_case(2)}, {_kind_case(3)},
          [{_kind_case(4)}], [{_kind_case(5)}]
@@ -106,10 +140,24 @@ cdc_agg AS (
          string_agg(col, ',' ORDER BY name) AS col_list,
          string_agg(lit_full, ',' ORDER BY name) AS val_list,
          string_agg(col || '=' || lit_full, ',' ORDER BY name) AS set_list,
-         arg_min(v_full, name) FILTER (WHERE col = 'cust_key') AS key_cell
+         bool_or(true) AS any_cell
   FROM cdc_cells_lit WHERE name <> 'id' AND v_full IS NOT NULL
   GROUP BY topic, "partition", "offset"
 ),
+cdc_key AS (
+  SELECT topic, "partition", "offset",
+         arg_min(kv, name) FILTER (WHERE col = 'cust_key') AS key_cust,
+         arg_min(kv, name) FILTER (WHERE col = 'id') AS key_id,
+         arg_min(kv, name) FILTER (WHERE col = 'tenant') AS key_tenant
+  FROM (SELECT *, {_keyed('v_full', 'tag')} AS kv FROM cdc_cells_lit WHERE v_full IS NOT NULL)
+  GROUP BY topic, "partition", "offset"
+),
+cdc_pred AS (
+  SELECT topic, "partition", "offset",
+         regexp_extract_all(where_text, {_NAMES}, 1) AS pnames,
+         list_transform(regexp_extract_all(where_text, {_VALUES}, 1), lambda x: {_value('x')}) AS pvalues
+  FROM cdc_ev WHERE regexp_matches(where_text, {_PRED})
+),
 cdc_agg_first AS (
   SELECT topic, "partition", "offset", count(*) AS n_cells,
          string_agg(col, ',' ORDER BY name) AS col_list,
@@ -123,13 +171,19 @@ cdc_pre AS (
          CASE WHEN e.action = 'insert' THEN 'insert' WHEN e.action = 'update' THEN 'update'
               ELSE 'ignored' END AS route,
          coalesce(a.n_cells, 0) AS n_cells, coalesce(a.cols_ok, true) AS cols_ok,
-         a.col_list, a.val_list, a.set_list, a.key_cell,
+         a.col_list, a.val_list, a.set_list,
+         CASE WHEN e.table_name = 'account' THEN k.key_id || ',' || k.key_tenant
+              ELSE k.key_cust END AS key_cell,
          coalesce(f.n_cells, 0) AS n_first, f.col_list AS col_first, f.val_list AS val_first,
          f.set_list AS set_first,
-         coalesce(regexp_matches(coalesce(e.where_text, ''), {_PRED})
-                  AND regexp_extract(coalesce(e.where_text, ''), {_PRED}, 1) = 'cust_key', false) AS parsed,
-         regexp_extract(coalesce(e.where_text, ''), {_PRED}, 2) AS pred_lit
+         coalesce(CASE WHEN e.table_name = 'account' THEN list_sort(pnames) = ['id', 'tenant']
+                       ELSE pnames = ['cust_key'] END, false) AS parsed,
+         CASE WHEN e.table_name = 'account'
+              THEN pvalues[list_position(pnames, 'id')] || ',' || pvalues[list_position(pnames, 'tenant')]
+              ELSE pvalues[1] END AS pred_key
   FROM cdc_ev e
+  LEFT JOIN cdc_key k ON k.topic = e.topic AND k."partition" = e."partition" AND k."offset" = e."offset"
+  LEFT JOIN cdc_pred p ON p.topic = e.topic AND p."partition" = e."partition" AND p."offset" = e."offset"
   LEFT JOIN cdc_agg a ON a.topic = e.topic AND a."partition" = e."partition" AND a."offset" = e."offset"
   LEFT JOIN cdc_agg_first f ON f.topic = e.topic AND f."partition" = e."partition" AND f."offset" = e."offset"
 ),
@@ -144,10 +198,7 @@ cdc_prep AS (
          WHEN route = 'update' AND n_cells = 0 THEN 'no_columns'
     END AS reason,
     CASE WHEN route = 'insert' THEN key_cell
-         WHEN route = 'update' AND parsed THEN
-           CASE WHEN starts_with(pred_lit, '''')
-                THEN replace(substr(pred_lit, 2, length(pred_lit) - 2), '''''', '''')
-                ELSE pred_lit END
+         WHEN route = 'update' AND parsed THEN pred_key
     END AS row_key
   FROM cdc_pre
 ),
@@ -277,4 +328,6 @@ _WIDE = ("acct_bal", "cust_key", "cust_name", "last_order_date", "mkt_segment",
 ORACLE["cdc_target_rows"] = (
     "WITH fs AS (" + ORACLE["cdc_final_state"] + ")\nSELECT table_name, key, "
     + ", ".join(f"max(CASE WHEN \"column\" = '{c}' THEN value END) AS {c}" for c in _WIDE)
+    + ", string_agg(DISTINCT \"column\", ',' ORDER BY \"column\") FILTER (WHERE \"column\" NOT IN "
+    + str(_WIDE) + ") AS unlisted"
     + "\nFROM fs GROUP BY table_name, key")

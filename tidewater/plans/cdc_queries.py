@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewater.operators import apply, changelog
 from tidewater.sinks.tables import materialize
-from tidewater.sources.fixtures import read_cdc_events
+from tidewater.sources.fixtures import CDC_KEYS, read_cdc_events
 
 EVENT_ID = ["topic", "partition", "offset", "batch_id"]
 
@@ -19,7 +19,7 @@ def cdc_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cdc_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Query 7: rendered statement of every valid insert / update."""
-    p = changelog.prepare(read_cdc_events(spark, sf_dir))
+    p = changelog.prepare(read_cdc_events(spark, sf_dir), CDC_KEYS)
     return p.where(F.col("statement").isNotNull()).select(
         *EVENT_ID, "route", "statement", "statement_compat")
 
@@ -33,7 +33,7 @@ def cdc_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cdc_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Query 9: events refused before any write, with the reason."""
-    p = changelog.prepare(read_cdc_events(spark, sf_dir), compat=False)
+    p = changelog.prepare(read_cdc_events(spark, sf_dir), CDC_KEYS, compat=False)
     return p.where(F.col("reason").isNotNull()).select(*EVENT_ID, "route", "reason")
 
 
@@ -42,7 +42,7 @@ def _prepared(spark: SparkSession, sf_dir: str, consumers: int = 2) -> DataFrame
     queries: valid events, the per-key table, the batch ids) they are written
     once to the shared scratch folder and read back (column-pruned), instead
     of scanning the sources and redoing the map work per consumer."""
-    p = changelog.prepare(read_cdc_events(spark, sf_dir), compat=False)
+    p = changelog.prepare(read_cdc_events(spark, sf_dir), CDC_KEYS, compat=False)
     return materialize(p, "prepared-events") if consumers >= 3 else p
 
 
@@ -62,7 +62,8 @@ TARGET_COLUMNS = ("acct_bal", "cust_key", "cust_name", "last_order_date", "mkt_s
 
 
 def cdc_target_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The target as rows: one per key, one column per written column."""
+    """The target as rows: one per key, one column per listed column, and the names of any
+    others that the key has."""
     return apply.to_wide(apply.final_state(_prepared(spark, sf_dir, consumers=3)), TARGET_COLUMNS)
 
 

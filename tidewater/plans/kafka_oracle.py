@@ -25,6 +25,11 @@ _POLICY = {
     "latest": "CASE WHEN committed IS NULL THEN 0 ELSE latest END",
     "resume_latest": ("CASE WHEN committed IS NULL THEN earliest "
                       "WHEN committed < earliest OR committed > latest THEN latest ELSE committed END"),
+    "group": ("CASE WHEN (SELECT count(committed) FROM commits) = 0 THEN 0 "
+              "WHEN committed IS NULL THEN earliest "
+              "WHEN committed < earliest OR committed > latest THEN latest ELSE committed END"),
+    "group_latest": ("CASE WHEN (SELECT count(committed) FROM commits) = 0 THEN 0 "
+                     "WHEN committed IS NULL THEN earliest ELSE latest END"),
     "resume_earliest": "CASE WHEN committed IS NULL THEN earliest ELSE greatest(committed, earliest) END",
 }
 
@@ -46,6 +51,14 @@ SELECT topic, "partition", "offset", CAST(user_id AS VARCHAR) AS key, props AS v
        CAST(json_extract(props, '$.k') AS BIGINT) AS k
 FROM rec""",
 
+    "decode_rejects": f"""
+WITH {RECORDS}
+SELECT 'json' AS format, topic, "partition", "offset",
+       CASE WHEN event_id % 89 = 0 THEN 'null_value' ELSE 'bad_json' END AS reason
+FROM rec WHERE event_id % 89 = 0 OR event_id % 83 = 1
+UNION ALL
+SELECT 'registry', topic, "partition", "offset", 'bad_magic' FROM rec WHERE event_id % 97 = 0""",
+
     "decode_bytes_header": f"""
 WITH {RECORDS}
 SELECT topic, "partition", "offset",

@@ -48,9 +48,22 @@ def decode_bytes_header(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.col("h.body").cast("string").alias("body_text")))
 
 
+def decode_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records that cannot be decoded, with the reason: JSON values (null or cut short) and
+    registry frames (bad magic)."""
+    text = fixtures.read_kafka_records(spark, sf_dir, "faulty")
+    frames = fixtures.read_kafka_records(spark, sf_dir, "registry")
+    both = text.select(F.lit("json").alias("format"), "topic", "partition", "offset",
+                       kafka.json_status("k BIGINT").alias("reason")).unionByName(
+        frames.select(F.lit("registry").alias("format"), "topic", "partition", "offset",
+                      kafka.registry_header()["status"].alias("reason")))
+    return both.where(F.col("reason") != "ok")
+
+
 QUERIES = {
     **{f"start_offsets_{p}": partial(start_offsets, policy=p) for p in offsets.POLICIES},
     "batch_progress": batch_progress,
     "decode_text_json": decode_text_json,
     "decode_bytes_header": decode_bytes_header,
+    "decode_rejects": decode_rejects,
 }

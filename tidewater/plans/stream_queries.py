@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidewater.operators import wordcount as wc
 from tidewater.session import fresh_dir
-from tidewater.sources.fixtures import read_cdc_events
+from tidewater.sources.fixtures import CDC_KEYS, read_cdc_events
 from tidewater.sources.tables import read_table
 from tidewater.streaming.cdc_job import CdcApplyJob
 from tidewater.streaming.wordcount_job import WordCountJob
@@ -26,9 +26,9 @@ def _wordcount_job(spark: SparkSession, sf_dir: str) -> WordCountJob:
     job_dir = fresh_dir(spark, "stream-wordcount")
     landing = f"{job_dir}/landing"
     conv = read_table(spark, sf_dir, "conversations", ["turn", "text"])
-    # The producer: conversation turns are the data batches, spread over files.
-    (conv.select(F.col("turn").alias("batch_id"), "text")
-         .repartition(F.col("batch_id")).write.parquet(landing))
+    # The producer: conversation turns are the data batches; rows stay in the tasks that read
+    # them, so a batch may come in several files and epochs.
+    conv.select(F.col("turn").alias("batch_id"), "text").write.parquet(landing)
     stream = (spark.readStream.schema("batch_id long, text string")
               .option("maxFilesPerTrigger", str(FILES_PER_TRIGGER)).parquet(landing))
     job = WordCountJob(spark, job_dir, batch_column="batch_id")
@@ -52,7 +52,7 @@ def _cdc_job(spark: SparkSession, sf_dir: str) -> CdcApplyJob:
     landing = f"{job_dir}/landing"
     events = read_cdc_events(spark, sf_dir)
     payload = events.drop("batch_id")
-    job = CdcApplyJob(spark, job_dir)
+    job = CdcApplyJob(spark, job_dir, CDC_KEYS)
     # The batch ids are a handful of values: one arrival (and one restart of
     # the query from its checkpoint) per batch.
     batches = [r[0] for r in events.select("batch_id").distinct().orderBy("batch_id").collect()]

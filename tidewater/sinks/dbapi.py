@@ -26,6 +26,7 @@ so Spark retries the task (instead of logging every statement as failed).
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -72,7 +73,15 @@ def _placeholder(paramstyle: str, i: int) -> str:
     return {"qmark": "?", "format": "%s", "pyformat": "%s", "numeric": f":{i + 1}"}[paramstyle]
 
 
-def _statement(table: str, key_column: str, segment: str, cells, paramstyle: str):
+def key_values(key: str, n: int) -> list[str]:
+    """The values of a key's text (``changelog.key_text``) with n columns."""
+    if n == 1:
+        return [key]
+    return [re.sub(r"\\(.)", r"\1", v, flags=re.S) for v in re.findall(r"((?:[^\\,]|\\.)*)(?:,|\Z)",
+                                                                   key, re.S)[:n]]
+
+
+def _statement(table: str, keys: tuple[str, ...], segment: str, cells, paramstyle: str):
     cols = [c["column"] for c in cells]
     vals = [c["value"] for c in cells]
     if segment == "insert":
@@ -80,9 +89,9 @@ def _statement(table: str, key_column: str, segment: str, cells, paramstyle: str
         return f"INSERT INTO {table} ({', '.join(cols)}) VALUES ({ph})", vals
     # Without columns left to write, the statement only asks whether the row is there.
     sets = ", ".join(f"{c} = {_placeholder(paramstyle, i)}" for i, c in enumerate(cols)) \
-        or f"{key_column} = {key_column}"
-    return (f"UPDATE {table} SET {sets} WHERE {key_column} = "
-            f"{_placeholder(paramstyle, len(cols))}"), vals
+        or f"{keys[0]} = {keys[0]}"
+    at = " AND ".join(f"{k} = {_placeholder(paramstyle, len(cols) + i)}" for i, k in enumerate(keys))
+    return f"UPDATE {table} SET {sets} WHERE {at}", vals
 
 
 #: Keys looked up in the ledger by one statement.
@@ -107,7 +116,7 @@ def _done(cur, paramstyle: str, job_id: str, batch_id: int, keys: list[str]) ->
     return out
 
 
-def _executor(connect: Callable[[], object], key_column: str, paramstyle: str, job_id: str,
+def _executor(connect: Callable[[], object], key_column: changelog.KeyColumns, paramstyle: str, job_id: str,
               batch_id: int):
     ph = [_placeholder(paramstyle, i) for i in range(7)]
 
@@ -128,10 +137,11 @@ def _executor(connect: Callable[[], object], key_column: str, paramstyle: str, j
                     if row in done:     # committed before: report, do not apply again
                         out.append((*row, *done[row]))
                         continue
-                    sql, params = _statement(r["table_name"], key_column, r["segment"],
+                    keys = changelog.key_columns(key_column, r["table_name"])
+                    sql, params = _statement(r["table_name"], keys, r["segment"],
                                              list(r["cells"]), paramstyle)
                     if r["segment"] != "insert":
-                        params = params + [r["key"]]
+                        params = params + key_values(r["key"], len(keys))
                     try:
                         cur.execute("SAVEPOINT s")
                         cur.execute(sql, params)
@@ -156,7 +166,8 @@ def _executor(connect: Callable[[], object], key_column: str, paramstyle: str, j
     return run
 
 
-def execute(work: DataFrame, connect: Callable[[], object], key_column: str = "cust_key",
+def execute(work: DataFrame, connect: Callable[[], object],
+            key_column: changelog.KeyColumns = changelog.DEFAULT_KEY,
             batch_id: int = 0, paramstyle: str = "qmark", tasks: int | None = None,
             job_id: str = "", order: tuple[str, ...] = ()) -> DataFrame:
     """Run the planned statements; returns one outcome row per work row.

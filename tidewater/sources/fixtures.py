@@ -94,8 +94,15 @@ BAD_KINDS = [
     (9, "customer", "update", "cust_key={k}", "custName", "String:o'brien"),
     (10, "customer", "update", "cust_key={k}", "note", "String:a:b:c"),
     (11, "customer", "update", "cust_key={k}", "bad name;--", "String:x"),
+    (12, "customer", "update", "cust_key=00{k}.0", "note", "String:padded"),
+    (13, "customer", "update", "cust_key={k} and cust_key={k}", "note", "String:twice"),
+    (14, "account", "update", "id={k}", "note", "String:half a key"),
 ]
 
+# Key columns by table; ``account`` has a key of two, one of them ``id``.
+CDC_KEYS = {"account": ("id", "tenant"), None: "cust_key"}
+ACCOUNT_EVERY = 50
+
 
 def _fmt(template: str | None, k: Column) -> Column:
     if template is None:
@@ -128,6 +135,26 @@ def _second(customer: DataFrame) -> DataFrame:
         F.lit("customer"), F.lit("insert"), cols, F.lit("")))
 
 
+def _accounts(customer: DataFrame) -> DataFrame:
+    """Inserts (batch 0) and updates (batch 1) of the two-column key, for key % 50 = 11."""
+    k = F.col("c_custkey")
+    tenant = _s(k % 3)
+    insert = F.create_map(F.lit("id"), F.concat(F.lit("Long:"), _s(k)),
+                          F.lit("tenant"), F.concat(F.lit("Integer:0"), tenant),
+                          F.lit("note"), F.lit("String:opened"))
+    update = F.create_map(F.lit("note"), F.lit("String:changed"))
+    where = F.concat(F.lit("tenant="), tenant, F.lit(" AND id="), _s(k))
+    both = F.explode(F.array(
+        F.struct(F.lit("insert").alias("a"), F.lit(0).alias("b"), F.lit(0).alias("n"),
+                 insert.alias("c"), F.lit("").alias("w")),
+        F.struct(F.lit("update").alias("a"), F.lit(1).alias("b"), F.lit(1).alias("n"),
+                 update.alias("c"), where.alias("w"))))
+    rows = customer.where((k % ACCOUNT_EVERY) == 11).select(k, both.alias("e"))
+    return rows.select(*_event(
+        "accounts", k % CDC_PARTITIONS, k * 2 + F.col("e.n"), F.col("e.b"), F.lit("account"),
+        F.col("e.a"), F.col("e.c"), F.col("e.w")))
+
+
 def cdc_events(customer: DataFrame, orders: DataFrame, malformed: bool = True) -> DataFrame:
     """Change events (FIXTURES.md section 3).
 
@@ -136,7 +163,7 @@ def cdc_events(customer: DataFrame, orders: DataFrame, malformed: bool = True) -
     order key % 50 = 0), repeated inserts in a second topic (batch 0), and
     malformed events in batch 1.
     """
-    parts = [_inserts(customer), _updates(orders), _second(customer)]
+    parts = [_inserts(customer), _updates(orders), _second(customer), _accounts(customer)]
     if malformed:
         parts.append(_bad(customer))
     out = parts[0]
@@ -156,6 +183,9 @@ def read_cdc_events(spark: SparkSession, sf_dir: str, malformed: bool = True) ->
 # Registry framing: magic byte 0, then a 4-byte big-endian schema id.
 SCHEMA_ID_BASE = 0x01020304
 BAD_MAGIC_EVERY = 97
+# Faulty JSON values: null on every 89th event, without the last character on
+# every 83rd (from the second).
+NULL_VALUE_EVERY, CUT_VALUE_EVERY = 89, 83
 
 
 def kafka_records(events: DataFrame, value_format: str = "text") -> DataFrame:
@@ -164,12 +194,17 @@ def kafka_records(events: DataFrame, value_format: str = "text") -> DataFrame:
 
     ``value_format``: ``text`` / ``bytes`` carry ``props`` as UTF-8 bytes;
     ``registry`` frames them as magic byte + 4-byte schema id + body, with
-    magic 1 (to be rejected) on every 97th event.
+    magic 1 (to be rejected) on every 97th event; ``faulty`` is ``text`` with
+    null and cut values.
     """
     eid = F.col("event_id")
     body = F.encode(F.col("props"), "UTF-8")
     if value_format in ("text", "bytes"):
         value = body
+    elif value_format == "faulty":
+        short = F.encode(F.expr("left(props, length(props) - 1)"), "UTF-8")
+        value = F.when((eid % NULL_VALUE_EVERY) == 0, F.lit(None)) \
+            .when((eid % CUT_VALUE_EVERY) == 1, short).otherwise(body)
     elif value_format == "registry":
         magic = F.when((eid % BAD_MAGIC_EVERY) == 0, F.lit("01")).otherwise(F.lit("00"))
         number = F.lit(SCHEMA_ID_BASE) + F.col("user_id")

@@ -88,9 +88,21 @@ def value_bytes(value: str = "value") -> Column:
     return F.col(value)
 
 
-def value_json(schema: str, value: str = "value") -> Column:
-    """S5 with parsing: ``from_json`` onto a supplied schema."""
-    return F.from_json(F.col(value).cast("string"), schema)
+def value_json(schema: str, value: str = "value", corrupt: str | None = None) -> Column:
+    """S5 with parsing: ``from_json`` onto a supplied schema. ``corrupt`` names a field that
+    holds the text of a value that is no JSON (else null)."""
+    if corrupt is None:
+        return F.from_json(F.col(value).cast("string"), schema)
+    return F.from_json(F.col(value).cast("string"), f"{schema}, `{corrupt}` STRING",
+                       {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt})
+
+
+def json_status(schema: str, value: str = "value") -> Column:
+    """``ok``, ``null_value`` or ``bad_json`` of a record's value."""
+    parsed = value_json(schema, value, corrupt="_bad")
+    return (F.when(F.col(value).isNull(), F.lit("null_value"))
+             .when(parsed.isNull() | parsed["_bad"].isNotNull(), F.lit("bad_json"))
+             .otherwise(F.lit("ok")))
 
 
 def registry_header(value: str = "value") -> Column:
@@ -111,17 +123,25 @@ def registry_header(value: str = "value") -> Column:
                     body.alias("body"), status.alias("status"))
 
 
-def registry_avro(reader_schema_json: str, value: str = "value") -> Column:
+def registry_avro(reader_schema_json: str, value: str = "value",
+                  writer_schemas: dict[int, str] | None = None) -> Column:
     """Registry-framed Avro onto a fixed reader schema.
 
-    Needs the ``spark-avro`` package; without it this raises ImportError or
+    ``writer_schemas`` gives the registry's schema by id: a body is read with the schema that
+    wrote it and projected onto the reader's (``avroSchema`` of the Avro source); ids that are
+    not listed are read with the reader schema. Written after the source's documentation,
+    not run here: the package is missing. Needs the ``spark-avro`` package; without it this raises ImportError or
     an analysis error at plan time. Rows with a bad frame decode to null.
     """
     from pyspark.sql.avro.functions import from_avro
 
     h = registry_header(value)
-    return F.when(h["status"] == "ok",
-                  from_avro(h["body"], reader_schema_json, {"mode": "PERMISSIVE"}))
+    options = {"mode": "PERMISSIVE", "avroSchema": reader_schema_json}
+    out = from_avro(h["body"], reader_schema_json, options)
+    for schema_id, schema in (writer_schemas or {}).items():
+        out = F.when(h["schema_id"] == schema_id, from_avro(h["body"], schema, options)) \
+            .otherwise(out)
+    return F.when(h["status"] == "ok", out)
 
 
 def decode_with(df: DataFrame, decoder: Callable[[Column], Column],

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from tidewater.operators import apply, changelog
 from tidewater.operators.joins import join_small
-from tidewater.sinks.tables import exists, list_dirs, read_table, write_epoch
+from tidewater.sinks.tables import exists, list_dirs, read_epoch, read_table, write_epoch
 from tidewater.streaming.runner import output_generation, run_available, start
 
 ROW = apply.ROW
@@ -66,8 +66,10 @@ COMPACT_EVERY = 64
 
 
 class CdcApplyJob:
-    def __init__(self, spark: SparkSession, job_dir: str, key_column: str = "cust_key",
-                 compact_every: int = COMPACT_EVERY):
+    def __init__(self, spark: SparkSession, job_dir: str,
+                 key_column: changelog.KeyColumns = changelog.DEFAULT_KEY,
+                 compact_every: int = COMPACT_EVERY, mode: str = "full"):
+        self.mode = mode
         self.spark = spark
         self.compact_every = compact_every
         self.checkpoint = f"{job_dir}/checkpoint"
@@ -91,13 +93,14 @@ class CdcApplyJob:
         snaps = [int(d.split("=", 1)[1]) for d in list_dirs(self.spark, self._path("keys_compact"))
                  if d.startswith("upto=")]
         upto = max((x for x in snaps if x < epoch), default=-1)
-        recent = self.table("keys").where((F.col("epoch") > upto) & (F.col("epoch") < epoch))
-        keys = recent.select(*ROW)
+        # Only the folders since the snapshot are listed and read.
+        folders = [self._path(f"keys/epoch={e}") for e in range(upto + 1, epoch)]
+        folders = [f for f in folders if exists(self.spark, f)]
         if upto >= 0:
-            snap = self.spark.read.schema("table_name string, key string") \
-                .parquet(self._path(f"keys_compact/upto={upto}"))
-            keys = snap.unionByName(keys)
-        return keys
+            folders.append(self._path(f"keys_compact/upto={upto}"))
+        if not folders:
+            return self.spark.createDataFrame([], "table_name string, key string")
+        return self.spark.read.schema("table_name string, key string").parquet(*folders)
 
     def _maybe_compact(self, epoch: int) -> None:
         """Every ``compact_every`` epochs: one snapshot of all keys so far,
@@ -111,27 +114,28 @@ class CdcApplyJob:
 
     def _pending(self, epoch: int) -> DataFrame:
         """Zero-row updates of ``epoch`` still waiting (not flushed)."""
-        e = self.table("events")
-        pending = e.where((F.col("epoch") == epoch) & (F.col("attempt") == 0)
-                          & (F.col("status") == "zero_rows")).drop("epoch")
+        e = read_epoch(self.spark, self._path("events"), epoch, SCHEMAS["events"])
+        pending = e.where((F.col("attempt") == 0) & (F.col("status") == "zero_rows")).drop("epoch")
         if exists(self.spark, self._path(f"flushed/epoch={epoch}")):
             return pending.where(F.lit(False))   # already retried by flush()
         return pending
 
     @staticmethod
     def _retry(pending: DataFrame, keys_after: DataFrame):
-        ok = join_small(pending, keys_after, ROW, "left_semi")
-        miss = join_small(pending, keys_after, ROW, "left_anti")
-        rows = _typed(ok, attempt=F.lit(1), status=F.lit("applied"), reason=F.lit(None),
-                      cells=F.lit(None)) \
-            .unionByName(_typed(miss, attempt=F.lit(1), status=F.lit("dead_letter"),
-                                reason=F.lit("zero_rows_after_retry"), cells=F.lit(None)))
-        return ok, rows
+        # One join: whether the key is there now.
+        there = keys_after.groupBy(*ROW).agg(F.lit(True).alias("there"))
+        tried = join_small(pending, there, ROW, "left") \
+            .withColumn("there", F.coalesce("there", F.lit(False)))
+        there = F.col("there")
+        rows = _typed(tried, attempt=F.lit(1),
+                      status=F.when(there, F.lit("applied")).otherwise(F.lit("dead_letter")),
+                      reason=F.when(~there, F.lit("zero_rows_after_retry")), cells=F.lit(None))
+        return tried.where(there), rows
 
     # -- one micro-batch ----------------------------------------------------
     def process_batch(self, df: DataFrame, epoch: int) -> None:
         events = df.withColumn("batch_id", F.lit(int(epoch)).cast("long"))
-        p = changelog.prepare(events, self.key_column, compat=False).persist()
+        p = changelog.prepare(events, self.key_column, self.mode, compat=False).persist()
         try:
             self._apply(p, epoch)
         finally:
@@ -142,7 +146,7 @@ class CdcApplyJob:
         valid = apply.keyed(p)
         touched = valid.select(*ROW).unionByName(pending.select(*ROW)).distinct()
         existing = join_small(self._keys_before(epoch), touched, ROW, "left_semi")
-        out = apply.outcomes(p, existing).persist()
+        out = apply.first_status(p, existing).persist()
         try:
             fs = F.col("first_status")
             inserted = out.where((F.col("route") == changelog.INSERT) & (fs == "applied")).select(*ROW)

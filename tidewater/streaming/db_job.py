@@ -52,13 +52,13 @@ SCHEMAS = {
 
 class DbApplyJob:
     def __init__(self, spark: SparkSession, job_dir: str, connect: Callable[[], object],
-                 key_column: str = "cust_key", paramstyle: str = "qmark",
-                 tasks: int | None = None):
+                 key_column: changelog.KeyColumns = changelog.DEFAULT_KEY,
+                 paramstyle: str = "qmark", tasks: int | None = None, mode: str = "full"):
         self.spark = spark
         self.checkpoint = f"{job_dir}/checkpoint"
         self.out = output_generation(spark, self.checkpoint, f"{job_dir}/out")
         self.connect, self.key_column = connect, key_column
-        self.paramstyle, self.tasks = paramstyle, tasks
+        self.paramstyle, self.tasks, self.mode = paramstyle, tasks, mode
 
     def _path(self, name: str) -> str:
         return f"{self.out}/{name}"
@@ -87,7 +87,7 @@ class DbApplyJob:
     # -- one micro-batch ----------------------------------------------------
     def process_batch(self, df: DataFrame, epoch: int) -> None:
         events = df.withColumn("batch_id", F.lit(int(epoch)).cast("long"))
-        p = changelog.prepare(events, self.key_column, compat=False).persist()
+        p = changelog.prepare(events, self.key_column, self.mode, compat=False).persist()
         try:
             planned, work = dbapi.plan(p)
             write_epoch(work, self._path("work"), epoch)
