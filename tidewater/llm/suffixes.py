@@ -47,15 +47,19 @@ REACH = LENGTH - GRAM + 1
 AROUND = REACH - 1 + LENGTH
 LAST = (1 << 63) - 1
 _BYTE_RANKS = np.random.default_rng(9).integers(0, 1 << 63, 256, dtype=np.uint64) * 2 + 1
-#: Positions are handled in pieces of so many bytes; the low bits of a sort key hold the place.
-PIECE_BITS = 21
+#: Positions are handled in pieces of so many bytes, which a core's cache holds; the low bits of
+#: a sort key hold the place.
+PIECE_BITS = 16
+#: Contexts are handled so many at a time.
+ROWS = 4096
 
 
 def double(rank: np.ndarray, by: int, salt: int) -> np.ndarray:
     """Ranks for a longer prefix from the ranks at p and p + by (along the last axis)."""
     out = rank[..., :-by] * np.uint64(0x9E3779B97F4A7C15 + 2 * salt)
     out += rank[..., by:]
-    return mixed(out)
+    out ^= out >> np.uint64(31)
+    return out
 
 
 def ranks(data: np.ndarray, length: int) -> np.ndarray:
@@ -64,7 +68,7 @@ def ranks(data: np.ndarray, length: int) -> np.ndarray:
     while n < length:
         out = double(out, n, n)
         n *= 2
-    return out
+    return mixed(out)
 
 
 class Block:
@@ -78,6 +82,8 @@ class Block:
         sizes = np.array([len(t) for t in texts], np.int64)
         self.ends = np.cumsum(sizes)
         self.starts = self.ends - sizes
+        # Where the last string of the text around each place starts.
+        self._stop = np.repeat(self.ends - LENGTH, sizes)
         found = [self._anchors(a) for a in range(0, max(1, len(self.data)),
                                                  (1 << PIECE_BITS) - LENGTH + 1)]
         found = [np.concatenate(x) for x in zip(*found)]
@@ -103,8 +109,7 @@ class Block:
         least = np.minimum(least[:len(least) - rest], least[rest:]) if rest else least
         chosen = (np.uint64(low) - (least & np.uint64(low))).astype(np.int64)
         string = np.arange(len(chosen), dtype=np.int64)
-        ends = self.ends[np.searchsorted(self.ends, begin + string, side="right")]
-        string = string[begin + string + LENGTH <= ends]
+        string = string[begin + string <= self._stop[begin:begin + len(chosen)]]
         if not len(string):
             return none, none, none, none.astype(np.uint64)
         chosen = chosen[string]
@@ -120,7 +125,7 @@ class Block:
 
     def going_on(self, classes: np.ndarray) -> None:
         """Keep the anchors whose rank occurs in more than one text."""
-        keep = classes[np.searchsorted(np.unique(self.rank), self.rank)] > 0
+        keep = classes[np.unique(self.rank, return_inverse=True)[1]] > 0
         for name in ("at", "first", "last", "rank", "doc"):
             setattr(self, name, getattr(self, name)[keep])
 
@@ -129,16 +134,18 @@ class Block:
         anchor its context. Sorted by rank."""
         base = self.at - (REACH - 1)
         lo, hi = self.first - base, self.last - base
-        places = base[:, None] + np.arange(AROUND)
-        around = self.data[np.clip(places, 0, max(0, len(self.data) - 1))] \
-            if len(base) else np.zeros((0, AROUND), np.uint8)
-        offset = np.arange(AROUND)
-        around = np.where((offset >= lo[:, None]) & (offset < hi[:, None] + LENGTH), around, 0) \
-            .astype(np.uint8)
         weights = np.random.default_rng(7).integers(0, 1 << 63, AROUND + 2, dtype=np.uint64) * 2 + 1
-        full = np.concatenate([around, lo[:, None].astype(np.uint8), hi[:, None].astype(np.uint8)],
-                              axis=1)
-        h = mixed((full.astype(np.uint64) * weights).sum(axis=1, dtype=np.uint64))
+        full = np.zeros((len(base), AROUND + 2), np.uint8)
+        full[:, AROUND], full[:, AROUND + 1] = lo, hi
+        h = np.empty(len(base), np.uint64)
+        offset = np.arange(AROUND, dtype=np.int32)
+        padded = np.concatenate([np.zeros(REACH, np.uint8), self.data, np.zeros(AROUND, np.uint8)])
+        for a in range(0, len(base), ROWS):
+            part = slice(a, a + ROWS)
+            around = padded[base[part, None] + REACH + offset]
+            around[(offset < lo[part, None]) | (offset >= hi[part, None] + LENGTH)] = 0
+            full[part, :AROUND] = around
+            h[part] = mixed((full[part] * weights).sum(axis=1, dtype=np.uint64))
         # Equal contexts have equal ranks: sort by rank, then by context.
         order = np.lexsort((h, self.rank))
         new = np.r_[True, (h[order][1:] != h[order][:-1])
@@ -173,8 +180,8 @@ def _least_ids(full: np.ndarray, ids: np.ndarray) -> np.ndarray:
     valid = (offset >= lo[:, None]) & (offset <= hi[:, None])
     keys = np.empty(int(valid.sum()), np.uint64)
     at = 0
-    for a in range(0, len(full), 8192):         # 8 bytes a position: not all at once
-        got = _string_ranks(full[a:a + 8192, :AROUND])[valid[a:a + 8192]]
+    for a in range(0, len(full), ROWS):         # 8 bytes a position: not all at once
+        got = _string_ranks(full[a:a + ROWS, :AROUND])[valid[a:a + ROWS]]
         keys[at:at + len(got)] = got
         at += len(got)
     owner = np.repeat(ids, valid.sum(axis=1))
@@ -244,14 +251,16 @@ def _cut(rows: pd.DataFrame, classes: pd.DataFrame, answers: pd.DataFrame,
     block = Block(rows)
     block.going_on(classes_of(classes))
     full, _, own, which = block.contexts()
-    least = _least_of_block(full, own, answers)[which]
+    least = _least_of_block(full, own, answers)
+    gone = np.zeros(len(block.data) + 1, bool)
     offset = np.arange(REACH)
-    base = block.at - (REACH - 1)
-    strings = base[:, None] + offset
-    gone = (strings >= block.first[:, None]) & (strings <= block.last[:, None]) \
-        & (least < block.ids[block.doc][:, None])
+    for a in range(0, len(which), ROWS):
+        part = slice(a, a + ROWS)
+        strings = block.at[part, None] - (REACH - 1) + offset
+        gone[strings[(strings >= block.first[part, None]) & (strings <= block.last[part, None])
+                     & (least[which[part]] < block.ids[block.doc[part]][:, None])]] = True
     steps = np.zeros(len(block.data) + LENGTH + 1, np.int32)
-    starts = np.unique(strings[gone])
+    starts = np.flatnonzero(gone)
     steps[starts] += 1
     steps[starts + LENGTH] -= 1
     covered = np.cumsum(steps)[:len(block.data)] > 0
@@ -274,7 +283,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = narrow(docs, id_col, text_col).withColumn(
         "doc_id", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST)))
     blocks = text_blocks(rows)
-    ranges = 4 * shared_partitions(docs.sparkSession)
+    ranges = 16 * shared_partitions(docs.sparkSession)
     classes = written(corpus_classes(blocks, lambda b: Block(b).held(), ["at", "doc_id", "text"]),
                       "suffix-classes")
 
