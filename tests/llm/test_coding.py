@@ -93,12 +93,22 @@ def test_encode_decode_and_digests(table, corpus, library):
     assert pieces.code_digests(table([]), PATH).count() == 0
 
 
-def test_cache_starts_anew(model, library, monkeypatch):
-    monkeypatch.setattr(pieces, "CACHE_ENTRIES", 3)
+def test_cache_is_bounded(model, library, monkeypatch):
+    monkeypatch.setattr(pieces, "CACHE_ENTRIES", 30)
+    monkeypatch.setattr(pieces, "GROUP_CHARS", 100)
     codec = Codec(model)
-    for t in odd_texts(50):
-        assert codec.encode(t)[0] == library.encode(t)
-        assert len(codec.cuts) <= 3
+    texts = odd_texts(200) + ["pq" * 300]
+    for t, (ids, _, _) in zip(texts, list(codec.encode_many(texts))):
+        assert ids == library.encode(t)
+        assert len(codec.older) <= 30 + 120
+    assert not any(len(c) > 2 * pieces.SHORT for c in codec.cuts)
+
+
+def test_merging_side_by_side_and_by_heap(model):
+    codec = Codec(model)
+    cuts = sorted({c for t in odd_texts(300) for c in codec.split(codec.normalised(t))
+                   if len(c) <= pieces.SHORT})
+    assert codec._merge_many(cuts) == [codec._merge_heap(list(c)) for c in cuts]
 
 
 def _varint(n):

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from tidewater.llm.common import narrow
-from tidewater.llm.pieces import Codec, model_bytes
+from tidewater.llm.pieces import Codec, grouped, model_bytes
 
 STORED = 1_000_000
 SCALE = 1000
@@ -80,17 +80,19 @@ class TrieCounts:
 
     def count(self, texts: list[str]) -> list[tuple[int, int]]:
         """(pre-tokens, tokens) of each text."""
-        split = [self.codec.split(self.codec.normalised(t)) for t in texts]
-        if len(self.stored) > STORED:
-            self.stored.clear()
-        stored = self.stored
-        fresh = dict(self._walk(sorted(set().union(*split).difference(stored))))
-        stored.update(fresh)
-        got = [(len(ws), sum(map(stored.__getitem__, ws))) for ws in split]
-        for w in fresh:
-            if len(w) > LONG:
-                del stored[w]
-        return got
+        out = []
+        for group in grouped(texts):
+            split = [self.codec.split(self.codec.normalised(t)) for t in group]
+            if len(self.stored) > STORED:
+                self.stored.clear()
+            stored = self.stored
+            fresh = dict(self._walk(sorted(set().union(*split).difference(stored))))
+            stored.update(fresh)
+            out += [(len(ws), sum(map(stored.__getitem__, ws))) for ws in split]
+            for w in fresh:
+                if len(w) > LONG:
+                    del stored[w]
+        return out
 
 
 _COUNTERS: dict[bytes, TrieCounts] = {}

@@ -4,19 +4,20 @@ The model file is read once on the driver (its path is a parameter) and shipped
 to the tasks, which each rebuild the tables: the pieces with their scores and
 the compiled character map. A text is normalised by the longest prefix that the
 map knows at each place, recording for each normalised byte the source byte it
-comes from; it is cut where no piece can reach across, each distinct cut is
-merged once by falling piece scores, and the pieces are projected through the
-recorded alignment to byte spans of the source.
+comes from; it is cut where no piece can reach across, the distinct cuts are merged by
+falling piece scores, and the pieces are projected through the recorded alignment
+to byte spans of the source.
 
 Edge cases: a null text encodes as the empty text (no ids, decoded ""); rows
 are coded one by one, so repeated rows, ties and extra columns need no rule;
 an empty table gives an empty result; very long cuts are merged with a heap in
-O(n log n). Memory per task: one Arrow batch, and a table of at most
-``CACHE_ENTRIES`` distinct cuts that starts anew when full.
+O(n log n). Memory per task: one Arrow batch, and two tables of at most
+``CACHE_ENTRIES`` distinct cuts, the older of which goes when the newer is full.
 """
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import heapq
 import re
@@ -33,9 +34,12 @@ from tidewater.llm.common import narrow
 # Fixed values of the model format.
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-CACHE_ENTRIES = 400_000
-#: A cut is merged by scanning up to this many symbols, beyond by a heap.
-SCAN = 48
+CACHE_ENTRIES = 250_000
+NEVER = 1 << 30
+#: Cuts of up to so many symbols are merged many at a time, longer ones with a heap.
+SHORT = 32
+#: Texts are handled in groups of about so many characters.
+GROUP_CHARS = 2_000_000
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -92,6 +96,19 @@ class CharMap:
         return found[0], self.texts[found[1]:self.texts.index(b"\0", found[1])]
 
 
+def grouped(texts: list[str]) -> Iterator[list[str]]:
+    """Successive texts of about GROUP_CHARS characters in all, so that their cuts fit in memory."""
+    group, chars = [], 0
+    for t in texts:
+        if group and chars + len(t) > GROUP_CHARS:
+            yield group
+            group, chars = [], 0
+        group.append(t)
+        chars += len(t)
+    if group:
+        yield group
+
+
 class Codec:
     """Tables of one model; ``encode`` and ``decode`` single texts."""
 
@@ -124,12 +141,15 @@ class Codec:
         self.byte_of = {i: b for b, i in self.byte_ids.items()}
         self.ids = {p: i for i, (p, k) in enumerate(zip(self.pieces, self.kinds)) if k == NORMAL}
         self.order = {p: -scores[i] for p, i in self.ids.items()}
-        self.known = {p: (i, len(p.encode())) for p, i in self.ids.items()}
+        self.known = {p: (i, len(p.encode()), str(i), struct.pack("<H", len(p.encode())))
+                      for p, i in self.ids.items()}
         # No piece has a space after another character: cuts before runs of spaces are safe.
         if any(SPACE in p.lstrip(SPACE) for p in self.ids):
             raise ValueError("pieces that span several words are not supported")
         self.cut = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
         self.cuts: dict[str, tuple[str, bytes, str]] = {}
+        self.older: dict[str, tuple[str, bytes, str]] = {}
+        self._pair_tables()
 
     def normalise(self, text: str) -> tuple[str, np.ndarray]:
         """The normalised text and, per byte of it and for its end, the source byte offset."""
@@ -196,24 +216,86 @@ class Codec:
             return [SPACE + p for p in norm[1:].split(SPACE)]
         return self.cut.findall(norm)
 
-    def _merge(self, cut: str) -> list[str]:
-        order, far = self.order.get, float("inf")
-        syms = list(cut)
-        if len(syms) > SCAN:
-            return self._merge_heap(syms)
-        ranks = [order(a + b, far) for a, b in zip(syms, syms[1:])]
-        while ranks:
-            best = min(ranks)
-            if best == far:
+    def _pair_tables(self) -> None:
+        """For merging in bulk: numbers of symbols, and of each mergeable pair its order and sum."""
+        self.symbols = list(self.ids) + sorted({c for p in self.ids for c in p} - set(self.ids))
+        number = {p: i for i, p in enumerate(self.symbols)}
+        # Characters in no piece have numbers behind all others, and no pairs.
+        self.of_char = np.arange(0x110000, dtype=np.int64) + len(self.symbols)
+        chars = [p for p in self.symbols if len(p) == 1]
+        self.of_char[[ord(c) for c in chars]] = [number[c] for c in chars]
+        rank = dict(zip(self.ids, np.unique([self.order[p] for p in self.ids],
+                                            return_inverse=True)[1].tolist()))
+        pairs = sorted(((number[p[:k]] << 32) + number[p[k:]], rank[p], number[p])
+                       for p in self.ids for k in range(1, len(p))
+                       if p[:k] in number and p[k:] in number)
+        table = np.array(pairs or [(-1, 0, 0)], np.int64)
+        self.pair_key, self.pair_rank, self.pair_sum = (np.ascontiguousarray(table[:, k])
+                                                        for k in range(3))
+
+    def _pair(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Order and merged symbol of pairs of symbols; the order is NEVER where none is."""
+        key = (a.astype(np.int64) << 32) + b
+        at = np.minimum(np.searchsorted(self.pair_key, key), len(self.pair_key) - 1)
+        ok = (self.pair_key[at] == key) & (a >= 0) & (b >= 0)
+        return np.where(ok, self.pair_rank[at], NEVER), self.pair_sum[at]
+
+    def _merge_many(self, cuts: list[str]) -> list[list[str]]:
+        """The symbols of cuts of at most SHORT characters, merged side by side."""
+        size = np.array([len(c) for c in cuts])
+        codes = np.frombuffer("".join(cuts).encode("utf-32-le"), "<u4")
+        n, wide = len(cuts), int(size.max())
+        sym = np.full((n, wide + 1), -1, np.int32)
+        inside = np.arange(wide) < size[:, None]
+        sym[:, :wide][inside] = self.of_char[codes]
+        rank, total = self._pair(sym[:, :-1], sym[:, 1:])
+        rank, total = rank.astype(np.int32), total.astype(np.int32)
+        rows, place = np.arange(n), np.arange(wide)
+        while len(rows):
+            r = rank[rows]
+            at = r.argmin(axis=1)
+            live = r[np.arange(len(rows)), at] < NEVER
+            rows, at = rows[live], at[live]
+            if not len(rows):
                 break
-            i = ranks.index(best)
-            syms[i:i + 2] = [syms[i] + syms[i + 1]]
-            del ranks[i]
-            if i:
-                ranks[i - 1] = order(syms[i - 1] + syms[i], far)
-            if i < len(ranks):
-                ranks[i] = order(syms[i] + syms[i + 1], far)
-        return syms
+            s, r, t = sym[rows], rank[rows], total[rows]
+            line = np.arange(len(rows))
+            # The merged symbol takes the first one's place, what follows moves up.
+            s[line, at] = t[line, at]
+            move = np.minimum(place + (place > at[:, None]), wide)
+            s = np.concatenate([np.take_along_axis(s, move, 1), np.full((len(s), 1), -1, np.int32)], 1)
+            move = np.minimum(place + (place >= at[:, None]), wide - 1)
+            r, t = np.take_along_axis(r, move, 1), np.take_along_axis(t, move, 1)
+            r[:, -1] = NEVER
+            for k in (at, at - 1):
+                ok = k >= 0
+                i, k = line[ok], k[ok]
+                r[i, k], t[i, k] = self._pair(s[i, k], s[i, k + 1])
+            sym[rows], rank[rows], total[rows] = s, r, t
+        names, known = self.symbols, len(self.symbols)
+        left = (sym >= 0).sum(axis=1)
+        return [[names[x] if x < known else chr(x - known) for x in row[:k]]
+                for row, k in zip(sym.tolist(), left.tolist())]
+
+    def learn(self, cuts: set[str]) -> None:
+        """Code these cuts and keep them."""
+        if len(self.cuts) > CACHE_ENTRIES:
+            self.older, self.cuts = self.cuts, {}
+        get, new = self.older.get, []
+        for c in cuts.difference(self.cuts):
+            known = get(c)
+            if known is not None:
+                self.cuts[c] = known
+            else:
+                new.append(c)
+        new.sort(key=len)
+        short = bisect.bisect_right(new, SHORT, key=len)
+        for a in range(0, short, 20_000):
+            part = new[a:min(short, a + 20_000)]
+            for c, syms in zip(part, self._merge_many(part)):
+                self.cuts[c] = self._coded(syms)
+        for c in new[short:]:
+            self.cuts[c] = self._coded(self._merge_heap(list(c)))
 
     def _merge_heap(self, syms: list[str]) -> list[str]:
         n = len(syms)
@@ -238,11 +320,6 @@ class Codec:
     def _ids(self, pieces: list[str]) -> tuple[list[int], list[int]]:
         """Ids, and the number of normalised bytes that each stands for."""
         known = self.known
-        try:
-            pairs = [known[p] for p in pieces]
-            return [p[0] for p in pairs], [p[1] for p in pairs]
-        except KeyError:
-            pass
         ids, widths, unknown = [], [], False
         for p in pieces:
             if p in known:
@@ -259,15 +336,15 @@ class Codec:
             unknown = p not in known
         return ids, widths
 
-    def _cut(self, cut: str) -> tuple[str, bytes, str]:
-        """Of one cut: its ids as text, their widths as 16-bit numbers, its decoding."""
-        ids, widths = self._ids(self._merge(cut))
-        got = (",".join(map(str, ids)), np.array(widths, "<u2").tobytes(), self._join(ids))
-        if len(self.cuts) >= CACHE_ENTRIES:
-            self.cuts.clear()
-        if len(cut) <= 64:
-            self.cuts[cut] = got
-        return got
+    def _coded(self, pieces: list[str]) -> tuple[str, bytes, str]:
+        """Of a cut's pieces: the ids as text, their widths as 16-bit numbers, the decoding."""
+        try:
+            got = [self.known[p] for p in pieces]
+            return (",".join([g[2] for g in got]), b"".join([g[3] for g in got]),
+                    "".join(pieces).replace(SPACE, " "))
+        except KeyError:
+            ids, widths = self._ids(pieces)
+            return ",".join(map(str, ids)), np.array(widths, "<u2").tobytes(), self._join(ids)
 
     def _join(self, ids: list[int]) -> str:
         out, run = [], bytearray()
@@ -283,19 +360,28 @@ class Codec:
                        else self.pieces[i].replace(SPACE, " "))
         return "".join(out) + _utf8(run)
 
-    def encode_cuts(self, text: str) -> tuple[list[tuple[str, bytes, str]], np.ndarray]:
-        """The coded cuts of a text, and the alignment of its normalised bytes."""
-        norm, align = self.normalise(text)
-        # Without byte pieces a run of unknown characters is one id, across cuts.
-        parts = self.split(norm) if self.fallback else [norm] if norm else []
-        get, cut = self.cuts.get, self._cut
-        return [get(p) or cut(p) for p in parts], align
+    def encode_cuts(self, texts: list[str]
+                    ) -> Iterator[tuple[list[tuple[str, bytes, str]], np.ndarray]]:
+        """Per text its coded cuts, and the alignment of its normalised bytes."""
+        for group in grouped(texts):
+            # Without byte pieces a run of unknown characters is one id, across cuts.
+            parts = [(self.split(norm) if self.fallback else [norm] if norm else [])
+                     for norm in map(self.normalised, group)]
+            self.learn(set().union(*parts))
+            cuts = self.cuts
+            for text, part in zip(group, parts):
+                yield [cuts[p] for p in part], self.normalise(text)[1]
+            for p in {p for part in parts for p in part if len(p) > 2 * SHORT}:
+                del cuts[p]                 # very long ones are not kept
 
     def encode(self, text: str | None) -> tuple[list[int], np.ndarray, np.ndarray]:
         """Ids, and the start and end of each in the UTF-8 bytes of the text."""
-        cuts, align = self.encode_cuts(text or "")
-        ids = [int(i) for c in cuts for i in c[0].split(",") if i]
-        return ids, *spans(cuts, align)
+        return next(self.encode_many([text]))
+
+    def encode_many(self, texts: list[str | None]
+                    ) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
+        for cuts, align in self.encode_cuts([t or "" for t in texts]):
+            yield ([int(i) for c in cuts for i in c[0].split(",") if i], *spans(cuts, align))
 
     def decode(self, ids: list[int]) -> str:
         text = self._join(ids)
@@ -356,7 +442,7 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id",
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         c = codec(model)
         for b in batches:
-            got = [c.encode(t) for t in b["text"]]
+            got = list(c.encode_many(b["text"]))
             yield pd.DataFrame({"doc_id": b["doc_id"], "ids": [g[0] for g in got],
                                 "starts": [g[1] for g in got], "ends": [g[2] for g in got]})
 
@@ -394,8 +480,7 @@ def code_digests(docs: DataFrame, model_path: str, id_col: str = "doc_id",
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         c = codec(model)
 
-        def one(text: str | None) -> tuple[int, str, str, int]:
-            cuts, align = c.encode_cuts(text or "")
+        def one(cuts: list[tuple[str, bytes, str]], align: np.ndarray) -> tuple[int, str, str, int]:
             ids = ",".join([x[0] for x in cuts])
             start, end = spans(cuts, align)
             # Cuts never split a character, so their decodings only need joining;
@@ -407,7 +492,7 @@ def code_digests(docs: DataFrame, model_path: str, id_col: str = "doc_id",
                     hashlib.sha256(plain.encode()).hexdigest(), int((end - start).sum()))
 
         for b in batches:
-            got = [one(t) for t in b["text"]]
+            got = [one(*x) for x in c.encode_cuts([t or "" for t in b["text"]])]
             yield pd.DataFrame({"doc_id": b["doc_id"]} | {
                 f.name: [g[i] for g in got] for i, f in enumerate(out.fields[1:])})
 
