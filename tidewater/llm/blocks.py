@@ -34,7 +34,7 @@ def text_blocks(docs: DataFrame, rows: int = ROWS) -> DataFrame:
     """
     numbered = docs.withColumn("at", F.monotonically_increasing_id())
     return bucketed(numbered.withColumn("block", F.floor(F.col("at") / rows)), "text-blocks",
-                    "block")
+                    "block", gathered=True)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

@@ -26,9 +26,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def bucketed(df: DataFrame, name: str, *columns: str) -> DataFrame:
-    """As ``written``, dealt by these columns: joins on them do not move this table again."""
+def bucketed(df: DataFrame, name: str, *columns: str, gathered: bool = False) -> DataFrame:
+    """As ``written``, dealt by these columns: joins on them do not move this table again.
+
+    Rows are shuffled first, so that a bucket is one file, unless they come ``gathered``: each
+    task holds all rows of its values.
+    """
     spark = df.sparkSession
+    if not gathered:
+        df = df.repartition(shared_partitions(spark), *columns)
     table = f"{name}_{uuid.uuid4().hex}".replace("-", "_")
     df.write.bucketBy(shared_partitions(spark), *columns).option("compression", "zstd") \
         .option("path", f"{fresh_dir(spark, name)}/rows").saveAsTable(table)

@@ -13,8 +13,8 @@ Documents with equal texts are one class from the start. Pairs are not formed
 within a group: in rounds, the holders of an n-gram are compared with one of
 them, its leader, and linked ones merge; holders in one component need no more
 comparison. Once few comparisons per holder are left, or a round links nothing
-more, the holders outside an n-gram's largest component are compared with all
-holders of other components, so that no link between components is lost.
+more, the holders outside the leader's component are compared with all holders of
+other components, so that no link between components is lost.
 
 The number of documents of each n-gram is counted over the whole corpus in bulk
 (``blocks.corpus_classes``); texts are written once and do not move after that.
@@ -48,20 +48,23 @@ _BYTE = np.random.default_rng(1).integers(0, 1 << 63, 256, dtype=np.uint64) * 2
 _ODD = 0x9E3779B97F4A7C15
 #: The fragments of the global order: see ``Sets.segments``.
 FRAGMENTS = range(2, 10)
-#: Comparisons per holder of an n-gram that are made directly.
-FEW = 100
+#: Comparisons of sizes and places per holder of an n-gram that are made directly, after the
+#: first round.
+FEW = 2000
 #: Words are hashed in pieces of so many bytes.
-PIECE = 1 << 21
+PIECE = 1 << 16
+_POWERS: list[np.ndarray] = []
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd number modulo 2**64, and those of its inverse."""
-    out = []
-    for base in (_ODD, pow(_ODD, -1, 1 << 64)):
-        p = np.full(n, base, np.uint64)
-        p[:1] = 1
-        out.append(np.multiply.accumulate(p))
-    return out[0], out[1]
+    """The first n powers of an odd number modulo 2**64, and those of its inverse."""
+    if len(_POWERS) < 2 or len(_POWERS[0]) < n:
+        _POWERS.clear()
+        for base in (_ODD, pow(_ODD, -1, 1 << 64)):
+            p = np.full(max(n, 2 * PIECE), base, np.uint64)
+            p[0] = 1
+            _POWERS.append(np.multiply.accumulate(p))
+    return _POWERS[0][:n], _POWERS[1][:n]
 
 
 def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -110,13 +113,19 @@ class Sets:
             docs.append(of[heads])
             grams.append(h)
         doc, gram = np.concatenate(docs), np.concatenate(grams)
-        order = np.lexsort((gram, doc))
+        self.bits = np.uint64(max(1, (len(texts) - 1).bit_length()))
+        order = self._by(doc, gram)
         doc, gram = doc[order], gram[order]
         new = np.r_[True, (doc[1:] != doc[:-1]) | (gram[1:] != gram[:-1])] if len(doc) else \
             np.zeros(0, bool)
         self.doc, self.gram = doc[new], gram[new]
         self.size = np.bincount(self.doc, minlength=len(texts))
 
+    def _by(self, doc: np.ndarray, key: np.ndarray) -> np.ndarray:
+        """Order by document, then by the upper bits of a 64-bit key."""
+        return np.argsort((doc.astype(np.uint64) << (np.uint64(64) - self.bits))
+                          | (key >> self.bits), kind="stable")
+
     def held(self) -> tuple[np.ndarray, np.ndarray]:
         return np.unique(self.gram, return_counts=True)
 
@@ -126,8 +135,9 @@ class Sets:
         The fragments are cuts of the global order (class, hash). A text none of
         whose first n-grams is shared has one row without n-grams.
         """
-        cls = classes[np.searchsorted(np.unique(self.gram), self.gram)].astype(np.int64)
-        order = np.lexsort((self.gram, cls, self.doc))
+        cls = classes[np.unique(self.gram, return_inverse=True)[1]].astype(np.int64)
+        order = self._by(self.doc, (cls.astype(np.uint64) << np.uint64(58))
+                         | (self.gram >> np.uint64(6)))
         doc, gram, cls = self.doc[order], self.gram[order], cls[order]
         ends = np.cumsum(self.size)
         begins = ends - self.size
@@ -175,27 +185,33 @@ def _links(pairs: DataFrame, segments: DataFrame, num: int, den: int) -> DataFra
     return written(found.where(similar).select("a", "b"), "jaccard-links")
 
 
+def _ordered(met: DataFrame) -> DataFrame:
+    """(a, b, sa, sb) of (at, size, at2, size2), the lesser one first."""
+    low = F.col("at") < F.col("at2")
+    pick = lambda x, y: F.when(low, F.col(x)).otherwise(F.col(y))
+    return met.select(pick("at", "at2").alias("a"), pick("at2", "at").alias("b"),
+                      pick("size", "size2").alias("sa"), pick("size2", "size").alias("sb"))
+
+
 def _pairs(x: DataFrame, y: DataFrame, num: int, den: int) -> DataFrame:
     """Distinct pairs of holders of one n-gram in different components that may link."""
-    x, y = x.alias("x"), y.alias("y")
-    met = x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.root") != F.col("y.root"))
-                 & _may_link(F.col("x.size"), F.col("x.place"), F.col("y.size"),
-                             F.col("y.place"), num, den))
-    low = F.col("x.at") < F.col("y.at")
-    pick = lambda a, b: F.when(low, F.col(a)).otherwise(F.col(b))
-    return met.select(pick("x.at", "y.at").alias("a"), pick("y.at", "x.at").alias("b"),
-                      pick("x.size", "y.size").alias("sa"),
-                      pick("y.size", "x.size").alias("sb")).distinct()
-
-
-def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
-    """(gram, at, size, place, root) of the n-grams whose holders are not all in one component."""
+    y = y.toDF("gram2", "at2", "size2", "place2", "root2")
+    met = x.join(y, (F.col("gram") == F.col("gram2")) & (F.col("root") != F.col("root2"))
+                 & _may_link(F.col("size"), F.col("place"), F.col("size2"), F.col("place2"),
+                             num, den))
+    return _ordered(met).distinct()
+
+
+def _held(rows: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
+    """(gram, at, size, place, root, lead) of the n-grams whose holders are not all in one
+    component; ``lead`` is one of the holders, drawn anew each turn."""
     named = rows.join(labels.withColumnRenamed("node", "at"), "at", "left") \
         .withColumn("root", F.coalesce("root", "at"))
-    open_ = named.groupBy("gram").agg(F.min("root").alias("lo"), F.max("root").alias("hi")) \
-        .where("lo <> hi").select("gram")
-    return written(named.join(open_, "gram").select("gram", "at", "size", "place", "root"),
-                   "jaccard-holders")
+    draw = F.xxhash64(F.lit(turn), F.col("at")).alias("draw")
+    per = named.groupBy("gram").agg(
+        F.min("root").alias("lo"), F.max("root").alias("hi"),
+        F.min(F.struct(draw, "at", "size", "place", "root")).alias("lead"))
+    return written(named.join(per.where("lo <> hi").drop("lo", "hi"), "gram"), "jaccard-held")
 
 
 def similar_components(rows: DataFrame, segments: DataFrame, num: int, den: int) -> DataFrame:
@@ -208,31 +224,31 @@ def similar_components(rows: DataFrame, segments: DataFrame, num: int, den: int)
     labels = spark.createDataFrame([], "node bigint, root bigint")
     turn = 0
     while True:
-        holders = _labelled(rows, labels)
-        per = holders.groupBy("gram", "root").agg(F.count("*").alias("n"))
-        main = written(per.groupBy("gram").agg(F.sum("n").alias("all"),
-                                               F.max(F.struct("n", "root")).alias("m")),
-                       "jaccard-main")
-        left = main.agg(F.sum(F.col("all") * (F.col("all") - F.col("m.n"))).alias("pairs"),
-                        F.sum("all").alias("holders")).first()
+        held = _held(rows, labels, turn)
+        apart = F.col("root") != F.col("lead.root")
+        per = held.groupBy("gram").agg(F.count("*").alias("n"),
+                                       F.count_if(apart).alias("apart"))
+        left = per.agg(F.sum(F.col("n") * F.col("apart")).alias("pairs"),
+                       F.sum("n").alias("holders")).first()
         if not left["holders"]:
             return labels
-        if left["pairs"] <= FEW * left["holders"]:
+        if turn and left["pairs"] <= FEW * left["holders"]:
             break
-        draw = F.xxhash64(F.lit(turn), F.col("at"))
-        least = holders.groupBy(F.col("gram").alias("g")).agg(F.min(draw).alias("m"))
-        leaders = holders.join(least, (F.col("gram") == F.col("g")) & (draw == F.col("m"))) \
-            .select("gram", "at", "size", "place", "root")
-        fresh = _links(_pairs(holders, leaders, num, den), segments, num, den)
+        lead = held.select("gram", "at", "size", "place", "root", "lead.*") \
+            .toDF("gram", "at", "size", "place", "root", "draw", "at2", "size2", "place2", "root2")
+        met = lead.where((F.col("root") != F.col("root2")) & _may_link(
+            F.col("size"), F.col("place"), F.col("size2"), F.col("place2"), num, den))
+        fresh = _links(_ordered(met).distinct(), segments, num, den)
+        turn += 1
         if fresh.isEmpty():
             break
-        links, turn = links.unionByName(fresh), turn + 1
-        labels = components(links)
-    minor = holders.join(main.select(F.col("gram").alias("g"), "m"),
-                         (F.col("gram") == F.col("g")) & (F.col("root") != F.col("m.root"))) \
-        .select("gram", "at", "size", "place", "root")
-    last = _links(_pairs(minor, holders, num, den), segments, num, den)
-    return labels if last.isEmpty() else components(links.unionByName(last))
+        links = links.unionByName(fresh)
+        # Enough for a round: equal roots are connected.
+        labels = components(links, 2)
+    own = ["gram", "at", "size", "place", "root"]
+    last = _links(_pairs(held.where(apart).select(*own), held.select(*own), num, den),
+                  segments, num, den)
+    return components(links.unionByName(last))
 
 
 def _joined(blocks: DataFrame, words: int, num: int, den: int) -> DataFrame:
@@ -266,7 +282,7 @@ def _joined(blocks: DataFrame, words: int, num: int, den: int) -> DataFrame:
     first = shared.select("at", "size", "prefix", F.explode(F.arrays_zip("grams", "places"))
                           .alias("g")).where("g.places < prefix").select(
         F.col("g.grams").alias("gram"), "at", "size", F.col("g.places").alias("place"))
-    labels = similar_components(written(first, "jaccard-prefixes"), segments, num, den)
+    labels = similar_components(bucketed(first, "jaccard-prefixes", "gram"), segments, num, den)
     sizes = cut_up.groupBy(F.col("at").alias("rep")).agg(F.max("size").alias("n_shingles"))
     every = named.join(sizes, "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
     # An empty set links with nothing, not even with its copies.
