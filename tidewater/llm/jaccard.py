@@ -204,10 +204,11 @@ def _pairs(x: DataFrame, y: DataFrame, num: int, den: int) -> DataFrame:
 
 def _held(rows: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
     """(gram, at, size, place, root, lead) of the n-grams whose holders are not all in one
-    component; ``lead`` is one of the holders, drawn anew each turn."""
+    component; ``lead`` is one of the holders: at first the first in the input, which of a
+    group of copies is often the one that the others were made from, then one drawn anew."""
     named = rows.join(labels.withColumnRenamed("node", "at"), "at", "left") \
         .withColumn("root", F.coalesce("root", "at"))
-    draw = F.xxhash64(F.lit(turn), F.col("at")).alias("draw")
+    draw = (F.xxhash64(F.lit(turn), F.col("at")) if turn else F.col("at")).alias("draw")
     per = named.groupBy("gram").agg(
         F.min("root").alias("lo"), F.max("root").alias("hi"),
         F.min(F.struct(draw, "at", "size", "place", "root")).alias("lead"))
@@ -244,7 +245,7 @@ def similar_components(rows: DataFrame, segments: DataFrame, num: int, den: int)
             break
         links = links.unionByName(fresh)
         # Enough for a round: equal roots are connected.
-        labels = components(links, 2)
+        labels = components(links, 3)
     own = ["gram", "at", "size", "place", "root"]
     last = _links(_pairs(held.where(apart).select(*own), held.select(*own), num, den),
                   segments, num, den)
