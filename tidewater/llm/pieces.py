@@ -34,7 +34,7 @@ from tidewater.llm.common import narrow
 # Fixed values of the model format.
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-CACHE_ENTRIES = 250_000
+CACHE_ENTRIES = 450_000
 NEVER = 1 << 30
 #: Cuts of up to so many symbols are merged many at a time, longer ones with a heap.
 SHORT = 32
@@ -277,8 +277,8 @@ class Codec:
         return [[names[x] if x < known else chr(x - known) for x in row[:k]]
                 for row, k in zip(sym.tolist(), left.tolist())]
 
-    def learn(self, cuts: set[str]) -> None:
-        """Code these cuts and keep them."""
+    def learn(self, cuts: set[str]) -> list[str]:
+        """Code these cuts; returns those that are too long to be kept for other texts."""
         if len(self.cuts) > CACHE_ENTRIES:
             self.older, self.cuts = self.cuts, {}
         get, new = self.older.get, []
@@ -296,6 +296,7 @@ class Codec:
                 self.cuts[c] = self._coded(syms)
         for c in new[short:]:
             self.cuts[c] = self._coded(self._merge_heap(list(c)))
+        return new[bisect.bisect_right(new, 2 * SHORT, key=len):]
 
     def _merge_heap(self, syms: list[str]) -> list[str]:
         n = len(syms)
@@ -367,12 +368,12 @@ class Codec:
             # Without byte pieces a run of unknown characters is one id, across cuts.
             parts = [(self.split(norm) if self.fallback else [norm] if norm else [])
                      for norm in map(self.normalised, group)]
-            self.learn(set().union(*parts))
+            long = self.learn(set().union(*parts))
             cuts = self.cuts
             for text, part in zip(group, parts):
                 yield [cuts[p] for p in part], self.normalise(text)[1]
-            for p in {p for part in parts for p in part if len(p) > 2 * SHORT}:
-                del cuts[p]                 # very long ones are not kept
+            for p in long:
+                del cuts[p]
 
     def encode(self, text: str | None) -> tuple[list[int], np.ndarray, np.ndarray]:
         """Ids, and the start and end of each in the UTF-8 bytes of the text."""
