@@ -131,6 +131,44 @@ def test_fingerprints_of_nulls_and_few(table):
     assert (one["near_next"], one["n_near"]) == (1.0, 0)
 
 
+def test_near_copies_are_found(table):
+    """Edited texts with a known Jaccard similarity on five-word shingles are near their originals."""
+    rng = random.Random(12)
+    rows, want = [], {}
+    for i in range(0, 60, 2):
+        ws = prose(rng, 200, 10 ** 6).split()
+        at = rng.randrange(150)
+        near = {0: ws[:at] + ["changed"] + ws[at + 1:], 1: ws + prose(rng, 40, 10 ** 6).split(),
+                2: ws[:at] + ws[at + 15:], 3: prose(rng, 200, 10 ** 6).split()}[i // 2 % 4]
+        a, b = brute.shingles(" ".join(ws)), brute.shingles(" ".join(near))
+        rows += [(i, " ".join(ws)), (i + 1, " ".join(near))]
+        want[i] = want[i + 1] = int(len(a & b) / len(a | b) >= .75)
+    assert sum(want.values()) > 40 and not all(want.values())
+    got = simhash.fingerprint_report(table(rows), every=1)
+    assert {r["doc_id"]: r["n_near"] for r in got.collect()} == want
+
+
+def test_radius_search_at_the_default(spark, monkeypatch):
+    """Exact at 30 bits, also where many fingerprints have the same value of a block."""
+    monkeypatch.setattr(simhash, "PACK", 8)
+    rng = random.Random(13)
+    prints = {(p := rng.getrandbits(64) << 64 | rng.getrandbits(64))}
+    for k in range(150):
+        q = p
+        for b in rng.sample(range(128) if k % 3 else range(100, 128), rng.randrange(10, 29)):
+            q ^= 1 << b
+        prints.add(q)
+    half = lambda x: [brute.signed(x & (1 << 64) - 1), brute.signed(x >> 64)]
+    rows = spark.createDataFrame([(half(x),) for x in prints], "f array<bigint>")
+    some = sorted(prints)[::10]
+    got = simhash.within_radius(spark.createDataFrame([(half(x),) for x in some], "f array<bigint>"),
+                                rows).collect()
+    want = [(tuple(half(a)), tuple(half(b)), bin(a ^ b).count("1"))
+            for a in some for b in prints if bin(a ^ b).count("1") <= 30]
+    assert sorted((tuple(r["q"]), tuple(r["f"]), r["distance"]) for r in got) == sorted(want)
+    assert 30 in {d for _, _, d in want} and len(want) < len(some) * len(prints)
+
+
 def test_radius_search(spark):
     rng = random.Random(3)
     prints = set()

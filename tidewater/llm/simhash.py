@@ -7,11 +7,17 @@ terms vote for or against, and the fingerprint has the bits that won (ties lose)
 Votes are ordinary sums of a grouped aggregate; two bits share one sum, in its
 lower and upper 32 bits, which holds for texts of up to 2**30 characters.
 
-Search: the fingerprint is cut into ``blocks`` blocks. Two fingerprints within
-``radius`` bits agree on at least ``blocks - radius`` of them; for each choice of
-that many blocks there is a table with those blocks put first as its key, and
-rows with equal keys are compared in full. Equal fingerprints are one class before
-the join, so copies make no pairs.
+Search: near copies, that is texts with a Jaccard similarity of 0.75 or more on
+five-word shingles, differ in up to about 28 of the 128 bits (measured), texts that have
+nothing in common in 36 or more; the radius lies between. The fingerprint is cut
+into ``blocks`` blocks, each with a radius of its own, such that these radii plus
+one sum to ``radius`` + 1: two fingerprints within ``radius`` bits are then within
+the block's radius in at least one block. Each block has a table of the
+fingerprints by its bits, and a query asks there for every value within the
+block's radius, so the search is exact. Fingerprints of one value are packed into
+arrays of about ``PACK`` and compared inside them: no row is made per pair, and a
+large group of near copies is a few arrays of each value. Equal fingerprints are
+one class before that, so copies make no comparisons.
 
 All DataFrame and SQL functions. Edge cases: a null or empty text has no terms
 and the fingerprint of all zeros; rows with the same id, or with a null one
@@ -31,7 +37,9 @@ from tidewater.llm.common import narrow, words, written
 SHINGLE = 2
 HALVES = 2                  # fingerprints of 128 bits
 MAX_WEIGHT = 24
-RADIUS, BLOCKS = 3, 5
+RADIUS, BLOCKS = 30, 8
+#: Fingerprints in one array of a block's value.
+PACK = 1024
 #: Ids that agree but for their last GROUP_BITS form the groups in which successors are found.
 GROUP_BITS = 10
 
@@ -88,53 +96,87 @@ def as_hex(f: Column, halves: int = HALVES) -> Column:
     return F.lower(F.concat(*[F.lpad(F.hex(F.get(f, F.lit(k))), 16, "0") for k in range(halves)]))
 
 
+def _edges(blocks: int, halves: int) -> list[tuple[int, int]]:
+    """First bit and end of each block."""
+    edges = [64 * halves * b // blocks for b in range(blocks + 1)]
+    return list(zip(edges, edges[1:]))
+
+
+def _radii(radius: int, blocks: int) -> list[int]:
+    """The radius of each block, -1 for one that is not asked; these plus one sum to radius + 1."""
+    whole, over = divmod(radius + 1, blocks)
+    return [whole - 1 + (b < over) for b in range(blocks)]
+
+
+def _signed(m: int) -> int:
+    return m - (1 << 64) if m >= 1 << 63 else m
+
+
 def _blocks(f: Column, blocks: int, halves: int) -> list[Column]:
-    """The bits of each of ``blocks`` blocks of the fingerprint, as arrays of masked halves."""
-    total = 64 * halves
-    edges = [total * b // blocks for b in range(blocks + 1)]
+    """The bits of each of ``blocks`` blocks of the fingerprint, of 64 bits at most."""
     out = []
-    for lo, hi in zip(edges, edges[1:]):
-        masks = []
-        for k in range(halves):
-            m = ((1 << hi) - (1 << lo)) >> (64 * k) & ((1 << 64) - 1)
-            masks.append(m - (1 << 64) if m >= 1 << 63 else m)
-        out.append(F.array(*[F.get(f, F.lit(k)).bitwiseAND(F.lit(m))
-                             for k, m in enumerate(masks)]))
+    for lo, hi in _edges(blocks, halves):
+        value = F.lit(0).cast("bigint")
+        for k in range(lo // 64, (hi - 1) // 64 + 1):
+            at, end = max(lo, 64 * k), min(hi, 64 * (k + 1))
+            bits = F.shiftrightunsigned(F.get(f, F.lit(k)), at - 64 * k).bitwiseAND(
+                F.lit(_signed((1 << (end - at)) - 1)))
+            value = value.bitwiseOR(F.shiftleft(bits, at - lo))
+        out.append(value)
     return out
 
 
+def _flips(width: int, radius: int) -> str:
+    """All masks of ``width`` bits with up to ``radius`` ones."""
+    return ",".join(str(_signed(sum(1 << b for b in bits))) for n in range(radius + 1)
+                    for bits in combinations(range(width), n))
+
+
+def _asked(queries: DataFrame, classes: DataFrame, radius: int, blocks: int,
+           halves: int) -> DataFrame:
+    """(q, t, members): for each f of ``queries`` the arrays of rows of ``classes``, as structs,
+    that share a block's value within its radius."""
+    radii = _radii(radius, blocks)
+
+    def keyed(df: DataFrame, *columns: Column) -> DataFrame:
+        return df.select(*columns, F.posexplode(F.array(*_blocks(F.col("f"), blocks, halves)))
+                         .alias("t", "key"))
+
+    flips = F.array(*[F.split(F.lit(_flips(hi - lo, r)), ",").cast("array<bigint>")
+                      if r >= 0 else F.array().cast("array<bigint>")
+                      for (lo, hi), r in zip(_edges(blocks, halves), radii)])
+    probes = keyed(queries, F.col("f").alias("q")).select(
+        "q", "t", F.explode(F.transform(F.get(flips, F.col("t")),
+                                        lambda m: F.col("key").bitwiseXOR(m))).alias("key"))
+    rows = keyed(classes, F.struct(*classes.columns).alias("c"))
+    # A value of many fingerprints has several arrays, so that no array is long.
+    many = rows.groupBy("t", "key").agg(F.count("*").alias("n")).where(F.col("n") > PACK)
+    dealt = rows.join(many, ["t", "key"], "left").withColumn(
+        "part", F.pmod(F.xxhash64("c.f"), F.coalesce(F.ceil(F.col("n") / PACK), F.lit(1))))
+    packed = written(dealt.groupBy("t", "key", "part").agg(F.collect_list("c").alias("members")),
+                     "simhash-packs")
+    return probes.join(packed, ["t", "key"]).select("q", "t", "members")
+
+
+def _met(q: Column, t: Column, f: Column, radius: int, blocks: int, halves: int) -> Column:
+    """Whether f is within the radius of q, and t the first block that shows it."""
+    qb, fb = _blocks(q, blocks, halves), _blocks(f, blocks, halves)
+    first = F.coalesce(*[F.when(F.bit_count(a.bitwiseXOR(b)) <= r, F.lit(k)) for k, (a, b, r)
+                         in enumerate(zip(qb, fb, _radii(radius, blocks)))])
+    return F.when(hamming(q, f, halves) <= radius, first == t).otherwise(F.lit(False))
+
+
 def within_radius(queries: DataFrame, classes: DataFrame, radius: int = RADIUS,
                   blocks: int = BLOCKS, halves: int = HALVES) -> DataFrame:
     """(q, f, distance): every f of ``classes`` within ``radius`` bits of each q of ``queries``.
 
-    queries: (f), classes: (f); both with distinct rows. A pair comes out of the
-    first table only in which its blocks agree.
+    queries: (f), classes: (f); both with distinct rows. A pair comes out of the first
+    block only that is within its radius.
     """
-    tables = list(combinations(range(blocks), blocks - radius))
-
-    def keyed(df: DataFrame, name: str) -> DataFrame:
-        bs = _blocks(F.col("f"), blocks, halves)
-        keys = F.array(*[F.xxhash64(F.lit(t), *[bs[b] for b in chosen])
-                         for t, chosen in enumerate(tables)])
-        return df.select(F.col("f").alias(name), F.posexplode(keys).alias("t", "key"))
-
-    q, c = keyed(queries, "q").alias("q"), keyed(classes, "f").alias("c")
-    qb = _blocks(F.col("q.q"), blocks, halves)
-    cb = _blocks(F.col("c.f"), blocks, halves)
-    same = [a == b for a, b in zip(qb, cb)]
-    first = F.coalesce(*[F.when(_all(same[b] for b in chosen), F.lit(t))
-                         for t, chosen in enumerate(tables)])
-    far = hamming(F.col("q.q"), F.col("c.f"), halves)
-    pairs = q.join(c, (F.col("q.key") == F.col("c.key")) & (F.col("q.t") == F.col("c.t"))
-                   & (far <= radius) & (first == F.col("q.t")))
-    return pairs.select(F.col("q.q").alias("q"), F.col("c.f").alias("f"), far.alias("distance"))
-
-
-def _all(conds) -> Column:
-    out = F.lit(True)
-    for c in conds:
-        out = out & c
-    return out
+    found = _asked(queries, classes, radius, blocks, halves)
+    hits = F.filter("members", lambda c: _met(F.col("q"), F.col("t"), c["f"], radius, blocks, halves))
+    return found.select("q", F.explode(hits).alias("c")).select(
+        "q", F.col("c.f").alias("f"), hamming(F.col("q"), F.col("c.f"), halves).alias("distance"))
 
 
 def _groups(docs: DataFrame) -> DataFrame:
@@ -218,9 +260,11 @@ def count_near(prints: DataFrame, every: int = 50, radius: int = RADIUS, blocks:
         F.count("*").alias("n"),
         F.max(F.coalesce(F.col("doc_id") % every == 0, F.lit(False))).alias("asked"))
     classes = written(classes, "simhash-classes")
-    near = within_radius(classes.where("asked").select("f"), classes.select("f"),
-                         radius, blocks, halves)
-    return near.join(classes.select("f", "n"), "f").groupBy("q").agg(F.sum("n").alias("n_near"))
+    found = _asked(classes.where("asked").select("f"), classes.select("f", "n"), radius, blocks,
+                   halves)
+    near = F.aggregate("members", F.lit(0).cast("bigint"), lambda s, c: s + F.when(
+        _met(F.col("q"), F.col("t"), c["f"], radius, blocks, halves), c["n"]).otherwise(F.lit(0)))
+    return found.select("q", near.alias("n_near")).groupBy("q").agg(F.sum("n_near").alias("n_near"))
 
 
 def fingerprint_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
