@@ -79,6 +79,20 @@ def test_spans_equal_pairwise_rule(table):
         assert {tuple(s) for s in r["spans"]} == want
 
 
+def test_long_secrets_beside_an_identifier(table):
+    """A part that starts or ends in the scope counts, however far it runs out of it."""
+    token, url = "token=" + "a1B2" * 400, "https://db.example.org/" + "q7" * 900
+    texts = [f"client_id=robot7 {token}", f"client_id=robot7 {token[:330]} ", f"{token} client_id=robot7",
+             f"{url} client_id=robot7 password=abcdef12", f"client_id=robot7 {'0123456789abcdef' * 30}",
+             f"client_id=robot7 {'Zx9Qw7Rt5Yp3Lk1M' * 40}", f"client_id=robot7 password=abcdef12 {url}",
+             f"client_id=robot7\n\n{token}", f"client_id=robot7 {'y ' * 150}{token}"]
+    got = {r["doc_id"]: [s["kind"] for s in r["spans"]]
+           for r in secrets.secret_spans(table(list(enumerate(texts)))).collect()}
+    assert got == {0: ["ident", "assign"], 1: ["ident", "assign"], 2: ["assign", "ident"],
+                   3: ["endpoint", "ident", "assign"], 4: ["ident", "hex"], 5: ["ident", "weak"],
+                   6: ["ident", "assign", "endpoint"], 7: ["assign"], 8: ["assign"]}
+
+
 PERSONAL = [
     (1, "Mr. John Smith <john.smith@mail.example.com> called +1 (988) 555-2485 from 8.196.197.208"),
     (2, "Mrs Smith wrote to John.Smith@mail.example.com; card 4111 1111 1111 1111 or 4111111111111111"),

@@ -11,9 +11,10 @@ the same text reports a weak candidate only where its complement is in the scope
 * ``endpoint`` (URL or address): it lies in a scope that also holds a secret.
 
 Identifiers are ``access`` and ``ident``; secrets are ``assign``, ``hex``, ``weak``.
-The join key is (row, bin of the position), so that a very long text is spread
-over many keys; a scope has a fixed width, so the pairs it makes are bounded by
-the parts that fit in it.
+A part is in a scope if it overlaps it, so that a long secret which starts beside
+the identifier counts wherever it ends. The join key is (row, bin of the position),
+so that a very long text is spread over many keys; a scope has a fixed width, and
+a part is in the bins in which it and a scope can meet, each pair in one of them.
 
 Positions are code points, ends exclusive. Edge cases: a null or empty text has no
 spans; repeated rows are scanned one by one; null ids are kept; texts without
@@ -152,10 +153,13 @@ def linked(scanned: DataFrame, reach: int = REACH) -> DataFrame:
     scope = some.select("row", F.explode("scopes").alias("s")).select("row", "s.*")
     scope = scope.select("*", F.explode(F.sequence(F.floor(F.col("lo") / width),
                                                    F.floor(F.col("hi") / width))).alias("bin"))
-    parts = some.select("row", F.explode(F.concat("base", "weak")).alias("p")) \
-        .select("row", "p.*").withColumn("bin", F.floor(F.col("start") / width))
+    parts = some.select("row", F.explode(F.concat("base", "weak")).alias("p")).select("row", "p.*")
+    parts = parts.select("*", F.explode(F.sequence(F.floor(F.col("start") / width),
+                                                   F.floor((F.col("end") - 1) / width))).alias("bin"))
+    # A pair that shares several bins comes out of the first one.
     pairs = scope.join(parts, ["row", "bin"]).where(
-        (F.col("start") >= F.col("lo")) & (F.col("end") <= F.col("hi")))
+        (F.col("start") < F.col("hi")) & (F.col("end") > F.col("lo"))
+        & (F.col("bin") == F.floor(F.greatest("start", "lo") / width)))
     secret = F.col("kind").isin("assign", "hex", "weak")
     # Whether a scope holds a secret; the scope of an identifier reports the identifier.
     full = pairs.groupBy("row", "at").agg(F.max(secret.cast("int")).alias("full"))
