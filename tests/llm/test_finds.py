@@ -169,3 +169,28 @@ def test_collisions_are_drawn_again(spark, monkeypatch):
 
 def few(key, kind, value, attempt):
     return str((int(value) * 7 + attempt * 3) % (4 + 12 * attempt))
+
+
+def test_names_without_their_title_and_in_one_space(table):
+    rows = [(1, "Dr. Anna Weber came. Later Weber, ANNA and Frau Weber left; weber's anna stays, Weberei too."),
+            (2, "Mr. John Smith"), (3, "Dr. John Miller"), (4, "Weber without a title elsewhere")]
+    rows += [(i, f"Mr. {n} Lee and Dr. {n} Lee") for i, n in enumerate(
+        sum((names for (letters, _), names in pii.GIVEN.items() if letters == "latin"), []), 10)]
+    got = {i: t for i, t, _ in replaced(table, rows)}
+    given, family = re.match(r"Dr\. (\w+) (\w+) came", got[1]).groups()
+    assert got[1] == (f"Dr. {given} {family} came. Later {family}, {given.upper()} and Frau {family} left; "
+                      "weber's anna stays, Weberei too.")
+    assert got[2].split()[1] == got[3].split()[1] != "John"
+    assert got[4] == rows[3][1]
+    image = {}
+    for i, t in rows:
+        for a, b in zip(re.findall(r"\w+", t), re.findall(r"\w+", got[i])):
+            if a != b:
+                assert image.setdefault(a.lower(), b.lower()) == b.lower()
+    assert len(set(image.values())) == len(image) and not set(image.values()) & set(image)
+
+
+def test_digits_of_other_scripts_are_looked_at(table):
+    for text in ("SSN ١٢٣-٤٥-٦٧٨٩", "call +٩٨ ٢١ ٥٥٥ now", "IBAN GB12 ABCD EFGH IJKL"):
+        assert pii.find(text)
+        assert [n for _, _, n in replaced(table, [(1, text)])] == [1]

@@ -9,7 +9,9 @@ itself an entity of the corpus, is drawn again with the next attempt until all
 are distinct. The surrogates are then joined back to the mentions, so the same
 entity gets the same surrogate in every document and two entities never the same
 one; names are replaced word by word, which keeps "Mr. Smith" and "Mr. John
-Smith" together.
+Smith" together. The words of a titled name are names wherever they stand
+capitalised in the same text. All names share one space: a word has one surrogate
+whether it is a family or a given name, and behind any title.
 
 Mentions are keyed by the digest of their text: copies are scanned and
 rewritten alike, and only texts that may hold an entity are shuffled.
@@ -28,7 +30,7 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -75,12 +77,15 @@ LETTERS = {"latin": "abcdefghijklmnopqrstuvwxyz", "cyrillic": "абвгдежз
 
 _TITLES = {g: "|".join(x for t in ts for x in (t, t.upper())) for g, ts in TITLES.items()}
 _TITLE = "|".join(f"(?P<{g}>{ts})" for g, ts in _TITLES.items())
-NAME = re.compile(rf"\b(?:{_TITLE})\.?(?P<words>(?: [^\W\d_a-zа-яα-ω][^\W\d_]+(?!\w)){{1,3}})")
+WORD = r"[^\W\d_a-zа-яα-ω][^\W\d_]+(?!\w)"
+LATER = re.compile(rf"(?<!\w){WORD}")
+NAME = re.compile(rf"\b(?:{_TITLE})\.?(?P<words>(?: {WORD}){{1,3}})")
 ENTITY = re.compile("|".join(f"(?P<{k}>{p})" for k, p in
                              ((k, p.replace(r"\1", r"(?P=gap)").replace("([ -]?)", "(?P<gap>[ -]?)"))
                               for k, p in PATTERNS.items())))
 #: What every find contains; texts without it need no scan (checked by Spark itself).
-MAY_HOLD = r"\d{3}|\d\.\d|\+\d|@|" + "|".join(_TITLES.values())
+#: Its digits are those of the patterns, of all scripts.
+MAY_HOLD = r"\p{Nd}{3}|\p{Nd}\.\p{Nd}|\+\p{Nd}|[A-Z]{2}\p{Nd}{2}|@|" + "|".join(_TITLES.values())
 
 
 def script(s: str) -> str:
@@ -114,12 +119,20 @@ def find(text: str) -> list[tuple[str, int, int]]:
     """(kind, start, end) of the entities, in order and without overlaps."""
     spans = [(m.lastgroup if m.lastgroup != "gap" else "card", m.start(), m.end())
              for m in ENTITY.finditer(text)]
+    known, at = {}, set()
     for m in NAME.finditer(text):
         gender = "m" if m["m"] else "f" if m["f"] else "n"
         names = [(m.start("words") + w.start(), m.start("words") + w.end())
                  for w in re.finditer(r"\S+", m["words"])]
         for i, (s, e) in enumerate(names):
-            spans.append(("family" if i == len(names) - 1 else f"given_{gender}", s, e))
+            kind = "family" if i == len(names) - 1 else f"given_{gender}"
+            spans.append((kind, s, e))
+            known.setdefault(text[s:e].casefold(), kind)
+            at.add(s)
+    if known:
+        # Further mentions; a title in front of a name stays a title.
+        spans += [(known[m[0].casefold()], m.start(), m.end()) for m in LATER.finditer(text)
+                  if m.start() not in at and m[0].casefold() in known and not NAME.match(text, m.start())]
     out, end = [], -1
     for kind, s, e in sorted(spans, key=lambda x: (x[1], -x[2])):
         if s >= end:
@@ -217,11 +230,30 @@ def mentions(texts: DataFrame) -> DataFrame:
     return texts.mapInPandas(run, _MENTION)
 
 
+def _space(kind: Column) -> Column:
+    """Entities of one space have distinct surrogates; all names are one."""
+    return F.when(kind.rlike("^(given|family)"), F.lit("name")).otherwise(kind)
+
+
+def _merged(entities: DataFrame) -> DataFrame:
+    """(kind, value), one row for each value of a space; a given name that is m and f is n."""
+    def some(kind: str) -> Column:
+        return F.max((F.col("kind") == kind).cast("int")) == 1
+
+    m, f, n = some("given_m"), some("given_f"), some("given_n")
+    kind = F.when(m & ~f, F.lit("given_m")).when(f & ~m, F.lit("given_f")).when(
+        m | f | n, F.lit("given_n")).otherwise(F.min("kind"))
+    return entities.groupBy(_space(F.col("kind")).alias("space"), "value").agg(
+        kind.alias("kind")).select("kind", "value")
+
+
 def surrogates(entities: DataFrame, secret: bytes) -> DataFrame:
-    """(kind, value, new) of the distinct (kind, value): distinct ``new`` within each kind.
+    """(space, value, new) of the (kind, value): distinct ``new`` within each space.
 
-    Names share one space, however they are used, and so do all other kinds.
+    Names share one space, however they are used; every other kind is its own.
     """
+    entities = written(_merged(entities), "pii-entities")
+
     def drawn(df: DataFrame) -> DataFrame:
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for b in batches:
@@ -231,25 +263,26 @@ def surrogates(entities: DataFrame, secret: bytes) -> DataFrame:
         return df.mapInPandas(run, "kind string, value string, attempt int, new string")
 
     # An entity's own value is never handed out: it takes part as a claim that comes first.
-    real = entities.select("kind", F.col("value").alias("new"), F.lit(0).alias("turn"),
+    space = _space(F.col("kind")).alias("space")
+    real = entities.select(space, F.col("value").alias("new"), F.lit(0).alias("turn"),
                            F.col("value").alias("value"))
     settled, todo, turn = None, entities.withColumn("attempt", F.lit(0)), 0
     while True:
         turn += 1
         fresh = written(drawn(todo.select("kind", "value", "attempt")), f"pii-draw-{turn}")
-        claims = real.unionByName(fresh.select("kind", "new", F.lit(turn).alias("turn"), "value"))
+        claims = real.unionByName(fresh.select(space, "new", F.lit(turn).alias("turn"), "value"))
         if settled is not None:
             claims = claims.unionByName(
-                settled.select("kind", "new", F.lit(1).alias("turn"), "value"))
+                settled.select("space", "new", F.lit(1).alias("turn"), "value"))
         # The earliest claim holds; within a turn the smallest value.
-        first = claims.groupBy(F.col("kind").alias("k"), F.col("new").alias("n")).agg(
+        first = claims.groupBy(F.col("space").alias("k"), F.col("new").alias("n")).agg(
             F.min(F.struct("turn", "value")).alias("first"))
-        judged = fresh.join(first, (F.col("kind") == F.col("k")) & (F.col("new") == F.col("n"))) \
+        judged = fresh.join(first, (_space(F.col("kind")) == F.col("k")) & (F.col("new") == F.col("n"))) \
             .withColumn("wins", (F.col("first.turn") == turn)
                         & (F.col("first.value") == F.col("value"))) \
             .select("kind", "value", "attempt", "new", "wins")
         judged = written(judged, f"pii-judged-{turn}")
-        good = judged.where("wins").select("kind", "value", "new")
+        good = judged.where("wins").select(space, "value", "new")
         settled = good if settled is None else settled.unionByName(good)
         todo = judged.where(~F.col("wins")).withColumn("attempt", F.col("attempt") + 1)
         if todo.isEmpty():
@@ -264,7 +297,7 @@ def pseudonymise(docs: DataFrame, secret: bytes, id_col: str = "doc_id",
     some = rows.where(may).withColumn("key", F.unhex(F.md5("text")))
     found = written(mentions(some.select("key", "text")).distinct(), "pii-mentions")
     new = written(surrogates(found.select("kind", "value").distinct(), secret), "pii-surrogates")
-    edits = found.join(new, ["kind", "value"]).groupBy("key").agg(
+    edits = found.withColumn("space", _space(F.col("kind"))).join(new, ["space", "value"]).groupBy("key").agg(
         F.array_sort(F.collect_list(F.struct("start", "end", "kind", "new"))).alias("edits"))
     edited = some.join(edits, "key", "left").select("doc_id", "text", "edits")
 
