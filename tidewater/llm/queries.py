@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import counts, jaccard, lines, mixing, pieces, pii, quality, secrets, simhash, suffixes
+from tidewater.llm import (align, counts, jaccard, lines, mixing, pieces, pii, quality, secrets,
+                           simhash, suffixes)
 from tidewater.sources.tables import read_table
 
 
-#: The public vocabulary that ops 3 and 10 use.
+#: The public vocabularies: of ops 3, 10 and 12, and of op 12 alone.
 PIECES = "piece_bpe_32k.model"
+BYTES = "byte_bpe_50k.json"
 
 
 def vocabulary(name: str) -> str:
@@ -73,9 +75,14 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.count_tokens(docs, vocabulary(PIECES))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    return align.align_tokenizers(docs, vocabulary(BYTES), vocabulary(PIECES))[0]
+
+
 QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_line_dedup, op3_sentencepiece,
                                    op4_secret_scan, op5_quality_rules, op6_fingerprints, op7_pii_surrogates, op8_mix_sources, op9_suffix_dedup,
-                                   op10_token_counts)}
+                                   op10_token_counts, op12_token_alignment)}
 
 ORACLE: dict[str, str] = {"op1_ngram_jaccard_join": jaccard.oracle(),
                           "op2_line_dedup": lines.oracle(),
