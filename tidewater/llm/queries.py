@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import (align, counts, jaccard, lines, mixing, pieces, pii, quality, secrets,
-                           simhash, suffixes)
+from tidewater.llm import (align, counts, jaccard, licenses, lines, mixing, phrases, pieces, pii,
+                           quality, secrets, simhash, suffixes)
 from tidewater.sources.tables import read_table
 
 
@@ -75,15 +75,26 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.count_tokens(docs, vocabulary(PIECES))
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    return licenses.license_digests(licenses.license_matches(docs))
+
+
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
     return align.align_tokenizers(docs, vocabulary(BYTES), vocabulary(PIECES))[0]
 
 
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read_table(spark, sf_dir, "documents", ["lang", "text"]))
+
+
 QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_line_dedup, op3_sentencepiece,
                                    op4_secret_scan, op5_quality_rules, op6_fingerprints, op7_pii_surrogates, op8_mix_sources, op9_suffix_dedup,
-                                   op10_token_counts, op12_token_alignment)}
+                                   op10_token_counts, op11_license_scan, op12_token_alignment,
+                                   op13_phrase_collocations)}
 
 ORACLE: dict[str, str] = {"op1_ngram_jaccard_join": jaccard.oracle(),
                           "op2_line_dedup": lines.oracle(),
-                          "op9_suffix_dedup": suffixes.oracle()}
+                          "op9_suffix_dedup": suffixes.oracle(),
+                          "op13_phrase_collocations": phrases.oracle()}
