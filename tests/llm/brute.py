@@ -268,3 +268,108 @@ def mix(docs, fan_in=mixing.FAN_IN, seed=mixing.SEED):
 
 def sha(data) -> str:
     return hashlib.sha256(data if isinstance(data, bytes) else data.encode()).hexdigest()
+
+
+# --- licence scans
+
+LICENCE_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+BASE_PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by",
+                "mit license": "mit"}
+ASCII_LOWER = {c: c + 32 for c in range(65, 91)}
+
+
+def base_licences(text):
+    """(n_words, n_base, first_word, last_word, base_labels)."""
+    ws = LICENCE_WORD.findall((text or "").translate(ASCII_LOWER))
+    hits = [(k, label) for phrase, label in BASE_PHRASES.items() for p in [phrase.split()]
+            for k in range(len(ws) - len(p) + 1) if ws[k:k + len(p)] == p]
+    starts = [k for k, _ in hits]
+    return (len(ws), len(hits), min(starts, default=None), max(starts, default=None),
+            ",".join(sorted({label for _, label in hits})))
+
+
+def licence_labels(text, templates, idf):
+    """{label: share} of every template put at every place of the text."""
+    ws = LICENCE_WORD.findall((text or "").translate(ASCII_LOWER))
+    out = {}
+    for t in templates:
+        own = LICENCE_WORD.findall(t.text.translate(ASCII_LOWER))
+        total = sum(idf[w] for w in own)
+        for start in range(-len(own) - t.slip, len(ws) + 1):
+            near = {i: [p for p in range(max(0, start + i - t.slip), min(len(ws), start + i + t.slip + 1))
+                        if ws[p] == w] for i, w in enumerate(own)}
+            share = sum(idf[own[i]] for i, p in near.items() if p) / total
+            span = ws[max(0, start - t.slip):max(0, start + len(own) + t.slip)]
+            held = all(any(span[k:k + len(p)] == p for k in range(len(span))) for p in map(str.split, t.keys))
+            if share >= t.share - 1e-9 and held:
+                out[t.label] = max(share, out.get(t.label, 0))
+    return out
+
+
+# --- tokens of two tokenizers
+
+def alignment(text, library_a, tokens_a, library_b, tokens_b):
+    """(ids of A, ids of B, groups, links), or None without tokens; byte by byte."""
+    if not text:
+        return None
+    a, b = library_a.encode(" " + text, add_special_tokens=False).ids, library_b.encode(text)
+    want = (" " + text).encode()
+    if b"".join(tokens_a[i] for i in a) != want or b"".join(tokens_b[i] for i in b) != want:
+        return None
+    at_a = [n for n, i in enumerate(a) for _ in tokens_a[i]]
+    at_b = [n for n, i in enumerate(b) for _ in tokens_b[i]]
+    links = sorted(set(zip(at_a, at_b)))
+    groups, first = [], 0
+    for k in range(len(want)):
+        if k + 1 == len(want) or (at_a[k] != at_a[k + 1] and at_b[k] != at_b[k + 1]):
+            ids = [",".join(str(ids[n]) for n in range(at[first], at[k] + 1)) for ids, at in ((a, at_a), (b, at_b))]
+            groups.append("|".join(ids))
+            first = k + 1
+    return a, b, groups, [(a[i], b[j]) for i, j in links]
+
+
+def alignments(rows, *libraries):
+    """[(doc_id, text)]: the measures of op12, and the pair counts."""
+    each = [alignment(t, *libraries) for _, t in rows]
+    counts = Counter(link for x in each if x for link in x[3])
+    highest = defaultdict(int)
+    for (_, b), n in counts.items():
+        highest[b] = max(highest[b], n)
+    out = []
+    for (i, _), x in zip(rows, each):
+        if x is None:
+            out.append((i, 0, 0, 0, 0, 0, 0, ""))
+        else:
+            a, b, groups, links = x
+            out.append((i, len(a), len(b), len(groups), len(links),
+                        sum(counts[k] == highest[k[1]] for k in links), sum(counts[k] for k in links),
+                        sha(";".join(groups))))
+    return out, counts
+
+
+# --- phrases
+
+def collocations(rows, least, percent, top):
+    """[(lang, text)]: the rows of op13."""
+    f, n = defaultdict(Counter), Counter()
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(ASCII_LOWER)):
+            ws = re.findall(r"[^\x20\x09]+", piece)
+            n[lang] += len(ws)
+            for size in range(1, 5):
+                f[lang].update(tuple(ws[i:i + size]) for i in range(len(ws) - size + 1))
+    out = []
+    for lang, own in f.items():
+        found = {p: a for p, a in own.items() if len(p) > 1 and a >= least}
+        kept = []
+        for p, a in found.items():
+            if any(100 * b >= percent * a and len(q) > len(p) and
+                   any(q[i:i + len(p)] == p for i in range(len(q) - len(p) + 1)) for q, b in found.items()):
+                continue
+            score, _, left, right = min((2000000 * a // (own[p[:k]] + own[p[k:]]), k, own[p[:k]], own[p[k:]])
+                                        for k in range(1, len(p)))
+            kept.append((-score, -a, " ".join(p).encode(), left, right))
+        for rank, (score, a, phrase, left, right) in enumerate(sorted(kept)[:top], 1):
+            out.append((lang, rank, phrase.decode(), -a, left, right, n[lang], -score))
+    return out

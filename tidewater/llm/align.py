@@ -41,11 +41,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import narrow, written
+from tidewater.llm.packing import Numbers, from_planes, planes
 from tidewater.llm.pieces import _fields, model_bytes
 from tidewater.operators.joins import hot_key_join
 
 #: Characters of distinct texts that a task aligns at a time.
-BLOCK_CHARS = 16_000_000
+BLOCK_CHARS = 5_000_000
 #: Texts with more copies have their doc_ids dealt over several tasks.
 HOT_COPIES = 5_000
 #: Rows of a batch that a task returns.
@@ -58,14 +59,6 @@ CUT = re.compile(f"(?<=[^{BLANK}])(?= [^{BLANK}])")
 ODD = re.compile(f" [{BLANK}]|[{BLANK}] | \\Z")
 
 
-class _Numbers(dict):
-    """Numbers new keys in their order."""
-
-    def __missing__(self, key):
-        self[key] = n = len(self)
-        return n
-
-
 def _byte_letters() -> dict[str, int]:
     """The printable letter that byte-level BPE writes for each byte, and back."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -198,15 +191,6 @@ def aligner(file_a: bytes, file_b: bytes) -> Aligner:
     return _ALIGNERS[key]
 
 
-def _planes(numbers: np.ndarray) -> bytes:
-    """32-bit numbers byte by byte, so that their empty high bytes compress away."""
-    return np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
-
-
-def _numbers(planes: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<u4").ravel()
-
-
 #: Three kinds of rows: a text with its cuts, a block with its links, a pair of a block.
 _BLOCK_ROWS = ("block long, key binary, copies long, n_a long, n_b long, n_groups long, n_links long, "
                "groups_sha256 string, cuts binary, link_cut binary, link_pair binary, "
@@ -225,7 +209,7 @@ def _rows_of(columns: dict) -> pa.RecordBatch:
 
 def _block_rows(own: Aligner, block: int, texts: list[str], copies: list[int]) -> Iterator[pa.RecordBatch]:
     """The rows of one block of distinct texts."""
-    number = _Numbers()
+    number = Numbers()
     cuts = [np.array([number[c] for c in own.split(t)], np.int64) for t in texts]
     got = own.align(list(number))
     weight = np.zeros(len(number), np.int64)
@@ -241,10 +225,10 @@ def _block_rows(own: Aligner, block: int, texts: list[str], copies: list[int]) -
             np.add.at(weight, c, m)
             groups = "".join(map(got["groups"].__getitem__, c.tolist()))[:-1]
         out["groups_sha256"].append(hashlib.sha256(groups.encode()).hexdigest() if good else "")
-        out["cuts"].append(_planes(c if good else c[:0]))
+        out["cuts"].append(planes((c if good else c[:0]).astype("<u4")))
     yield _rows_of(out)
     pairs, which = np.unique(got["link_a"] << 32 | got["link_b"], return_inverse=True)
-    yield _rows_of({"block": [block], "link_cut": [_planes(got["link_cut"])], "link_pair": [_planes(which)]})
+    yield _rows_of({"block": [block], "link_cut": [planes(got["link_cut"].astype("<u4"))], "link_pair": [planes(which.astype("<u4"))]})
     n = np.zeros(len(pairs), np.int64)
     np.add.at(n, which, weight[got["link_cut"]])
     for i in range(0, len(pairs), ROWS_OUT):
@@ -292,14 +276,14 @@ def _measured(rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
     """The measures of a block's texts from its rows and the sums of its pairs."""
     is_text = rows["key"].notna()
     links, texts = rows[~is_text].iloc[0], rows[is_text]
-    link_cut, link_pair = _numbers(links["link_cut"]), _numbers(links["link_pair"])
+    link_cut, link_pair = from_planes(links["link_cut"], "<u4"), from_planes(links["link_pair"], "<u4")
     n, best = (np.zeros(int(link_pair.max(initial=0)) + 1, np.int64) for _ in range(2))
     n[answers["at"]], best[answers["at"]] = answers["n"], answers["best"]
     n_cuts = int(link_cut.max(initial=0)) + 1
     sums, bests = np.zeros(n_cuts, np.int64), np.zeros(n_cuts, np.int64)
     np.add.at(sums, link_cut, n[link_pair])
     np.add.at(bests, link_cut, best[link_pair])
-    cuts = [_numbers(c) for c in texts["cuts"]]
+    cuts = [from_planes(c, "<u4") for c in texts["cuts"]]
     return texts[["key", "copies", "n_a", "n_b", "n_groups", "n_links"]].assign(
         n_best=[int(bests[c].sum()) for c in cuts], count_sum=[int(sums[c].sum()) for c in cuts],
         groups_sha256=texts["groups_sha256"])

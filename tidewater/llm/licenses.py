@@ -7,25 +7,25 @@ holds: of each template the words of highest IDF, as many as any match must shar
 with (the others weigh less than the least share).
 
 A file's occurrences of indexed words are looked up. Each posting (template, position)
-fixes where the template would start; around that start the postings of all its words are
+fixes where the template may start; from each such start the postings of all its words are
 intersected with the file's places, ``slip`` words apart at most, and the weight of the words
 found is the match's share. A match of ``share`` or more counts if every key phrase stands in it word
-by word. Base phrases are templates of share 1 and slip 0, so that the same look-up gives
+by word. No start that could match is left out. Base phrases are templates of share 1 and slip 0, so that the same look-up gives
 all their places.
 
 What a task knows of the corpus is one count per licence word, bounded by the templates. A
 file is looked up where it is, so nothing is shuffled but those counts.
 
 Edge cases: a null or empty text has no words, no labels and score 0; rows are scanned one by
-one, so repeated rows, null ids and extra columns need no rule; of matches of a template that
-start within ``slip`` of each other the one of higher share stays, ties go to the first; an
+one, so repeated rows, null ids and extra columns need no rule; of overlapping matches of a
+template the one of higher share stays, then the one with words less moved, then the first; an
 empty table gives an empty result; a very long text takes time in proportion to its words
 and its look-ups. Memory per task: one Arrow batch.
 """
 
 from __future__ import annotations
 
-import math
+import bisect
 from collections.abc import Iterable, Iterator
 from itertools import repeat
 from typing import NamedTuple
@@ -87,9 +87,9 @@ NOTICES = (
     Template("unlicense", "This is free and unencumbered software released into the public domain",
              ("unencumbered software",)),
     Template("mit-line", "Released under the MIT License", ("the mit license",)),
-    Template("cc-by-nc", "Licensed under CC BY-NC 4.0", ("cc by nc",)),
-    Template("cc-by-sa", "Licensed under CC BY-SA 4.0", ("cc by sa",)),
-    Template("cc-by-nd", "Licensed under CC BY-ND 4.0", ("cc by nd",)),
+    Template("cc-by-nc", "CC BY-NC 4.0", ("cc by nc",)),
+    Template("cc-by-sa", "CC BY-SA 4.0", ("cc by sa",)),
+    Template("cc-by-nd", "CC BY-ND 4.0", ("cc by nd",)),
     Template("cc-by-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License",
              ("creative commons attribution",)),
     Template("cc0", "CC0 1.0 Universal Public Domain Dedication", ("public domain dedication",)),
@@ -165,13 +165,17 @@ class Index:
         self.rare = np.zeros(len(number), bool)
         self.rare[list(self.postings)] = True
 
-    def _match(self, n: int, start: int, words: np.ndarray, places: np.ndarray) -> tuple[float, int, int] | None:
-        """(share, start, end) of template n put at ``start`` of a file, if it is one."""
+    def _match(self, n: int, start: int, words: np.ndarray, places: np.ndarray) -> tuple | None:
+        """(-share, words moved by, start, end) of template n put at ``start`` of a file, if it is one."""
         t, own = self.templates[n], self.words[n]
         lo, hi = np.searchsorted(places, (start - t.slip, start + len(own) + t.slip))
         words, places = words[lo:hi], places[lo:hi]
-        near = (words[:, None] == own) & (abs(places[:, None] - start - np.arange(len(own))) <= t.slip)
-        share = float(self.weights[n][near.any(0)].sum() / self.weights[n].sum())
+        moved = np.abs(places[:, None] - start - np.arange(len(own)))
+        moved[words[:, None] != own] = t.slip + 1
+        nearest = moved.argmin(0)
+        moved = moved[nearest, np.arange(len(own))]
+        found = moved <= t.slip
+        share = float(self.weights[n][found].sum() / self.weights[n].sum())
         if share < t.share - 1e-9:
             return None
         for key in self.keys[n]:
@@ -180,31 +184,26 @@ class Index:
             run = at[:, None] + np.arange(len(key))
             if not ((words[run] == key) & (places[run] == places[at][:, None] + np.arange(len(key)))).all(1).any():
                 return None
-        used = places[near.any(1)]
-        return min(share, 1.0), int(used.min()), int(used.max()) + 1
+        used = places[nearest[found]]
+        return -min(share, 1.0), int(moved[found].sum()), int(used.min()), int(used.max()) + 1
 
     def find(self, words: np.ndarray, places: np.ndarray) -> list[tuple[str, int, int, float, bool]]:
-        """(label, start, end, share, base) of a file's matches by start."""
+        """(label, start, end, share, base) of a file's matches by label and start."""
         starts: dict[int, set[int]] = {}
         for at in np.flatnonzero(self.rare[words]).tolist():
             for n, offset in self.postings[int(words[at])]:
-                starts.setdefault(n, set()).add(int(places[at]) - offset)
+                start, slip = int(places[at]) - offset, self.templates[n].slip
+                starts.setdefault(n, set()).update(range(start - slip, start + slip + 1))
         out = []
         for n, some in starts.items():
-            t, best = self.templates[n], None
-            for start in sorted(some):
-                got = self._match(n, start, words, places)
-                if got is None:
+            taken: list[tuple[int, int]] = []
+            for share, _, start, end in sorted(filter(None, (self._match(n, s, words, places) for s in some))):
+                at = bisect.bisect(taken, (start, end))
+                if (at and taken[at - 1][1] > start) or (at < len(taken) and taken[at][0] < end):
                     continue
-                if best and start - best[0] <= t.slip:
-                    if got[0] > best[1][0]:
-                        best = out[-1] = (start, got, n)
-                else:
-                    best = (start, got, n)
-                    out.append(best)
-        n_base = len(BASE)
-        return sorted((self.templates[n].label, s, e, share, n < n_base)
-                      for _, (share, s, e), n in out)
+                taken.insert(at, (start, end))
+                out.append((self.templates[n].label, start, end, -share, n < len(BASE)))
+        return sorted(out)
 
 
 _MATCH = T.ArrayType(T.StructType([

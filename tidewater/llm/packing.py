@@ -15,7 +15,7 @@ class Numbers(dict):
 
 def planes(numbers: np.ndarray) -> bytes:
     """Numbers byte by byte, so that their empty high bytes compress away."""
-    return np.ascontiguousarray(numbers.view(np.uint8).reshape(len(numbers), -1).T).tobytes()
+    return np.ascontiguousarray(numbers.view(np.uint8).reshape(-1, numbers.itemsize).T).tobytes()
 
 
 def from_planes(data: bytes, kind: str) -> np.ndarray:

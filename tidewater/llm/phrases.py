@@ -42,7 +42,7 @@ from tidewater.llm.common import shared_partitions, written
 from tidewater.llm.packing import Numbers, from_planes, planes
 
 #: Characters that a task holds before it closes its blocks, one per language.
-BLOCK_CHARS = 8_000_000
+BLOCK_CHARS = 5_000_000
 #: n-gram occurrences per range of the hash space.
 RANGE_MASS = 16_000_000
 BITS = 48
