@@ -1,8 +1,8 @@
 """Command-line entry points of the two streaming jobs.
 
-    python -m tidewater.cli wordcount (--socket HOST:PORT | --files DIR | --kafka BROKERS --topic T)
+    python -m tidewater.cli wordcount (--socket HOST:PORT | --files DIR | --log DIR | --kafka BROKERS --topic T)
                                       --job-dir DIR [--deny a,b,c] [--interval 1] [--once]
-    python -m tidewater.cli cdc-apply (--files DIR | --kafka BROKERS --topic T --value-format json|avro)
+    python -m tidewater.cli cdc-apply (--files DIR | (--log DIR | --kafka BROKERS --topic T) --value-format json|avro)
                                       --job-dir DIR [--key-column cust_key] [--interval 10] [--once --flush]
                                       [--db-module MODULE --db-args JSON]   (else: native target)
 
@@ -59,6 +59,25 @@ def _kafka_stream(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
     return kafka.read_kafka_stream(spark, opts)
 
 
+def _log_stream(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
+    """Records of a log folder; a new job starts by policy from a previous job's progress."""
+    from tidewater.operators.offsets import committed_from_progress
+    from tidewater.sinks.tables import read_table
+    from tidewater.sources.log import log_stream
+    from tidewater.streaming.runner import output_generation
+
+    committed = None
+    if a.resume_from:
+        prev = a.resume_from.rstrip("/")
+        out = output_generation(spark, f"{prev}/checkpoint", f"{prev}/out")
+        committed = committed_from_progress(read_table(
+            spark, f"{out}/progress", "topic string, partition int, from_offset long, "
+                                      "until_offset long, records long, epoch long"))
+    cap = max(1, int(a.rate_per_partition * a.interval)) if a.rate_per_partition else None
+    return log_stream(spark, a.log, f"{a.job_dir}/checkpoint", a.start_policy or "resume_earliest",
+                      committed, cap, tuple(filter(None, (a.topic or "").split(","))))
+
+
 def cdc_from_kafka(records: DataFrame, value_format: str, avro_schema: str | None = None,
                    writer_schemas: dict[int, str] | None = None) -> DataFrame:
     """Kafka records -> change events with their topic / partition / offset."""
@@ -90,6 +109,7 @@ def build_parser() -> argparse.ArgumentParser:
         sp.add_argument("--interval", type=float, default=interval, help="seconds per micro-batch")
         sp.add_argument("--once", action="store_true", help="process what is available, then stop")
         sp.add_argument("--kafka", metavar="BROKERS")
+        sp.add_argument("--log", metavar="DIR", help="record log folder (tidewater.sources.log)")
         sp.add_argument("--topic")
         sp.add_argument("--group")
         sp.add_argument("--starting-offsets", help="earliest, latest or startingOffsets JSON")
@@ -148,11 +168,11 @@ def main(argv: list[str] | None = None) -> None:
             stream = socket_stream(spark, host, int(port))
         elif a.files:
             stream = text_stream(spark, a.files, max_files_per_trigger=a.max_files_per_trigger)
-        elif a.kafka:
-            stream = _kafka_stream(spark, a).select(
-                "topic", "partition", "offset", kafka.value_string().alias("text"))
+        elif a.kafka or a.log:
+            records = _log_stream(spark, a) if a.log else _kafka_stream(spark, a)
+            stream = records.select("topic", "partition", "offset", kafka.value_string().alias("text"))
         else:
-            raise SystemExit("one of --socket, --files, --kafka is required")
+            raise SystemExit("one of --socket, --files, --kafka, --log is required")
         job = WordCountJob(spark, a.job_dir, [w for w in a.deny.split(",") if w], echo=a.echo)
     else:
         if a.files:
@@ -160,11 +180,12 @@ def main(argv: list[str] | None = None) -> None:
             if a.max_files_per_trigger:
                 r = r.option("maxFilesPerTrigger", str(a.max_files_per_trigger))
             stream = r.parquet(a.files)
-        elif a.kafka:
-            stream = cdc_from_kafka(_kafka_stream(spark, a), a.value_format, a.avro_schema,
+        elif a.kafka or a.log:
+            records = _log_stream(spark, a) if a.log else _kafka_stream(spark, a)
+            stream = cdc_from_kafka(records, a.value_format, a.avro_schema,
                                     {int(k): v for k, v in json.loads(a.writer_schemas).items()})
         else:
-            raise SystemExit("one of --files, --kafka is required")
+            raise SystemExit("one of --files, --kafka, --log is required")
         if a.db_module:
             mod = importlib.import_module(a.db_module)
             connect = functools.partial(mod.connect, **json.loads(a.db_args))
@@ -172,8 +193,15 @@ def main(argv: list[str] | None = None) -> None:
                              paramstyle=getattr(mod, "paramstyle", "qmark"), mode=a.value_mode)
         else:
             job = CdcApplyJob(spark, a.job_dir, key_option(a.key_column), mode=a.value_mode)
-    q = job.start(stream, _trigger(a))
-    q.awaitTermination()
+    if a.log and a.once:
+        # A capped batch is not all that the log holds: batches run until it is.
+        from tidewater.sources.log import drain
+
+        q = job.start(stream, {"processingTime": "0 seconds"})
+        drain(q)
+    else:
+        q = job.start(stream, _trigger(a))
+        q.awaitTermination()
     if q.exception() is not None:
         raise SystemExit(str(q.exception()))
     if a.command == "cdc-apply" and a.once and a.flush:

@@ -57,6 +57,29 @@ def start_offset(policy: str, c: Column, e: Column, l: Column) -> Column:
     raise ValueError(f"policy must be one of {POLICIES}, got {policy!r}")
 
 
+def start_at(policy: str, committed: int | None, earliest: int | None, latest: int | None,
+             any_commit: bool) -> int:
+    """``start_offset`` of one partition as a number, for a source that knows the log's bounds
+    (None: nothing written) on the driver."""
+    c, e, l = committed, earliest, latest
+    if e is None or l is None:
+        return c or 0
+    first_use = {"zero": c is None, "latest": c is None, "group": not any_commit, "group_latest": not any_commit}
+    if first_use.get(policy):
+        return 0
+    if c is None:
+        return e
+    if policy in ("latest", "group_latest"):
+        return l
+    if policy == "resume_earliest":
+        return max(c, e)
+    if policy in ("resume_latest", "group"):
+        return c if e <= c <= l else l
+    if policy == "zero":
+        return c
+    raise ValueError(f"policy must be one of {POLICIES}, got {policy!r}")
+
+
 def resolve_start_offsets(committed: DataFrame, bounds: DataFrame, policy: str) -> DataFrame:
     """S10e: combine the commits, earliest and latest offsets of every topic partition that any
     of the three knows (full join on ``(topic, partition)``) and apply ``policy``.

@@ -20,7 +20,7 @@ commits AS (
   FROM bounds
 )"""
 
-_POLICY = {
+POLICY_SQL = {
     "zero": "coalesce(committed, 0)",
     "latest": "CASE WHEN committed IS NULL THEN 0 ELSE latest END",
     "resume_latest": ("CASE WHEN committed IS NULL THEN earliest "
@@ -37,7 +37,7 @@ ORACLE = {
     **{f"start_offsets_{p}": f"""
 WITH {RECORDS}
 SELECT topic, "partition", committed, earliest, latest, CAST({expr} AS BIGINT) AS start_offset
-FROM commits""" for p, expr in _POLICY.items()},
+FROM commits""" for p, expr in POLICY_SQL.items()},
 
     "batch_progress": f"""
 WITH {RECORDS}

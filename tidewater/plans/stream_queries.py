@@ -86,4 +86,5 @@ ORACLE_OF = {
     "stream_dropped_total": "dropped_running_total",
     "stream_cdc_apply": "cdc_final_state",
     "stream_cdc_status": "cdc_apply_status",
+    "stream_batch_progress": "batch_progress",
 }

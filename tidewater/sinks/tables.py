@@ -30,6 +30,14 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
 
 
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files in ``path`` (empty when it does not exist)."""
+    fs, p = _fs_path(spark, path)
+    if not fs.exists(p):
+        return []
+    return [s.getPath().getName() for s in fs.listStatus(p) if s.isFile()]
+
+
 def write_epoch(df: DataFrame, path: str, epoch: int, column: str = "epoch",
                 fmt: str = "parquet") -> None:
     """Write ``df`` as the folder ``path/column=epoch``, replacing only it.

@@ -237,6 +237,11 @@ def read_kafka_records(spark: SparkSession, sf_dir: str, value_format: str = "te
 RETENTION_CUT = 10
 
 
+def retained(records: DataFrame) -> DataFrame:
+    """The records that retention has left."""
+    return records.where((F.col("partition") % 2 == 1) | (F.col("offset") >= RETENTION_CUT))
+
+
 def log_bounds(records: DataFrame) -> DataFrame:
     """(topic, partition, earliest, latest) with the retention rule above."""
     from tidewater.operators.offsets import log_bounds as bounds
