@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.session import get_session
-from tidewater.sources import kafka
+from tidewater.sources import avro, kafka
 from tidewater.streaming.cdc_job import CdcApplyJob
 from tidewater.streaming.db_job import DbApplyJob
 from tidewater.streaming.wordcount_job import WordCountJob, socket_stream, text_stream
@@ -80,19 +80,20 @@ def _log_stream(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
 
 def cdc_from_kafka(records: DataFrame, value_format: str, avro_schema: str | None = None,
                    writer_schemas: dict[int, str] | None = None) -> DataFrame:
-    """Kafka records -> change events with their topic / partition / offset."""
+    """Kafka records -> change events with their topic / partition / offset. Avro bodies are read
+    with the registry's schema of their id; other ids cannot be decoded."""
     if value_format == "json":
-        ev = kafka.value_json(CDC_EVENT_SCHEMA, corrupt="_bad")
+        e = records.select("topic", "partition", "offset",
+                           kafka.value_json(CDC_EVENT_SCHEMA, corrupt="_bad").alias("e"))
+        bad = F.col("e").isNull() | F.col("e._bad").isNotNull()
     elif value_format == "avro":
-        if not avro_schema:
-            raise SystemExit("--avro-schema is required for --value-format avro")
-        ev = kafka.registry_avro(avro_schema, writer_schemas=writer_schemas)
+        if not avro_schema or not writer_schemas:
+            raise SystemExit("--avro-schema and --writer-schemas are required for --value-format avro")
+        e = avro.decode_registry(records.select("topic", "partition", "offset", "value"), avro_schema,
+                                 writer_schemas, name="e")
+        bad = F.col("status") != "ok"
     else:
         raise SystemExit(f"unknown value format {value_format!r}")
-    e = records.select("topic", "partition", "offset", ev.alias("e"))
-    bad = F.col("e").isNull()
-    if value_format == "json":
-        bad = bad | F.col("e._bad").isNotNull()
     # A record that cannot be decoded stays: it is rejected with its reason and counted.
     fields = [F.col(f"e.{c}") for c in ("tableName", "actionType", "columns", "`where`")]
     return e.select("topic", "partition", "offset", F.col("offset").alias("seq"), *fields,

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.plans import (cdc_oracle, cdc_queries, kafka_oracle, kafka_queries, log_oracle,
-                             log_queries, stream_queries, text_oracle, text_queries)
+from tidewater.plans import (avro_queries, cdc_oracle, cdc_queries, kafka_oracle,
+                             kafka_queries, log_oracle, log_queries, stream_queries, text_oracle, text_queries)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,6 +18,7 @@ def queries() -> dict[str, Query]:
     out.update(cdc_queries.QUERIES)
     out.update(kafka_queries.QUERIES)
     out.update(log_queries.QUERIES)
+    out.update(avro_queries.QUERIES)
     out.update(stream_queries.QUERIES)
     return out
 
@@ -28,6 +29,7 @@ def oracle_sql() -> dict[str, str]:
     out.update(cdc_oracle.ORACLE)
     out.update(kafka_oracle.ORACLE)
     out.update(log_oracle.ORACLE)
+    out.update(avro_queries.ORACLE)
     for name, same_as in stream_queries.ORACLE_OF.items():
         out[name] = out[same_as]
     return out

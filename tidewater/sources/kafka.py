@@ -1,4 +1,4 @@
-"""Kafka sources and record decoders.
+"""Kafka sources and record decoders (S1-S9, D1-D4; Avro bodies: ``sources.avro``).
 
 Reading uses Spark's Kafka source (``format("kafka")``); it needs the
 ``spark-sql-kafka`` package on the classpath, which this environment lacks, so
@@ -123,27 +123,6 @@ def registry_header(value: str = "value") -> Column:
                     body.alias("body"), status.alias("status"))
 
 
-def registry_avro(reader_schema_json: str, value: str = "value",
-                  writer_schemas: dict[int, str] | None = None) -> Column:
-    """Registry-framed Avro onto a fixed reader schema.
-
-    ``writer_schemas`` gives the registry's schema by id: a body is read with the schema that
-    wrote it and projected onto the reader's (``avroSchema`` of the Avro source); ids that are
-    not listed are read with the reader schema. Written after the source's documentation,
-    not run here: the package is missing. Needs the ``spark-avro`` package; without it this raises ImportError or
-    an analysis error at plan time. Rows with a bad frame decode to null.
-    """
-    from pyspark.sql.avro.functions import from_avro
-
-    h = registry_header(value)
-    options = {"mode": "PERMISSIVE", "avroSchema": reader_schema_json}
-    out = from_avro(h["body"], reader_schema_json, options)
-    for schema_id, schema in (writer_schemas or {}).items():
-        out = F.when(h["schema_id"] == schema_id, from_avro(h["body"], schema, options)) \
-            .otherwise(out)
-    return F.when(h["status"] == "ok", out)
-
-
 def decode_with(df: DataFrame, decoder: Callable[[Column], Column],
                 value: str = "value", name: str = "decoded") -> DataFrame:
     """S3 / S4 re-aimed: any Column decoder applied to the value bytes."""
