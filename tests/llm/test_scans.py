@@ -149,9 +149,11 @@ def test_summary_keeps_every_frequent_key():
         own = phrases.Summary(len(stream) // least + 1)
         for part in np.array_split(stream, 17):
             own.merge(*np.unique(part, return_counts=True))
-            assert len(own.keys) <= own.size and (own.counts > 0).all()
+            assert len(own.keys) <= own.size and (own.counts > 0).all() and own.error < least
         keys, counts = np.unique(stream, return_counts=True)
-        assert np.isin(keys[counts >= least], own.keys).all()
+        assert np.isin(keys[counts >= least], own.keys[own.counts + own.error >= least]).all()
+        true = dict(zip(keys.tolist(), counts.tolist()))
+        assert all(c <= true[k] <= c + own.error for k, c in zip(own.keys.tolist(), own.counts.tolist()))
 
 
 def test_products_beyond_64_bits(spark):

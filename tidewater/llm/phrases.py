@@ -9,10 +9,11 @@ Texts are taken in blocks of one language, written once as word numbers and a wo
 
 1. Misra-Gries: each block sends the 48-bit hashes of its n-grams with their counts to
    ranges of the hash space. A range merges these summaries into one of k counters, k
-   above its mass divided by ``least``: what all subtractions of a merge take from a
-   counter is below ``least``, so every frequent n-gram keeps one. The number of ranges grows
-   with the mass, so that a range is of bounded size; a hot n-gram is one counter per
-   block. The hashes that survive go back to the blocks that sent them.
+   above its mass divided by ``least``: what all subtractions together take from a counter
+   is below ``least``, so every frequent n-gram keeps one. Survivors whose counter and the
+   range's error together stay below ``least`` go. The number of ranges grows with the mass, so that a
+   range is of bounded size; a hot n-gram is one counter per block. The hashes that
+   survive go back to the blocks that sent them.
 2. The second pass counts the survivors exactly, by their words, in each block; Spark sums
    the counts by phrase, so that neither a collision nor a survivor by chance counts.
 3. Scores, the test for longer candidates and the ranks are joins and windows over the
@@ -41,8 +42,10 @@ from tidewater.llm.blocks import mixed
 from tidewater.llm.common import shared_partitions, written
 from tidewater.llm.packing import Numbers, from_planes, planes
 
-#: Characters that a task holds before it closes its blocks, one per language.
-BLOCK_CHARS = 5_000_000
+#: Words that a task holds before it closes its blocks, one per language.
+BLOCK_WORDS = 3_000_000
+#: Characters whose words are numbered at a time.
+GROUP_CHARS = 1_000_000
 #: n-gram occurrences per range of the hash space.
 RANGE_MASS = 16_000_000
 BITS = 48
@@ -53,11 +56,28 @@ _LETTERS = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\n\x0b\x0c\r\t",
                            b"abcdefghijklmnopqrstuvwxyz" + b"\n" * 10 + b" ")
 
 
-def spelled(texts: list[str]) -> tuple[np.ndarray, list[bytes]]:
-    """The word numbers of all texts, 0 between pieces, and the words by number."""
-    flat = "\n".join(texts).encode().translate(_LETTERS).replace(b"\n", b" \n ")
-    tokens, number = list(filter(None, flat.split(b" "))), Numbers({b"\n": 0})
-    return np.fromiter(map(number.__getitem__, tokens), np.uint32, len(tokens)), list(number)
+class Words:
+    """The words of many texts of one language: their numbers, 0 between pieces, and the words by number."""
+
+    def __init__(self):
+        self.number, self.parts, self.waiting, self.chars = Numbers({b"\n": 0}), [], [], 0
+
+    def add(self, text: str) -> int:
+        """Take a text; the number of words that have been numbered by that."""
+        self.waiting.append(text)
+        self.chars += len(text)
+        return self._spell() if self.chars > GROUP_CHARS else 0
+
+    def _spell(self) -> int:
+        flat = "\n".join([*self.waiting, ""]).encode().translate(_LETTERS).replace(b"\n", b" \n ")
+        tokens = list(filter(None, flat.split(b" ")))
+        self.parts.append(np.fromiter(map(self.number.__getitem__, tokens), np.uint32, len(tokens)))
+        self.waiting, self.chars = [], 0
+        return len(tokens)
+
+    def done(self) -> tuple[np.ndarray, list[bytes]]:
+        self._spell()
+        return np.concatenate(self.parts), list(self.number)
 
 
 def ngram_hashes(lang: str, words: list[bytes], ids: np.ndarray) -> Iterator[tuple]:
@@ -79,27 +99,25 @@ _BLOCKS = "block long, lang string, n_words long, ids binary, words binary"
 
 def word_blocks(docs: DataFrame) -> DataFrame:
     """(lang, text) as blocks of one language each."""
-    def closed(block: int, held: dict[str, list[str]]) -> pa.RecordBatch:
-        rows = []
-        for i, (lang, texts) in enumerate(held.items()):
-            ids, words = spelled(texts)
-            rows.append((block + i, lang, int((ids > 0).sum()), planes(ids), b"\n".join(words[1:])))
+    def closed(block: int, held: dict[str, Words]) -> Iterator[pa.RecordBatch]:
         kinds = (pa.int64(), pa.string(), pa.int64(), pa.binary(), pa.binary())
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
-                                          [f.split(" ")[0] for f in _BLOCKS.split(", ")])
+        for i, (lang, own) in enumerate(held.items()):
+            ids, words = own.done()
+            row = (block + i, lang, int((ids > 0).sum()), planes(ids), b"\n".join(words[1:]))
+            yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)],
+                                             [f.split(" ")[0] for f in _BLOCKS.split(", ")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, held, chars = TaskContext.get().partitionId() << 32, {}, 0
+        block, held, n = TaskContext.get().partitionId() << 32, {}, 0
         for b in batches:
             for lang, text in zip(b.column(0).to_pylist(), b.column(1)):
-                text = text.as_py()
-                held.setdefault(lang, []).append(text)
-                chars += len(text)
-                if chars > BLOCK_CHARS:
-                    yield closed(block, held)
-                    block, held, chars = block + len(held), {}, 0
-        if held:
-            yield closed(block, held)
+                if lang not in held:
+                    held[lang] = Words()
+                n += held[lang].add(text.as_py())
+                if n > BLOCK_WORDS:
+                    yield from closed(block, held)
+                    block, held, n = block + len(held), {}, 0
+        yield from closed(block, held)
 
     return docs.select("lang", "text").mapInArrow(run, _BLOCKS)
 
@@ -112,8 +130,11 @@ def sent(blocks: DataFrame, ranges: int) -> DataFrame:
     """(block, range, mass, hashes, counts): each block's distinct n-grams, by range of the hash space."""
     def summary(block: int, lang: str, ids: bytes, words: bytes) -> Iterator[tuple]:
         ids, words = _block(lang, ids, words)
-        every = np.concatenate([h for _, _, h in ngram_hashes(lang, words, ids)])
-        hashes, counts = np.unique(every, return_counts=True)
+        each = [np.unique(h, return_counts=True) for _, _, h in ngram_hashes(lang, words, ids)]
+        # Of two sizes, equal hashes stay two entries.
+        hashes, counts = (np.concatenate(x) for x in zip(*each))
+        order = np.argsort(hashes, kind="stable")
+        hashes, counts = hashes[order], counts[order]
         home = ((hashes >> np.uint64(16)) * np.uint64(ranges)) >> np.uint64(BITS - 16)
         edges = np.flatnonzero(np.r_[True, home[1:] != home[:-1]]) if len(home) else []
         for a, b in zip(edges, np.r_[edges[1:], len(home)] if len(home) else []):
@@ -140,6 +161,8 @@ class Summary:
 
     def __init__(self, size: int):
         self.size, self.keys, self.counts = size, np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        #: What has been taken from every counter: no key has occurred more often than its counter and this.
+        self.error = 0
 
     def merge(self, keys: np.ndarray, counts: np.ndarray) -> None:
         """Add counters; if more than ``size`` remain, take the next highest from all and drop the empty."""
@@ -149,13 +172,15 @@ class Summary:
         first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, int)
         keys, counts = keys[first], np.add.reduceat(counts[order], first) if len(first) else counts
         if len(keys) > self.size:
-            counts = counts - np.partition(counts, len(counts) - self.size - 1)[len(counts) - self.size - 1]
+            taken = int(np.partition(counts, len(counts) - self.size - 1)[len(counts) - self.size - 1])
+            self.error, counts = self.error + taken, counts - taken
             keys, counts = keys[counts > 0], counts[counts > 0]
         self.keys, self.counts = keys, counts
 
 
 def survivors(sent: DataFrame, least: int) -> DataFrame:
-    """(block, found): of a block's hashes, those that keep a counter in their range."""
+    """(block, found): of a block's hashes, those that keep a counter in their range and may,
+    by counter and error, occur ``least`` times."""
     def unpacked(row) -> tuple[np.ndarray, np.ndarray]:
         return (np.cumsum(from_planes(row.hashes, "<u8"), dtype=np.uint64),
                 from_planes(row.counts, "<u4").astype(np.int64))
@@ -171,10 +196,11 @@ def survivors(sent: DataFrame, least: int) -> DataFrame:
                 waiting, n = [], 0
         if waiting:
             own.merge(*map(np.concatenate, zip(*waiting)))
+        frequent = own.keys[own.counts + own.error >= least]
         out = []
         for row in rows.itertuples():
             keys = unpacked(row)[0]
-            keys = keys[among(keys, own.keys)]
+            keys = keys[among(keys, frequent)]
             if len(keys):
                 out.append((row.block, keys.astype("<u8").tobytes()))
         return pd.DataFrame(out, columns=["block", "found"])
