@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewater.plans import (avro_queries, cdc_oracle, cdc_queries, kafka_oracle,
-                             kafka_queries, log_oracle, log_queries, stream_queries, text_oracle, text_queries)
+                             kafka_queries, log_oracle, log_queries, stream_queries, text_oracle, text_queries, timed_queries)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +19,7 @@ def queries() -> dict[str, Query]:
     out.update(kafka_queries.QUERIES)
     out.update(log_queries.QUERIES)
     out.update(avro_queries.QUERIES)
+    out.update(timed_queries.QUERIES)
     out.update(stream_queries.QUERIES)
     return out
 

@@ -87,4 +87,6 @@ ORACLE_OF = {
     "stream_cdc_apply": "cdc_final_state",
     "stream_cdc_status": "cdc_apply_status",
     "stream_batch_progress": "batch_progress",
+    "stream_timed_apply": "cdc_final_state",
+    "stream_timed_status": "cdc_apply_status",
 }
