@@ -331,3 +331,34 @@ ORACLE["cdc_target_rows"] = (
     + ", string_agg(DISTINCT \"column\", ',' ORDER BY \"column\") FILTER (WHERE \"column\" NOT IN "
     + str(_WIDE) + ") AS unlisted"
     + "\nFROM fs GROUP BY table_name, key")
+
+# The target after each batch (version 2b): cells of a batch and of the retries that ran after it.
+ORACLE["stream_cdc_versions"] = f"""
+WITH {APPLY},
+seen AS (
+  SELECT *, CASE WHEN first_status = 'applied' THEN 2 * batch_id
+                 ELSE coalesce(2 * next_batch, 2 * (SELECT max(batch_id) FROM cdc_ev) + 1) END AS at
+  FROM st WHERE first_status = 'applied' OR retry_status = 'applied'
+),
+cells AS (
+  SELECT a.at, a.table_name, a.row_key AS key, c.col, c.tag, c.v_full,
+         CASE WHEN a.route = 'update' THEN 1 ELSE 0 END AS is_upd, a.batch_id, a.topic, a."partition", a."offset"
+  FROM seen a JOIN cdc_cells_lit c
+    ON c.topic = a.topic AND c."partition" = a."partition" AND c."offset" = a."offset"
+  WHERE c.name <> 'id' AND c.v_full IS NOT NULL
+),
+versions AS (
+  SELECT DISTINCT 2 * batch_id AS v FROM cdc_ev
+  UNION ALL SELECT 2 * max(batch_id) + 1 FROM cdc_ev
+),
+states AS (
+  SELECT v, table_name, key, col, tag, v_full FROM versions JOIN cells ON at <= v
+  QUALIFY row_number() OVER (PARTITION BY v, table_name, key, col
+                             ORDER BY is_upd DESC, batch_id DESC, topic DESC, "partition" DESC, "offset" DESC) = 1
+),
+follows AS (SELECT v, (SELECT max(w.v) FROM versions w WHERE w.v < versions.v) AS prev FROM versions)
+SELECT CAST(s.v AS BIGINT) AS version, s.table_name, count(*) AS cells
+FROM states s JOIN follows f ON f.v = s.v
+WHERE NOT EXISTS (SELECT 1 FROM states o WHERE o.v = f.prev AND o.table_name = s.table_name AND o.key = s.key
+                  AND o.col = s.col AND o.tag = s.tag AND o.v_full = s.v_full)
+GROUP BY ALL"""

@@ -47,7 +47,7 @@ def stream_dropped_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.withColumn("report", wc.dropped_report("dropped_total"))
 
 
-def _cdc_job(spark: SparkSession, sf_dir: str) -> CdcApplyJob:
+def _cdc_job(spark: SparkSession, sf_dir: str, redeliver: bool = False) -> CdcApplyJob:
     job_dir = fresh_dir(spark, "stream-cdc")
     landing = f"{job_dir}/landing"
     events = read_cdc_events(spark, sf_dir)
@@ -56,8 +56,12 @@ def _cdc_job(spark: SparkSession, sf_dir: str) -> CdcApplyJob:
     # The batch ids are a handful of values: one arrival (and one restart of
     # the query from its checkpoint) per batch.
     batches = [r[0] for r in events.select("batch_id").distinct().orderBy("batch_id").collect()]
+    # With ``redeliver`` a batch also brings a part of the records before it again, and twice its own.
+    again = (F.col("offset") % 3 == 0) if redeliver else F.lit(False)
     for b in batches:
-        events.where(F.col("batch_id") == b).drop("batch_id").write.mode("append").parquet(landing)
+        own = events.where(F.col("batch_id") == b)
+        old = events.where((F.col("batch_id") <= b) & again)
+        own.unionByName(old).drop("batch_id").write.mode("append").parquet(landing)
         job.run_available(spark.readStream.schema(payload.schema).parquet(landing))
     job.flush()
     return job
@@ -73,7 +77,28 @@ def stream_cdc_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _cdc_job(spark, sf_dir).status()
 
 
+def stream_cdc_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Status rows of a stream that redelivers records, late and twice; equals query 17."""
+    return _cdc_job(spark, sf_dir, redeliver=True).status()
+
+
+def stream_cdc_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells that each version of the target has changed: a version per batch and flush, each read back."""
+    target = _cdc_job(spark, sf_dir).target
+    known = target.versions()
+    out, before = None, None
+    for v in known:         # a handful: one per batch, and the flush
+        cells = target.read(v).select("table_name", "key", "column", "type", "value")
+        new = cells if before is None else cells.exceptAll(before)
+        new = new.groupBy("table_name").agg(F.count(F.lit(1)).alias("cells")) \
+            .select(F.lit(v).cast("bigint").alias("version"), "table_name", "cells")
+        out, before = new if out is None else out.unionByName(new), cells
+    return out
+
+
 QUERIES = {
+    "stream_cdc_redelivered": stream_cdc_redelivered,
+    "stream_cdc_versions": stream_cdc_versions,
     "stream_wordcount": stream_wordcount,
     "stream_dropped_total": stream_dropped_total,
     "stream_cdc_apply": stream_cdc_apply,
@@ -86,6 +111,7 @@ ORACLE_OF = {
     "stream_dropped_total": "dropped_running_total",
     "stream_cdc_apply": "cdc_final_state",
     "stream_cdc_status": "cdc_apply_status",
+    "stream_cdc_redelivered": "cdc_apply_status",
     "stream_batch_progress": "batch_progress",
     "stream_timed_apply": "cdc_final_state",
     "stream_timed_status": "cdc_apply_status",

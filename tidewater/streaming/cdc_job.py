@@ -2,7 +2,7 @@
 
 Per micro-batch (epoch ``e``), inside ``foreachBatch``:
 
-1. route, validate and render the events (``changelog.prepare``);
+1. leave out redelivered records; route, validate and render the others (``changelog.prepare``);
 2. look up only the keys this batch touches in the key log of earlier
    epochs (semi join against the batch's keys);
 3. decide applied / zero_rows / error per event (``apply.outcomes``);
@@ -10,11 +10,12 @@ Per micro-batch (epoch ``e``), inside ``foreachBatch``:
    keys present after this batch; a miss goes to the dead letters;
 5. write one ``events`` row per event attempt (status, reason, statement;
    the cells of zero-row updates, which are the pending retries), the keys
-   inserted (the key log, compacted every ``COMPACT_EVERY`` epochs) and the
-   folded cell delta - each as the folder ``epoch=e`` (replay-safe) - and the
-   per-partition progress **last**.
+   inserted (the key log, compacted every ``COMPACT_EVERY`` epochs), the offsets
+   consumed - each as the folder ``epoch=e`` (replay-safe) -, the target's next
+   version, and the per-partition progress **last**.
 
-The target is the fold (``max_by`` on the write order) over all deltas.
+Records that an earlier epoch has consumed, or that come twice in a batch, are left out
+first (``sinks.consumed``). The target is a table in versions (``sinks.versioned``).
 ``flush()`` gives the last epoch's pending retries their chance when no
 further batch will come.
 """
@@ -26,7 +27,9 @@ from pyspark.sql import functions as F
 
 from tidewater.operators import apply, changelog
 from tidewater.operators.joins import join_small
+from tidewater.sinks.consumed import ConsumedOffsets
 from tidewater.sinks.tables import exists, list_dirs, read_epoch, read_table, write_epoch
+from tidewater.sinks.versioned import VersionedTarget
 from tidewater.streaming.runner import output_generation, run_available, start
 
 ROW = apply.ROW
@@ -40,13 +43,13 @@ SCHEMAS = {
     "events": (f"batch_id long, topic string, partition int, offset long, attempt int, "
                f"status string, reason string, statement string, table_name string, "
                f"key string, route string, ord {_ORD}, cells {_CELLS}, epoch long"),
-    "delta": (f"table_name string, key string, column string, type string, value string, "
-              f"w struct<is_update:boolean,ord:{_ORD}>, epoch long"),
     "keys": "table_name string, key string, epoch long",
     "progress": ("topic string, partition int, from_offset long, until_offset long, "
                  "records long, epoch long"),
     "flushed": "done boolean, epoch long",
 }
+TARGET = (f"table_name string, key string, column string, type string, value string, "
+          f"w struct<is_update:boolean,ord:{_ORD}>")
 EVENT_COLUMNS = [f.split()[0] for f in SCHEMAS["events"].split(", ") if f.split()[0] != "epoch"]
 
 
@@ -68,13 +71,16 @@ COMPACT_EVERY = 64
 class CdcApplyJob:
     def __init__(self, spark: SparkSession, job_dir: str,
                  key_column: changelog.KeyColumns = changelog.DEFAULT_KEY,
-                 compact_every: int = COMPACT_EVERY, mode: str = "full"):
+                 compact_every: int = COMPACT_EVERY, mode: str = "full", buckets: int = 16):
         self.mode = mode
         self.spark = spark
         self.compact_every = compact_every
         self.checkpoint = f"{job_dir}/checkpoint"
         self.out = output_generation(spark, self.checkpoint, f"{job_dir}/out")
         self.key_column = key_column
+        self.consumed = ConsumedOffsets(spark, f"{self.out}/consumed", compact_every)
+        #: Version 2e is the target after epoch e, 2e + 1 that after its flush.
+        self.target = VersionedTarget(spark, f"{self.out}/target", TARGET, buckets)
 
     def _path(self, name: str) -> str:
         return f"{self.out}/{name}"
@@ -134,7 +140,7 @@ class CdcApplyJob:
 
     # -- one micro-batch ----------------------------------------------------
     def process_batch(self, df: DataFrame, epoch: int) -> None:
-        events = df.withColumn("batch_id", F.lit(int(epoch)).cast("long"))
+        events = self.consumed.unseen(df, epoch).withColumn("batch_id", F.lit(int(epoch)).cast("long"))
         p = changelog.prepare(events, self.key_column, self.mode, compat=False).persist()
         try:
             self._apply(p, epoch)
@@ -166,7 +172,8 @@ class CdcApplyJob:
             write_epoch(inserted, self._path("keys"), epoch)
             applied = out.where(fs == "applied").select(*ROW, "route", "ord", "cells") \
                 .unionByName(retry_ok.select(*ROW, "route", "ord", "cells"))
-            write_epoch(apply.fold(apply.event_cells(applied)), self._path("delta"), epoch)
+            self.target.apply(apply.fold(apply.event_cells(applied)), 2 * epoch)
+            self.consumed.write(p, epoch)
             progress = p.groupBy("topic", "partition").agg(
                 F.min("offset").alias("from_offset"), (F.max("offset") + 1).alias("until_offset"),
                 F.count(F.lit(1)).alias("records"))
@@ -190,7 +197,7 @@ class CdcApplyJob:
         ok, rows = self._retry(pending, keys)
         write_epoch(rows, self._path("events_flush"), last)
         cells = apply.fold(apply.event_cells(ok.select(*ROW, "route", "ord", "cells")))
-        write_epoch(cells, self._path("delta_flush"), last)
+        self.target.apply(cells, 2 * last + 1)
         write_epoch(self.spark.range(1).select(F.lit(True).alias("done")),
                     self._path("flushed"), last)
 
@@ -207,9 +214,7 @@ class CdcApplyJob:
 
     def final_state(self) -> DataFrame:
         """Target: ``table_name, key, column, type, value``."""
-        d = self._with_flush("delta")
-        g = d.groupBy(*ROW, "column").agg(F.max_by(F.struct("type", "value"), F.col("w")).alias("v"))
-        return g.select(*ROW, "column", "v.type", "v.value")
+        return self.target.read().drop("w")
 
     def status(self) -> DataFrame:
         e = self._with_flush("events")

@@ -2,7 +2,8 @@
 
 Per micro-batch (epoch ``e``):
 
-1. route, validate, render (``changelog.prepare``) and plan the folded
+1. leave out records that an earlier epoch has consumed (``sinks.consumed``); route,
+   validate, render the others (``changelog.prepare``) and plan the folded
    per-key work (``dbapi.plan``); the zero-row updates of epoch ``e-1`` join it
    as ``pending`` work, which runs after this batch's inserts and before its
    newer updates (their second chance);
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 from tidewater.operators import apply, changelog
 from tidewater.operators.joins import join_small
 from tidewater.sinks import dbapi
+from tidewater.sinks.consumed import ConsumedOffsets
 from tidewater.sinks.tables import exists, read_epoch, read_table, write_epoch
 from tidewater.streaming.runner import output_generation, run_available, start
 
@@ -59,6 +61,7 @@ class DbApplyJob:
         self.out = output_generation(spark, self.checkpoint, f"{job_dir}/out")
         self.connect, self.key_column = connect, key_column
         self.paramstyle, self.tasks, self.mode = paramstyle, tasks, mode
+        self.consumed = ConsumedOffsets(spark, f"{self.out}/consumed")
 
     def _path(self, name: str) -> str:
         return f"{self.out}/{name}"
@@ -86,7 +89,7 @@ class DbApplyJob:
 
     # -- one micro-batch ----------------------------------------------------
     def process_batch(self, df: DataFrame, epoch: int) -> None:
-        events = df.withColumn("batch_id", F.lit(int(epoch)).cast("long"))
+        events = self.consumed.unseen(df, epoch).withColumn("batch_id", F.lit(int(epoch)).cast("long"))
         p = changelog.prepare(events, self.key_column, self.mode, compat=False).persist()
         try:
             planned, work = dbapi.plan(p)
@@ -113,6 +116,7 @@ class DbApplyJob:
             write_epoch(ev_status.where(F.col("status") == "zero_rows")
                         .select(*EVENT_ID, *ROW, "segment", "statement"),
                         self._path("pending"), epoch)
+            self.consumed.write(p, epoch)
             progress = p.groupBy("topic", "partition").agg(
                 F.min("offset").alias("from_offset"), (F.max("offset") + 1).alias("until_offset"),
                 F.count(F.lit(1)).alias("records"))
