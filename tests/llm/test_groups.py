@@ -4,6 +4,7 @@ import random
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.conftest import SF_SMALL
@@ -128,6 +129,22 @@ def test_mixing_limits_and_empties(table):
     assert mixed.count() == sum(r["copies"] for r in mixing.mix_sources(docs).collect())
 
 
+def test_mixing_of_rows_that_stand_in_two_sources(table):
+    """The same ids and texts in each source are rows of their own."""
+    texts = [(i, "w " * (3 + i % 4)) for i in range(30)]
+    rows = [(i, t, s) for i, t in texts for s in ("A", "B", None)] + [(90 + i, "x " * 50, "C") for i in range(20)]
+    docs = table(rows)
+    got = mixing.mix_sources(docs).collect()
+    assert len(got) == len(rows)
+    assert all(r["taken"] <= 3 * r["size"] for r in got)
+    for s in ("A", "B", None, "C"):
+        own = [r for r in got if r["source"] == s]
+        assert abs(sum(r["taken"] for r in own) - own[0]["target"]) <= 2 * max(r["size"] for r in own)
+    mixed = {(r["doc_id"], r["source"]): r["n"] for r in
+             mixing.mixed_documents(docs).groupBy("doc_id", "source").agg(F.count("*").alias("n")).collect()}
+    assert mixed == {(r["doc_id"], r["source"]): r["copies"] for r in got if r["copies"]}
+
+
 def test_mixing_is_fair_and_repeats(table):
     """Over seeds each document is taken as often as its share says."""
     rows = [(i, prose(random.Random(i), 5 + i % 9), "xyz"[i % 3]) for i in range(60)]

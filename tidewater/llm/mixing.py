@@ -18,7 +18,7 @@ of seed, document id and level: reruns agree.
 
 Edge cases: a null or blank text has size 0 and keeps its place (taken 0); a
 null source is a source of its own and comes last; repeated ids are told
-apart by their text hash and size, fully equal rows share one draw; null ids
+apart by their source and text hash, fully equal rows share one draw; null ids
 take part; if all sizes are 0 every target is 0; an empty table gives an empty
 result. Extra columns are ignored.
 """
@@ -121,19 +121,19 @@ def _blocks(units: DataFrame, level: int, seed: int, fan_in: int) -> DataFrame:
 def pivotal_rounding(units: DataFrame, fan_in: int = FAN_IN, seed: int = SEED) -> DataFrame:
     """Round the masses of (source, k struct<id, row>, size, p in [0, 1)) to 0 or 1.
 
-    Returns the ``k`` of the units rounded up.
+    Returns (source, k) of the units rounded up.
     """
     won, level = [], 0
     todo = units.where("p > 0")
     while True:
         out = written(_reduce(_blocks(todo, level, seed, fan_in), level, seed), f"pivotal-{level}")
-        won.append(out.select(F.explode("won").alias("k")))
+        won.append(out.select("source", F.explode("won").alias("k")))
         todo = out.where("p > 0").select("source", "k", "size", "p")
         level += 1
         most = todo.groupBy("source").count().agg(F.max("count")).first()[0]
         if (most or 0) <= 1:
             break
-    last = todo.where(_u(-1, seed, F.col("k")) < F.col("p")).select("k")
+    last = todo.where(_u(-1, seed, F.col("k")) < F.col("p")).select("source", "k")
     for w in won:
         last = last.unionByName(w)
     return last
@@ -145,7 +145,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 seed: int = SEED) -> DataFrame:
     """Per row of ``docs``: doc_id, row, source, size, source_size, target, copies, taken.
 
-    ``row`` tells rows with the same id apart: the hash of their text.
+    ``row`` tells rows of a source with the same id apart: the hash of their text.
     """
     text = docs[text_col].cast("string")
     rows = written(docs.select(
@@ -165,9 +165,10 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     key = F.struct(F.col("doc_id").cast("bigint").alias("id"), "row")
     units = each.select("source", key.alias("k"), "size", "p").where("size > 0").distinct()
     up = pivotal_rounding(units, fan_in, seed).select(
-        F.col("k.id").alias("up_id"), F.col("k.row").alias("up_row")).withColumn("up", F.lit(1))
+        F.col("source").alias("up_source"), F.col("k.id").alias("up_id"), F.col("k.row").alias("up_row")).withColumn("up", F.lit(1))
     joined = each.join(up, F.col("doc_id").eqNullSafe(F.col("up_id"))
-                       & (F.col("row") == F.col("up_row")), "left")
+                       & (F.col("row") == F.col("up_row"))
+                       & F.col("source").eqNullSafe(F.col("up_source")), "left")
     copies = F.when(F.col("size") > 0, F.col("whole") + F.coalesce("up", F.lit(0))) \
               .otherwise(F.least(F.lit(1), F.col("whole"))).cast("bigint")
     return joined.select("doc_id", "row", "source", "size", "source_size", "target",
@@ -180,10 +181,12 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     seed: int = SEED) -> DataFrame:
     """The mix itself: each row of ``docs`` as often as it is taken, with all its columns."""
     taken = mix_sources(docs, id_col, text_col, source_col, weights, max_copies, fan_in, seed) \
-        .where("copies > 0").select("doc_id", "row", "copies").distinct()
-    rows = packed(docs, id_col, text_col).withColumn("row", F.xxhash64("text"))
+        .where("copies > 0").select("doc_id", "row", "source", "copies").distinct()
+    rows = packed(docs, id_col, text_col).withColumn("row", F.xxhash64("text")) \
+        .withColumn("source", F.col(f"rest.{source_col}").cast("string"))
     both = rows.alias("d").join(taken.alias("t"),
                                 F.col("d.doc_id").eqNullSafe(F.col("t.doc_id"))
-                                & (F.col("d.row") == F.col("t.row")))
+                                & (F.col("d.row") == F.col("t.row"))
+                                & F.col("d.source").eqNullSafe(F.col("t.source")))
     each = both.select("d.text", "d.rest", F.explode(F.sequence(F.lit(1), F.col("t.copies"))))
     return unpacked(each, docs.columns, text_col)
