@@ -337,11 +337,11 @@ ORACLE["stream_cdc_versions"] = f"""
 WITH {APPLY},
 seen AS (
   SELECT *, CASE WHEN first_status = 'applied' THEN 2 * batch_id
-                 ELSE coalesce(2 * next_batch, 2 * (SELECT max(batch_id) FROM cdc_ev) + 1) END AS at
+                 ELSE coalesce(2 * next_batch, 2 * (SELECT max(batch_id) FROM cdc_ev) + 1) END AS shown
   FROM st WHERE first_status = 'applied' OR retry_status = 'applied'
 ),
 cells AS (
-  SELECT a.at, a.table_name, a.row_key AS key, c.col, c.tag, c.v_full,
+  SELECT a.shown, a.table_name, a.row_key AS key, c.col, c.tag, c.v_full,
          CASE WHEN a.route = 'update' THEN 1 ELSE 0 END AS is_upd, a.batch_id, a.topic, a."partition", a."offset"
   FROM seen a JOIN cdc_cells_lit c
     ON c.topic = a.topic AND c."partition" = a."partition" AND c."offset" = a."offset"
@@ -352,7 +352,7 @@ versions AS (
   UNION ALL SELECT 2 * max(batch_id) + 1 FROM cdc_ev
 ),
 states AS (
-  SELECT v, table_name, key, col, tag, v_full FROM versions JOIN cells ON at <= v
+  SELECT v, table_name, key, col, tag, v_full FROM versions JOIN cells ON shown <= v
   QUALIFY row_number() OVER (PARTITION BY v, table_name, key, col
                              ORDER BY is_upd DESC, batch_id DESC, topic DESC, "partition" DESC, "offset" DESC) = 1
 ),
