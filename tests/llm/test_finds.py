@@ -1,6 +1,8 @@
 """Secret scans and PII surrogates."""
 
+import random
 import re
+import time
 
 from tests.llm import brute
 from tidewater.llm import pii, secrets
@@ -194,3 +196,20 @@ def test_digits_of_other_scripts_are_looked_at(table):
     for text in ("SSN ١٢٣-٤٥-٦٧٨٩", "call +٩٨ ٢١ ٥٥٥ now", "IBAN GB12 ABCD EFGH IJKL"):
         assert pii.find(text)
         assert [n for _, _, n in replaced(table, [(1, text)])] == [1]
+
+
+def test_free_places_equal_plain_version():
+    rng = random.Random(13)
+    for _ in range(300):
+        spans = [("k", s, s + rng.randrange(1, 9)) for s in (rng.randrange(60) for _ in range(rng.randrange(9)))]
+        free = secrets.free_of(spans)
+        for s in range(0, 70, 3):
+            e = s + rng.randrange(1, 7)
+            assert free(s, e) == all(e <= a or s >= b for _, a, b in spans)
+
+
+def test_dense_finds_take_time_in_proportion():
+    text = "password=abcdef12 client_id=abc12 https://a.b/c Ab3dEf6hIj9kLm2nOp " * 15000
+    start = time.process_time()
+    assert len(secrets.weak_spans(text, secrets.base_spans(text))) >= 30000
+    assert time.process_time() - start < 30

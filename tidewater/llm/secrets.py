@@ -24,6 +24,7 @@ extra columns are ignored.
 
 from __future__ import annotations
 
+import bisect
 import math
 import re
 from collections import Counter
@@ -77,18 +78,33 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
+def free_of(spans: list[tuple[str, int, int]]):
+    """Whether (start, end) meets none of the spans: a look-up in their union."""
+    starts, ends = [], []
+    for s, e in sorted((s, e) for _, s, e in spans):
+        if ends and s <= ends[-1]:
+            ends[-1] = max(ends[-1], e)
+        else:
+            starts.append(s)
+            ends.append(e)
+
+    def free(s: int, e: int) -> bool:
+        at = bisect.bisect_left(starts, e) - 1
+        return at < 0 or ends[at] <= s
+    return free
+
+
 def weak_spans(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
     """Weak candidates outside the strong finds; none without an identifier to link to."""
-    taken = [(s, e) for _, s, e in base]
-    free = lambda s, e: all(e <= a or s >= b for a, b in taken)
+    free = free_of(base)
     idents = [("ident", m.start(), m.end()) for m in IDENT.finditer(text)
               if free(m.start(), m.end())] if "=" in text or ":" in text else []
     if not idents and not any(k == "access" for k, _, _ in base):
         return []
-    taken += [(s, e) for _, s, e in idents]
+    free = free_of(base + idents)
     ends = [("endpoint", m.start(), m.end()) for m in ENDPOINT.finditer(text)
             if free(m.start(), m.end())]
-    taken += [(s, e) for _, s, e in ends]
+    free = free_of(base + idents + ends)
     keys = [("weak", m.start(), m.end()) for m in KEYLIKE.finditer(text)
             if free(m.start(), m.end()) and re.search(r"\d", m[0]) and re.search("[A-Za-z]", m[0])
             and _entropy(m[0]) >= ENTROPY]
