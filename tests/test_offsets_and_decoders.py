@@ -5,6 +5,7 @@ import json
 import pytest
 
 from tidewater.operators.offsets import POLICIES, resolve_start_offsets
+from tidewater.sources import kafka
 from tidewater.sources.kafka import registry_header, starting_offsets_json
 
 # partition: (committed, earliest, latest)
@@ -142,3 +143,26 @@ def test_key_values_of_a_key_text():
     assert key_values("a,b", 1) == ["a,b"]
     assert key_values(r"a\\b and c=1,\,", 2) == [r"a\b and c=1", ","]
     assert key_values(",x", 2) == ["", "x"]
+
+
+def test_supplied_decoder_of_nested_types(spark):
+    """Types with commas, nested fields, and values that cannot be decoded."""
+    import json
+    from decimal import Decimal
+
+    def decode(value):
+        got = json.loads(value)
+        return got | {"price": Decimal(got["price"]) if "price" in got else None}
+
+    schema = "price decimal(18,2), who struct<name:string,ids:array<int>>, tags map<string,bigint>"
+    rows = [(0, b'{"price": "12.50", "who": {"name": "a", "ids": [1, 2]}, "tags": {"x": 5}}'), (1, b"{}"), (2, None),
+            (3, b"no json"), (4, b'{"who": "not a struct"}'), (5, b'{"who": {"name": "b", "ids": null}}')]
+    df = spark.createDataFrame([("t", 0, o, v) for o, v in rows], "topic string, partition int, offset long, value binary")
+    out = kafka.decode_in_pandas(df, decode, schema, reject="why")
+    assert out.dtypes[3:] == [("price", "decimal(18,2)"), ("who", "struct<name:string,ids:array<int>>"),
+                              ("tags", "map<string,bigint>"), ("why", "string")]
+    got = {r.offset: r for r in out.collect()}
+    assert (got[0].price, got[0].who.ids, got[0].tags, got[0].why) == (Decimal("12.50"), [1, 2], {"x": 5}, None)
+    assert all(got[o].price is None and got[o].who is None and got[o].why is None for o in (1, 2))
+    assert got[3].why.startswith("JSONDecodeError") and got[4].why and got[4].who is None
+    assert got[5].who.name == "b"

@@ -14,6 +14,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 KAFKA_SCHEMA = ("key binary, value binary, topic string, partition int, offset long, "
                 "timestamp timestamp, timestampType int")
@@ -129,28 +130,48 @@ def decode_with(df: DataFrame, decoder: Callable[[Column], Column],
     return df.withColumn(name, decoder(F.col(value)))
 
 
-def decode_in_pandas(df: DataFrame, decode: Callable[[bytes], dict | None], schema: str,
-                     keep: tuple[str, ...] = ("topic", "partition", "offset")) -> DataFrame:
-    """S3 / S4 for formats no Column expression can parse: ``decode`` turns
-    one value's bytes into a dict of ``schema`` fields (None -> all null).
+def decode_in_pandas(df: DataFrame, decode: Callable[[bytes], dict | None], schema: str | StructType,
+                     keep: tuple[str, ...] = ("topic", "partition", "offset"),
+                     reject: str | None = None) -> DataFrame:
+    """S3 / S4 for formats no Column expression can parse: ``decode`` turns one value's bytes into a
+    dict of ``schema`` fields (None -> all null); fields may be decimals, structs, arrays, maps.
 
-    Runs per Arrow batch in ``mapInPandas`` (no row-at-a-time UDF); the
-    decoder is a small per-value helper, the batching and parallelism are
-    Spark's.
+    A value that ``decode`` raises on, or whose dict does not fit the types, fails the task;
+    with ``reject`` it keeps its row with null fields, and the column of that name says why.
+    Runs per record batch (``mapInArrow``), assembled as Arrow columns of the schema's types;
+    the decoder is a small per-value helper, the batching and parallelism are Spark's.
     """
-    import pandas as pd
-
-    out_schema = ", ".join([f"{c} {t}" for c, t in df.select(*keep).dtypes] + [schema])
-    fields = [f.strip().split(" ", 1)[0].strip("`") for f in schema.split(",")]
+    fields = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    kept = [df.schema[c] for c in keep]
+    out = StructType([*kept, *fields.fields] + ([StructField(reject, StringType())] if reject else []))
 
     def run(batches):
+        import pyarrow as pa
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        arrow = to_arrow_schema(out)
+        types = {f.name: arrow.field(len(kept) + i).type for i, f in enumerate(fields)}
+
+        def tried(value):
+            """The dict of a value, and what is wrong with it."""
+            try:
+                row = (decode(value) if value is not None else None) or {}
+                for name, kind in types.items() if reject else ():
+                    pa.array([row.get(name)], kind)
+                return row, None
+            except Exception as e:      # the decoder is the user's: any error is the record's
+                if not reject:
+                    raise
+                return {}, f"{type(e).__name__}: {e}"
+
         for b in batches:
-            rows = [decode(bytes(v)) if v is not None else None for v in b["value"]]
-            dec = pd.DataFrame({f: pd.Series([(r or {}).get(f) for r in rows], dtype=object)
-                                for f in fields})
-            yield pd.concat([b[list(keep)].reset_index(drop=True), dec], axis=1)
+            got = [tried(v) for v in b.column("value").to_pylist()]
+            columns = [b.column(c) for c in keep]
+            columns += [pa.array([r.get(name) for r, _ in got], kind) for name, kind in types.items()]
+            columns += [pa.array([why for _, why in got], pa.string())] if reject else []
+            yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
-    return df.select(*keep, "value").mapInPandas(run, out_schema)
+    return df.select(*keep, "value").mapInArrow(run, out)
 
 
 def starting_offsets_json(start: DataFrame, offset_col: str = "start_offset") -> str:
