@@ -115,3 +115,23 @@ def test_redelivery_changes_nothing(spark, workdir):
     assert {r.key: r.value for r in job.final_state().where("column = 'note'").collect()} == {"1": "c", "2": "early"}
     assert {r.key: r.value for r in job.target.read(0).where("column = 'note'").collect()} == {"1": "b"}
     assert job.progress().agg(F.sum("records")).first()[0] == 5
+
+
+def test_progress_of_empty_and_failed_batches(spark, workdir, caplog):
+    from tidewater.operators.offsets import batch_ranges
+    from tidewater.sinks.progress import write_progress
+
+    ranges = batch_ranges(places(spark, [("t", 0, 3), ("t", 0, 5), ("t", 1, 7)]))
+    assert write_progress(ranges, f"{workdir}/p", 0)
+    got = spark.read.parquet(f"{workdir}/p/epoch=0").collect()
+    assert sorted(map(tuple, got)) == [("t", 0, 3, 6, 2), ("t", 1, 7, 8, 1)]
+    assert not write_progress(batch_ranges(places(spark, [])), f"{workdir}/p", 1)
+    assert "empty batch" in caplog.text and not os.path.exists(f"{workdir}/p/epoch=1")
+    with open(f"{workdir}/file", "w"):
+        pass
+    with pytest.raises(Exception):
+        write_progress(ranges, f"{workdir}/file", 2)
+    assert not write_progress(ranges, f"{workdir}/file", 2, on_error="log")
+    assert "not committed" in caplog.text
+    with pytest.raises(ValueError):
+        write_progress(ranges, f"{workdir}/p", 3, on_error="ignore")

@@ -27,7 +27,9 @@ from pyspark.sql import functions as F
 
 from tidewater.operators import apply, changelog
 from tidewater.operators.joins import join_small
+from tidewater.operators.offsets import batch_ranges
 from tidewater.sinks.consumed import ConsumedOffsets
+from tidewater.sinks.progress import write_progress
 from tidewater.sinks.tables import exists, list_dirs, read_epoch, read_table, write_epoch
 from tidewater.sinks.versioned import VersionedTarget
 from tidewater.streaming.runner import output_generation, run_available, start
@@ -71,8 +73,9 @@ COMPACT_EVERY = 64
 class CdcApplyJob:
     def __init__(self, spark: SparkSession, job_dir: str,
                  key_column: changelog.KeyColumns = changelog.DEFAULT_KEY,
-                 compact_every: int = COMPACT_EVERY, mode: str = "full", buckets: int = 16):
-        self.mode = mode
+                 compact_every: int = COMPACT_EVERY, mode: str = "full", buckets: int = 16,
+                 on_progress_error: str = "raise"):
+        self.mode, self.on_progress_error = mode, on_progress_error
         self.spark = spark
         self.compact_every = compact_every
         self.checkpoint = f"{job_dir}/checkpoint"
@@ -174,11 +177,9 @@ class CdcApplyJob:
                 .unionByName(retry_ok.select(*ROW, "route", "ord", "cells"))
             self.target.apply(apply.fold(apply.event_cells(applied)), 2 * epoch)
             self.consumed.write(p, epoch)
-            progress = p.groupBy("topic", "partition").agg(
-                F.min("offset").alias("from_offset"), (F.max("offset") + 1).alias("until_offset"),
-                F.count(F.lit(1)).alias("records"))
             self._maybe_compact(epoch)
-            write_epoch(progress, self._path("progress"), epoch)   # last: marks the epoch done
+            # Last: marks the epoch done.
+            write_progress(batch_ranges(p), self._path("progress"), epoch, self.on_progress_error)
         finally:
             out.unpersist()
 

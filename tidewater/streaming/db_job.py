@@ -27,8 +27,10 @@ from pyspark.sql import functions as F
 
 from tidewater.operators import apply, changelog
 from tidewater.operators.joins import join_small
+from tidewater.operators.offsets import batch_ranges
 from tidewater.sinks import dbapi
 from tidewater.sinks.consumed import ConsumedOffsets
+from tidewater.sinks.progress import write_progress
 from tidewater.sinks.tables import exists, read_epoch, read_table, write_epoch
 from tidewater.streaming.runner import output_generation, run_available, start
 
@@ -55,12 +57,14 @@ SCHEMAS = {
 class DbApplyJob:
     def __init__(self, spark: SparkSession, job_dir: str, connect: Callable[[], object],
                  key_column: changelog.KeyColumns = changelog.DEFAULT_KEY,
-                 paramstyle: str = "qmark", tasks: int | None = None, mode: str = "full"):
+                 paramstyle: str = "qmark", tasks: int | None = None, mode: str = "full",
+                 on_progress_error: str = "raise"):
         self.spark = spark
         self.checkpoint = f"{job_dir}/checkpoint"
         self.out = output_generation(spark, self.checkpoint, f"{job_dir}/out")
         self.connect, self.key_column = connect, key_column
         self.paramstyle, self.tasks, self.mode = paramstyle, tasks, mode
+        self.on_progress_error = on_progress_error
         self.consumed = ConsumedOffsets(spark, f"{self.out}/consumed")
 
     def _path(self, name: str) -> str:
@@ -117,10 +121,8 @@ class DbApplyJob:
                         .select(*EVENT_ID, *ROW, "segment", "statement"),
                         self._path("pending"), epoch)
             self.consumed.write(p, epoch)
-            progress = p.groupBy("topic", "partition").agg(
-                F.min("offset").alias("from_offset"), (F.max("offset") + 1).alias("until_offset"),
-                F.count(F.lit(1)).alias("records"))
-            write_epoch(progress, self._path("progress"), epoch)   # last
+            # Last: marks the epoch done.
+            write_progress(batch_ranges(p), self._path("progress"), epoch, self.on_progress_error)
             dbapi.prune(self.connect, self.job_id, epoch - 1, self.paramstyle)
         finally:
             p.unpersist()
