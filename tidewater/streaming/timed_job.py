@@ -1,19 +1,23 @@
 """Change-event apply with a retry on its own clock (R3, R6, J2): keyed state and timers.
 
 ``CdcApplyJob`` ties the second chance of a zero-row update to the next batch. Here it comes
-``interval`` seconds after the miss, whether batches come or not, as a timer per row key
+``interval`` seconds after the miss, whether batches come or not, as timers
 in Spark's state store:
 
-* the state of a key is the place of its first insert, and the zero-row updates that wait;
+* the state holds the place of each key's first insert, and the zero-row updates that wait;
 * an update of a key that is there is applied, an insert of one is an error; an update of
   a key that is not there is ``zero_rows`` and waits;
 * when its timer fires, a waiting update is applied if the key is there by then (a late
   parent row), else it goes to the dead letters.
 
-A batch costs what its keys cost: each key is looked up in the state store's partition,
-not in a log of all keys. Rows of a key are streamed through its state, so that a hot key
-needs no room for its rows: updates that may have to wait go to the key's list in the store
-at once. State and timers are in the checkpoint and survive a restart.
+Keys are dealt over ``BUCKETS`` buckets, and a bucket is what Spark groups by: a call into
+the worker, its record batches and its timers then serve the keys of a bucket together,
+where one call per key would cost more than its events. A batch still costs what its
+keys cost: each is looked up by itself in the bucket's map in the state store. Rows of a
+bucket are streamed through its state; updates that may have to wait go to the store in
+chunks of ``CHUNK``, so that a hot key needs no room for its rows. Chunks are kept by
+their time, and a timer reads only its own. State and timers are in the checkpoint and
+survive a restart.
 
 Events of a key are ordered by (topic, partition, offset), which a log gives to one key's
 events in one partition. Each status row and folded cell is written per epoch, as
@@ -23,6 +27,7 @@ events in one partition. Each status row and folded cell is written per epoch, a
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import pandas as pd
@@ -38,6 +43,8 @@ STATE_STORE = ("spark.sql.streaming.stateStore.providerClass",
                "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 #: Seconds until a zero-row update is tried again (the original's timer).
 INTERVAL = 10.0
+#: Buckets that the keys are dealt over (fixed for a checkpoint's life), and rows of a chunk.
+BUCKETS, CHUNK = 4096, 10_000
 
 PLACE = ["topic", "partition", "offset"]
 _PLACE = "topic string, partition int, offset long"
@@ -50,93 +57,128 @@ _DELTA = f"table_name string, key string, column string, type string, value stri
 _EVENTS = f"{_OUT}, epoch long"
 _PROGRESS = f"topic string, partition int, from_offset long, until_offset long, records long, epoch long"
 COLUMNS = [f.split()[0] for f in _OUT.split(", ")]
+_IN = [c for c in COLUMNS if c != "attempt"]
 
 
 class SecondChance(StatefulProcessor):
-    """The state of one row key: ``first``, the place of its first insert; ``waiting``, its zero-row updates."""
+    """The state of one bucket of row keys: ``first``, the place of each key's first insert;
+    ``waiting``, the zero-row updates in chunks by the time they are due; ``chunks``, the number of these."""
 
-    def __init__(self, interval: float):
-        self.wait_ms = int(interval * 1000)
+    def __init__(self, interval: float, chunk: int = CHUNK):
+        self.wait_ms, self.chunk = int(interval * 1000), chunk
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.first = handle.getValueState("first", _PLACE)
-        self.waiting = handle.getListState("waiting", f"{_PLACE}, statement string, cells string, due long")
+        self.first = handle.getMapState("first", "table_name string, key string", _PLACE)
+        self.waiting = handle.getMapState("waiting", "due long, chunk int", "rows string")
+        self.chunks = handle.getMapState("chunks", "due long", "n int")
 
-    @staticmethod
-    def _out(key, rows: list[tuple]) -> pd.DataFrame:
-        """(topic, partition, offset, attempt, status, reason, statement, route, cells) as rows of the key."""
-        return pd.DataFrame([(*r[:7], *key, *r[7:]) for r in rows], columns=COLUMNS)
+    def _frames(self, rows: Iterator[tuple]) -> Iterator[pd.DataFrame]:
+        """Rows of ``COLUMNS`` in frames of ``chunk``."""
+        some = []
+        for r in rows:
+            some.append(r)
+            if len(some) == self.chunk:
+                yield pd.DataFrame(some, columns=COLUMNS)
+                some = []
+        if some:
+            yield pd.DataFrame(some, columns=COLUMNS)
+
+    def _number(self, due: int) -> int:
+        return self.chunks.getValue((due,))[0] if self.chunks.containsKey((due,)) else 0
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        if key[1] is None:          # nothing to apply: rejected or ignored
-            for b in rows:
-                yield b.assign(attempt=0)[COLUMNS]
-            return
-        before = self.first.exists()
-        first = tuple(self.first.get()) if before else None
-        due = timerValues.getCurrentProcessingTimeInMs() + self.wait_ms
-        held = False
-        insert = None               # the earliest insert of this batch so far
+        yield from self._frames(self._tried(rows, timerValues.getCurrentProcessingTimeInMs() + self.wait_ms))
+
+    def _tried(self, rows: Iterator[pd.DataFrame], due: int) -> Iterator[tuple]:
+        """First attempts of a batch's events."""
+        before: dict[tuple, bool] = {}      # whether a key was there before this batch
+        inserts: dict[tuple, tuple] = {}    # the earliest insert of a key in this batch so far
+        held: list[tuple] = []              # updates of keys that were not there: not yet in a chunk
+        old = end = None                    # chunks that this batch has added
         for b in rows:
-            out, wait = [], []
-            for r in b.itertuples(index=False):
-                place = (r.topic, int(r.partition), int(r.offset))
-                if r.route == changelog.UPDATE:
-                    if before:
-                        out.append((*place, 0, "applied", None, r.statement, r.route, r.cells))
-                    else:
-                        wait.append((*place, r.statement, r.cells, due))
+            for topic, partition, offset, status, reason, statement, table, row, route, cells in zip(
+                    *(b[c].tolist() for c in _IN)):
+                place = (topic, partition, offset)
+                if status is not None:      # nothing to apply: rejected or ignored
+                    yield (*place, 0, status, reason, statement, table, row, route, cells)
                     continue
-                row = (*place, 0, "error", "duplicate_key", r.statement, r.route, None)
-                if before or (insert and insert[:3] < place):
-                    out.append(row)
+                k = (table, row)
+                if k not in before:
+                    before[k] = self.first.containsKey(k)
+                if route == changelog.UPDATE:
+                    if before[k]:
+                        yield (*place, 0, "applied", None, statement, *k, route, cells)
+                        continue
+                    held.append((*place, *k, statement, cells))
+                    if len(held) == self.chunk:
+                        if old is None:
+                            old = end = self._number(due)
+                        self.waiting.updateValue((due, end), (json.dumps(held),))
+                        held, end = [], end + 1
                     continue
-                if insert:          # an earlier one: the one before is the duplicate
-                    out.append((*insert[:3], 0, "error", "duplicate_key", *insert[3:5], None))
-                insert = (*place, r.statement, r.route, r.cells)
-            if wait:
-                held = True
-                self.waiting.appendList(wait)
-            if out:
-                yield self._out(key, out)
-        if insert:
-            first = insert[:3]
-            self.first.update(first)
-            yield self._out(key, [(*first, 0, "applied", None, *insert[3:])])
-        if held:
-            yield from self._first_try(key, first, due)
-
-    def _first_try(self, key, first: tuple | None, due: int) -> Iterator[pd.DataFrame]:
-        """The updates of this batch, now that its inserts are known: those behind the first insert
-        are applied, the others go on waiting."""
-        applied, missed = [], False
-        if first is not None:
-            stay = []
-            for r in self.waiting.get():
-                if r[5] == due and tuple(r[:3]) > first:
-                    applied.append((*r[:3], 0, "applied", None, r[3], changelog.UPDATE, r[4]))
-                else:
-                    stay.append(tuple(r))
-                    missed |= r[5] == due
-            if applied:
-                self.waiting.put(stay) if stay else self.waiting.clear()
-                yield self._out(key, applied)
-        zero = [(*r[:3], 0, "zero_rows", "no_matching_row", r[3], changelog.UPDATE, None)
-                for r in (self.waiting.get() if first is None or missed else ()) if r[5] == due]
-        if zero:
+                duplicate = (*place, 0, "error", "duplicate_key", statement, *k, route, None)
+                known = inserts.get(k)
+                if before[k] or (known and known[:3] < place):
+                    yield duplicate
+                    continue
+                if known:                   # an earlier one: the one before is the duplicate
+                    yield (*known[:3], 0, "error", "duplicate_key", known[3], *k, known[4], None)
+                inserts[k] = (*place, statement, route, cells)
+        for k, r in inserts.items():
+            self.first.updateValue(k, r[:3])
+            yield (*r[:3], 0, "applied", None, r[3], *k, *r[4:])
+        # The held updates, now that the inserts are known: those behind their key's first insert
+        # are applied, the others wait.
+        late = False
+        for i in range(old or 0, end or 0):
+            every = [tuple(r) for r in json.loads(self.waiting.getValue((due, i))[0])]
+            stay = [r for r in every if not self._behind(r, inserts)]
+            yield from self._first_try(every, inserts)
+            if len(stay) < len(every):
+                self.waiting.updateValue((due, i), (json.dumps(stay),))
+            late |= bool(stay)
+        stay = [r for r in held if not self._behind(r, inserts)]
+        yield from self._first_try(held, inserts)
+        if stay:
+            end = self._number(due) if end is None else end
+            self.waiting.updateValue((due, end), (json.dumps(stay),))
+            end, late = end + 1, True
+        if end is not None:
+            self.chunks.updateValue((due,), (end,))
+        if late or old is not None:
             self.handle.registerTimer(due)
-            yield self._out(key, zero)
+
+    @staticmethod
+    def _behind(r: tuple, inserts: dict[tuple, tuple]) -> bool:
+        first = inserts.get(r[3:5])
+        return first is not None and r[:3] > first[:3]
+
+    def _first_try(self, held: list[tuple], inserts: dict[tuple, tuple]) -> Iterator[tuple]:
+        for r in held:
+            if self._behind(r, inserts):
+                yield (*r[:3], 0, "applied", None, r[5], *r[3:5], changelog.UPDATE, r[6])
+            else:
+                yield (*r[:3], 0, "zero_rows", "no_matching_row", r[5], *r[3:5], changelog.UPDATE, None)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        now, there = expiredTimerInfo.getExpiryTimeInMs(), self.first.exists()
-        rows = [tuple(r) for r in self.waiting.get()] if self.waiting.exists() else []
-        stay = [r for r in rows if r[5] > now]
-        self.waiting.put(stay) if stay else self.waiting.clear()
-        out = [(*r[:3], 1, "applied" if there else "dead_letter", None if there else "zero_rows_after_retry",
-                r[3], changelog.UPDATE, r[4] if there else None) for r in rows if r[5] <= now]
-        if out:
-            yield self._out(key, out)
+        yield from self._frames(self._retried(expiredTimerInfo.getExpiryTimeInMs()))
+
+    def _retried(self, due: int) -> Iterator[tuple]:
+        """Second attempts of the updates that are due."""
+        there: dict[tuple, bool] = {}
+        n = self._number(due)
+        for i in range(n):
+            for r in json.loads(self.waiting.getValue((due, i))[0]):
+                k = tuple(r[3:5])
+                if k not in there:
+                    there[k] = self.first.containsKey(k)
+                ok = there[k]
+                yield (*r[:3], 1, "applied" if ok else "dead_letter", None if ok else "zero_rows_after_retry",
+                       r[5], *k, changelog.UPDATE, r[6] if ok else None)
+            self.waiting.removeKey((due, i))
+        if n:
+            self.chunks.removeKey((due,))
 
     def close(self) -> None:
         pass
@@ -159,12 +201,14 @@ class TimedApplyJob:
         rows = p.select(
             *PLACE, F.when(ignored, F.lit("ignored")).when(other, F.lit("rejected")).alias("status"), "reason",
             F.when(~other, F.col("statement")).alias("statement"),
-            # Rows without a key are dealt by their offset.
             F.when(other, F.concat(F.lit("#"), F.pmod(F.xxhash64("offset"), F.lit(1024)).cast("string")))
              .otherwise(F.col("tableName")).alias("table_name"),
             F.when(~other, F.col("key")).alias("key"), "route",
             F.when(~other, F.to_json("cells", {"ignoreNullFields": "false"})).alias("cells"))
-        return rows.groupBy("table_name", "key").transformWithStateInPandas(
+        # Rows without a key are dealt by their offset.
+        place = F.when(F.col("key").isNull(), F.xxhash64("offset")).otherwise(F.xxhash64("table_name", "key"))
+        rows = rows.withColumn("bucket", F.pmod(place, F.lit(BUCKETS)).cast("int"))
+        return rows.groupBy("bucket").transformWithStateInPandas(
             SecondChance(self.interval), _OUT, "append", "processingTime")
 
     def _write(self, df: DataFrame, epoch: int) -> None:
@@ -190,24 +234,31 @@ class TimedApplyJob:
             .option("checkpointLocation", self.checkpoint)
         return w.trigger(**(trigger or {"processingTime": "1 second"})).start()
 
+    def _done(self) -> DataFrame | None:
+        """The events of the epochs that are done, whose progress is written (None: no epoch yet)."""
+        path = f"{self.out}/progress"
+        done = max((int(d.split("=", 1)[1]) for d in list_dirs(self.spark, path)
+                    if exists(self.spark, f"{path}/{d}/_SUCCESS")), default=None)
+        e = read_table(self.spark, f"{self.out}/events", _EVENTS)
+        return None if done is None else e.where(F.col("epoch") <= done)
+
+    def _events(self) -> DataFrame:
+        done = self._done()
+        return self.spark.createDataFrame([], _EVENTS) if done is None else done
+
     def status(self) -> DataFrame:
-        return read_table(self.spark, f"{self.out}/events", _EVENTS).select(
-            *PLACE, "attempt", "status", "reason", "epoch")
+        return self._events().select(*PLACE, "attempt", "status", "reason", "epoch")
 
     def waiting(self) -> bool:
         """Whether an update still waits for its retry, by the epochs that are done."""
-        path = f"{self.out}/progress"
-        done = max((int(d.split("=", 1)[1]) for d in list_dirs(self.spark, path)
-                    if exists(self.spark, f"{path}/{d}/_SUCCESS")), default=None)
-        if done is None:
+        e = self._done()
+        if e is None:
             return True
-        e = read_table(self.spark, f"{self.out}/events", _EVENTS).where(F.col("epoch") <= done)
         n = F.sum(F.when(F.col("status") == "zero_rows", 1).otherwise(-F.col("attempt")))
         return (e.agg(n).first()[0] or 0) > 0
 
     def dead_letters(self) -> DataFrame:
-        e = read_table(self.spark, f"{self.out}/events", _EVENTS)
-        return e.where(F.col("status").isin("error", "dead_letter")).select(
+        return self._events().where(F.col("status").isin("error", "dead_letter")).select(
             *PLACE, "attempt", F.coalesce("reason", "status").alias("reason"), "statement")
 
     def final_state(self) -> DataFrame:
