@@ -1,5 +1,7 @@
 """Routing, validation and rendering edge cases of change events."""
 
+from pyspark.sql import functions as F
+
 from tidewater.operators import changelog
 
 SCHEMA = ("topic string, partition int, offset long, batch_id long, tableName string, "
@@ -80,3 +82,12 @@ def test_undecodable_records_are_rejected(spark):
                                SCHEMA + ", undecodable boolean")
     got = {r.offset: (r.route, r.reason) for r in changelog.prepare(df).collect()}
     assert got == {1: ("undecodable", "undecodable"), 2: ("insert", None)}
+
+
+def test_a_cell_is_evaluated_once_per_step(spark):
+    """The number of places that mention the map or a value: each is evaluated by itself in a lambda."""
+    assert str(changelog.number_text(F.col("zz"))).count("zz") == 1
+    numbers = ["007", "-0", "-0.00", "1.500", "10.0", "0.05", "100", "-00.10"]
+    df = spark.createDataFrame([(n,) for n in numbers], "v string")
+    assert [r[0] for r in df.select(changelog.number_text(F.col("v"))).collect()] == [
+        "7", "0", "0", "1.5", "10", "0.05", "100", "-0.1"]

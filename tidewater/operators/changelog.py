@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions.cells import (EXCLUDED_COLUMN, IDENTIFIER, QUOTED_TAGS, cell_type,
-                                       cell_value, is_blank, is_identifier,
+                                       cell_value, is_blank, is_identifier, raw_value,
                                        snake_column, sql_literal)
 from tidewater.functions.text import fill
 
@@ -72,30 +72,33 @@ def key_text(values: Column) -> Column:
     """One text for the values of a key: the value itself, or for several all of them with
     ``\\`` and ``,`` escaped, joined by ``,``. Null if one is null."""
     escaped = F.transform(values, lambda v: F.regexp_replace(v, r"([\\,])", r"\\$1"))
-    return F.when(F.exists(values, lambda v: v.isNull()), F.lit(None).cast("string")) \
-        .when(F.size(values) == 1, F.get(values, F.lit(0))).otherwise(F.array_join(escaped, ","))
+    return F.when(F.size(values) == 1, F.get(values, F.lit(0))) \
+        .when(F.exists(values, lambda v: v.isNull()), F.lit(None).cast("string")) \
+        .otherwise(F.array_join(escaped, ","))
 
 
 def number_text(v: Column) -> Column:
-    """A number written one way: no leading zeros, no trailing zeros of a fraction (007 is 7)."""
+    """A number written one way: no leading zeros, no trailing zeros of a fraction (007 is 7).
+    One replacement within the other, so that ``v`` is evaluated once."""
     v = F.regexp_replace(v, r"^(-?)0+(?=[0-9])", "$1")
-    v = F.when(v.contains("."), F.regexp_replace(v, r"\.?0+\z", "")).otherwise(v)
-    return F.when(v == "-0", F.lit("0")).otherwise(v)
+    v = F.regexp_replace(v, r"(\.[0-9]*[1-9])0+\z|\.0+\z", "$1")
+    return F.regexp_replace(v, r"^-0\z", "0")
 
 
 def all_cells(columns: Column | str = "columns", mode: str = "full") -> Column:
     """array<struct<name, column, type, value, literal>> of the cells with a value, sorted by
-    name; no-value cells are dropped (C3)."""
+    name; no-value cells are dropped (C3). A step reads the fields of the one before, as a
+    lambda evaluates an expression once for each place it stands in."""
     m = F.col(columns) if isinstance(columns, str) else columns
     entries = F.sort_array(F.map_entries(m))   # by key; no comparator lambda
-
-    def describe(e: Column) -> Column:
-        tag, val = cell_type(e["value"]), cell_value(e["value"], mode)
-        return F.struct(e["key"].alias("name"), snake_column(e["key"]).alias("column"),
-                        tag.alias("type"), val.alias("value"),
-                        sql_literal(tag, val).alias("literal"))
-
-    return F.filter(F.transform(entries, describe), lambda c: c["value"].isNotNull())
+    raw = F.transform(entries, lambda e: F.struct(
+        e["key"].alias("name"), e["value"].alias("cell"), raw_value(e["value"], mode).alias("raw")))
+    valued = F.filter(raw, lambda e: ~is_blank(e["raw"]))
+    typed = F.transform(valued, lambda e: F.struct(
+        e["name"].alias("name"), cell_type(e["cell"]).alias("type"), e["raw"].alias("value")))
+    return F.transform(typed, lambda c: F.struct(
+        c["name"].alias("name"), snake_column(c["name"]).alias("column"), c["type"].alias("type"),
+        c["value"].alias("value"), sql_literal(c["type"], c["value"]).alias("literal")))
 
 
 def kept_cells(columns: Column | str = "columns", mode: str = "full") -> Column:
@@ -149,95 +152,75 @@ def prepare(events: DataFrame, key_column: KeyColumns = DEFAULT_KEY, mode: str =
     decoded (``undecodable`` true, where the events have that column) is
     rejected.
 
-    The kept cells are computed once per event and every other column is
-    derived from them inside one lambda; the result leaves through
-    ``explode`` of that one-element array. The Generate is a barrier: a
-    filter on ``reason`` or ``statement`` downstream is not pushed below it,
-    so the map work is never evaluated twice (once in a pushed-down filter,
-    once in the projection).
+    Each step is a projection over columns of the step before, so that nothing is evaluated
+    once per mention; the result leaves through ``explode`` of a one-element array. The
+    Generate is a barrier: a filter on ``reason`` or ``statement`` downstream is not pushed
+    below it, so the map work is never evaluated twice (once in a pushed-down filter, once
+    in the projection).
     """
-    table, where, rt = F.col("tableName"), F.col("where"), F.col("route")
-    # Row-level facts in one codegen'd projection, before the Generate; the
-    # lambda below only reads them.
+    table, where, rt, keys = F.col("tableName"), F.col("where"), F.col("route"), F.col("_keys")
+    rts = route("actionType")
+    if "undecodable" in events.columns:
+        rts = F.when(F.col("undecodable"), F.lit(UNDECODABLE)).otherwise(rts)
     w = F.coalesce(where, F.lit(""))
-    terms = w.rlike(PREDICATE)
-    names = F.when(terms, F.regexp_extract_all(w, F.lit(_TERM), F.lit(1)))
-    keys = F.col("_keys")
+    base = events.withColumns({
+        "route": rts, "_table_ok": is_identifier(table), "_where_blank": is_blank(where),
+        "_keys": key_names(key_column, table), "_terms": w.rlike(PREDICATE),
+        "_all": all_cells("columns", mode)})
+    if compat and mode != "full":
+        base = base.withColumn("_first", kept_cells("columns", "first_segment"))
+
+    cells, terms, update = F.col("_cells"), F.col("_terms"), rt == UPDATE
+    base = base.withColumns({
+        "_cells": _written(F.col("_all")),
+        "_names": F.when(terms & update, F.regexp_extract_all(w, F.lit(_TERM), F.lit(1))),
+        "_literals": F.when(terms & update, F.regexp_extract_all(w, F.lit(_TERM), F.lit(2))),
+        # The cell of each key column, of an insert.
+        "_key_cells": F.when(rt == INSERT, F.transform(keys, lambda k: F.get(F.filter(
+            F.col("_all"), lambda c: c["column"] == k), 0)))})
     # Every key column once, nothing else.
     parsed = F.coalesce((F.size("_names") == F.size(keys))
                         & (F.size(F.array_except(keys, F.col("_names"))) == 0), F.lit(False))
-    literal = F.transform(keys, lambda k: F.get("_literals", F.array_position("_names", k)
-                                                .cast("int") - 1))
-    rts = route("actionType")
-    if "undecodable" in events.columns:
-        rts = F.when(F.col("undecodable"), F.lit(UNDECODABLE)).otherwise(rts)
-    base = (events.withColumn("route", rts)
-                  .withColumn("_table_ok", is_identifier(table))
-                  .withColumn("_where_blank", is_blank(where))
-                  .withColumn("_keys", key_names(key_column, table))
-                  .withColumn("_names", names)
-                  .withColumn("_literals", F.when(terms, F.regexp_extract_all(
-                      w, F.lit(_TERM), F.lit(2))))
-                  .withColumn("_parsed", parsed)
-                  .withColumn("_pred_key", F.when(F.col("_parsed"), key_text(F.transform(
-                      literal, _literal_value)))))
-    parsed = F.col("_parsed")
+    base = base.withColumns({
+        "_parsed": parsed, "_cols_ok": F.forall(cells, lambda c: c["column"].rlike(IDENTIFIER))})
 
-    def facts(b: Column) -> Column:
-        every, cells = b["all"], _written(b["all"])
-
-        def key_value(k: Column) -> Column:
-            c = F.get(F.filter(every, lambda c: c["column"] == k), 0)
-            number = ~c["type"].isin(*QUOTED_TAGS) & c["value"].rlike(_NUMBER)
-            return F.when(F.coalesce(number, F.lit(False)), number_text(c["value"])) \
-                .otherwise(c["value"])
-
-        fields = [cells.alias("cells"),
-                  F.forall(cells, lambda c: c["column"].rlike(IDENTIFIER)).alias("cols_ok"),
-                  key_text(F.transform(F.col("_keys"), key_value)).alias("ins_key")]
-        if compat and mode != "full":
-            fields.append(b["first"].alias("first"))
-        return F.struct(*fields)
-
-    def derive(b: Column) -> Column:
-        cells, ins_key = b["cells"], b["ins_key"]
-        key = F.when(rt == INSERT, ins_key).when((rt == UPDATE) & parsed, F.col("_pred_key"))
-        reason = (F.when(rt == UNDECODABLE, F.lit("undecodable"))
-                   .when(rt == IGNORED, F.lit(None))
-                   .when(~F.col("_table_ok") | ~b["cols_ok"], F.lit("bad_identifier"))
-                   .when((rt == INSERT) & (F.size(cells) == 0), F.lit("no_columns"))
-                   .when((rt == INSERT) & ins_key.isNull(), F.lit("missing_key"))
-                   .when((rt == UPDATE) & F.col("_where_blank"), F.lit("missing_where"))
-                   .when((rt == UPDATE) & ~parsed, F.lit("unsupported_predicate"))
-                   .when((rt == UPDATE) & (F.size(cells) == 0), F.lit("no_columns"))
-                   .cast("string"))
-        ok = reason.isNull() & (rt != IGNORED)
-        statement = F.when(ok, _render(table, rt, where, cells))
-        fields = [cells.alias("cells"), key.cast("string").alias("key"), reason.alias("reason"),
-                  statement.alias("statement")]
-        if compat and mode == "full":
-            # Only values with a ":" read differently up to their first ":";
-            # otherwise the first-segment text is the statement itself.
-            colon = F.exists(cells, lambda c: c["value"].contains(":"))
-            first = F.filter(F.transform(cells, _first_segment), lambda c: c["value"].isNotNull())
-            fields.append(F.when(ok & colon, _render(table, rt, where, first))
-                           .when(ok, statement).alias("statement_compat"))
-        elif compat:
-            fields.append(F.when(ok, _render(table, rt, where, b["first"])).alias("statement_compat"))
-        return F.struct(*fields)
-
-    cells = all_cells("columns", mode)
+    def key_value(c: Column) -> Column:
+        number = ~c["type"].isin(*QUOTED_TAGS) & c["value"].rlike(_NUMBER)
+        return F.when(F.coalesce(number, F.lit(False)), number_text(c["value"])).otherwise(c["value"])
+
+    literals = F.transform(keys, lambda k: F.get("_literals", F.array_position("_names", k).cast("int") - 1))
+    parsed = F.col("_parsed")
+    base = base.withColumn("_values", F.when(rt == INSERT, F.transform("_key_cells", key_value))
+                           .when(update & parsed, F.transform(literals, _literal_value)))
+    base = base.withColumn("_key", key_text(F.col("_values")).cast("string"))
+    reason = (F.when(rt == UNDECODABLE, F.lit("undecodable"))
+               .when(rt == IGNORED, F.lit(None))
+               .when(~F.col("_table_ok") | ~F.col("_cols_ok"), F.lit("bad_identifier"))
+               .when((rt == INSERT) & (F.size(cells) == 0), F.lit("no_columns"))
+               .when((rt == INSERT) & F.col("_key").isNull(), F.lit("missing_key"))
+               .when(update & F.col("_where_blank"), F.lit("missing_where"))
+               .when(update & ~parsed, F.lit("unsupported_predicate"))
+               .when(update & (F.size(cells) == 0), F.lit("no_columns"))
+               .cast("string"))
+    base = base.withColumn("_reason", reason)
+    ok = F.col("_reason").isNull() & (rt != IGNORED)
+    base = base.withColumn("_statement", F.when(ok, _render(table, rt, where, cells)))
+    fields = [cells.alias("cells"), F.col("_key").alias("key"), F.col("_reason").alias("reason"),
+              F.col("_statement").alias("statement")]
     if compat and mode == "full":
-        # The first-segment value is the full value up to its first ":" (a
-        # prefix: blank full means blank first); it is derived from the kept
-        # cells in ``derive``, only for events that have such a value.
-        bundle = [cells.alias("all")]
+        # The first-segment value is the full value up to its first ":" (a prefix: blank full
+        # means blank first). Only values with a ":" read differently; otherwise the
+        # first-segment text is the statement itself.
+        colon = F.exists(cells, lambda c: c["value"].contains(":"))
+        base = base.withColumn("_first", F.when(ok & colon, F.filter(
+            F.transform(cells, _first_segment), lambda c: c["value"].isNotNull())))
+        first = F.col("_first")
+        fields.append(F.when(first.isNotNull(), _render(table, rt, where, first))
+                       .otherwise(F.col("_statement")).alias("statement_compat"))
     elif compat:
-        bundle = [cells.alias("all"), kept_cells("columns", "first_segment").alias("first")]
-    else:
-        bundle = [cells.alias("all")]
-    derived = F.transform(F.transform(F.array(F.struct(*bundle)), facts), derive)
-    return base.select("*", F.explode(derived).alias("_p")).select(*events.columns, "route", "_p.*")
+        fields.append(F.when(ok, _render(table, rt, where, F.col("_first"))).alias("statement_compat"))
+    return base.select("*", F.explode(F.array(F.struct(*fields))).alias("_p")) \
+        .select(*events.columns, "route", "_p.*")
 
 
 def cells_long(events: DataFrame) -> DataFrame:
