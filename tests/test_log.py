@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewater.operators import offsets
+from tidewater.plans import log_queries
 from tidewater.sinks.tables import read_table, write_epoch
 from tidewater.sources import log
 from tidewater.streaming.runner import start
@@ -115,3 +116,21 @@ def test_unfinished_segments_and_retention(spark, workdir):
     os.rename(f"{path}/{first}", f"{workdir}/{first}")
     assert log.bounds(log.LogIndex(path).refresh()) == {("a b/c", 0): (4, 8)}
     assert log.LogIndex(f"{workdir}/none").refresh() == []
+
+
+def test_rounds_take_the_same_batches_at_once(spark, workdir):
+    """Several batches in one micro-batch: each within its cap, numbered by round, small row groups."""
+    import pyarrow.parquet as pq
+
+    rows = [("t", 0, o) for o in range(25)] + [("t", 1, o) for o in (0, 1, 1000, 1001, 1002)] + [("u", 0, 7)]
+    log.append(records(spark, [r for r in rows if r[2] < 1000]), f"{workdir}/log")
+    log.append(records(spark, [r for r in rows if r[2] >= 1000]), f"{workdir}/log")
+    got = log_queries.follow(spark, f"{workdir}/log", workdir, rounds=2, policy="zero", cap=10)
+    seen = {(r.epoch, r.batch_id, r.topic, r.partition): (r.from_offset, r.until_offset, r.records)
+            for r in got.collect()}
+    assert seen == {(0, 0, "t", 0): (0, 10, 10), (0, 0, "t", 1): (0, 2, 2), (0, 0, "u", 0): (7, 8, 1),
+                    (0, 1, "t", 0): (10, 20, 10), (0, 1, "t", 1): (1000, 1003, 3), (1, 2, "t", 0): (20, 25, 5)}
+    log.append(records(spark, [("v", 0, o) for o in range(log.ROW_GROUP * 2 + 1)]), f"{workdir}/big")
+    sizes = [meta.row_group(g).num_rows for f in log.LogIndex(f"{workdir}/big").refresh()
+             for meta in [pq.ParquetFile(f.path).metadata] for g in range(meta.num_row_groups)]
+    assert sum(sizes) == log.ROW_GROUP * 2 + 1 and max(sizes) <= log.ROW_GROUP

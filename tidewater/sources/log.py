@@ -11,6 +11,9 @@ it as the Kafka source follows a topic:
 * **admission**: a batch takes at most ``cap`` offsets of each partition, counted from its
   next record, so that a partition with a long backlog neither grows a batch nor holds up
   the others, and gaps between files cost no empty batches;
+* **rounds**: a query that is behind takes up to ``rounds`` such batches in one micro-batch, so
+  that it does not pay Spark's cost of a micro-batch for each; the column ``round`` tells them
+  apart (without the option a micro-batch is one batch, and there is no such column);
 * **recovery**: Spark's checkpoint holds the offsets. A restarted query goes on from the last
   ones logged there (``logged_offsets``), whatever the policy;
 * **reading**: one task for each file with offsets in the batch's range, row groups outside it
@@ -44,12 +47,16 @@ from tidewater.sources.kafka import KAFKA_SCHEMA
 Offsets = dict[str, dict[str, int]]
 
 
+#: Records of a row group: a batch decodes at most one of them beyond its own records at each end.
+ROW_GROUP = 8192
+
+
 def append(records: DataFrame, path: str) -> None:
     """Write records as the log's next segment: files of disjoint offset ranges, each sorted."""
     ordered = records.repartitionByRange("topic", "partition", "offset") \
         .sortWithinPartitions("topic", "partition", "offset")
     name = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
-    ordered.write.partitionBy("topic", "partition").parquet(f"{path.rstrip('/')}/segment={name}")
+    ordered.write.option("parquet.block.row.count.limit", str(ROW_GROUP)).partitionBy("topic", "partition").parquet(f"{path.rstrip('/')}/segment={name}")
 
 
 class LogFile(NamedTuple):
@@ -131,10 +138,10 @@ def _flat(nested: Offsets) -> dict[tuple[str, int], int]:
 
 
 class LogRange(InputPartition):
-    """The offsets [first, until) of one file."""
+    """The offsets [first, until) of one file; ``ends``: where each round ends."""
 
-    def __init__(self, file: LogFile, first: int, until: int):
-        self.file, self.first, self.until = file, first, until
+    def __init__(self, file: LogFile, first: int, until: int, ends: list[int]):
+        self.file, self.first, self.until, self.ends = file, first, until, ends
 
 
 class LogStreamReader(DataSourceStreamReader):
@@ -144,6 +151,7 @@ class LogStreamReader(DataSourceStreamReader):
         self.committed = _flat(json.loads(options.get("committed", "{}")))
         self.topics = set(filter(None, options.get("subscribe", "").split(",")))
         self.cap = int(options["cap"]) if options.get("cap") else None
+        self.rounds = int(options["rounds"]) if options.get("rounds") else None
         self.start: dict[tuple[str, int], int] | None = None
         #: Up to where the query has planned its batches (None: a new query).
         self.at = _flat(json.loads(options["resume"])) if options.get("resume") else None
@@ -163,31 +171,50 @@ class LogStreamReader(DataSourceStreamReader):
     def initialOffset(self) -> dict:
         return _nested(self._start())
 
+    def _rounds(self, files: list[LogFile], at: dict) -> Iterator[dict[tuple[str, int], int]]:
+        """Where the next batches from ``at`` end, up to ``rounds`` of them: each takes at most ``cap``
+        offsets of a partition, from its next record on."""
+        ordered: dict[tuple[str, int], list[LogFile]] = {}
+        for f in sorted(files, key=lambda f: f.until):
+            ordered.setdefault((f.topic, f.partition), []).append(f)
+        known = bounds(files)
+        for _ in range(self.rounds or 1):
+            end = dict(at)
+            for key, (earliest, latest) in known.items():
+                here = at.get(key, earliest)
+                if self.cap is not None:
+                    some = ordered[key]
+                    while some and some[0].until <= here:
+                        some.pop(0)
+                    following = min((f.first for f in some), default=here)
+                    latest = min(latest, max(here, following) + self.cap)
+                end[key] = max(here, latest)
+            if end == at:
+                return
+            yield end
+            at = end
+
     def latestOffset(self) -> dict:
         if self.at is None:
             self.at = self._start()
-        end = dict(self.at)
-        files = self._files()
-        for key, (earliest, latest) in bounds(files).items():
-            at = end.get(key, earliest)
-            if self.cap is not None:
-                following = min((f.first for f in files if (f.topic, f.partition) == key and f.until > at),
-                                default=at)
-                latest = min(latest, max(at, following) + self.cap)
-            end[key] = max(at, latest)
-        self.at = end
-        return _nested(end)
+        for end in self._rounds(self._files(), self.at):
+            self.at = end
+        return _nested(self.at)
 
     def partitions(self, start: dict, end: dict) -> list[LogRange]:
         lo, hi = _flat(start), _flat(end)
         if any(o > hi.get(k, o) for k, o in lo.items()):
             raise ValueError("offsets went back: a restarted query needs the option resume (use log_stream)")
         self.at = {k: max(o, (self.at or {}).get(k, o)) for k, o in hi.items()}
-        return [LogRange(f, lo.get(key, f.first), hi[key]) for f in self._files()
+        files = self._files()
+        # A replayed batch has the same rounds: its end is given, and files never change.
+        ends = list(self._rounds(files, lo)) if self.rounds else []
+        return [LogRange(f, lo.get(key, f.first), hi[key], [e[key] for e in ends[:-1] if key in e]) for f in files
                 for key in [(f.topic, f.partition)]
                 if key in hi and f.until > lo.get(key, f.first) and f.first < hi[key]]
 
     def read(self, partition: LogRange) -> Iterator:
+        import numpy as np
         import pyarrow as pa
         import pyarrow.compute as pc
         from pyarrow import parquet as pq
@@ -204,25 +231,30 @@ class LogStreamReader(DataSourceStreamReader):
                 b = b.filter(pc.and_(pc.greater_equal(offset, partition.first), pc.less(offset, partition.until)))
                 if b.num_rows:
                     stamp = b.column("timestamp").cast(pa.timestamp("us")).cast(pa.timestamp("us", "UTC"))
+                    offset = b.column("offset")
+                    ends = np.array(partition.ends, "int64")
+                    rounds = np.searchsorted(ends, offset.to_numpy(), "right").astype("int32")
                     yield pa.RecordBatch.from_arrays(
                         [b.column("key").cast(pa.binary()), b.column("value").cast(pa.binary()),
                          pa.repeat(f.topic, b.num_rows), pa.repeat(pa.scalar(f.partition, pa.int32()), b.num_rows),
-                         b.column("offset"), stamp, b.column("timestampType")],
-                        ["key", "value", "topic", "partition", "offset", "timestamp", "timestampType"])
+                         offset, stamp, b.column("timestampType")] + ([pa.array(rounds)] if self.rounds else []),
+                        ["key", "value", "topic", "partition", "offset", "timestamp", "timestampType"]
+                        + (["round"] if self.rounds else []))
 
     def commit(self, end: dict) -> None:
         """Nothing to do: the checkpoint holds the offsets, retention is the log's."""
 
 
 class RecordLog(DataSource):
-    """``spark.readStream.format("record_log")``; options: path, subscribe, startPolicy, committed, cap, resume."""
+    """``spark.readStream.format("record_log")``; options: path, subscribe, startPolicy, committed, cap, rounds, resume."""
 
     @classmethod
     def name(cls) -> str:
         return "record_log"
 
     def schema(self) -> str:
-        return KAFKA_SCHEMA
+        rounds = any(k.lower() == "rounds" for k in self.options)
+        return f"{KAFKA_SCHEMA}, round int" if rounds else KAFKA_SCHEMA
 
     def streamReader(self, schema) -> LogStreamReader:
         return LogStreamReader({k.lower(): v for k, v in self.options.items()})
@@ -240,7 +272,7 @@ def logged_offsets(spark: SparkSession, checkpoint: str) -> str | None:
 
 def log_stream(spark: SparkSession, path: str, checkpoint: str, policy: str = "resume_earliest",
                committed: DataFrame | None = None, cap: int | None = None,
-               topics: tuple[str, ...] = ()) -> DataFrame:
+               topics: tuple[str, ...] = (), rounds: int | None = None) -> DataFrame:
     """Records of the log for a query on ``checkpoint``: a new one starts by ``policy`` from the
     commits (topic, partition, committed; one row per partition), a known one goes on."""
     if policy not in POLICIES:
@@ -252,6 +284,8 @@ def log_stream(spark: SparkSession, path: str, checkpoint: str, policy: str = "r
         .option("committed", json.dumps(_nested(commits))).option("subscribe", ",".join(topics))
     if cap:
         r = r.option("cap", str(int(cap)))
+    if rounds:
+        r = r.option("rounds", str(int(rounds)))
     resume = logged_offsets(spark, checkpoint)
     return (r.option("resume", resume) if resume else r).load()
 
