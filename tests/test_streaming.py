@@ -151,3 +151,19 @@ def test_cdc_stream_continues_after_flush(spark, workdir):
     status = sorted((r.offset, r.attempt, r.status) for r in job.status().collect())
     assert status == [(0, 0, "zero_rows"), (0, 1, "dead_letter"), (1, 0, "applied")]
     assert {(r.key, r.column) for r in job.final_state().collect()} == {("9", "cust_key")}
+
+
+def test_texts_of_one_task_are_split_on_all_cores(spark, workdir, monkeypatch):
+    from tidewater.operators import wordcount
+
+    parts, words = [], wordcount.text_words
+
+    def counted(df, *a, **k):
+        parts.append(df.rdd.getNumPartitions())
+        return words(df, *a, **k)
+
+    monkeypatch.setattr(wordcount, "text_words", counted)
+    job = WordCountJob(spark, f"{workdir}/job", deny_words=("no",))
+    job.process_batch(spark.createDataFrame([("x y no",), ("x",)], "text string").coalesce(1), 0)
+    assert parts == [spark.sparkContext.defaultParallelism]
+    assert {(r.word, r.cnt) for r in job.counts().collect()} == {("x", 2), ("y", 1)}

@@ -52,7 +52,9 @@ class WordCountJob:
     def process_batch(self, df: DataFrame, epoch: int) -> None:
         spark = df.sparkSession
         batch = (F.col(self.batch_column) if self.batch_column else F.lit(epoch)).cast("long")
-        words = wc.text_words(df.select(batch.alias("batch"), "text"), keep=["batch"])
+        # A batch of few files is read by few tasks: its texts are dealt over all cores before they are split.
+        texts = df.select(batch.alias("batch"), "text").repartition(spark.sparkContext.defaultParallelism)
+        words = wc.text_words(texts, keep=["batch"])
         counts = wc.count_words(words, by=["batch"])
         deny = wc.deny_table(spark, self.deny_words).withColumn("denied", F.lit(True))
         flagged = join_small(counts, deny, on="word", how="left").persist()
