@@ -161,6 +161,19 @@ def test_nothing_is_found_where_spark_does_not_look(spark):
     assert all(t in looked for t in texts if pii.find(t))
 
 
+def test_places_that_begin_nothing_are_passed_quickly(spark):
+    """The pattern takes well under half the time of its alternatives tried at every place."""
+    java, text, best = spark._jvm.java.util.regex.Pattern, "so many plain words, and nothing. " * 60000, {}
+    tried = pii.MAY_HOLD[pii.MAY_HOLD.index(r"\p{Nd}{3}"):].removesuffix(")")
+    for _ in range(3):
+        for pattern in (pii.MAY_HOLD, tried):
+            matcher = java.compile(pattern).matcher(text)
+            begun = time.perf_counter()
+            assert not matcher.find()
+            best[pattern] = min(best.get(pattern, 1e9), time.perf_counter() - begun)
+    assert len(best) == 2 and best[pii.MAY_HOLD] < best[tried] / 2
+
+
 def test_collisions_are_drawn_again(spark, monkeypatch):
     """A generator with four surrogates at first: all ten values end up distinct and none real."""
     monkeypatch.setattr(pii, "surrogate", few)

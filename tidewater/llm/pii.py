@@ -85,7 +85,10 @@ ENTITY = re.compile("|".join(f"(?P<{k}>{p})" for k, p in
                               for k, p in PATTERNS.items())))
 #: What every find contains; texts without it need no scan (checked by Spark itself).
 #: Its digits are those of the patterns, of all scripts.
-MAY_HOLD = r"\p{Nd}{3}|\p{Nd}\.\p{Nd}|\+\p{Nd}|[A-Z]{2}\p{Nd}{2}|@|" + "|".join(_TITLES.values())
+#: One test of a character comes first: most places can begin none of the many alternatives.
+_BEGIN = "".join(sorted({t[0] for ts in TITLES.values() for t in ts}))
+MAY_HOLD = rf"(?=[\p{{Nd}}+@A-Z{_BEGIN}])(?:\p{{Nd}}{{3}}|\p{{Nd}}\.\p{{Nd}}|\+\p{{Nd}}|[A-Z]{{2}}\p{{Nd}}{{2}}|@|" \
+    + "|".join(_TITLES.values()) + ")"
 
 
 def script(s: str) -> str:
