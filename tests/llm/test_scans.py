@@ -12,6 +12,7 @@ from tokenizers import Tokenizer
 
 from tests.llm import brute
 from tidewater.llm import align, licenses, phrases
+from tidewater.llm.common import written
 from tidewater.llm.pieces import model_bytes
 
 BYTES, PIECES = map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model"))
@@ -156,6 +157,20 @@ def test_summary_keeps_every_frequent_key():
         assert all(c <= true[k] <= c + own.error for k, c in zip(own.keys.tolist(), own.counts.tolist()))
 
 
+def test_no_survivor_by_chance(spark):
+    rng = random.Random(9)
+    rows = [("en", " ".join(f"w{int(rng.paretovariate(0.6)) % 5000}" for _ in range(200))) for _ in range(60)]
+    docs = spark.createDataFrame(rows, "lang string, text string").repartition(3)
+    sent = written(phrases.sent(phrases.word_blocks(docs), 2), "sent")
+    counts = {}
+    for r in sent.collect():
+        hashes = np.cumsum(phrases.from_planes(bytes(r["hashes"]), "<u8"), dtype=np.uint64).tolist()
+        for h, n in zip(hashes, phrases.from_planes(bytes(r["counts"]), "<u4").tolist()):
+            counts[h] = counts.get(h, 0) + n
+    found = [np.frombuffer(bytes(r["found"]), "<u8") for r in phrases.survivors(sent, 5).collect()]
+    assert set(np.concatenate(found).tolist()) == {h for h, n in counts.items() if n >= 5}
+
+
 def test_products_beyond_64_bits(spark):
     big = 10 ** 16
     found = spark.createDataFrame([("en", "a b", ["a", "b"], big - 1), ("en", "a", ["a"], big), ("en", "b", ["b"], big)],

@@ -11,11 +11,12 @@ Texts are taken in blocks of one language, written once as word numbers and a wo
    ranges of the hash space. A range merges these summaries into one of k counters, k
    above its mass divided by ``least``: what all subtractions together take from a counter
    is below ``least``, so every frequent n-gram keeps one. Survivors whose counter and the
-   range's error together stay below ``least`` go. The number of ranges grows with the mass, so that a
-   range is of bounded size; a hot n-gram is one counter per block. The hashes that
-   survive go back to the blocks that sent them.
-2. The second pass counts the survivors exactly, by their words, in each block; Spark sums
-   the counts by phrase, so that neither a collision nor a survivor by chance counts.
+   range's error together stay below ``least`` go, and the range counts the others exactly, as it
+   still holds the summaries. The number of ranges grows with the mass, so that a
+   range is of bounded size; a hot n-gram is one counter per block. The hashes that are
+   frequent go back to the blocks that sent them.
+2. The second pass counts these by their words in each block; Spark sums the counts by
+   phrase, so that no collision counts.
 3. Scores, the test for longer candidates and the ranks are joins and windows over the
    frequent phrases only. Ranks are taken in two steps, so that no task sorts a whole language.
 
@@ -179,8 +180,8 @@ class Summary:
 
 
 def survivors(sent: DataFrame, least: int) -> DataFrame:
-    """(block, found): of a block's hashes, those that keep a counter in their range and may,
-    by counter and error, occur ``least`` times."""
+    """(block, found): of a block's hashes, those that occur ``least`` times or more; a range
+    counts exactly those that keep a counter and may, by counter and error, be among them."""
     def unpacked(row) -> tuple[np.ndarray, np.ndarray]:
         return (np.cumsum(from_planes(row.hashes, "<u8"), dtype=np.uint64),
                 from_planes(row.counts, "<u4").astype(np.int64))
@@ -197,6 +198,13 @@ def survivors(sent: DataFrame, least: int) -> DataFrame:
         if waiting:
             own.merge(*map(np.concatenate, zip(*waiting)))
         frequent = own.keys[own.counts + own.error >= least]
+        # Counted exactly: a survivor by chance would be looked up and spelt in every block.
+        counts = np.zeros(len(frequent), np.int64)
+        for row in rows.itertuples():
+            keys, n = unpacked(row)
+            known = among(keys, frequent)
+            np.add.at(counts, np.searchsorted(frequent, keys[known]), n[known])
+        frequent = frequent[counts >= least]
         out = []
         for row in rows.itertuples():
             keys = unpacked(row)[0]
