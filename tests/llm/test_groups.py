@@ -61,6 +61,30 @@ def test_jaccard_chains_and_large_groups(table):
     assert len({c for _, _, c in want}) < len(rows) / 2
 
 
+def test_jaccard_pairs_are_met_once(table, monkeypatch):
+    """Pairs that share many n-grams are not met again at each of them."""
+    rng = random.Random(9)
+    rows, held, own = [], [], jaccard._held
+    for _ in range(30):
+        ws = prose(rng, 80, 10 ** 6).split()
+        rows += [(len(rows), " ".join(ws)), (len(rows) + 1, " ".join([*ws[:-12], prose(rng, 12, 10 ** 6)]))]
+    monkeypatch.setattr(jaccard, "_held", lambda *a: held.append(own(*a)) or held[-1])
+    check_components(jaccard.jaccard_join(table(rows)), rows)
+    assert 0 < held[0].count() <= len(rows)
+
+
+def test_jaccard_rounds_lose_no_link(table, monkeypatch):
+    """With hardly anything compared directly, rounds and the last comparison find all groups."""
+    monkeypatch.setattr(jaccard, "AT_ONCE", 0)
+    rng = random.Random(4)
+    ws, rows = prose(rng, 60, 10 ** 6).split(), []
+    for i in range(60):
+        rows.append((i, " ".join(ws)))
+        ws[rng.randrange(len(ws))] = prose(rng, 1, 10 ** 6)
+    rng.shuffle(rows)
+    check_components(jaccard.jaccard_join(table(rows)), rows)
+
+
 def test_one_of_each_group_stays(table, corpus):
     docs = table(corpus)
     kept = jaccard.one_of_each(docs)

@@ -12,9 +12,10 @@ the partial counts are summed per pair.
 Documents with equal texts are one class from the start. Pairs are not formed
 within a group: in rounds, the holders of an n-gram are compared with one of
 them, its leader, and linked ones merge; holders in one component need no more
-comparison. Once few comparisons per holder are left, or a round links nothing
+comparison. Once few comparisons per holder are left, or a round links hardly any
 more, the holders outside the leader's component are compared with all holders of
-other components, so that no link between components is lost.
+other components, so that no link between components is lost. Of n-grams with the
+same holders one is enough, so that a pair is not met again at each that it shares.
 
 The number of documents of each n-gram is counted over the whole corpus in bulk
 (``blocks.corpus_classes``); texts are written once and do not move after that.
@@ -48,9 +49,10 @@ _BYTE = np.random.default_rng(1).integers(0, 1 << 63, 256, dtype=np.uint64) * 2
 _ODD = 0x9E3779B97F4A7C15
 #: The fragments of the global order: see ``Sets.segments``.
 FRAGMENTS = range(2, 10)
-#: Comparisons of sizes and places per holder of an n-gram that are made directly, after the
-#: first round.
-FEW = 2000
+#: Comparisons of sizes and places that are made directly: so many in all; so many per holder of
+#: an n-gram; and so many when the rounds find no more than one link for ``RARE`` texts.
+AT_ONCE, SOME, FEW = 200_000, 8, 2000
+RARE = 50
 #: Words are hashed in pieces of so many bytes.
 PIECE = 1 << 16
 _POWERS: list[np.ndarray] = []
@@ -202,17 +204,47 @@ def _pairs(x: DataFrame, y: DataFrame, num: int, den: int) -> DataFrame:
     return _ordered(met).distinct()
 
 
+def _told_apart(rows: DataFrame) -> DataFrame:
+    """Of the n-grams with the same holders only the first in the global order.
+
+    Two texts that link pass ``_may_link`` at the first n-gram that they share, which is the
+    first of those with its holders; at the others the same pairs would only be met again.
+    """
+    who = [F.bit_xor(F.xxhash64(F.lit(seed), F.col("at"))).alias(f"who{seed}") for seed in (1, 2)]
+    # Places in one and the same holder follow the global order.
+    per = rows.groupBy("gram").agg(F.count("*").alias("n"), *who,
+                                   F.min(F.struct("at", "place")).alias("least"))
+    first = per.groupBy("n", "who1", "who2").agg(
+        F.min(F.struct("least.place", "gram")).alias("first")).select("first.gram")
+    return rows.join(first, "gram")
+
+
 def _held(rows: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
     """(gram, at, size, place, root, lead) of the n-grams whose holders are not all in one
     component; ``lead`` is one of the holders: at first the first in the input, which of a
-    group of copies is often the one that the others were made from, then one drawn anew."""
+    group of copies is often the one that the others were made from, then one of the component
+    with the most holders, drawn anew for each n-gram."""
     named = rows.join(labels.withColumnRenamed("node", "at"), "at", "left") \
         .withColumn("root", F.coalesce("root", "at"))
-    draw = (F.xxhash64(F.lit(turn), F.col("at")) if turn else F.col("at")).alias("draw")
-    per = named.groupBy("gram").agg(
-        F.min("root").alias("lo"), F.max("root").alias("hi"),
-        F.min(F.struct(draw, "at", "size", "place", "root")).alias("lead"))
-    return written(named.join(per.where("lo <> hi").drop("lo", "hi"), "gram"), "jaccard-held")
+    draw = (F.xxhash64(F.lit(turn), "gram", "at") if turn else -F.col("at")).alias("draw")
+    each = named.groupBy("gram", "root").agg(
+        F.count("*").alias("n"), F.max(F.struct(draw, "at", "size", "place", "root")).alias("lead"))
+    per = each.groupBy("gram").agg(F.count("*").alias("roots"),
+                                   F.max(F.struct("n", "lead")).alias("most"))
+    per = per.where("roots > 1").select("gram", F.col("most.lead").alias("lead"))
+    return written(named.join(per, "gram"), "jaccard-held")
+
+
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The labels after more links: only the roots that these connect are labelled anew."""
+    ends = links
+    for end in ("a", "b"):
+        ends = ends.join(labels.toDF(end, f"root_{end}"), end, "left").withColumn(
+            f"root_{end}", F.coalesce(f"root_{end}", end))
+    more = components(ends.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")))
+    moved = labels.join(more.toDF("root", "new"), "root", "left").select(
+        "node", F.coalesce("new", "root").alias("root"))
+    return written(moved.unionByName(more.join(labels, "node", "left_anti")), "jaccard-labels")
 
 
 def similar_components(rows: DataFrame, segments: DataFrame, num: int, den: int) -> DataFrame:
@@ -221,9 +253,9 @@ def similar_components(rows: DataFrame, segments: DataFrame, num: int, den: int)
     rows: (gram, at, size, place) of the first n-grams that several texts hold.
     """
     spark = rows.sparkSession
-    links = spark.createDataFrame([], "a bigint, b bigint")
     labels = spark.createDataFrame([], "node bigint, root bigint")
-    turn = 0
+    rows = bucketed(_told_apart(rows), "jaccard-holders", "gram")
+    turn, worth = 0, True
     while True:
         held = _held(rows, labels, turn)
         apart = F.col("root") != F.col("lead.root")
@@ -233,7 +265,7 @@ def similar_components(rows: DataFrame, segments: DataFrame, num: int, den: int)
                        F.sum("n").alias("holders")).first()
         if not left["holders"]:
             return labels
-        if turn and left["pairs"] <= FEW * left["holders"]:
+        if turn and left["pairs"] <= max(AT_ONCE, (SOME if worth else FEW) * left["holders"]):
             break
         lead = held.select("gram", "at", "size", "place", "root", "lead.*") \
             .toDF("gram", "at", "size", "place", "root", "draw", "at2", "size2", "place2", "root2")
@@ -241,15 +273,15 @@ def similar_components(rows: DataFrame, segments: DataFrame, num: int, den: int)
             F.col("size"), F.col("place"), F.col("size2"), F.col("place2"), num, den))
         fresh = _links(_ordered(met).distinct(), segments, num, den)
         turn += 1
-        if fresh.isEmpty():
+        n = fresh.count()
+        if not n:
             break
-        links = links.unionByName(fresh)
-        # Enough for a round: equal roots are connected.
-        labels = components(links, 3)
+        worth = RARE * n > held.agg(F.count_distinct("at")).first()[0]
+        labels = _merged(labels, fresh)
     own = ["gram", "at", "size", "place", "root"]
     last = _links(_pairs(held.where(apart).select(*own), held.select(*own), num, den),
                   segments, num, den)
-    return components(links.unionByName(last))
+    return _merged(labels, last)
 
 
 def _joined(blocks: DataFrame, words: int, num: int, den: int) -> DataFrame:
