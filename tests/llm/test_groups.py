@@ -3,6 +3,7 @@
 import random
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -73,6 +74,31 @@ def test_jaccard_pairs_are_met_once(table, monkeypatch):
     assert 0 < held[0].count() <= len(rows)
 
 
+def test_jaccard_texts_far_apart_make_no_pairs(table, monkeypatch):
+    """Texts that share many n-grams and do not link are not compared pair by pair."""
+    rng = random.Random(12)
+    pool = [prose(rng, 12, 10 ** 6) for _ in range(30)]
+    rows = [(i, " ".join(pool[k] for k in sorted(rng.sample(range(30), 15)))) for i in range(40)]
+    rows += [(i + 100, text.rsplit(" ", 3)[0]) for i, text in rows[:5]]
+    made, own = [], jaccard.overlaps
+    monkeypatch.setattr(jaccard, "overlaps", lambda pairs, s: made.append(pairs) or own(pairs, s))
+    check_components(jaccard.jaccard_join(table(rows)), rows)
+    assert 0 < sum(p.count() for p in made) <= len(rows)
+
+
+def test_signatures_count_no_less_than_is_shared():
+    """What two signatures leave room for is the overlap at least, whatever the sizes."""
+    rng = np.random.default_rng(3)
+    for n in (1, 20, 300, 5000):
+        both, one, two = (rng.integers(0, 1 << 63, size, dtype=np.uint64) for size in (n, n // 3, n // 2))
+        doc = np.repeat([0, 2], [len(both) + len(one), len(both) + len(two)])
+        a, none, b = jaccard.signatures(doc, np.r_[both, one, both, two], 3)
+        assert a.shape == (1 + jaccard.SIGN,) and not none.any()
+        odd = sum(int(x).bit_count() for x in (a[1:] ^ b[1:]).view(np.uint64))
+        assert n <= (a[0] + b[0] - odd) / 2
+        assert n > 300 or (a[0] + b[0] - odd) / 2 <= n + n / 4
+
+
 def test_jaccard_rounds_lose_no_link(table, monkeypatch):
     """With hardly anything compared directly, rounds and the last comparison find all groups."""
     monkeypatch.setattr(jaccard, "AT_ONCE", 0)

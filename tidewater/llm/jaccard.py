@@ -16,6 +16,10 @@ comparison. Once few comparisons per holder are left, or a round links hardly an
 more, the holders outside the leader's component are compared with all holders of
 other components, so that no link between components is lost. Of n-grams with the
 same holders one is enough, so that a pair is not met again at each that it shares.
+Each set has a signature: for each of 512 values, whether an odd number of its n-grams
+hash to it. Common n-grams cancel in the exclusive or of two, so its bits count no more
+than what the sets do not share, and pairs of holders whose signatures differ by too
+much for a link are left out before they are made.
 
 The number of documents of each n-gram is counted over the whole corpus in bulk
 (``blocks.corpus_classes``); texts are written once and do not move after that.
@@ -53,6 +57,8 @@ FRAGMENTS = range(2, 10)
 #: an n-gram; and so many when the rounds find no more than one link for ``RARE`` texts.
 AT_ONCE, SOME, FEW = 200_000, 8, 2000
 RARE = 50
+#: 64-bit words of a signature.
+SIGN = 8
 #: Words are hashed in pieces of so many bytes.
 PIECE = 1 << 16
 _POWERS: list[np.ndarray] = []
@@ -132,7 +138,7 @@ class Sets:
         return np.unique(self.gram, return_counts=True)
 
     def segments(self, classes: np.ndarray, num: int, den: int) -> list[tuple]:
-        """(at, size, fragment, grams, places, prefix) of the n-grams that several texts hold.
+        """(at, size, fragment, grams, places, prefix, sign) of the n-grams that several texts hold.
 
         The fragments are cuts of the global order (class, hash). A text none of
         whose first n-grams is shared has one row without n-grams.
@@ -147,7 +153,7 @@ class Sets:
         prefix = self.size - -(-num * self.size // den) + 1
         active = np.zeros(len(self.size), bool)
         active[doc[(cls > 0) & (place < prefix[doc])]] = True
-        out = [(int(a), int(s), None, None, None, 0)
+        out = [(int(a), int(s), None, None, None, 0, None)
                for a, s, on in zip(self.at, self.size, active) if not on]
         keep = (cls > 0) & active[doc]
         doc, gram, cls, place = doc[keep], gram[keep], cls[keep], place[keep]
@@ -155,14 +161,22 @@ class Sets:
         # Within a text the order is by class and hash, so fragments are runs.
         cut = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (fragment[1:] != fragment[:-1])]
                              if len(doc) else np.zeros(0, bool))
-        signed = gram.view(np.int64)
+        signed, signs = gram.view(np.int64), signatures(doc, gram, len(self.size))
         for a, b in zip(cut, np.r_[cut[1:], len(doc)]):
             d = doc[a]
             out.append((int(self.at[d]), int(self.size[d]), int(fragment[a]), signed[a:b],
-                        place[a:b].astype(np.int32), int(prefix[d])))
+                        place[a:b].astype(np.int32), int(prefix[d]), signs[d]))
         return out
 
 
+def signatures(doc: np.ndarray, gram: np.ndarray, docs: int) -> np.ndarray:
+    """Per document the number of its n-grams, then the ``SIGN`` words of its signature."""
+    bits = 64 * SIGN
+    value = doc * bits + (gram % np.uint64(bits)).astype(np.int64)
+    odd = (np.bincount(value, minlength=docs * bits) & 1).astype(np.uint8).reshape(docs, bits)
+    return np.c_[np.bincount(doc, minlength=docs), np.packbits(odd, axis=1).view(np.int64)]
+
+
 def _may_link(sa: Column, pa: Column, sb: Column, pb: Column, num: int, den: int) -> Column:
     """Whether sizes and the places of the first shared n-gram leave room for enough overlap."""
     need = F.ceil(F.lit(num) * (sa + sb) / F.lit(num + den))
@@ -170,6 +184,21 @@ def _may_link(sa: Column, pa: Column, sb: Column, pb: Column, num: int, den: int
         & (F.least(sa - pa, sb - pb) >= need)
 
 
+def _signs_may_link(sa: Column, a: Column, sb: Column, b: Column, num: int, den: int) -> Column:
+    """Whether signatures leave room for enough overlap: n-grams of both sets cancel out, so that
+    each bit that differs is an n-gram of only one of the sets."""
+    need = F.ceil(F.lit(num) * (sa + sb) / F.lit(num + den))
+    apart = [F.bit_count(a[f"s{i}"].bitwiseXOR(b[f"s{i}"])) for i in range(1, SIGN + 1)]
+    return a["s0"] + b["s0"] - sum(apart[1:], apart[0]) >= 2 * need
+
+
+def _may_meet(num: int, den: int) -> Column:
+    """Whether by size, place and sign a row's holder may link with the one beside it."""
+    beside = [F.col(c) for c in ("size", "place", "size2", "place2")]
+    signed = [F.col(c) for c in ("size", "sign", "size2", "sign2")]
+    return _may_link(*beside, num, den) & _signs_may_link(*signed, num, den)
+
+
 def overlaps(pairs: DataFrame, segments: DataFrame) -> DataFrame:
     """(a, b, sa, sb, inter): partial overlaps per fragment, summed per pair."""
     each = pairs.select("*", F.explode(F.array(*[F.lit(f) for f in FRAGMENTS])).alias("fragment"))
@@ -197,10 +226,9 @@ def _ordered(met: DataFrame) -> DataFrame:
 
 def _pairs(x: DataFrame, y: DataFrame, num: int, den: int) -> DataFrame:
     """Distinct pairs of holders of one n-gram in different components that may link."""
-    y = y.toDF("gram2", "at2", "size2", "place2", "root2")
+    y = y.toDF("gram2", "at2", "size2", "place2", "root2", "sign2")
     met = x.join(y, (F.col("gram") == F.col("gram2")) & (F.col("root") != F.col("root2"))
-                 & _may_link(F.col("size"), F.col("place"), F.col("size2"), F.col("place2"),
-                             num, den))
+                 & _may_meet(num, den))
     return _ordered(met).distinct()
 
 
@@ -219,9 +247,9 @@ def _told_apart(rows: DataFrame) -> DataFrame:
     return rows.join(first, "gram")
 
 
-def _held(rows: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
-    """(gram, at, size, place, root, lead) of the n-grams whose holders are not all in one
-    component; ``lead`` is one of the holders: at first the first in the input, which of a
+def _held(rows: DataFrame, labels: DataFrame, signs: DataFrame, turn: int) -> DataFrame:
+    """(gram, at, size, place, root, sign, lead, sign2) of the n-grams whose holders are not all
+    in one component; ``lead``, of signature ``sign2``, is one of the holders: at first the first in the input, which of a
     group of copies is often the one that the others were made from, then one of the component
     with the most holders, drawn anew for each n-gram."""
     named = rows.join(labels.withColumnRenamed("node", "at"), "at", "left") \
@@ -232,7 +260,8 @@ def _held(rows: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
     per = each.groupBy("gram").agg(F.count("*").alias("roots"),
                                    F.max(F.struct("n", "lead")).alias("most"))
     per = per.where("roots > 1").select("gram", F.col("most.lead").alias("lead"))
-    return written(named.join(per, "gram"), "jaccard-held")
+    signed = per.join(signs.toDF("at2", "sign2"), F.col("lead.at") == F.col("at2")).drop("at2")
+    return written(named.join(signed, "gram").join(signs, "at"), "jaccard-held")
 
 
 def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -247,17 +276,20 @@ def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     return written(moved.unionByName(more.join(labels, "node", "left_anti")), "jaccard-labels")
 
 
-def similar_components(rows: DataFrame, segments: DataFrame, num: int, den: int) -> DataFrame:
+def similar_components(rows: DataFrame, segments: DataFrame, signs: DataFrame,
+                       num: int, den: int) -> DataFrame:
     """(node, root): components of the links among the texts of ``segments``.
 
-    rows: (gram, at, size, place) of the first n-grams that several texts hold.
+    rows: (gram, at, size, place) of the first n-grams that several texts hold;
+    signs: (at, sign), the signature of each text.
     """
     spark = rows.sparkSession
     labels = spark.createDataFrame([], "node bigint, root bigint")
     rows = bucketed(_told_apart(rows), "jaccard-holders", "gram")
+    own = ["gram", "at", "size", "place", "root", "sign"]
     turn, worth = 0, True
     while True:
-        held = _held(rows, labels, turn)
+        held = _held(rows, labels, signs, turn)
         apart = F.col("root") != F.col("lead.root")
         per = held.groupBy("gram").agg(F.count("*").alias("n"),
                                        F.count_if(apart).alias("apart"))
@@ -267,10 +299,9 @@ def similar_components(rows: DataFrame, segments: DataFrame, num: int, den: int)
             return labels
         if turn and left["pairs"] <= max(AT_ONCE, (SOME if worth else FEW) * left["holders"]):
             break
-        lead = held.select("gram", "at", "size", "place", "root", "lead.*") \
-            .toDF("gram", "at", "size", "place", "root", "draw", "at2", "size2", "place2", "root2")
-        met = lead.where((F.col("root") != F.col("root2")) & _may_link(
-            F.col("size"), F.col("place"), F.col("size2"), F.col("place2"), num, den))
+        lead = held.select(*own, "sign2", "lead.*").toDF(
+            *own, "sign2", "draw", "at2", "size2", "place2", "root2")
+        met = lead.where((F.col("root") != F.col("root2")) & _may_meet(num, den))
         fresh = _links(_ordered(met).distinct(), segments, num, den)
         turn += 1
         n = fresh.count()
@@ -278,7 +309,6 @@ def similar_components(rows: DataFrame, segments: DataFrame, num: int, den: int)
             break
         worth = RARE * n > held.agg(F.count_distinct("at")).first()[0]
         labels = _merged(labels, fresh)
-    own = ["gram", "at", "size", "place", "root"]
     last = _links(_pairs(held.where(apart).select(*own), held.select(*own), num, den),
                   segments, num, den)
     return _merged(labels, last)
@@ -300,7 +330,7 @@ def _joined(blocks: DataFrame, words: int, num: int, den: int) -> DataFrame:
     counted = corpus_classes(once, lambda b: Sets(b, words).held(), ["at", "text"])
 
     def cut(rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        columns = ["at", "size", "fragment", "grams", "places", "prefix"]
+        columns = ["at", "size", "fragment", "grams", "places", "prefix", "sign"]
         if not len(rows):
             return pd.DataFrame(columns=columns)
         out = Sets(rows, words).segments(classes_of(answers), num, den)
@@ -308,14 +338,19 @@ def _joined(blocks: DataFrame, words: int, num: int, den: int) -> DataFrame:
 
     cut_up = written(once.groupBy("block").cogroup(counted.groupBy("block")).applyInPandas(
         cut, "at bigint, size bigint, fragment int, grams array<bigint>, places array<int>, "
-             "prefix bigint"), "jaccard-sets")
+             "prefix bigint, sign array<bigint>"), "jaccard-sets")
     shared = cut_up.where("fragment is not null")
     segments = bucketed(shared.select("at", "fragment", "grams"), "jaccard-segments",
                         "at", "fragment")
     first = shared.select("at", "size", "prefix", F.explode(F.arrays_zip("grams", "places"))
                           .alias("g")).where("g.places < prefix").select(
         F.col("g.grams").alias("gram"), "at", "size", F.col("g.places").alias("place"))
-    labels = similar_components(bucketed(first, "jaccard-prefixes", "gram"), segments, num, den)
+    # Each fragment of a text has its whole signature.
+    signs = bucketed(shared.groupBy("at").agg(F.first("sign").alias("sign")).select(
+        "at", F.struct(*[F.col("sign")[i].alias(f"s{i}") for i in range(SIGN + 1)]).alias("sign")),
+        "jaccard-signs", "at")
+    labels = similar_components(bucketed(first, "jaccard-prefixes", "gram"), segments, signs,
+                                num, den)
     sizes = cut_up.groupBy(F.col("at").alias("rep")).agg(F.max("size").alias("n_shingles"))
     every = named.join(sizes, "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
     # An empty set links with nothing, not even with its copies.
