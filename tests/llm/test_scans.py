@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tests.llm import brute
+from tests.llm.conftest import prose
 from tidewater.llm import align, licenses, phrases
 from tidewater.llm.common import written
 from tidewater.llm.pieces import model_bytes
@@ -171,6 +172,27 @@ def test_no_survivor_by_chance(spark):
     assert set(np.concatenate(found).tolist()) == {h for h, n in counts.items() if n >= 5}
 
 
+def test_entries_of_a_block_are_sent_in_slices(table, monkeypatch):
+    """No batch holds a block's entries whole; together they are the same, each range in one row."""
+    rng = random.Random(8)
+    docs = table([(i, prose(rng, 60, 400)) for i in range(50)]).select(F.lit("en").alias("lang"), "text")
+    blocks = phrases.word_blocks(docs).where("n_words > 0").toArrow()
+
+    class Kept:
+        def __getattr__(self, name):
+            return lambda *a: self if name in ("select", "groupBy") else a[0]
+
+    def batches(most):
+        monkeypatch.setattr(phrases, "SLICE_NGRAMS", most, raising=False)
+        return [b for block in blocks.to_batches(1) for b in phrases.sent(Kept(), 64)(iter([block]))]
+
+    whole, cut = batches(1 << 40), batches(500)
+    rows = lambda bs: sorted(str(r) for b in bs for r in b.to_pylist())
+    assert rows(cut) == rows(whole)
+    mass = [sum(b.column("mass").to_pylist()) for b in cut]
+    assert sum(mass) > 5000 and max(mass) < 2000
+
+
 def test_products_beyond_64_bits(spark):
     big = 10 ** 16
     found = spark.createDataFrame([("en", "a b", ["a", "b"], big - 1), ("en", "a", ["a"], big), ("en", "b", ["b"], big)],

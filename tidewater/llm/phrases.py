@@ -49,6 +49,8 @@ BLOCK_WORDS = 3_000_000
 GROUP_CHARS = 1_000_000
 #: n-gram occurrences per range of the hash space.
 RANGE_MASS = 16_000_000
+#: n-gram occurrences of a block whose entries are made up at a time.
+SLICE_NGRAMS = 1 << 18
 BITS = 48
 LONGEST = 4
 
@@ -129,11 +131,24 @@ def _block(lang: str, ids: bytes, words: bytes) -> tuple[np.ndarray, list[bytes]
 
 def sent(blocks: DataFrame, ranges: int) -> DataFrame:
     """(block, range, mass, hashes, counts): each block's distinct n-grams, by range of the hash space."""
-    def summary(block: int, lang: str, ids: bytes, words: bytes) -> Iterator[tuple]:
+    def summaries(block: int, lang: str, ids: bytes, words: bytes) -> Iterator[list[tuple]]:
         ids, words = _block(lang, ids, words)
-        each = [np.unique(h, return_counts=True) for _, _, h in ngram_hashes(lang, words, ids)]
+        each = [h for _, _, h in ngram_hashes(lang, words, ids)]
+        del ids, words
+        for h in each:
+            h.sort()
+        # Some ranges at a time: only their entries are held beside the hashes.
+        slices = min(ranges, -(-sum(map(len, each)) // SLICE_NGRAMS))
+        homes = [i * ranges // slices for i in range(1, slices)]
+        bounds = np.array([-(-(k << BITS - 16) // ranges) for k in homes], np.uint64) << np.uint64(16)
+        cuts = [np.split(h, np.searchsorted(h, bounds)) for h in each]
+        for parts in zip(*cuts):
+            yield list(entries(block, parts))
+
+    def entries(block: int, parts: tuple[np.ndarray, ...]) -> Iterator[tuple]:
+        found = [np.unique(h, return_counts=True) for h in parts]
         # Of two sizes, equal hashes stay two entries.
-        hashes, counts = (np.concatenate(x) for x in zip(*each))
+        hashes, counts = (np.concatenate(x) for x in zip(*found))
         order = np.argsort(hashes, kind="stable")
         hashes, counts = hashes[order], counts[order]
         home = ((hashes >> np.uint64(16)) * np.uint64(ranges)) >> np.uint64(BITS - 16)
@@ -145,15 +160,16 @@ def sent(blocks: DataFrame, ranges: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
+        names = ["block", "range", "mass", "hashes", "counts"]
         for b in batches:
             for row in zip(*(b.column(c).to_pylist() for c in ("block", "lang")), b.column("ids"), b.column("words")):
-                rows = list(summary(*row[:2], row[2].as_py(), row[3].as_py()))
-                if rows:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
-                        ["block", "range", "mass", "hashes", "counts"])
+                for rows in summaries(*row[:2], row[2].as_py(), row[3].as_py()):
+                    if rows:
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
-    return blocks.select("block", "lang", "ids", "words").mapInArrow(
+    # By block, as the second pass takes them: one block at a time goes to Python, not all of a task.
+    return blocks.groupBy("block").applyInArrow(
         run, "block long, range long, mass long, hashes binary, counts binary")
 
 
