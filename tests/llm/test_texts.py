@@ -1,7 +1,10 @@
 """Operators that judge or cut texts, against plain versions."""
 
 import random
+import tracemalloc
 
+import numpy as np
+import pandas as pd
 import pytest
 
 from tests.llm import brute
@@ -103,6 +106,39 @@ def test_suffix_dedup_over_pieces(table, monkeypatch):
     assert got[2][1] >= 310_000 and got[2][2] == 1
 
 
+def test_suffix_dedup_string_by_string(table, corpus, monkeypatch):
+    """Ranks that many anchors hold are asked about by string: the same cuts."""
+    monkeypatch.setattr(suffixes, "HOT", 1)
+    got = suffixes.remove_repeats(table(corpus), keep_bytes=False)
+    want = [(i, *w[:3], brute.sha(w[3])) for (i, _), w in zip(corpus, brute.removed_bytes(corpus))]
+    assert rows_of(got, "doc_id", "n_bytes", "n_removed", "n_spans", "kept") == sorted(want, key=repr)
+
+
+def test_suffix_range_is_worked_through_in_pieces():
+    """What a range of contexts takes does not grow with all their strings at once; a sentence that
+    every text holds is sent once a block, not once a text."""
+    rng = random.Random(6)
+    every, sentence = [], "this one sentence stands in each of the texts, 0123456789"
+    for b in range(8):
+        texts = [f"{prose(rng, 30, 10 ** 9)} {sentence} {prose(rng, 30, 10 ** 9)}" for _ in range(512)]
+        rows = pd.DataFrame({"block": b, "at": range(512), "doc_id": range(512 * b, 512 * b + 512), "text": texts})
+        held, _ = suffixes.Block(rows).held()
+        classes = pd.DataFrame({"range": [0], "classes": [np.ones(len(held), np.uint8).tobytes()]})
+        every += suffixes._ask(rows, classes, 1, 14)
+        hot = pd.DataFrame({"range": [0], "classes": [np.full(len(held), 14, np.uint8).tobytes()]})
+        got = [x for x in suffixes._ask(rows, hot, 1, 14)]
+        assert [x[0] for x in got] == [1]
+        strings = np.frombuffer(got[0][4], "<u8")
+        assert len(np.unique(strings)) == len(strings)
+    asked = pd.DataFrame(every, columns=["range", "block", "first", "n", "contexts", "ids"])
+    tracemalloc.start()
+    answers = suffixes._answer(asked, 1)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(answers) == 8
+    assert asked["n"].sum() > 50_000 and peak < 400 * asked["n"].sum()
+
+
 def test_fingerprints(table, corpus):
     rows = sorted({(i, t or "") for i, t in corpus if i is not None})
     got = simhash.fingerprint_report(table(rows), every=1)

@@ -70,13 +70,14 @@ def unpack(n: int, planes: bytes, extra: bytes) -> tuple[np.ndarray, np.ndarray]
 
 def corpus_classes(blocks: DataFrame,
                    held: Callable[[pd.DataFrame], tuple[np.ndarray, np.ndarray]],
-                   columns: list[str]) -> DataFrame:
+                   columns: list[str], ranges: int | None = None) -> DataFrame:
     """(block, range, classes): per hash that a block holds, floor(log2(its corpus count)).
 
     ``held`` gives a block's sorted distinct hashes and in how many of its texts
-    each occurs; the classes, one byte each (at most 63), are in that order.
+    each occurs; the classes, one byte each (at most 63), are in that order. One range of
+    the hashes of all blocks is in a task's memory (default: 4 of them for each partition).
     """
-    ranges = 4 * shared_partitions(blocks.sparkSession)
+    ranges = ranges or 4 * shared_partitions(blocks.sparkSession)
 
     def send(rows: pd.DataFrame) -> pd.DataFrame:
         hashes, counts = held(rows)

@@ -15,14 +15,17 @@ Not every position is asked about. Of the 35 positions whose 16 bytes lie in a
 50-byte string, the one of least rank (the last of equal ones) stands for the
 string: equal strings choose the same place, so asking for these anchors, about
 one position in 18, loses nothing. An anchor that goes on carries the bytes around
-it that its strings need; equal ones of a block travel once, with the least id.
+it that its strings need; equal ones of a block travel once, with the least id. Where
+a rank is held so often (``HOT``) that its anchors would not fit a task, the block sends
+each distinct string of them by itself, by the string's own rank.
 
 Edge cases: a null text counts as empty (0 bytes, nothing removed); repeated rows
 (same id) do not remove each other; a null id comes after all others and is not
 smaller than another null; overlapping repeats count, and strings are judged on
 the input; an empty table gives an empty result; extra columns are ignored. Texts
 are treated as bytes, so a removal may cut a character. Memory per task: one
-block of texts, or one range of ranks.
+block of texts, or one range of ranks; there are as many ranges as the bytes of the
+texts need, and a range is worked through a few thousand contexts at a time.
 """
 
 from __future__ import annotations
@@ -52,6 +55,10 @@ _BYTE_RANKS = np.random.default_rng(9).integers(0, 1 << 63, 256, dtype=np.uint64
 PIECE_BITS = 16
 #: Contexts are handled so many at a time.
 ROWS = 4096
+#: Ranks that 2**HOT anchors hold, or more, are asked about string by string.
+HOT = 14
+#: At most about so many anchors, or contexts, of all blocks in a range; one byte in SPARSE is an anchor.
+ANCHORS, CONTEXTS, SPARSE = 1 << 19, 1 << 17, 18
 
 
 def double(rank: np.ndarray, by: int, salt: int) -> np.ndarray:
@@ -120,18 +127,22 @@ class Block:
         return begin + at, begin + string[heads], begin + string[tails], rank[at]
 
     def held(self) -> tuple[np.ndarray, np.ndarray]:
-        """Sorted distinct ranks of the anchors, and the number of documents of each."""
-        return np.unique(_once_per_text(self.rank, self.doc), return_counts=True)
+        """Sorted distinct ranks of the anchors, and the number of anchors of each; 1 if they are
+        all of one text."""
+        held, texts = np.unique(_once_per_text(self.rank, self.doc), return_counts=True)
+        anchors = np.unique(self.rank, return_counts=True)[1]
+        return held, np.where(texts > 1, anchors, 1)
 
-    def going_on(self, classes: np.ndarray) -> None:
+    def going_on(self, classes: np.ndarray, hot: int) -> None:
         """Keep the anchors whose rank occurs in more than one text."""
-        keep = classes[np.unique(self.rank, return_inverse=True)[1]] > 0
-        for name in ("at", "first", "last", "rank", "doc"):
-            setattr(self, name, getattr(self, name)[keep])
+        of = classes[np.unique(self.rank, return_inverse=True)[1]]
+        self.hot = of >= hot
+        for name in ("at", "first", "last", "rank", "doc", "hot"):
+            setattr(self, name, getattr(self, name)[of > 0])
 
     def contexts(self) -> tuple[np.ndarray, ...]:
-        """Distinct (bytes around, offsets of the first and last string): these, and of each
-        anchor its context. Sorted by rank."""
+        """Distinct (bytes around, offsets of the first and last string): these, their ranks and
+        least ids, of each anchor its context, and whether a context is hot. Sorted by rank."""
         base = self.at - (REACH - 1)
         lo, hi = self.first - base, self.last - base
         weights = np.random.default_rng(7).integers(0, 1 << 63, AROUND + 2, dtype=np.uint64) * 2 + 1
@@ -156,7 +167,7 @@ class Block:
         pick = order[new]
         least = np.minimum.reduceat(self.ids[self.doc][order], np.flatnonzero(new)) \
             if len(pick) else np.zeros(0, np.int64)
-        return full[pick], self.rank[pick], least, which
+        return full[pick], self.rank[pick], least, which, self.hot[pick]
 
 
 def _once_per_text(rank: np.ndarray, doc: np.ndarray) -> np.ndarray:
@@ -173,8 +184,9 @@ def _string_ranks(around: np.ndarray) -> np.ndarray:
     return double(r, LENGTH - 2 * GRAM, LENGTH)
 
 
-def _least_ids(full: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """Per context and string the least id of any context with that string; LAST where none."""
+def _strings(full: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Sorted distinct ranks of the strings in these contexts, the least id of each; which of the
+    REACH strings a context has, and of each of those its place among the ranks."""
     lo, hi = full[:, AROUND].astype(np.int64), full[:, AROUND + 1].astype(np.int64)
     offset = np.arange(REACH)
     valid = (offset >= lo[:, None]) & (offset <= hi[:, None])
@@ -187,46 +199,91 @@ def _least_ids(full: np.ndarray, ids: np.ndarray) -> np.ndarray:
     owner = np.repeat(ids, valid.sum(axis=1))
     order = np.argsort(keys, kind="stable")
     ranked = keys[order]
-    starts = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]])
-    least = np.minimum.reduceat(owner[order], starts)
-    of = np.empty(len(keys), np.int64)
-    of[order] = np.repeat(least, np.diff(np.r_[starts, len(keys)]))
+    new = np.ones(len(keys), bool)
+    new[1:] = ranked[1:] != ranked[:-1]
+    starts = np.flatnonzero(new)
+    least = np.minimum.reduceat(owner[order], starts) if len(starts) else owner
+    place = np.empty(len(keys), np.int64)
+    place[order] = np.cumsum(new) - 1
+    return ranked[starts], least, valid, place
+
+
+def _least_ids(full: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Per context and string the least id of any context with that string; LAST where none."""
+    _, least, valid, place = _strings(full, ids)
     out = np.full(valid.shape, LAST, np.int64)
-    out[valid] = of
+    out[valid] = least[place]
     return out
 
 
-def _ask(rows: pd.DataFrame, answers: pd.DataFrame, ranges: int) -> Iterator[tuple]:
+def _ask(rows: pd.DataFrame, answers: pd.DataFrame, ranges: int, hot: int) -> Iterator[tuple]:
+    """(range, block, first, n, contexts, ids) of the contexts in each range; for the hot ones, in
+    the ranges from ``ranges`` on, the ranks of their strings in place of the contexts."""
     block = Block(rows)
-    block.going_on(classes_of(answers))
-    full, rank, least, _ = block.contexts()
-    home = (rank >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)
-    edges = np.searchsorted(home, np.arange(ranges + 1, dtype=np.uint64))
-    for r in np.flatnonzero(np.diff(edges)):
-        a, b = edges[r], edges[r + 1]
-        yield (int(r), int(rows["block"].iloc[0]), int(a), int(b - a), full[a:b].tobytes(),
-               least[a:b].astype("<i8").tobytes())
-
-
-def _answer(rows: pd.DataFrame) -> pd.DataFrame:
-    """Per block: the contexts whose least ids differ from the block's own, in runs."""
-    full = np.concatenate([np.frombuffer(x, np.uint8).reshape(-1, AROUND + 2)
-                           for x in rows["contexts"]])
+    block.going_on(classes_of(answers), hot)
+    full, rank, least, _, hots = block.contexts()
+    strings, ids, _, _ = _strings(full[hots], least[hots])
+    for base, rank, data, least in ((0, rank[~hots], full[~hots], least[~hots]),
+                                    (ranges, strings, strings.astype("<u8"), ids)):
+        home = (rank >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)
+        edges = np.searchsorted(home, np.arange(ranges + 1, dtype=np.uint64))
+        for r in np.flatnonzero(np.diff(edges)):
+            a, b = edges[r], edges[r + 1]
+            yield (base + int(r), int(rows["block"].iloc[0]), int(a), int(b - a),
+                   data[a:b].tobytes(), least[a:b].astype("<i8").tobytes())
+
+
+def _pieces(full: np.ndarray) -> Iterator[np.ndarray]:
+    """The places of contexts, about ROWS at a time; those of one rank come together."""
+    rank = np.empty(len(full), np.uint64)
+    for a in range(0, len(full), ROWS):
+        rank[a:a + ROWS] = ranks(full[a:a + ROWS, REACH - 1:REACH - 1 + GRAM], GRAM)[:, 0]
+    order = np.argsort(rank, kind="stable")
+    rank = rank[order]
+    ends = np.r_[np.flatnonzero(rank[1:] != rank[:-1]) + 1, len(rank)]
+    a = 0
+    while a < len(rank):
+        b = ends[min(np.searchsorted(ends, a + ROWS), len(ends) - 1)]
+        yield order[a:b]
+        a = b
+
+
+def _answer(rows: pd.DataFrame, ranges: int) -> pd.DataFrame:
+    """Per block: the contexts (kind -1) whose least ids differ from the block's own, in runs, or
+    the strings (kind -2) whose least id does."""
     ids = np.concatenate([np.frombuffer(x, "<i8") for x in rows["ids"]])
-    least = _least_ids(full, ids)
     ends = np.cumsum(rows["n"].to_numpy())
+    begins = ends - rows["n"].to_numpy()
+    kind = -1 if rows["range"].iloc[0] < ranges else -2
+    if kind == -2:
+        keys = np.concatenate([np.frombuffer(x, "<u8") for x in rows["contexts"]])
+        _, which = np.unique(keys, return_inverse=True)
+        order = np.argsort(which, kind="stable")
+        starts = np.flatnonzero(np.diff(which[order], prepend=-1))
+        least = np.minimum.reduceat(ids[order], starts)[which]
+        at = np.flatnonzero(least != ids)
+        col, least = np.zeros(len(at), np.uint8), least[at]
+    else:
+        full = np.concatenate([np.frombuffer(x, np.uint8).reshape(-1, AROUND + 2)
+                               for x in rows["contexts"]])
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.uint8), np.zeros(0, np.int64))]
+        for some in _pieces(full):
+            part = _least_ids(full[some], ids[some])
+            other = np.flatnonzero(((part != LAST) & (part != ids[some, None])).any(axis=1))
+            some, part = some[other], part[other]
+            change = np.concatenate([np.ones((len(part), 1), bool), part[:, 1:] != part[:, :-1]], axis=1)
+            row, col = np.nonzero(change)
+            found.append((some[row], col.astype(np.uint8), part[row, col]))
+        at, col, least = (np.concatenate(x) for x in zip(*found))
+        order = np.argsort(at, kind="stable")
+        at, col, least = at[order], col[order], least[order]
+    edges = np.searchsorted(at, np.r_[begins, len(ids)])
     out = []
-    for block, first, a, b in zip(rows["block"], rows["first"], ends - rows["n"].to_numpy(), ends):
-        part = least[a:b]
-        other = np.flatnonzero(((part != LAST) & (part != ids[a:b, None])).any(axis=1))
-        if not len(other):
-            continue
-        part = part[other]
-        change = np.concatenate([np.ones((len(part), 1), bool), part[:, 1:] != part[:, :-1]], axis=1)
-        row, col = np.nonzero(change)
-        out.append((block, (first + other[row]).astype("<u4").tobytes(),
-                    col.astype(np.uint8).tobytes(), part[row, col].astype("<i8").tobytes()))
-    return pd.DataFrame(out, columns=["block", "context", "offset", "id"])
+    for block, first, begin, a, b in zip(rows["block"], rows["first"], begins, edges, edges[1:]):
+        if a < b:
+            out.append((kind, block, (first + at[a:b] - begin).astype("<u4").tobytes(),
+                        col[a:b].tobytes(), least[a:b].astype("<i8").tobytes()))
+    return pd.DataFrame(out, columns=["range", "block", "context", "offset", "id"])
 
 
 def _least_of_block(full: np.ndarray, own: np.ndarray, answers: pd.DataFrame) -> np.ndarray:
@@ -246,12 +303,25 @@ def _least_of_block(full: np.ndarray, own: np.ndarray, answers: pd.DataFrame) ->
     return out
 
 
-def _cut(rows: pd.DataFrame, classes: pd.DataFrame, answers: pd.DataFrame,
+def _least_of_strings(full: np.ndarray, own: np.ndarray, answers: pd.DataFrame) -> np.ndarray:
+    """Least id per hot context and string, from the answers to its strings."""
+    _, least, valid, place = _strings(full, own)
+    least = least.copy()
+    for strings, ids in zip(answers["context"], answers["id"]):
+        least[np.frombuffer(strings, "<u4").astype(np.int64)] = np.frombuffer(ids, "<i8")
+    out = np.full(valid.shape, LAST, np.int64)
+    out[valid] = least[place]
+    return out
+
+
+def _cut(rows: pd.DataFrame, classes: pd.DataFrame, answers: pd.DataFrame, hot: int,
          texts: bool) -> pd.DataFrame:
     block = Block(rows)
-    block.going_on(classes_of(classes))
-    full, _, own, which = block.contexts()
-    least = _least_of_block(full, own, answers)
+    block.going_on(classes_of(classes), hot)
+    full, _, own, which, hots = block.contexts()
+    least = np.empty((len(full), REACH), np.int64)
+    least[~hots] = _least_of_block(full[~hots], own[~hots], answers[answers["range"] == -1])
+    least[hots] = _least_of_strings(full[hots], own[hots], answers[answers["range"] == -2])
     gone = np.zeros(len(block.data) + 1, bool)
     offset = np.arange(REACH)
     for a in range(0, len(which), ROWS):
@@ -283,29 +353,32 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = narrow(docs, id_col, text_col).withColumn(
         "doc_id", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST)))
     blocks = text_blocks(rows)
-    ranges = 16 * shared_partitions(docs.sparkSession)
-    classes = written(corpus_classes(blocks, lambda b: Block(b).held(), ["at", "doc_id", "text"]),
-                      "suffix-classes")
+    # Ranges by the size of the corpus, so that one fits a task whatever the number of partitions.
+    anchors = (blocks.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // SPARSE
+    parts, hot = shared_partitions(docs.sparkSession), HOT
+    ranges = max(16 * parts, anchors // CONTEXTS)
+    classes = written(corpus_classes(blocks, lambda b: Block(b).held(), ["at", "doc_id", "text"],
+                                     max(4 * parts, anchors // ANCHORS)), "suffix-classes")
 
     def ask(rows: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:
-        out = _ask(rows, got, ranges) if len(rows) else ()
+        out = _ask(rows, got, ranges, hot) if len(rows) else ()
         return pd.DataFrame(list(out), columns=["range", "block", "first", "n", "contexts", "ids"])
 
     asked = blocks.groupBy("block").cogroup(classes.groupBy("block")).applyInPandas(
         ask, "range int, block bigint, first int, n int, contexts binary, ids binary")
     answers = asked.groupBy("range").applyInPandas(
-        _answer, "block bigint, context binary, offset binary, id binary")
+        lambda rows: _answer(rows, ranges),
+        "range int, block bigint, context binary, offset binary, id binary")
     # One table of both kinds of answers: a cogroup takes two sides.
     none = F.lit(None).cast("binary")
     both = classes.select("block", "range", "classes", none.alias("context"),
                           none.alias("offset"), none.alias("id")).unionByName(
-        answers.select("block", F.lit(-1).alias("range"), none.alias("classes"),
-                       "context", "offset", "id"))
+        answers.select("block", "range", none.alias("classes"), "context", "offset", "id"))
 
     def cut(rows: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:
         if not len(rows):
             return pd.DataFrame(columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
-        return _cut(rows, got[got["range"] >= 0], got[got["range"] < 0], keep_bytes)
+        return _cut(rows, got[got["range"] >= 0], got[got["range"] < 0], hot, keep_bytes)
 
     out = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_bytes", T.LongType()),
                         T.StructField("n_removed", T.LongType()),
