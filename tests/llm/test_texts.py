@@ -139,6 +139,15 @@ def test_suffix_range_is_worked_through_in_pieces():
     assert asked["n"].sum() > 50_000 and peak < 400 * asked["n"].sum()
 
 
+def test_probes_are_not_broadcast(spark):
+    """Thousands of probes for each query, which Spark sizes as the queries themselves."""
+    prints = spark.createDataFrame([([i, i],) for i in range(100)], "f array<bigint>")
+    found = simhash._asked(prints, prints, simhash.RADIUS, simhash.BLOCKS, simhash.HALVES)
+    assert found.count() > 0
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_fingerprints(table, corpus):
     rows = sorted({(i, t or "") for i, t in corpus if i is not None})
     got = simhash.fingerprint_report(table(rows), every=1)

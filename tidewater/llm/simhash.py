@@ -155,7 +155,9 @@ def _asked(queries: DataFrame, classes: DataFrame, radius: int, blocks: int,
         "part", F.pmod(F.xxhash64("c.f"), F.coalesce(F.ceil(F.col("n") / PACK), F.lit(1))))
     packed = written(dealt.groupBy("t", "key", "part").agg(F.collect_list("c").alias("members")),
                      "simhash-packs")
-    return probes.join(packed, ["t", "key"]).select("q", "t", "members")
+    # Spark sizes an explode as the table before it: probes, thousands for each query, look small
+    # enough to broadcast when they are not.
+    return probes.join(packed.hint("merge"), ["t", "key"]).select("q", "t", "members")
 
 
 def _met(q: Column, t: Column, f: Column, radius: int, blocks: int, halves: int) -> Column:
