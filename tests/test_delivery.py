@@ -135,3 +135,27 @@ def test_progress_of_empty_and_failed_batches(spark, workdir, caplog):
     assert "not committed" in caplog.text
     with pytest.raises(ValueError):
         write_progress(ranges, f"{workdir}/p", 3, on_error="ignore")
+
+
+def test_a_batch_caches_nothing(spark, workdir, monkeypatch):
+    """What a batch makes is in a working folder while it is read, and the next batch takes its place."""
+    cached = []
+    write = VersionedTarget.apply
+    monkeypatch.setattr(VersionedTarget, "apply", lambda self, some, version: (cached.append(
+        spark.sparkContext._jsc.getPersistentRDDs().size() - before), write(self, some, version)))
+    job = CdcApplyJob(spark, f"{workdir}/job")
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    schema = ("topic string, partition int, offset long, tableName string, actionType string, "
+              "columns map<string,string>, where string")
+
+    def insert(o):
+        return "t", 0, o, "customer", "insert", {"custKey": f"Long:{o}", "note": "String:x"}, ""
+
+    for epoch in range(3):
+        rows = [insert(o) for o in range(10 * epoch, 10 * epoch + 10 - epoch)]
+        job.process_batch(spark.createDataFrame(rows, schema), epoch)
+        for name in ("prepared", "outcomes"):
+            assert spark.read.parquet(f"{job.out}/work/{name}").count() == 10 - epoch
+    assert cached == [0, 0, 0]
+    assert job.status().groupBy("status").count().collect() == [("applied", 27)]
+    assert job.final_state().count() == 54

@@ -49,6 +49,17 @@ def write_epoch(df: DataFrame, path: str, epoch: int, column: str = "epoch",
     df.write.mode("overwrite").format(fmt).save(f"{path.rstrip('/')}/{column}={int(epoch)}")
 
 
+#: Bytes that a task of ``overwritten`` gathers before it writes them out.
+WORK_ROW_GROUP = 16 << 20
+
+
+def overwritten(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` to the working folder ``path``, in place of what it held, and read it back.
+    ``df`` must not read the folder itself; what was read from it before is gone."""
+    df.write.mode("overwrite").option("parquet.block.size", str(WORK_ROW_GROUP)).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """All epochs of a table (``schema`` includes ``epoch``); empty if absent."""
     if not exists(spark, path):

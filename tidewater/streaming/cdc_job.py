@@ -14,6 +14,10 @@ Per micro-batch (epoch ``e``), inside ``foreachBatch``:
    consumed - each as the folder ``epoch=e`` (replay-safe) -, the target's next
    version, and the per-partition progress **last**.
 
+What steps 1 and 3 make is read several times; it is written to a working folder, which
+the next batch overwrites, and not cached: rows of a cached partition are unrolled,
+serialized and sent between executors thousands at a time, outside the memory that Spark counts.
+
 Records that an earlier epoch has consumed, or that come twice in a batch, are left out
 first (``sinks.consumed``). The target is a table in versions (``sinks.versioned``).
 ``flush()`` gives the last epoch's pending retries their chance when no
@@ -30,7 +34,8 @@ from tidewater.operators.joins import join_small
 from tidewater.operators.offsets import batch_ranges
 from tidewater.sinks.consumed import ConsumedOffsets
 from tidewater.sinks.progress import write_progress
-from tidewater.sinks.tables import exists, list_dirs, read_epoch, read_table, write_epoch
+from tidewater.sinks.tables import (exists, list_dirs, overwritten, read_epoch, read_table,
+                                    write_epoch)
 from tidewater.sinks.versioned import VersionedTarget
 from tidewater.streaming.runner import output_generation, run_available, start
 
@@ -52,6 +57,8 @@ SCHEMAS = {
 }
 TARGET = (f"table_name string, key string, column string, type string, value string, "
           f"w struct<is_update:boolean,ord:{_ORD}>")
+#: What a batch needs of its prepared events.
+PREPARED = [*EVENT_ID, "tableName", "route", "cells", "key", "reason", "statement"]
 EVENT_COLUMNS = [f.split()[0] for f in SCHEMAS["events"].split(", ") if f.split()[0] != "epoch"]
 
 
@@ -144,44 +151,38 @@ class CdcApplyJob:
     # -- one micro-batch ----------------------------------------------------
     def process_batch(self, df: DataFrame, epoch: int) -> None:
         events = self.consumed.unseen(df, epoch).withColumn("batch_id", F.lit(int(epoch)).cast("long"))
-        p = changelog.prepare(events, self.key_column, self.mode, compat=False).persist()
-        try:
-            self._apply(p, epoch)
-        finally:
-            p.unpersist()
+        p = changelog.prepare(events, self.key_column, self.mode, compat=False).select(*PREPARED)
+        self._apply(overwritten(p, self._path("work/prepared")), epoch)
 
     def _apply(self, p: DataFrame, epoch: int) -> None:
         pending = self._pending(epoch - 1)
         valid = apply.keyed(p)
         touched = valid.select(*ROW).unionByName(pending.select(*ROW)).distinct()
         existing = join_small(self._keys_before(epoch), touched, ROW, "left_semi")
-        out = apply.first_status(p, existing).persist()
-        try:
-            fs = F.col("first_status")
-            inserted = out.where((F.col("route") == changelog.INSERT) & (fs == "applied")).select(*ROW)
-            retry_ok, retry_rows = self._retry(pending, existing.unionByName(inserted))
-            reason0 = (F.when(fs == "error", F.lit("duplicate_key"))
-                        .when(fs == "zero_rows", F.lit("no_matching_row")))
-            first = _typed(out, attempt=F.lit(0), status=fs, reason=reason0,
-                           cells=F.when(fs == "zero_rows", F.col("cells")))
-            other = _typed(p.where(F.col("reason").isNotNull()
-                                   | (F.col("route") == changelog.IGNORED)),
-                           attempt=F.lit(0), table_name=F.col("tableName"),
-                           status=F.when(F.col("route") == changelog.IGNORED, F.lit("ignored"))
-                                   .otherwise(F.lit("rejected")),
-                           statement=F.lit(None), ord=F.lit(None), cells=F.lit(None))
-            write_epoch(first.unionByName(other).unionByName(retry_rows),
-                        self._path("events"), epoch)
-            write_epoch(inserted, self._path("keys"), epoch)
-            applied = out.where(fs == "applied").select(*ROW, "route", "ord", "cells") \
-                .unionByName(retry_ok.select(*ROW, "route", "ord", "cells"))
-            self.target.apply(apply.fold(apply.event_cells(applied)), 2 * epoch)
-            self.consumed.write(p, epoch)
-            self._maybe_compact(epoch)
-            # Last: marks the epoch done.
-            write_progress(batch_ranges(p), self._path("progress"), epoch, self.on_progress_error)
-        finally:
-            out.unpersist()
+        out = overwritten(apply.first_status(p, existing), self._path("work/outcomes"))
+        fs = F.col("first_status")
+        inserted = out.where((F.col("route") == changelog.INSERT) & (fs == "applied")).select(*ROW)
+        retry_ok, retry_rows = self._retry(pending, existing.unionByName(inserted))
+        reason0 = (F.when(fs == "error", F.lit("duplicate_key"))
+                    .when(fs == "zero_rows", F.lit("no_matching_row")))
+        first = _typed(out, attempt=F.lit(0), status=fs, reason=reason0,
+                       cells=F.when(fs == "zero_rows", F.col("cells")))
+        other = _typed(p.where(F.col("reason").isNotNull()
+                               | (F.col("route") == changelog.IGNORED)),
+                       attempt=F.lit(0), table_name=F.col("tableName"),
+                       status=F.when(F.col("route") == changelog.IGNORED, F.lit("ignored"))
+                               .otherwise(F.lit("rejected")),
+                       statement=F.lit(None), ord=F.lit(None), cells=F.lit(None))
+        write_epoch(first.unionByName(other).unionByName(retry_rows),
+                    self._path("events"), epoch)
+        write_epoch(inserted, self._path("keys"), epoch)
+        applied = out.where(fs == "applied").select(*ROW, "route", "ord", "cells") \
+            .unionByName(retry_ok.select(*ROW, "route", "ord", "cells"))
+        self.target.apply(apply.fold(apply.event_cells(applied)), 2 * epoch)
+        self.consumed.write(p, epoch)
+        self._maybe_compact(epoch)
+        # Last: marks the epoch done.
+        write_progress(batch_ranges(p), self._path("progress"), epoch, self.on_progress_error)
 
     # -- after the last batch -------------------------------------------------
     def last_epoch(self) -> int | None:
