@@ -150,3 +150,12 @@ def test_decode_registry_keeps_rows_and_types(spark):
     with pytest.raises(SchemaError):
         avro.decode_registry(df, r, {1: rec(field("x", "int"))})
     assert avro.decode_registry(df.limit(0), r, {1: w1}).count() == 0
+
+
+def test_many_values_are_decoded_a_slice_at_a_time(spark):
+    w = rec(field("id", "int"))
+    write, n = encoder(Schema(w).root), 2 * avro.DECODED + 3
+    df = spark.createDataFrame([(i, avro.framed(1, write({"id": i})) if i % 7 else None) for i in range(n)],
+                               "n int, value binary").coalesce(1)
+    got = [tuple(r) for r in avro.decode_registry(df, w, {1: w}).select("n", "decoded.id", "status").collect()]
+    assert got == [(i, i, "ok") if i % 7 else (i, None, "short") for i in range(n)]

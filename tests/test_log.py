@@ -134,3 +134,18 @@ def test_rounds_take_the_same_batches_at_once(spark, workdir):
     sizes = [meta.row_group(g).num_rows for f in log.LogIndex(f"{workdir}/big").refresh()
              for meta in [pq.ParquetFile(f.path).metadata] for g in range(meta.num_row_groups)]
     assert sum(sizes) == log.ROW_GROUP * 2 + 1 and max(sizes) <= log.ROW_GROUP
+
+
+def test_a_file_is_read_a_row_group_at_a_time(spark, workdir):
+    n = 2 * log.ROW_GROUP + 5
+    offsets_ = spark.range(n).select(F.lit("t").alias("topic"), F.lit(0).alias("partition"), F.col("id").alias("offset"))
+    rows = offsets_.select(F.lit(None).cast("binary").alias("key"), F.lit(b"v").alias("value"), "topic", "partition",
+                           "offset", F.timestamp_seconds("offset").alias("timestamp"), F.lit(0).alias("timestampType"))
+    rows.coalesce(1).write.partitionBy("topic", "partition").parquet(f"{workdir}/log/segment=0")
+    reader = log.LogStreamReader({"path": f"{workdir}/log"})
+    sizes, got = [], 0
+    for part in reader.partitions(reader.initialOffset(), reader.latestOffset()):
+        for b in reader.read(part):
+            sizes.append(b.num_rows)
+            got += sum(b.column("offset").to_pylist())
+    assert max(sizes) <= log.ROW_GROUP and sum(sizes) == n and got == n * (n - 1) // 2

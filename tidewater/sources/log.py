@@ -225,8 +225,7 @@ class LogStreamReader(DataSourceStreamReader):
             at = source.schema_arrow.names.index("offset")
             stats = [source.metadata.row_group(g).column(at).statistics for g in range(source.num_row_groups)]
             groups = [g for g, s in enumerate(stats) if s.max >= partition.first and s.min < partition.until]
-            for b in source.iter_batches(row_groups=groups, columns=["key", "value", "offset", "timestamp",
-                                                                     "timestampType"]):
+            for b in source.iter_batches(ROW_GROUP, groups, ["key", "value", "offset", "timestamp", "timestampType"]):
                 offset = b.column("offset")
                 b = b.filter(pc.and_(pc.greater_equal(offset, partition.first), pc.less(offset, partition.until)))
                 if b.num_rows:
